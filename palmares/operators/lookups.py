@@ -11,7 +11,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.nulls import is_blank
 
@@ -25,7 +26,21 @@ SALTS = 64
 
 def estimated_bytes(df: DataFrame) -> int:
     """Size estimate of Catalyst for the plan: file sizes at the leaves, never a row sample."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def small_table(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructType | str) -> DataFrame:
+    """Rows of the driver as a local relation, whose size the optimiser knows.
+
+    A table made from plain rows has no statistics and would count as huge.
+    """
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    columns = list(zip(*rows)) if rows else [[] for _ in schema.fields]
+    arrow = to_arrow_schema(schema)
+    arrays = [pa.array(list(c), type=f.type) for c, f in zip(columns, arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), schema=schema)
 
 
 def bounded(df: DataFrame, limit: int | None = None) -> DataFrame:

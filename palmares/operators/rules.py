@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.nulls import MISSING_TOKENS, eq_true, holds, is_blank, is_missing
 from ..functions.scalars import len_at_least, year_range
-from .lookups import left_lookup
+from .lookups import left_lookup, small_table
 
 
 class _Missing:
@@ -183,8 +183,11 @@ def _joined_layer(df: DataFrame, layer: Sequence[Rule], where: Column | None) ->
             [T.StructField(f"__e{i}", T.StringType()) for i in range(len(eq))]
             + [T.StructField(names[c], hit_type) for c in cols]
         )
-        rows = [(*key, *[outs.get(c) for c in cols]) for key, outs in table.items()]
-        side = spark.createDataFrame(rows, schema)
+        rows = [
+            (*key, *[dict(zip(("rank", "value"), outs[c])) if c in outs else None for c in cols])
+            for key, outs in table.items()
+        ]
+        side = small_table(spark, rows, schema)
         on = {c: f"__e{i}" for i, c in enumerate(eq)}
         df = left_lookup(df, side, on, list(names.values()), unique="trust")
         added += names.values()
@@ -333,7 +336,7 @@ def fold_rules(df: DataFrame, rules: Sequence[Rule], target: str) -> DataFrame:
         T.StructField("rank", T.IntegerType()), T.StructField("kind", T.StringType()),
         T.StructField("seen", T.StringType()), T.StructField("out", T.StringType()),
     ])
-    shapes: dict[tuple[str, ...], dict[tuple, list[tuple]]] = {}
+    shapes: dict[tuple[str, ...], dict[tuple, list[dict]]] = {}
     for rank, r in enumerate(rules):
         reads = r.reads
         current = reads.pop(target, None)
@@ -346,20 +349,20 @@ def fold_rules(df: DataFrame, rules: Sequence[Rule], target: str) -> DataFrame:
         steps = shapes.setdefault(shape, {}).setdefault(tuple(reads[c] for c in shape), [])
         if kind == "any":
             steps.clear()
-        steps.append((rank, kind, current if kind == "value" else None, r.writes[target]))
+        seen = current if kind == "value" else None
+        steps.append({"rank": rank, "kind": kind, "seen": seen, "out": r.writes[target]})
     empty = F.array().cast(T.ArrayType(step))
     arrays, temps = [], []
     for n, (shape, table) in enumerate(shapes.items()):
         if not shape:
             arrays.append(F.array(*[
-                F.struct(F.lit(s[0]).alias("rank"), F.lit(s[1]).alias("kind"),
-                         F.lit(s[2]).cast("string").alias("seen"), F.lit(s[3]).alias("out"))
+                F.struct(*[F.lit(s[f.name]).cast(f.dataType).alias(f.name) for f in step.fields])
                 for s in table[()]
             ]))
             continue
         schema = T.StructType([T.StructField(f"__e{i}", T.StringType()) for i in range(len(shape))]
                               + [T.StructField(f"__f{n}", T.ArrayType(step))])
-        side = df.sparkSession.createDataFrame([(*k, v) for k, v in table.items()], schema)
+        side = small_table(df.sparkSession, [(*k, v) for k, v in table.items()], schema)
         df = left_lookup(df, side, {c: f"__e{i}" for i, c in enumerate(shape)}, [f"__f{n}"], unique="trust")
         temps.append(f"__f{n}")
         arrays.append(F.coalesce(F.col(f"__f{n}"), empty))

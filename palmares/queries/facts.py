@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.scalars import json_map
+from ..operators.lookups import bounded
 from ..sources import catalogue as cat
 from ..sources.contracts import contract
 from ..sources.facts import normalise_landing, read_fact, write_fact
@@ -32,7 +33,7 @@ def written(spark, sf):
 @query("s1_source_catalogue", f"""
 SELECT "SOURCE", "RENTREE", count(*) AS n FROM deg WHERE {IN_CATALOGUE} GROUP BY 1, 2""", ["deg"])
 def s1(spark, sf):
-    known = facts(spark, sf).join(F.broadcast(cat.catalogue(spark)), ["SOURCE", "RENTREE"], "left_semi")
+    known = facts(spark, sf).join(bounded(cat.catalogue(spark)), ["SOURCE", "RENTREE"], "left_semi")
     return known.groupBy("SOURCE", "RENTREE").agg(F.count(F.lit(1)).alias("n"))
 
 

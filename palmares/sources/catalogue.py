@@ -6,6 +6,8 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.lookups import small_table
+
 # The first entry year of each source.
 FIRST_YEAR = {
     "result": 2015,
@@ -28,7 +30,7 @@ def sources_of(year: int) -> list[str]:
 def catalogue(spark: SparkSession, years: Iterable[int] = YEARS) -> DataFrame:
     """One row per (SOURCE, RENTREE)."""
     rows = [(s, str(y)) for y in years for s in sources_of(y)]
-    return spark.createDataFrame(rows, "SOURCE string, RENTREE string")
+    return small_table(spark, rows, "SOURCE string, RENTREE string")
 
 
 def landing_name(source: str, year: int, corrected: bool = False) -> str:
