@@ -36,3 +36,12 @@ def row_metrics(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def any_row(df: DataFrame, cond: Column, by: Sequence[str] = (), name: str = "any_row") -> DataFrame:
     """Does some row of the group meet the condition?"""
     return df.groupBy(*by).agg(F.bool_or(F.coalesce(cond, F.lit(False))).alias(name))
+
+
+def distinct_counts(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str]) -> DataFrame:
+    """Exact numbers of distinct values per key: ``{column: new name}``.
+
+    Spark expands and pre-aggregates each (key, value) pair before counting, so a heavy
+    key is spread over its values.
+    """
+    return df.groupBy(*keys).agg(*[F.count_distinct(c).alias(n) for c, n in columns.items()])

@@ -1 +1,256 @@
-"""Flagship."""
+"""The jobs themselves over degree facts derived from the supplied tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from ..operators.derive import headcount, total_headcount
+from ..operators.schema import add_nulls
+from ..plans import correct, publish
+from ..sources.contracts import RAW_COLUMNS, RAW_INTS
+from ..sources.opendata import read_open_csv, write_open_csv
+from ..sources.sheets import SHEETS, as_sheet
+from ..session import work_dir
+from .base import query, table, view
+
+# Corrected facts and reference tables made from the supplied ones ------------
+
+CORRECTED = """SELECT "SOURCE", "RENTREE", CAST(CAST("RENTREE" AS INT) + 1 AS VARCHAR) AS "SESSION", 'S' || h1 % 50 AS "ID_PAYSAGE",
+  CASE WHEN h2 % 5 = 0 THEN NULL ELSE 'S' || h2 % 40 END AS "ID_PAYSAGE_EPE_ETAB_COMPOS", 'S' || h3 % 60 AS "ID_PAYSAGE_FORMENS",
+  "ETABLI" AS "ETABLI_ORI_UAI", CAST(h4 % 30 AS VARCHAR) AS "COMUI", CAST(h1 % 27 AS VARCHAR) AS "COMETAB", "SEXE", "BAC_RGRP",
+  CASE WHEN h1 % 2 = 0 THEN 'O' ELSE 'N' END AS "RETARD", CASE WHEN h2 % 7 = 0 THEN NULL WHEN h2 % 2 = 0 THEN 'X' ELSE 'N' END AS "AVANCE",
+  "PROXBAC", "PROXREGBAC", CASE WHEN h3 % 2 = 0 THEN 'E' ELSE 'F' END AS "NATION_VRAI", CASE WHEN h4 % 2 = 0 THEN 'M' ELSE 'X' END AS "MOBINTERN",
+  "DNDU", "DNDU_INT", "CURSUS_LMD", "CURSUS_LMDR", "CURSUS_LMD_INT", "LMDDONTBIS", "LMDDONTBIS_INT", "RESDIP", "RESINT", "SECTDIS", "SECTINT",
+  "PAR_TYPE" AS "SPECIUT", "NIVEAUR" AS "NIVEAU", "ID_PAYSAGE_ED", CASE WHEN h1 % 9 = 0 THEN NULL ELSE h1 % 2 END AS "UE_27", h2 % 2 AS "OCDE_MEMBRES",
+  h3 % 2 AS "BOLOGNE", h4 % 2 AS "BRICS", CASE WHEN "RESDIP" = 'O' THEN 1 ELSE 0 END AS "EFFECTIF_R", CASE WHEN "RESINT" = 'O' THEN 1 ELSE 0 END AS "EFFECTIF_INT"
+  FROM deg"""
+
+CONSTANTS = ("ID_PAYSAGE_ING", "ID_PAYSAGE_ING_CAMPUS", "ID_PAYSAGE_IUT", "ID_PAYSAGE_IUT_CAMPUS", "ID_PAYSAGE_IUT_POLE", "OPTIUT", "PARCOURSBUT")
+
+
+def corrected(spark: SparkSession, sf: str) -> DataFrame:
+    h = {i: F.col(f"h{i}") for i in (1, 2, 3, 4)}
+
+    def code(i, n, letter="S"):
+        return F.concat(F.lit(letter), (h[i] % n).cast("string"))
+
+    df = view(spark, sf, "deg").withColumns({
+        "SESSION": (F.col("RENTREE").cast("int") + 1).cast("string"), "ID_PAYSAGE": code(1, 50),
+        "ID_PAYSAGE_EPE_ETAB_COMPOS": F.when(h[2] % 5 != 0, code(2, 40)), "ID_PAYSAGE_FORMENS": code(3, 60),
+        "ETABLI_ORI_UAI": F.col("ETABLI"), "COMUI": code(4, 30, ""), "COMETAB": code(1, 27, ""),
+        "RETARD": F.when(h[1] % 2 == 0, "O").otherwise("N"),
+        "AVANCE": F.when(h[2] % 7 == 0, None).when(h[2] % 2 == 0, "X").otherwise("N"),
+        "NATION_VRAI": F.when(h[3] % 2 == 0, "E").otherwise("F"), "MOBINTERN": F.when(h[4] % 2 == 0, "M").otherwise("X"),
+        "SPECIUT": F.col("PAR_TYPE"), "NIVEAU": F.col("NIVEAUR"), "UE_27": F.when(h[1] % 9 != 0, h[1] % 2),
+        "OCDE_MEMBRES": h[2] % 2, "BOLOGNE": h[3] % 2, "BRICS": h[4] % 2,
+        "EFFECTIF_R": headcount("RESDIP"), "EFFECTIF_INT": headcount("RESINT"),
+        **{c: F.lit("") for c in CONSTANTS},
+    })
+    return total_headcount(df)
+
+
+def entities(spark, sf):
+    s = F.col("s_suppkey")
+    key = s.cast("string")
+    return table(spark, sf, "supplier").select(
+        F.concat(F.lit("S"), key).alias("ID_PAYSAGE"), F.concat(F.lit("S"), (s % 10).cast("string")).alias("ID_PAYSAGE_ACTUEL"),
+        F.col("s_name").alias("UO_LIB"), F.concat(F.lit("T"), (s % 3).cast("string")).alias("TYPE"),
+        F.concat(F.lit("Y"), (s % 4).cast("string")).alias("TYPOLOGIE_D_UNIVERSITES_ET_ASSIMILES"),
+        F.concat(F.lit("U"), key).alias("ANCIENS_CODES_UAI"), F.concat(F.lit("Q"), key).alias("IDENTIFIANT_WIKIDATA"),
+        F.concat(F.lit("R"), key).alias("IDENTIFIANT_ROR"), F.when(s % 6 != 0, "O").otherwise("N").alias("OPERATEUR_LOLF_150"),
+        F.col("s_nationkey").cast("string").alias("COM_CODE"))
+
+
+def places(spark, sf):
+    n, r = table(spark, sf, "nation"), table(spark, sf, "region")
+    k = F.col("n_nationkey")
+    return n.join(r, n.n_regionkey == r.r_regionkey).select(
+        k.cast("string").alias("COM_CODE"), F.col("n_name").alias("COM_NOM"), F.concat(F.lit("U"), (k % 8).cast("string")).alias("UUCR_ID"),
+        F.when(k % 4 == 0, F.col("n_name")).otherwise(F.concat(F.lit("Urban "), (k % 8).cast("string"))).alias("UUCR_NOM"),
+        F.concat(F.lit("D"), k.cast("string")).alias("DEP_ID"), F.when(k % 3 == 0, F.col("r_name")).otherwise(F.concat(F.lit("Dep "), k.cast("string"))).alias("DEP_NOM"),
+        F.concat(F.lit("A"), (k % 5).cast("string")).alias("ACA_ID"), F.when(k % 2 == 0, F.col("r_name")).otherwise(F.concat(F.lit("Aca "), (k % 5).cast("string"))).alias("ACA_NOM"),
+        F.concat(F.lit("R"), F.col("r_regionkey").cast("string")).alias("REG_ID"), F.col("r_name").alias("REG_NOM"))
+
+
+def code_list(df, col, attributes):
+    """A label list with one row per code of the facts: each attribute is its name and the code."""
+    codes = df.select(F.col(col).alias("code")).filter(F.col("code").isNotNull()).distinct()
+    return codes.select(F.col("code").alias(col), *[F.concat(F.lit(f"{a} "), "code").alias(a) for a in attributes])
+
+
+def reference_tables(spark, sf):
+    df = publish.publication_codes(corrected(spark, sf))
+    sheets = {"C_ETABLISSEMENTS": entities(spark, sf), "LES_COMMUNES": places(spark, sf)}
+    sheets["E_FORM_ENS"] = entities(spark, sf).select("ID_PAYSAGE", F.concat(F.lit("Training "), "UO_LIB").alias("UO_LIB"))
+    sheets["F_RENTREES"] = code_list(df, "RENTREE", ["ANNEE_UNIVERSITAIRE"])
+    for sheet, key, _, cols in publish.LABELS:
+        if sheet not in sheets and key == sheet:
+            sheets[sheet] = code_list(df, key, cols)
+    # Secondary roles look codes up in the list of the first role.
+    return sheets
+
+
+def label_sql():
+    """Columns of the label lists: an attribute is its name and the code, when the list has the code."""
+    out = []
+    for sheet, key, sheet_key, cols in publish.LABELS:
+        known = f'c."{key}"' if key == sheet_key else f'CASE WHEN c."{key}" IN (SELECT "{sheet_key}" FROM c) THEN c."{key}" END'
+        for attribute, name in cols.items():
+            value = f"'{attribute} ' || {known}"
+            out.append(f"coalesce({value}, 'Inconnu') AS \"{name}\"" if name == "SEXE_LIB" else f'{value} AS "{name}"')
+    return ", ".join(out)
+
+
+def path_sql(p):
+    levels = [f"{p}.reg", f"{p}.aca", f"{p}.dep", f"{p}.uu", f"{p}.com"]
+    return levels[0] + "".join(f" || CASE WHEN {a} = {b} THEN '' ELSE '>' || {b} END" for a, b in zip(levels, levels[1:]))
+
+
+PLACE_SQL = """SELECT CAST(n_nationkey AS VARCHAR) AS code, n_name AS com, 'U' || n_nationkey % 8 AS uid,
+  CASE WHEN n_nationkey % 4 = 0 THEN n_name ELSE 'Urban ' || n_nationkey % 8 END AS uu, 'D' || n_nationkey AS did,
+  CASE WHEN n_nationkey % 3 = 0 THEN r_name ELSE 'Dep ' || n_nationkey END AS dep, 'A' || n_nationkey % 5 AS aid,
+  CASE WHEN n_nationkey % 2 = 0 THEN r_name ELSE 'Aca ' || n_nationkey % 5 END AS aca, 'R' || r_regionkey AS rid, r_name AS reg
+  FROM nation JOIN region ON n_regionkey = r_regionkey"""
+
+
+def place_sql(p, role):
+    names = {"com": "COMMUNE", "uid": "ID_UUCR", "uu": "UUCR", "did": "ID_DEPARTEMENT", "dep": "DEPARTEMENT", "aid": "ID_ACADEMIE",
+             "aca": "ACADEMIE", "rid": "ID_REGION", "reg": "REGION"}
+    return ", ".join(f'{p}.{c} AS "{role}_{n}"' for c, n in names.items()) + f', {path_sql(p)} AS "{role}_LOCALISATION"'
+
+
+PUBLISH_SQL = f"""
+WITH f AS ({CORRECTED}),
+g AS (SELECT f.*, "EFFECTIF_R" + "EFFECTIF_INT" AS "EFFECTIF_TOT" FROM f),
+c AS (SELECT g.* REPLACE (CASE "SEXE" WHEN '1' THEN 'M' WHEN '2' THEN 'F' ELSE "SEXE" END AS "SEXE"), "AVANCE" || "RETARD" AS "AVANCE_RETARD",
+  "NATION_VRAI" AS "ATTRAC_INTERN", CASE WHEN "RESDIP" = 'O' THEN 'Oui' ELSE 'Non' END AS "OBTENU_DIPLOME",
+  CASE WHEN "RESINT" = 'O' THEN 'Oui' ELSE 'Non' END AS "OBTENU_DIPINT" FROM g),
+p AS ({PLACE_SQL}),
+e AS (SELECT 'S' || s_suppkey AS id, 'S' || s_suppkey % 10 AS cur, s_name AS lib, s_suppkey AS s FROM supplier),
+w AS (SELECT c.*, 'ANNEE_UNIVERSITAIRE ' || c."RENTREE" AS "ANNEE_UNIVERSITAIRE", {label_sql()},
+  c."ID_PAYSAGE" AS "ETABLISSEMENT_ID_PAYSAGE", c."ID_PAYSAGE_EPE_ETAB_COMPOS" AS "ETABLISSEMENT_COMPOS_ID_PAYSAGE",
+  c."ID_PAYSAGE_FORMENS" AS "FORM_ENS_ID_PAYSAGE", c."COMETAB" AS "ETABLISSEMENT_CODE_COMMUNE", c."COMUI" AS "IMPLANTATION_CODE_COMMUNE",
+  c."ETABLI_ORI_UAI" AS "ETABLISSEMENT_ID_UAI_SOURCE", e.lib AS "ETABLISSEMENT_LIB", 'T' || e.s % 3 AS "ETABLISSEMENT_TYPE",
+  'Y' || e.s % 4 AS "ETABLISSEMENT_TYPOLOGIE", 'U' || e.s AS "ETABLISSEMENT_ID_UAI", 'Q' || e.s AS "ETABLISSEMENT_ID_WIKIDATA",
+  'R' || e.s AS "ETABLISSEMENT_ID_ROR", e.cur AS "ETABLISSEMENT_ID_PAYSAGE_ACTUEL", e2.lib AS "ETABLISSEMENT_ACTUEL_LIB",
+  e3.lib AS "ETABLISSEMENT_COMPOS_LIB", 'Training ' || e4.lib AS "FORM_ENS_LIB", {place_sql('p', 'ETABLISSEMENT')}, {place_sql('q', 'IMPLANTATION')}
+  FROM c JOIN e ON e.id = c."ID_PAYSAGE" AND e.s % 6 <> 0 LEFT JOIN e e2 ON e2.id = e.cur LEFT JOIN e e3 ON e3.id = c."ID_PAYSAGE_EPE_ETAB_COMPOS"
+  LEFT JOIN e e4 ON e4.id = c."ID_PAYSAGE_FORMENS" LEFT JOIN p ON p.code = c."COMETAB" LEFT JOIN p q ON q.code = c."COMUI" WHERE c."EFFECTIF_TOT" > 0)
+SELECT {', '.join(f'"{k}"' for k in publish.PUBLISHED_KEYS)}, CAST(sum("EFFECTIF_R") AS BIGINT) AS "EFFECTIF_R",
+  CAST(sum("EFFECTIF_INT") AS BIGINT) AS "EFFECTIF_INT", CAST(sum("EFFECTIF_TOT") AS BIGINT) AS "EFFECTIF_TOTAL",
+  CAST(coalesce(sum("UE_27"), 0) AS BIGINT) AS "ATTRAC_INTERN_UE_27", CAST(sum("OCDE_MEMBRES") AS BIGINT) AS "ATTRAC_INTERN_OCDE_MEMBRES",
+  CAST(sum("BOLOGNE") AS BIGINT) AS "ATTRAC_INTERN_BOLOGNE", CAST(sum("BRICS") AS BIGINT) AS "ATTRAC_INTERN_BRICS"
+FROM w GROUP BY ALL"""
+
+
+@query("a3_published_table", PUBLISH_SQL, ["deg"])
+def published_table(spark, sf):
+    return publish.publish(corrected(spark, sf), reference_tables(spark, sf), names=False)
+
+
+@query("p15_published_csv", f"""
+WITH t AS ({PUBLISH_SQL.strip()})
+SELECT {', '.join(f'nullif(CAST("{k}" AS VARCHAR), {chr(39) * 2}) AS "{publish.PUBLISHED_NAMES.get(k, k)}"' for k in (*publish.PUBLISHED_KEYS, *publish.MEASURES))} FROM t""",
+       ["deg"])
+def published_csv(spark, sf):
+    """The published table written as yearly CSV folders under their French names and read back."""
+    root = work_dir(spark, "published")
+    write_open_csv(publish.publish(corrected(spark, sf), reference_tables(spark, sf)), root, year="rentree")
+    return read_open_csv(spark, root)
+
+
+@query("a1_full_code_cube", f"""
+WITH f AS ({CORRECTED}), g AS (SELECT f.*, "EFFECTIF_R" + "EFFECTIF_INT" AS "EFFECTIF_TOT", {', '.join(f"'' AS {chr(34)}{c}{chr(34)}" for c in CONSTANTS)} FROM f)
+SELECT {', '.join(f'"{k}"' for k in publish.CUBE_KEYS)}, CAST(sum("EFFECTIF_INT") AS BIGINT) AS "EFFECTIF_INT", CAST(sum("EFFECTIF_R") AS BIGINT) AS "EFFECTIF_R",
+  CAST(sum("EFFECTIF_TOT") AS BIGINT) AS "EFFECTIF_TOT", {', '.join(f'CAST(coalesce(sum("{c}"), 0) AS BIGINT) AS "{c}"' for c in publish.CUBE_FLAGS)}
+FROM g GROUP BY {', '.join(f'"{k}"' for k in publish.CUBE_KEYS)}, {', '.join(f'g."{c}"' for c in publish.CUBE_FLAGS)}""", ["deg"])
+def full_cube(spark, sf):
+    return publish.first_cube(corrected(spark, sf))
+
+
+# The correction job over raw facts made from the orders ----------------------
+
+
+def raw_facts(spark, sf):
+    df = view(spark, sf, "deg")
+    df = df.withColumns({
+        "TYP_DIPR": F.col("TYP_DIPL"), "DIPLOMR": F.col("DIPLOM"), "COMPOSR": F.col("COMPOS"), "SECTDISR": F.col("SECTDIS"),
+        "DISCIPLR": F.col("DISCIPLI"), "NUMED": F.col("PAR_TYPE"), "ETABLI_DIFFUSION": F.col("LMDDONT"),
+        "ANBAC": F.col("ANBAC").cast("bigint"), "ANNAIS": F.col("ANNAIS").cast("bigint"),
+    }).drop("h1", "h2", "h3", "h4", "cents", "PAR_TYPE", "DNDU", "DNDU_INT", "LMDDONT", "LMDDONTBIS", "LMDDONT_INT", "LMDDONTBIS_INT",
+            "PROXBAC", "PROXREGBAC", "OUTREMER", "CURSUS_LMD", "CURSUS_LMD_INT", "COMINS", "ID_PAYSAGE_ED")
+    return add_nulls(df, {c: "bigint" if c in RAW_INTS else "string" for c in RAW_COLUMNS})
+
+
+def correction_sheets(spark, sf):
+    """Sheets of the correction job, cut from the supplied tables; every one has the columns the job reads."""
+    nation, part, supplier = table(spark, sf, "nation"), table(spark, sf, "part"), table(spark, sf, "supplier")
+    deg = view(spark, sf, "deg")
+    empty = F.lit("")
+
+    def codes(col, **attributes):
+        have = deg.select(F.col(col).alias("c")).filter("c IS NOT NULL").distinct()
+        return have.select(F.col("c").alias(col), *[e.alias(n) for n, e in attributes.items()])
+
+    n = F.col("n_nationkey").cast("string")
+    c = F.col("c")
+    etabs = deg.select("RENTREE", "SOURCE", "ETABLI").filter("ETABLI IS NOT NULL").distinct()
+    units = deg.select("RENTREE", F.col("COMPOS").alias("UR"), F.col("COMPOS").alias("UI")).filter("UI IS NOT NULL").distinct()
+    rules = nation.filter("n_regionkey = 1").select(
+        F.lit("DEPBAC").alias("VAR1_IN"), n.alias("VALUE1_IN"), empty.alias("VAR2_IN"), empty.alias("VALUE2_IN"),
+        F.lit("ACABAC").alias("VAR_OUT"), n.alias("VALUE_OUT"))
+    flags = {f: (F.length("c") % 2).cast("string") for f in correct.COUNTRY_FLAGS}
+    sheets = {
+        "deleter": supplier.filter("s_suppkey % 7 = 0").select(
+            F.lit("2016").alias("RENTREE"), F.lit("mana").alias("SOURCE"), empty.alias("DIPLOM"), F.lit("0755555A").alias("ETABLI"),
+            empty.alias("ETABLI_ORI_UAI"), empty.alias("ETABLI_DIFFUSION")),
+        "ETABLI": nation.select(F.concat(F.lit("X"), n).alias("IN"), F.lit("0755555A").alias("OUT"), F.lit("2015").alias("RENTREE_START"), F.lit("2016").alias("RENTREE_END")),
+        "A_UAI": etabs.select("RENTREE", "SOURCE", "ETABLI", F.lit("result").alias("TYPE"), F.concat(F.lit("P"), "ETABLI").alias("ID_PAYSAGE")),
+        "D_EPE": etabs.select("RENTREE", F.concat(F.lit("P"), "ETABLI").alias("ID_PAYSAGE"), F.when(F.col("ETABLI") == "0912423P", "EPE1").otherwise("").alias("ID_PAYSAGE_EPE")),
+        "ETABLI_DIFFUSION_ID": nation.select(F.col("n_name").alias("IN"), n.alias("OUT")),
+        "COMINS": nation.select(F.lit("rien").alias("TYP_DIPL"), F.lit("rien").alias("COMPOS"), F.lit("rien").alias("RENTREE"), n.alias("IN"), F.concat(F.lit("7"), n).alias("OUT")),
+        "COMETAB": nation.select(F.lit("0912423P").alias("ETABLI"), empty.alias("ID_PAYSAGE"), (F.lit(2000) + F.col("n_nationkey")).cast("string").alias("RENTREE"), F.lit("rien").alias("IN"), n.alias("OUT")),
+        "COMUI": nation.select(F.lit("crochet").alias("IN"), F.lit("0684045X").alias("COMPOS"), (F.lit(2000) + F.col("n_nationkey")).cast("string").alias("RENTREE"), n.alias("OUT")),
+        "DEP_ACA_RESPA_CORRECTIF": nation.select((F.lit(2000) + F.col("n_nationkey")).cast("string").alias("RENTREE"), F.lit("DEPBAC").alias("VAR_IN"), F.lit("075").alias("VALUE_IN"), F.lit("ACABAC").alias("VAR_OUT"), n.alias("VALUE_OUT")),
+        "RESTE_DEPRESPA_CORRECTIF": rules, "DEP_CORRECTIF": rules, "ACA_CORRECTIF": rules,
+        "GROUPE_CORRECTIF": rules.withColumn("VAR_OUT", F.lit("GROUPE")),
+        "FORMATIONS_CORRECTIF": part.select("p_type", "p_brand").distinct().select(
+            F.col("p_type").alias("TYP_DIPL_IN"), F.col("p_brand").alias("DIPLOM_IN"), F.lit("21").alias("SECTDIS_OUT")),
+        "CORRLMD": codes("TYP_DIPL", CURSUS_LMD_OUT=F.when(c == "XA", "L").when(c == "XB", "M").otherwise("")),
+        "CURSUS_LMD_CORRECTIF": nation.select(F.lit("DU").alias("TYP_DIPL"), n.alias("DIPLOM"), empty.alias("NIVEAU"), F.lit("D").alias("CURSUS_LMD_OUT")),
+        "LES_COMMUNES": places(spark, sf),
+        "H_PROXIMITE": nation.select(n.alias("DEPARTEMENT_UI"), n.alias("DEPARTEMENT_PARENTS"), F.lit("1 - same").alias("PROXIMIT_"), F.lit("1 - same").alias("PROX_R_GIONS"), F.lit("metropole").alias("OUTREMER")),
+        "G_PAYS": codes("NATION", PAYS=c, CONTINENT=F.concat(F.lit("K"), c), **flags).filter("PAYS IN ('100', '350', '999')").drop("NATION"),
+        "L_ED": codes("PAR_TYPE", NUMED=F.regexp_replace("c", "^0", ""), ID_PAYSAGE_ED=F.concat(F.lit("ED"), c)).filter("NUMED <> ''").drop("PAR_TYPE"),
+        "M_IUT": units.withColumns({o: F.concat(F.lit(o), "UI") for o in ("ID_PAYSAGE_IUT", "ID_PAYSAGE_IUT_CAMPUS", "ID_PAYSAGE_IUT_POLE")}),
+        "N_ING": units.withColumns({o: F.concat(F.lit(o), "UI") for o in ("ID_PAYSAGE_ING", "ID_PAYSAGE_ING_CAMPUS")}),
+        "J_LMDDONT": codes("TYP_DIPL", LMDDONT=F.concat(F.lit("G"), c), LMDDONTBIS=F.concat(F.lit("B"), c)),
+        "I_DNDU": codes("TYP_DIPL", DNDU=F.when(c == "DU", "DU").otherwise("DN")),
+        "O_DUTBUT": codes("DIPLOM", CORRESPONDANCEIUT=c, SPECIUT=c, OPTIUT=empty, PARCOURSBUT=c),
+        "DISCIPLINES_SISE": codes("SECTDIS", GDDISC=F.concat(F.lit("GD"), c)),
+        "DEPTOREG": nation.select(n.alias("IN"), F.col("n_regionkey").cast("string").alias("OUT")),
+        "DEPTOREGNEW": nation.select(n.alias("IN"), F.col("n_regionkey").cast("string").alias("OUT")),
+    }
+    known = set(SHEETS)
+    return {k: as_sheet(v) for k, v in sheets.items() if k in known}
+
+
+def unit_maps(spark, sf):
+    deg = view(spark, sf, "deg")
+    parents = deg.select("RENTREE", "COMPOS").filter("COMPOS <> ''").distinct().withColumn("RATTACH", F.concat(F.lit("R"), "COMPOS"))
+    seats = deg.select("RENTREE", F.col("ETABLI").alias("UAI")).filter("UAI IS NOT NULL").distinct()
+    return parents, seats.withColumn("COMCODE", F.substring("UAI", 2, 2))
+
+
+@query("correct_facts_by_source")
+def correct_facts(spark, sf):
+    """The whole correction job, summed per source and year: no SQL twin, brute force in the tests."""
+    df = correct.correct(correct.normalise(raw_facts(spark, sf)), correction_sheets(spark, sf), *unit_maps(spark, sf))
+    sums = df.groupBy("SOURCE", "RENTREE", "CURSUS_LMD", "LMDDONTBIS", "RETARD", "AVANCE", "MOBINTERN")
+    return sums.agg(F.sum("EFFECTIF_TOT").alias("n_degrees"), F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("normalise_facts")
+def normalise_facts(spark, sf):
+    df = correct.normalise(raw_facts(spark, sf))
+    return df.select("k", "SOURCE", "RENTREE", "SESSION", "RESDIP", "RESINT", "TYP_DIPINT", "TYP_DIPL", "BAC", "NATION", "SEXE")
