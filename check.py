@@ -43,9 +43,12 @@ def compare(spark, con, folder, name, q):
     if not want:
         return "twin gives no rows"
     if got != want:
-        only = [r for r in got if r not in set(want)][:3]
-        other = [r for r in want if r not in set(got)][:3]
-        return f"{len(got)} vs {len(want)} rows; only here {only}; only twin {other}; cols {sorted(names)}"
+        only, other = set(got) - set(want), set(want) - set(got)
+        cols, one, two = sorted(names), min(only, default=None), min(other, default=None)
+        text = f"{len(got)} vs {len(want)} rows, {len(only)} only here, {len(other)} only in the twin"
+        if one and two:
+            text += "; " + str([(c, a, b) for c, a, b in zip(cols, one, two) if a != b][:12])
+        return text
     return None
 
 
@@ -60,7 +63,7 @@ def connect(folder):
 def main() -> int:
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     parts = sys.argv[2:]
-    spark = build_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"})
+    spark = build_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)
     bad = 0

@@ -1,8 +1,9 @@
 """Correction job: raw facts of all sources and years to corrected, enriched facts.
 
-One lazy plan over one table partitioned by (SOURCE, RENTREE). No step shuffles the
-facts: rules are projections or lookups, and the sheets are small enough to broadcast
-(checked). Steps that depend on the source are conditions on SOURCE, not loops.
+Two lazy plans over one table partitioned by (SOURCE, RENTREE): ``normalise`` and
+``correct``, with a written table between them. No step shuffles the facts: rules are
+projections or lookups, and the sheets are small enough to broadcast (checked). Steps that
+depend on the source are conditions on SOURCE, not loops.
 """
 
 from __future__ import annotations
@@ -10,15 +11,17 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.nulls import is_blank, is_missing, norm_text, pd_ne
+from ..functions.nulls import holds, is_blank, is_missing, norm_text, pd_ne
 from ..functions.scalars import default_missing, diff_int, recode, strip_zero, suffix_code, zero_pad
 from ..operators import derive, rules
 from ..operators.filters import delete_by_rules, exclude, if_any, keep_positive, remove_where
 from ..operators.lookups import coalesced_lookup, country_lookup, left_lookup, role_lookup, tiered_lookup
 from ..operators.schema import add_defaults, add_nulls, finalise_types, flag_text, rename_present, swap_columns, with_provenance
+from ..session import work_dir
 from ..sources.contracts import COUNTRY_FLAGS, RAW_COLUMNS, RAW_INTS, file_has, has_intermediate
+from ..sources.facts import read_fact, write_fact
 
 # Codes named by the cleaning steps.
 SHORT_BAC_CODES = ("A2-8", "A6", "A6-8", "A7", "A7-8")
@@ -75,16 +78,20 @@ def drop_flagged(df: DataFrame) -> DataFrame:
 
 
 def read_time_recodes(df: DataFrame) -> DataFrame:
-    """Private-sector intermediate types, one discipline, blank intermediate outcome."""
+    """Private-sector intermediate types, one discipline, blank intermediate outcome.
+
+    The steps cannot feed each other (a row that gets a type has an outcome already), so
+    all of them read the incoming row.
+    """
     private = _all(_source("priv"), _is("RESINT", "O"), _is("RESDIP", "N"), _is("NIVEAUR", "02"), is_missing("TYP_DIPINT"))
-    kind = derive.last_wins(F.col("TYP_DIPINT"), [
-        (private & _is("TYP_DIPR", "XA"), "CP"), (private & _is("TYP_DIPR", "XB"), "EP")])
-    df = df.withColumns({
-        "TYP_DIPINT": kind,
-        "DISCIPLINT": F.when(_all(_source("result"), _is("DIPINT", "5000770"), _is("SECTINT", "07")), F.lit("11"))
-        .otherwise(F.col("DISCIPLINT")),
+    discipline = _all(_source("result"), _is("DIPINT", "5000770"), _is("SECTINT", "07"))
+    return df.withColumns({
+        "TYP_DIPINT": F.when(private & _is("TYP_DIPR", "XA"), F.lit("CP")).when(private & _is("TYP_DIPR", "XB"), F.lit("EP"))
+        .otherwise(F.col("TYP_DIPINT")),
+        "DISCIPLINT": F.when(discipline, F.lit("11")).otherwise(F.col("DISCIPLINT")),
+        "RESINT": F.when(has_intermediate() & is_missing("RESINT") & is_missing("TYP_DIPINT"), F.lit("N"))
+        .otherwise(F.col("RESINT")),
     })
-    return rules.assign_where(df, has_intermediate() & is_missing("RESINT") & is_missing("TYP_DIPINT"), {"RESINT": "N"})
 
 
 def code_outcomes(df: DataFrame) -> DataFrame:
@@ -135,14 +142,19 @@ def code_defaults(df: DataFrame, parents_to_bac: bool = False,
 
 
 def intermediate_types(df: DataFrame) -> DataFrame:
-    """Intermediate type recodes that precede the text clean-up; later ones see earlier ones."""
-    both = has_intermediate()
-    return rules.assign_steps(df, [
-        (both & _is("RESDIP", "O") & _is("TYP_DIPINT", "10"), {"TYP_DIPINT": "CP"}),
-        (both & _is("RESDIP", "O") & _is("TYP_DIPINT", "20"), {"TYP_DIPINT": "EP"}),
-        (both & _is("RESDIP", "O") & is_missing("TYP_DIPINT") & _is("TYP_DIPL", "PE"), {"TYP_DIPINT": "CZ"}),
-        (both & _old_licence(), {"TYP_DIPINT": "CP"}),
+    """Intermediate type recodes that precede the text clean-up.
+
+    No recode writes a type that another one tests, so one CASE over the incoming row holds
+    them all.
+    """
+    final = has_intermediate() & _is("RESDIP", "O")
+    kind = derive.last_wins(F.col("TYP_DIPINT"), [
+        (final & _is("TYP_DIPINT", "10"), "CP"),
+        (final & _is("TYP_DIPINT", "20"), "EP"),
+        (final & is_missing("TYP_DIPINT") & _is("TYP_DIPL", "PE"), "CZ"),
+        (has_intermediate() & _old_licence(), "CP"),
     ])
+    return df.withColumn("TYP_DIPINT", kind)
 
 
 def _old_licence() -> Column:
@@ -162,18 +174,24 @@ def clean_text(df: DataFrame) -> DataFrame:
 
 
 def outcome_consistency(df: DataFrame) -> DataFrame:
-    """Agreement of outcomes and intermediate type, after the text clean-up."""
+    """Agreement of outcomes and intermediate type, after the text clean-up.
+
+    The outcome changes only where the type is missing, the type only where it is not, and
+    the last step asks for a type: all three read the incoming row.
+    """
     both = has_intermediate()
     middle_only = both & _is("RESDIP", "N") & _is("RESINT", "O") & pd_ne("DIPINT", "")
-    return rules.assign_steps(df, [
-        (both & pd_ne("RESINT", "N") & is_missing("TYP_DIPINT"), {"RESINT": "N"}),
-        (both & _old_licence(), {"TYP_DIPINT": "CP"}),
-        (middle_only & _is("TYP_DIPINT", "10"), {"TYP_DIPINT": "CP"}),
-        (middle_only & _is("TYP_DIPINT", "20"), {"TYP_DIPINT": "EP"}),
-        (both & _is("TYP_DIPINT", "CC") & _is("TYP_DIPR", "XA") & _is("RESINT", "O"), {"TYP_DIPINT": "CP"}),
-        (both & _is("RESDIP", "O") & _is("RESINT", "O") & ~is_missing("TYP_DIPINT") & ~is_missing("DIPINT"),
-         {"RESDIP": "N"}),
-    ])
+    awarded_twice = _all(both, _is("RESDIP", "O"), _is("RESINT", "O"), ~is_missing("TYP_DIPINT"), ~is_missing("DIPINT"))
+    return df.withColumns({
+        "TYP_DIPINT": derive.last_wins(F.col("TYP_DIPINT"), [
+            (both & _old_licence(), "CP"),
+            (middle_only & _is("TYP_DIPINT", "10"), "CP"),
+            (middle_only & _is("TYP_DIPINT", "20"), "EP"),
+            (both & _is("TYP_DIPINT", "CC") & _is("TYP_DIPR", "XA") & _is("RESINT", "O"), "CP"),
+        ]),
+        "RESINT": F.when(both & pd_ne("RESINT", "N") & is_missing("TYP_DIPINT"), F.lit("N")).otherwise(F.col("RESINT")),
+        "RESDIP": F.when(awarded_twice, F.lit("N")).otherwise(F.col("RESDIP")),
+    })
 
 
 def keep_awarded(df: DataFrame) -> DataFrame:
@@ -181,27 +199,74 @@ def keep_awarded(df: DataFrame) -> DataFrame:
     return df.filter(~_source("result", "priv") | _is("RESDIP", "O") | _is("RESINT", "O"))
 
 
+def outcomes(df: DataFrame) -> DataFrame:
+    """Final outcome, intermediate outcome and intermediate type in one projection.
+
+    The same result as ``outcome_defaults``, ``read_time_recodes``, ``code_outcomes``,
+    ``intermediate_types`` and ``outcome_consistency`` in turn, worked out on the incoming
+    row. Filters on outcomes move below this projection by substitution; a chain of five
+    projections that each read their own output would make such a filter explode.
+    """
+    both, outside, absent = has_intermediate(), _source("mana", "enq", "culture"), ~file_has("RESDIP")
+    inter, no_kind = is_missing("DIPINT"), is_missing("TYP_DIPINT")
+    final = (F.when(_source("ens"), F.when(inter, F.lit("O")).otherwise(F.lit("N")))
+             .when(outside | absent, F.lit("O"))
+             .when(_source("inge"), F.when(_is("RESDIP", "N"), F.lit("N")).otherwise(F.lit("O")))
+             .otherwise(F.col("RESDIP")))
+    middle = (F.when(_source("ens"), F.when(inter, F.lit("N")).otherwise(F.lit("O")))
+              .when(outside, F.lit(""))
+              .when(absent | (both & is_missing("RESINT") & no_kind), F.lit("N"))
+              .otherwise(F.col("RESINT")))
+    # A missing type is filled for private schools, and for a final degree of one type.
+    private = _all(_source("priv"), ~absent, _is("RESINT", "O"), _is("RESDIP", "N"), _is("NIVEAUR", "02"), no_kind)
+    first_years = _all(both, no_kind, _is("TYP_DIPL", "PE"), final == "O")
+    still_missing = no_kind & ~holds(first_years) & ~holds(private & _is("TYP_DIPR", "XA", "XB"))
+    middle_only = _all(both, final == "N", middle == "O", pd_ne("DIPINT", ""))
+    licence = _all(both, middle == "O", _is("TYP_DIPR", "XA"))
+    kind = derive.last_wins(F.col("TYP_DIPINT"), [
+        (private & _is("TYP_DIPR", "XA"), "CP"),
+        (private & _is("TYP_DIPR", "XB"), "EP"),
+        ((both & (final == "O") | middle_only) & _is("TYP_DIPINT", "10"), "CP"),
+        ((both & (final == "O") | middle_only) & _is("TYP_DIPINT", "20"), "EP"),
+        (first_years, "CZ"),
+        (licence & _is("TYP_DIPINT", "01", "10", "CC", "XA") & _is("NIVEAUR", "02"), "CP"),
+        (licence & _is("TYP_DIPINT", "CC"), "CP"),
+    ])
+    changed = both & holds(still_missing)
+    return df.withColumns({
+        "TYP_DIPINT": kind,
+        "RESINT": F.when(changed, F.lit("N")).otherwise(middle),
+        "RESDIP": F.when(_all(both, final == "O", middle == "O", ~still_missing, ~inter), F.lit("N")).otherwise(final),
+        "DISCIPLINT": F.when(_all(_source("result"), _is("DIPINT", "5000770"), _is("SECTINT", "07")), F.lit("11"))
+        .otherwise(F.col("DISCIPLINT")),
+        "FLAG_MEEF": F.when(_source("result", "priv"), F.col("FLAG_MEEF")).otherwise(F.lit("0")),
+    })
+
+
 def normalise(df: DataFrame, parents_to_bac: bool = False) -> DataFrame:
-    """Raw facts to one clean coding of outcomes and codes."""
+    """Raw facts to one clean coding of outcomes and codes.
+
+    The exclusions test stored columns and come first, so they reach the Parquet reader.
+    """
     df = rename_present(df, {"IDENTITFIANT_NATIONAL_ETUDIANT": "IDETU", "IDETU_CORR": "IDETU1"})
     df = add_nulls(df, {c: "bigint" if c in RAW_INTS else "string" for c in RAW_COLUMNS})
-    df = drop_flagged(outcome_defaults(df))
-    df = recode_sectors(code_outcomes(read_time_recodes(df)))
-    df = flag_text(df, "FLAG_MEEF")
-    df = intermediate_types(code_defaults(df, parents_to_bac))
-    df = with_provenance(clean_text(df))
-    return keep_awarded(outcome_consistency(df))
+    df = clean_text(flag_text(drop_flagged(df), "FLAG_MEEF"))
+    df = code_defaults(recode_sectors(outcomes(df)), parents_to_bac)
+    return with_provenance(keep_awarded(df))
 
 
 # ---------------------------------------------------------------- correct
 
 
 def drop_empty_results(df: DataFrame) -> DataFrame:
-    """Missing degree codes become NULL; rows with no degree of either kind go."""
+    """Rows with no degree of either kind go; missing degree codes become NULL.
+
+    The filter tests the stored columns, before they are rewritten, so it can move to the
+    scan as it stands.
+    """
+    df = remove_where(df, _all(is_missing("DIPLOMR"), _is("TYP_DIPR", "99"), is_missing("DIPINT"), is_missing("TYP_DIPINT")))
     cols = ("DIPLOMR", "DIPINT", "TYP_DIPINT")
-    df = df.withColumns({c: F.when(is_missing(c), F.lit(None)).otherwise(F.col(c)) for c in cols})
-    return remove_where(df, _all(F.col("DIPLOMR").isNull(), _is("TYP_DIPR", "99"),
-                                 F.col("DIPINT").isNull(), F.col("TYP_DIPINT").isNull()))
+    return df.withColumns({c: F.when(~is_missing(c), F.col(c)) for c in cols})
 
 
 def result_side(df: DataFrame) -> DataFrame:
@@ -342,16 +407,14 @@ def degrees(df: DataFrame, sheets: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def private_cycles(df: DataFrame) -> DataFrame:
-    """Private schools: undefined intermediate cycle from the types, in order."""
+    """Private schools: undefined intermediate cycle from the types. The first cycle set closes the row."""
     open_cycle = _all(_source("priv"), _is("CURSUS_LMD_INT", "X"), _is("RESINT", "O"))
     blank = open_cycle & _is("TYP_DIPINT", "")
-    return rules.assign_steps(df, [
-        (open_cycle & _is("TYP_DIPINT", "CP"), {"CURSUS_LMD_INT": "L"}),
-        (open_cycle & _is("TYP_DIPINT", "EP"), {"CURSUS_LMD_INT": "M"}),
-        (blank & _is("TYP_DIPL", "XB"), {"CURSUS_LMD_INT": "M"}),
-        (blank & _is("TYP_DIPL", "XB"), {"TYP_DIPINT": "EP"}),
-        (blank & _is("TYP_DIPL", "TB", "TE"), {"CURSUS_LMD_INT": "D"}),
-    ])
+    cycle = (F.when(open_cycle & _is("TYP_DIPINT", "CP"), F.lit("L"))
+             .when(open_cycle & _is("TYP_DIPINT", "EP"), F.lit("M"))
+             .when(blank & _is("TYP_DIPL", "XB"), F.lit("M"))
+             .when(blank & _is("TYP_DIPL", "TB", "TE"), F.lit("D")))
+    return df.withColumn("CURSUS_LMD_INT", cycle.otherwise(F.col("CURSUS_LMD_INT")))
 
 
 def enrich(df: DataFrame, sheets: Mapping[str, DataFrame]) -> DataFrame:
@@ -400,7 +463,7 @@ def last_fixes(df: DataFrame) -> DataFrame:
                             {"EFFECTIF_INT": 0, **{c: "" for c in INTERMEDIATE_COLUMNS}})
     engineer = _all(_source("inge"), _is("RESDIP", "O"), _is("DIPLOM", "6000361"), _is("TYP_DIPL", "99"))
     df = rules.assign_where(df, engineer, {"CURSUS_LMDR": "M", "SECTDIS": "16", "DISCIPLI": "15", "TYP_DIPL": "FI"})
-    df = remove_where(df, double_counted_engineers())
+    df = remove_where(df, double_counted_codes())
     df = rules.assign_where(df, _all(_source("result"), _is("RESDIP", "O"), _is("RESINT", "X"), _is("DIPINT", "8")),
                             {"TYP_DIPINT": "", "DISCIPLINT": "", "SECTINT": ""})
     df = df.withColumns({
@@ -412,10 +475,15 @@ def last_fixes(df: DataFrame) -> DataFrame:
 
 def double_counted_engineers() -> Column:
     """Engineering schools, 2020: two degrees of two schools counted elsewhere."""
+    return _all(double_counted_codes(), is_missing("DIPINT"), is_missing("TYP_DIPINT"), ~is_missing("LMDDONT_INT"))
+
+
+def double_counted_codes() -> Column:
+    """The same rows once the intermediate columns of final degrees are blanked and groups are
+    filled: the three tests on them then hold for every such row and are left out."""
     return _all(
-        _source("inge"), _is("RENTREE", "2020"), _is("RESDIP", "O"), _is("RESINT", "N"), _is("DIPLOM", "2500203", "2500164"),
-        is_missing("DIPINT"), is_missing("TYP_DIPINT"), ~is_missing("LMDDONT_INT"),
-        _is("ETABLI_ORI_UAI", "0597131F", "0632033T"))
+        _source("inge"), _is("RENTREE", "2020"), _is("RESDIP", "O"), _is("RESINT", "N"),
+        _is("DIPLOM", "2500203", "2500164"), _is("ETABLI_ORI_UAI", "0597131F", "0632033T"))
 
 
 def correct(df: DataFrame, sheets: Mapping[str, DataFrame], parents: DataFrame, unit_communes: DataFrame) -> DataFrame:
@@ -428,3 +496,16 @@ def correct(df: DataFrame, sheets: Mapping[str, DataFrame], parents: DataFrame,
     df = communes(df, sheets, unit_communes)
     df = degrees(origins(df, sheets), sheets)
     return last_fixes(indicators(enrich(df, sheets), sheets))
+
+
+def correct_table(
+    spark: SparkSession, raw: DataFrame, sheets: Mapping[str, DataFrame], parents: DataFrame, unit_communes: DataFrame,
+    folder: str | None = None, parents_to_bac: bool = False,
+) -> DataFrame:
+    """The whole job. The normalised facts are written once to ``folder`` (a fresh work folder
+    by default): filters of the second half then test stored columns, the gates read a narrow
+    second scan instead of repeating the first half, and a lost executor costs no more than
+    the half it was in."""
+    folder = folder or work_dir(spark, "normalised")
+    write_fact(normalise(raw, parents_to_bac), folder)
+    return correct(read_fact(spark, folder), sheets, parents, unit_communes)

@@ -92,7 +92,7 @@ def d7(spark, sf):
 
 
 @query("d8_total_headcount", """
-SELECT k, CASE WHEN "RESDIP" = 'O' THEN 1 ELSE 0 END + CASE WHEN "RESINT" = 'O' THEN 1 ELSE 0 END AS "EFFECTIF_TOT" FROM deg""", ["deg"])
+SELECT k, CASE WHEN "RESDIP" IN ('O', '1') THEN 1 ELSE 0 END + CASE WHEN "RESINT" IN ('O', '1') THEN 1 ELSE 0 END AS "EFFECTIF_TOT" FROM deg""", ["deg"])
 def d8(spark, sf):
     df = view(spark, sf, "deg").withColumns({"EFFECTIF_R": D.headcount("RESDIP"), "EFFECTIF_INT": D.headcount("RESINT")})
     return D.total_headcount(df).select("k", "EFFECTIF_TOT")

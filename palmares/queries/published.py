@@ -22,7 +22,8 @@ CORRECTED = """SELECT "SOURCE", "RENTREE", CAST(CAST("RENTREE" AS INT) + 1 AS VA
   "PROXBAC", "PROXREGBAC", CASE WHEN h3 % 2 = 0 THEN 'E' ELSE 'F' END AS "NATION_VRAI", CASE WHEN h4 % 2 = 0 THEN 'M' ELSE 'X' END AS "MOBINTERN",
   "DNDU", "DNDU_INT", "CURSUS_LMD", "CURSUS_LMDR", "CURSUS_LMD_INT", "LMDDONTBIS", "LMDDONTBIS_INT", "RESDIP", "RESINT", "SECTDIS", "SECTINT",
   "PAR_TYPE" AS "SPECIUT", "NIVEAUR" AS "NIVEAU", "ID_PAYSAGE_ED", CASE WHEN h1 % 9 = 0 THEN NULL ELSE h1 % 2 END AS "UE_27", h2 % 2 AS "OCDE_MEMBRES",
-  h3 % 2 AS "BOLOGNE", h4 % 2 AS "BRICS", CASE WHEN "RESDIP" = 'O' THEN 1 ELSE 0 END AS "EFFECTIF_R", CASE WHEN "RESINT" = 'O' THEN 1 ELSE 0 END AS "EFFECTIF_INT"
+  h3 % 2 AS "BOLOGNE", h4 % 2 AS "BRICS", CASE WHEN "RESDIP" IN ('O', '1') THEN 1 ELSE 0 END AS "EFFECTIF_R",
+  CASE WHEN "RESINT" IN ('O', '1') THEN 1 ELSE 0 END AS "EFFECTIF_INT"
   FROM deg"""
 
 CONSTANTS = ("ID_PAYSAGE_ING", "ID_PAYSAGE_ING_CAMPUS", "ID_PAYSAGE_IUT", "ID_PAYSAGE_IUT_CAMPUS", "ID_PAYSAGE_IUT_POLE", "OPTIUT", "PARCOURSBUT")
@@ -245,7 +246,7 @@ def unit_maps(spark, sf):
 @query("correct_facts_by_source")
 def correct_facts(spark, sf):
     """The whole correction job, summed per source and year: no SQL twin, brute force in the tests."""
-    df = correct.correct(correct.normalise(raw_facts(spark, sf)), correction_sheets(spark, sf), *unit_maps(spark, sf))
+    df = correct.correct_table(spark, raw_facts(spark, sf), correction_sheets(spark, sf), *unit_maps(spark, sf))
     sums = df.groupBy("SOURCE", "RENTREE", "CURSUS_LMD", "LMDDONTBIS", "RETARD", "AVANCE", "MOBINTERN")
     return sums.agg(F.sum("EFFECTIF_TOT").alias("n_degrees"), F.count(F.lit(1)).alias("n_rows"))
 

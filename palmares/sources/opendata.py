@@ -4,6 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+# The published dialect. Blanks at the ends of a cell are part of it.
+FORMAT = {
+    "sep": ";", "encoding": "UTF-8", "quote": '"', "escape": '"',
+    "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
+
 
 def write_open_csv(df: DataFrame, path: str, year: str | None = None) -> None:
     """Write part files, each with a header; NULL is empty and quotes are doubled.
@@ -14,8 +20,7 @@ def write_open_csv(df: DataFrame, path: str, year: str | None = None) -> None:
     writer = df
     if year is not None:
         writer = df.withColumn("year_folder", F.col(year))
-    out = (writer.write.mode("overwrite").option("sep", ";").option("header", True).option("encoding", "UTF-8")
-           .option("nullValue", "").option("emptyValue", "").option("quote", '"').option("escape", '"'))
+    out = writer.write.mode("overwrite").options(header=True, nullValue="", emptyValue="", **FORMAT)
     if year is not None:
         out = out.option("partitionOverwriteMode", "dynamic").partitionBy("year_folder")
     out.csv(path)
@@ -23,6 +28,4 @@ def write_open_csv(df: DataFrame, path: str, year: str | None = None) -> None:
 
 def read_open_csv(spark: SparkSession, path: str) -> DataFrame:
     """Read it back, all text, empty cells as NULL. No schema inference pass."""
-    df = (spark.read.option("sep", ";").option("header", True).option("encoding", "UTF-8")
-          .option("quote", '"').option("escape", '"').csv(path))
-    return df.drop("year_folder")
+    return spark.read.options(header=True, **FORMAT).csv(path).drop("year_folder")
