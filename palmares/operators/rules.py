@@ -132,26 +132,38 @@ def compile_rules(rules: Sequence[Rule]) -> list[list[Rule]]:
     return [layer.rules for layer in layers]
 
 
-def _condition(r: Rule) -> Column:
-    tests = [is_missing(c) if v is MISSING else F.col(c) == F.lit(v) for c, v in r.conds]
-    return reduce(lambda a, b: a & b, tests) if tests else F.lit(True)
+def _name(col: str) -> str:
+    return "`" + col.replace("`", "``") + "`"
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _condition(r: Rule) -> str:
+    tokens = ", ".join(_text(t) for t in MISSING_TOKENS)
+    tests = [
+        f"({_name(c)} IS NULL OR {_name(c)} IN ({tokens}))" if v is MISSING else f"{_name(c)} = {_text(v)}"
+        for c, v in r.conds
+    ]
+    return " AND ".join(tests) if tests else "TRUE"
 
 
 def _inline_layer(df: DataFrame, layer: Sequence[Rule], where: Column | None) -> DataFrame:
+    """One flat CASE per output column, the last rule first. It is handed over as one SQL text:
+    building hundreds of branches call by call costs more than running them."""
     types = dict(df.dtypes)
-    branches: dict[str, list[tuple[Column, str]]] = {}
+    branches: dict[str, list[str]] = {}
     for r in reversed(layer):
         cond = _condition(r)
         for col, value in r.outs:
-            branches.setdefault(col, []).append((cond, value))
+            branches.setdefault(col, []).append(f"WHEN {cond} THEN {_text(value)}")
     out = {}
     for col, cases in branches.items():
         dtype = types.get(col, "string")
+        hit = F.expr("CASE " + " ".join(cases) + " END")
         old = F.col(col) if col in types else F.lit(None).cast(dtype)
-        case = F.when(cases[0][0], F.lit(cases[0][1]).cast(dtype))
-        for cond, value in cases[1:]:
-            case = case.when(cond, F.lit(value).cast(dtype))
-        new = case.otherwise(old)
+        new = F.coalesce(hit if dtype == "string" else hit.cast(dtype), old)
         out[col] = new if where is None else F.when(where, new).otherwise(old)
     return df.withColumns(out)
 

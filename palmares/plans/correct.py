@@ -21,7 +21,7 @@ from ..operators.lookups import coalesced_lookup, country_lookup, left_lookup, r
 from ..operators.schema import add_defaults, add_nulls, finalise_types, flag_text, rename_present, swap_columns, with_provenance
 from ..session import work_dir
 from ..sources.contracts import COUNTRY_FLAGS, RAW_COLUMNS, RAW_INTS, file_has, has_intermediate
-from ..sources.facts import read_fact, write_fact
+from ..sources.facts import PARTITIONS, read_fact, write_fact
 
 # Codes named by the cleaning steps.
 SHORT_BAC_CODES = ("A2-8", "A6", "A6-8", "A7", "A7-8")
@@ -163,14 +163,11 @@ def _old_licence() -> Column:
 
 def clean_text(df: DataFrame) -> DataFrame:
     """Cut, strip and un-token every text column; pad one-digit degree types, blank for NULL."""
-    out = {}
-    for f in df.schema.fields:
-        if isinstance(f.dataType, T.StringType) and f.name not in ("SOURCE", "RENTREE"):
-            out[f.name] = norm_text(f.name)
-    for col in ("TYP_DIPL", "TYP_DIPR", "TYP_DIPINT"):
-        padded = zero_pad(F.coalesce(out[col], F.lit("")))
-        out[col] = F.when(has_intermediate(), padded) if col == "TYP_DIPINT" else padded
-    return df.withColumns(out)
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in PARTITIONS]
+    df = df.withColumns({c: norm_text(c) for c in texts})
+    padded = {c: zero_pad(F.coalesce(c, F.lit(""))) for c in ("TYP_DIPL", "TYP_DIPR", "TYP_DIPINT")}
+    padded["TYP_DIPINT"] = F.when(has_intermediate(), padded["TYP_DIPINT"])
+    return df.withColumns(padded)
 
 
 def outcome_consistency(df: DataFrame) -> DataFrame:

@@ -19,6 +19,8 @@ def build_session(app: str = "palmares", master: str | None = None, **conf) -> S
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        # Plans of a hundred steps: do not look up the Python call site of every expression.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     builder = SparkSession.builder.appName(app)

@@ -64,8 +64,5 @@ def has_intermediate(source: str = "SOURCE") -> Column:
 
 def file_has(col: str, source: str = "SOURCE", year: str = "RENTREE") -> Column:
     """Did the file of the row's (source, year) have this column?"""
-    case = None
-    for name, (first, last) in PRESENT[col].items():
-        inside = F.col(year).cast("int").between(first, last)
-        case = F.when(F.col(source) == name, inside) if case is None else case.when(F.col(source) == name, inside)
-    return F.coalesce(case.otherwise(F.lit(False)), F.lit(False))
+    files = [f"{name}{y}" for name, (first, last) in PRESENT[col].items() for y in range(first, last + 1)]
+    return F.coalesce(F.concat(F.col(source), F.col(year)).isin(*files), F.lit(False))
