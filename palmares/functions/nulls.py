@@ -71,7 +71,11 @@ def norm_text(
 ) -> Column:
     """Cut at ``cut``, turn whole-cell ``tokens`` into ``missing``, NBSP into a space, strip."""
     text = strip(c) if cut is None else cut_at(c, cut)
-    cleaned = strip(F.translate(text, "\u00a0", " "))
-    if not tokens:
-        return cleaned
-    return F.when(text.isin(*tokens), F.lit(missing).cast("string")).otherwise(cleaned)
+    return untoken(text, tokens, missing)
+
+
+def untoken(text: Column | str, tokens: tuple[str, ...] = ("nan", "None", "<NA>"), missing: str | None = None) -> Column:
+    """Second half of ``norm_text``, for a text that is stripped already (NBSP included)."""
+    text = as_col(text)
+    plain = F.replace(text, F.lit("\u00a0"), F.lit(" "))
+    return F.when(text.isin(*tokens), F.lit(missing).cast("string")).otherwise(plain) if tokens else plain

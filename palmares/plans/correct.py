@@ -13,7 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.nulls import holds, is_blank, is_missing, norm_text, pd_ne
+from ..functions.nulls import cut_at, holds, is_blank, is_missing, pd_ne, untoken
 from ..functions.scalars import default_missing, diff_int, recode, strip_zero, suffix_code, zero_pad
 from ..operators import derive, rules
 from ..operators.filters import delete_by_rules, exclude, if_any, keep_positive, remove_where
@@ -162,9 +162,14 @@ def _old_licence() -> Column:
 
 
 def clean_text(df: DataFrame) -> DataFrame:
-    """Cut, strip and un-token every text column; pad one-digit degree types, blank for NULL."""
+    """Cut, strip and un-token every text column; pad one-digit degree types, blank for NULL.
+
+    Three projections: each later one reads its column several times, and a stripped text
+    that is a column of its own is worked out once per row.
+    """
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in PARTITIONS]
-    df = df.withColumns({c: norm_text(c) for c in texts})
+    df = df.withColumns({c: cut_at(c) for c in texts})
+    df = df.withColumns({c: untoken(c) for c in texts})
     padded = {c: zero_pad(F.coalesce(c, F.lit(""))) for c in ("TYP_DIPL", "TYP_DIPR", "TYP_DIPINT")}
     padded["TYP_DIPINT"] = F.when(has_intermediate(), padded["TYP_DIPINT"])
     return df.withColumns(padded)
