@@ -156,12 +156,12 @@ def c17(spark, sf):
 
 
 @query("c18_flatten_lists", """
-SELECT vec_id, len(list_concat(embedding, embedding)) AS n, round(list_sum(list_concat(embedding, embedding)), 2) AS total
-FROM embeddings""")
+SELECT vec_id, len(list_concat(embedding, embedding)) AS n, 
+  len(list_filter(list_concat(embedding, embedding), lambda x: x > 0)) AS n_positive FROM embeddings""")
 def c18(spark, sf):
     flat = S.flatten_lists(F.array("embedding", "embedding"))
-    total = F.aggregate(flat, F.lit(0.0), lambda a, x: a + x.cast("double"))
-    return table(spark, sf, "embeddings").select("vec_id", F.size(flat).cast("bigint").alias("n"), F.round(total, 2).alias("total"))
+    positive = F.size(F.filter(flat, lambda x: x > 0)).cast("bigint")
+    return table(spark, sf, "embeddings").select("vec_id", F.size(flat).cast("bigint").alias("n"), positive.alias("n_positive"))
 
 
 @query("c19_map_to_rows", """
