@@ -115,11 +115,11 @@ rules(rule, sign, cutoff) AS (VALUES {rules}),
 good AS (SELECT * FROM base WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM labels GROUP BY doc_id HAVING min(quality) = 1)),
 tried AS (
   SELECT coalesce(lang, '~') AS stratum, rule, sign, cutoff, count(*) AS n, count(*) FILTER (WHERE sign * (CASE rule {case} END) > sign * cutoff) AS failed
-  FROM good, rules GROUP BY ALL),
+  FROM good, rules GROUP BY coalesce(lang, '~'), rule, sign, cutoff),
 proven AS (
   SELECT stratum, rule, sign, cutoff FROM tried WHERE failed <= n * {share!r} AND
     list_sum(list_transform(range(0, CAST(failed AS BIGINT) + 1), lambda j: exp(lgamma(n + 1.0) - (CASE WHEN j = 0 THEN 0.0 ELSE lgamma(j + 1.0) END) - lgamma(n - j + 1.0) + j * ln({share!r}) + (n - j) * ln(1 - {share!r})))) <= {quality.CHANCE!r} / {tests}),
-limits AS (SELECT stratum, rule, sign, min(sign * cutoff) * sign AS cutoff FROM proven GROUP BY ALL),
+limits AS (SELECT stratum, rule, sign, min(sign * cutoff) * sign AS cutoff FROM proven GROUP BY stratum, rule, sign),
 bad AS (
   SELECT row, string_agg(rule, ',' ORDER BY CASE rule {order} END) AS failed_rules FROM base JOIN limits ON coalesce(lang, '~') = stratum
   WHERE sign * (CASE rule {case} END) > sign * cutoff GROUP BY row)
