@@ -103,8 +103,8 @@ def total(*cols: Column | str) -> Column:
     return reduce(lambda a, b: a + b, [as_col(c) for c in cols])
 
 
-def year_range(start: Column | str, end: Column | str, first: int = 2015, last: int = 2021) -> Column:
-    """Inclusive years as texts; an empty start means every year from ``first`` to ``last``."""
+def year_range(start: Column | str, end: Column | str, first: int, last: int) -> Column:
+    """Inclusive years as texts; an empty start means every year from ``first`` to ``last``, those of the facts."""
     start, end = as_col(start), as_col(end)
     every = F.sequence(F.lit(first), F.lit(last))
     lo, hi = start.cast("int"), end.cast("int")

@@ -1,9 +1,9 @@
 """Left lookups into dimensions.
 
 A lookup never changes the row count. Its physical form depends on the checked size of
-the dimension: small ones are broadcast; larger ones are shuffled, with the heavy keys
-of the fact spread over several tasks by a salt. The uniqueness of the dimension key is
-enforced inside the plan, so no extra job runs and a duplicate fails with its key.
+the dimension: small ones are broadcast; larger ones are joined by a shuffle, whose heavy
+fact keys adaptive execution spreads over several tasks. The uniqueness of the dimension
+key is enforced inside the plan, so a duplicate fails with its key.
 """
 
 from __future__ import annotations
@@ -16,12 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from ..functions.nulls import is_blank
 
-# A dimension is broadcast only when the optimiser's estimate is at most this many bytes.
+# A dimension is broadcast only when it has at most this many bytes.
 BROADCAST_BYTES = 16 * 1024 * 1024
-# A fact key is heavy, and salted, from this many rows on: what one task takes in its stride.
-HOT_ROWS = 5_000_000
-# Over how many tasks a heavy key is spread.
-SALTS = 64
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -29,6 +25,24 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def checked_bytes(df: DataFrame) -> int:
+    """Size of a table that may be broadcast: the estimate where it holds, else its counted rows.
+
+    An estimate holds for local rows and for files that are only filtered and projected; files count
+    fourfold, for they are compressed. Past an explode, join, union or aggregate it says little, so
+    the rows are counted.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    if not any(node in plan for node in ("Generate", "Join", "Aggregate", "Union", "Expand", "Window")):
+        return estimated_bytes(df) * (1 if "LocalRelation" in plan else 4)
+    return df.count() * sum(_width(f.dataType) for f in df.schema.fields)
+
+
+def _width(kind: T.DataType) -> int:
+    """Bytes a value takes in a broadcast table, on the generous side."""
+    return 48 if isinstance(kind, T.StringType) else 16 if isinstance(kind, T.AtomicType) else 256
+
+
 def small_table(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructType | str) -> DataFrame:
     """Rows of the driver as a local relation, whose size the optimiser knows.
 
@@ -46,7 +60,7 @@ def small_table(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructT
 def bounded(df: DataFrame, limit: int | None = None) -> DataFrame:
     """Hint a broadcast only when the checked size allows it; else leave the choice to Spark."""
     limit = BROADCAST_BYTES if limit is None else limit
-    return F.broadcast(df) if estimated_bytes(df) <= limit else df
+    return F.broadcast(df) if checked_bytes(df) <= limit else df
 
 
 def assert_unique(dim: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -61,38 +75,6 @@ def assert_unique(dim: DataFrame, keys: Sequence[str]) -> DataFrame:
     return grouped.select(*keys, checked.alias("__row")).select(*keys, "__row.*")
 
 
-def _salted_join(df: DataFrame, dim: DataFrame, keys: Sequence[str], dim_keys: Sequence[str],
-                 null_safe: bool, hot_rows: int, salts: int) -> DataFrame:
-    """Shuffled left join in which only the heavy fact keys are spread over ``salts`` tasks.
-
-    At most ``rows / hot_rows`` keys can be heavy, which bounds the broadcast list. The
-    salt is the number of the map task: the same on every retry, so a lost executor
-    cannot move a row between two reducers.
-    """
-    hot_names = [f"__h{i}" for i in range(len(keys))]
-    hot = (
-        df.groupBy(*[F.col(k).alias(h) for k, h in zip(keys, hot_names)])
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .filter(F.col("__n") >= hot_rows)
-        .select(*hot_names, F.lit(True).alias("__hot"))
-    )
-
-    def same(left: Sequence[str], right: Sequence[str]) -> Column:
-        return reduce(lambda a, b: a & b, [F.col(x).eqNullSafe(F.col(y)) for x, y in zip(left, right)])
-
-    fact = df.join(F.broadcast(hot), same(keys, hot_names), "left")
-    fact = fact.withColumn(
-        "__salt", F.when(F.col("__hot"), F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(F.lit(0))
-    ).drop(*hot_names, "__hot")
-    spread = dim.join(F.broadcast(hot), same(dim_keys, hot_names), "left")
-    copies = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    spread = spread.withColumn("__dsalt", F.explode(copies)).drop(*hot_names, "__hot")
-    cond = F.col("__salt") == F.col("__dsalt")
-    for k, d in zip(keys, dim_keys):
-        cond = cond & (F.col(k).eqNullSafe(F.col(d)) if null_safe else F.col(k) == F.col(d))
-    return fact.join(spread, cond, "left").drop("__salt", "__dsalt")
-
-
 def left_lookup(
     df: DataFrame,
     dim: DataFrame,
@@ -102,8 +84,6 @@ def left_lookup(
     unique: str = "check",
     null_safe: bool = False,
     limit: int | None = None,
-    hot_rows: int | None = None,
-    salts: int | None = None,
 ) -> DataFrame:
     """Add dimension columns to the fact.
 
@@ -127,19 +107,14 @@ def left_lookup(
         *[F.col(d).alias(k) for d, k in zip(pairs.values(), dim_keys)],
         *[F.col(c).alias(n) for c, n in outs.items()],
     )
-    small = estimated_bytes(side) <= (BROADCAST_BYTES if limit is None else limit)
+    small = checked_bytes(side) <= (BROADCAST_BYTES if limit is None else limit)
     if unique == "check":
         side = assert_unique(side, dim_keys)
-    if small:
-        cond = reduce(
-            lambda a, b: a & b,
-            [F.col(k).eqNullSafe(F.col(d)) if null_safe else F.col(k) == F.col(d) for k, d in zip(keys, dim_keys)],
-        )
-        joined = df.join(F.broadcast(side), cond, "left")
-    else:
-        joined = _salted_join(df, side, keys, dim_keys, null_safe,
-                              HOT_ROWS if hot_rows is None else hot_rows, SALTS if salts is None else salts)
-    return joined.drop(*dim_keys)
+    cond = reduce(
+        lambda a, b: a & b,
+        [F.col(k).eqNullSafe(F.col(d)) if null_safe else F.col(k) == F.col(d) for k, d in zip(keys, dim_keys)],
+    )
+    return df.join(F.broadcast(side) if small else side.hint("merge"), cond, "left").drop(*dim_keys)
 
 
 def coalesced_lookup(df: DataFrame, dim: DataFrame, on, col: str, target: str, fallback: str, **how) -> DataFrame:

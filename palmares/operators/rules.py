@@ -394,12 +394,18 @@ def fold_rules(df: DataFrame, rules: Sequence[Rule], target: str) -> DataFrame:
 # ---------------------------------------------------------------- key-to-value sheets
 
 
-def expand_years(sheet: DataFrame, first: int = 2015, last: int = 2021, year: str = "RENTREE") -> DataFrame:
-    """One row per year of the inclusive range; no start means every year."""
+def expand_years(sheet: DataFrame, first: int, last: int, year: str = "RENTREE") -> DataFrame:
+    """One row per year of the inclusive range; no start means every year of the facts, ``first`` to ``last``."""
     years = F.explode(year_range("RENTREE_START", "RENTREE_END", first, last)).alias(year)
     return sheet.select("*", years).drop("RENTREE_START", "RENTREE_END")
 
 
+def year_bounds(df: DataFrame, year: str = "RENTREE") -> tuple[int, int]:
+    """First and last year of the facts; over stored facts only the year is read. Of no facts: an empty range."""
+    first, last = df.agg(F.min(F.col(year).cast("int")), F.max(F.col(year).cast("int"))).first()
+    return (first, last) if first is not None else (0, 0)
+
+
 def expand_sources(sheet: DataFrame, sources: Sequence[str], col: str = "SOURCE") -> DataFrame:
     """One row per source where the sheet leaves the source blank."""
     every = F.array(*[F.lit(s) for s in sources])
@@ -422,7 +428,7 @@ def replace_by_key(
 
 
 def replace_by_sources(df: DataFrame, sheet: DataFrame, sources: Sequence[str],
-                       first: int = 2015, last: int = 2021, **how) -> DataFrame:
+                       first: int, last: int, **how) -> DataFrame:
     """Three passes over one sheet with blank sources and years as wildcards: by establishment,
     by component, by parent unit. Rules without an establishment are keyed by component."""
     rules = expand_sources(expand_years(sheet, first, last), sources)

@@ -20,7 +20,7 @@ from ..operators.filters import delete_by_rules, exclude, if_any, keep_positive,
 from ..operators.lookups import coalesced_lookup, country_lookup, left_lookup, role_lookup, tiered_lookup
 from ..operators.schema import add_defaults, add_nulls, finalise_types, flag_text, rename_present, swap_columns, with_provenance
 from ..session import work_dir
-from ..sources.contracts import COUNTRY_FLAGS, RAW_COLUMNS, RAW_INTS, file_has, has_intermediate
+from ..sources.contracts import COUNTRY_FLAGS, FILE_COLUMNS, RAW_COLUMNS, RAW_INTS, file_has, has_intermediate, with_file_columns
 from ..sources.facts import PARTITIONS, read_fact, write_fact
 
 # Codes named by the cleaning steps.
@@ -66,47 +66,12 @@ def _all(*conds: Column) -> Column:
 # ---------------------------------------------------------------- normalise
 
 
-def outcome_defaults(df: DataFrame) -> DataFrame:
-    """Files without outcome columns hold awarded final degrees only."""
-    return rules.assign_where(df, ~file_has("RESDIP"), {"RESDIP": "O", "RESINT": "N"})
-
-
 def drop_flagged(df: DataFrame) -> DataFrame:
     for col, value in (("FLAG_DIP", "1"), ("FLAG_RES", "1"), ("ETATINS", "41")):
         df = exclude(df, col, value)
     return df
 
 
-def read_time_recodes(df: DataFrame) -> DataFrame:
-    """Private-sector intermediate types, one discipline, blank intermediate outcome.
-
-    The steps cannot feed each other (a row that gets a type has an outcome already), so
-    all of them read the incoming row.
-    """
-    private = _all(_source("priv"), _is("RESINT", "O"), _is("RESDIP", "N"), _is("NIVEAUR", "02"), is_missing("TYP_DIPINT"))
-    discipline = _all(_source("result"), _is("DIPINT", "5000770"), _is("SECTINT", "07"))
-    return df.withColumns({
-        "TYP_DIPINT": F.when(private & _is("TYP_DIPR", "XA"), F.lit("CP")).when(private & _is("TYP_DIPR", "XB"), F.lit("EP"))
-        .otherwise(F.col("TYP_DIPINT")),
-        "DISCIPLINT": F.when(discipline, F.lit("11")).otherwise(F.col("DISCIPLINT")),
-        "RESINT": F.when(has_intermediate() & is_missing("RESINT") & is_missing("TYP_DIPINT"), F.lit("N"))
-        .otherwise(F.col("RESINT")),
-    })
-
-
-def code_outcomes(df: DataFrame) -> DataFrame:
-    """How each source states the final and the intermediate outcome."""
-    inter = is_missing("DIPINT")
-    schools, outside = _source("inge"), _source("mana", "enq", "culture")
-    final = (F.when(schools & pd_ne("RESDIP", "N"), F.lit("O"))
-             .when(_source("ens"), F.when(inter, F.lit("O")).otherwise(F.lit("N")))
-             .when(outside, F.lit("O")).otherwise(F.col("RESDIP")))
-    middle = (F.when(_source("ens"), F.when(inter, F.lit("N")).otherwise(F.lit("O")))
-              .when(outside, F.lit("")).otherwise(F.col("RESINT")))
-    flag = F.when(_source("inge", "ens", "mana", "enq", "culture"), F.lit("0")).otherwise(F.col("FLAG_MEEF"))
-    return df.withColumns({"RESDIP": final, "RESINT": middle, "FLAG_MEEF": flag})
-
-
 def recode_sectors(df: DataFrame, sector: str = "SECTDISR", discipline: str = "DISCIPLR") -> DataFrame:
     old = F.col(sector).isin(*SECTOR_RECODES)
     return df.withColumns({
@@ -141,26 +106,6 @@ def code_defaults(df: DataFrame, parents_to_bac: bool = False,
     return df.withColumns({c: e for c, e in out.items() if c in df.columns})
 
 
-def intermediate_types(df: DataFrame) -> DataFrame:
-    """Intermediate type recodes that precede the text clean-up.
-
-    No recode writes a type that another one tests, so one CASE over the incoming row holds
-    them all.
-    """
-    final = has_intermediate() & _is("RESDIP", "O")
-    kind = derive.last_wins(F.col("TYP_DIPINT"), [
-        (final & _is("TYP_DIPINT", "10"), "CP"),
-        (final & _is("TYP_DIPINT", "20"), "EP"),
-        (final & is_missing("TYP_DIPINT") & _is("TYP_DIPL", "PE"), "CZ"),
-        (has_intermediate() & _old_licence(), "CP"),
-    ])
-    return df.withColumn("TYP_DIPINT", kind)
-
-
-def _old_licence() -> Column:
-    return _all(_is("RESINT", "O"), _is("TYP_DIPR", "XA"), _is("TYP_DIPINT", "01", "10", "CC", "XA"), _is("NIVEAUR", "02"))
-
-
 def clean_text(df: DataFrame) -> DataFrame:
     """Cut, strip and un-token every text column; pad one-digit degree types, blank for NULL.
 
@@ -175,27 +120,6 @@ def clean_text(df: DataFrame) -> DataFrame:
     return df.withColumns(padded)
 
 
-def outcome_consistency(df: DataFrame) -> DataFrame:
-    """Agreement of outcomes and intermediate type, after the text clean-up.
-
-    The outcome changes only where the type is missing, the type only where it is not, and
-    the last step asks for a type: all three read the incoming row.
-    """
-    both = has_intermediate()
-    middle_only = both & _is("RESDIP", "N") & _is("RESINT", "O") & pd_ne("DIPINT", "")
-    awarded_twice = _all(both, _is("RESDIP", "O"), _is("RESINT", "O"), ~is_missing("TYP_DIPINT"), ~is_missing("DIPINT"))
-    return df.withColumns({
-        "TYP_DIPINT": derive.last_wins(F.col("TYP_DIPINT"), [
-            (both & _old_licence(), "CP"),
-            (middle_only & _is("TYP_DIPINT", "10"), "CP"),
-            (middle_only & _is("TYP_DIPINT", "20"), "EP"),
-            (both & _is("TYP_DIPINT", "CC") & _is("TYP_DIPR", "XA") & _is("RESINT", "O"), "CP"),
-        ]),
-        "RESINT": F.when(both & pd_ne("RESINT", "N") & is_missing("TYP_DIPINT"), F.lit("N")).otherwise(F.col("RESINT")),
-        "RESDIP": F.when(awarded_twice, F.lit("N")).otherwise(F.col("RESDIP")),
-    })
-
-
 def keep_awarded(df: DataFrame) -> DataFrame:
     """Universities and private schools: rows with a final or an intermediate degree."""
     return df.filter(~_source("result", "priv") | _is("RESDIP", "O") | _is("RESINT", "O"))
@@ -204,10 +128,10 @@ def keep_awarded(df: DataFrame) -> DataFrame:
 def outcomes(df: DataFrame) -> DataFrame:
     """Final outcome, intermediate outcome and intermediate type in one projection.
 
-    The same result as ``outcome_defaults``, ``read_time_recodes``, ``code_outcomes``,
-    ``intermediate_types`` and ``outcome_consistency`` in turn, worked out on the incoming
-    row. Filters on outcomes move below this projection by substitution; a chain of five
-    projections that each read their own output would make such a filter explode.
+    Five steps in turn (defaults of files without outcomes, recodes at reading, coding by source,
+    recodes of types, agreement of outcomes and type), worked out on the incoming row. Filters
+    on outcomes move below this projection by substitution; a chain of five projections that
+    each read their own output would make such a filter explode.
     """
     both, outside, absent = has_intermediate(), _source("mana", "enq", "culture"), ~file_has("RESDIP")
     inter, no_kind = is_missing("DIPINT"), is_missing("TYP_DIPINT")
@@ -250,6 +174,7 @@ def normalise(df: DataFrame, parents_to_bac: bool = False) -> DataFrame:
 
     The exclusions test stored columns and come first, so they reach the Parquet reader.
     """
+    df = with_file_columns(df)
     df = rename_present(df, {"IDENTITFIANT_NATIONAL_ETUDIANT": "IDETU", "IDETU_CORR": "IDETU1"})
     df = add_nulls(df, {c: "bigint" if c in RAW_INTS else "string" for c in RAW_COLUMNS})
     df = clean_text(flag_text(drop_flagged(df), "FLAG_MEEF"))
@@ -295,8 +220,26 @@ def swap_double_award(df: DataFrame) -> DataFrame:
     return rules.assign_where(df, cond, {"RESDIP": "O", "RESINT": "X", "EFFECTIF_R": 1, "EFFECTIF_INT": 0})
 
 
-def establishments(df: DataFrame, sheets: Mapping[str, DataFrame], parents: DataFrame) -> DataFrame:
-    """Component, establishment, unit, parent unit and entity of every row."""
+def units_as_establishments(df: DataFrame) -> DataFrame:
+    """Units that count as establishments of their own."""
+    own = F.col("COMPOS")
+    return rules.assign_where(df, _is("COMPOS", *UNITS_AS_ESTABLISHMENTS), {"ETABLI": own, "ETABLI_ORI_UAI": own})
+
+
+def private_flags(df: DataFrame) -> DataFrame:
+    """Private schools without a teacher-training entity."""
+    cond = _source("priv") & is_blank("ID_PAYSAGE_FORMENS")
+    return rules.assign_where(df, cond, {"FLAG_MEEF": "1", "EFF_SS_ESPE": F.lit(0).cast("bigint")})
+
+
+def parent_unit(df: DataFrame) -> DataFrame:
+    """Parent unit of two units that moved."""
+    return df.withColumn("UR", F.when(_is("COMPOS", "0011312W"), F.lit("0694121E"))
+                         .when(_is("COMPOS", "0133479L"), F.lit("0131844J")))
+
+
+def establishments(df: DataFrame, sheets: Mapping[str, DataFrame], parents: DataFrame, years: tuple[int, int]) -> DataFrame:
+    """Component, establishment, unit, parent unit and entity of every row. ``years``: first and last of the facts."""
     df = rules.fill_component(df)
     df = df.withColumns({"NUMED": strip_zero("NUMED"), "ETABLI": recode("ETABLI", {"0352771X": "0352692L"})})
     df = df.withColumn("ETABLI_ORI_UAI", F.col("ETABLI"))
@@ -304,15 +247,11 @@ def establishments(df: DataFrame, sheets: Mapping[str, DataFrame], parents: Data
     df = df.withColumns({c: F.when(~file_has(c), F.lit("")).otherwise(F.col(c))
                          for c in ("DEPBAC", "ACABAC", "DEPRESPA", "CONV")})
     df = delete_by_rules(df, sheets["deleter"], DELETE_SHAPES)
-    own = _is("COMPOS", *UNITS_AS_ESTABLISHMENTS)
-    df = rules.assign_where(df.withColumn("UI", F.col("COMPOS")), own,
-                            {"ETABLI": F.col("COMPOS"), "ETABLI_ORI_UAI": F.col("COMPOS")})
-    df = rules.assign_where(df, _source("priv") & is_blank("ID_PAYSAGE_FORMENS"), {"FLAG_MEEF": "1", "EFF_SS_ESPE": "0"})
+    df = private_flags(units_as_establishments(df.withColumn("UI", F.col("COMPOS"))))
     df = df.withColumn("UI", F.when(_is("COMPOS", "0684045X"), F.lit("0694045X")).otherwise(F.col("UI")))
     df = coalesced_lookup(df, parents, ["RENTREE", "COMPOS"], "RATTACH", "RATTACH", "COMPOS")
-    df = df.withColumn("UR", F.when(_is("COMPOS", "0011312W"), F.lit("0694121E"))
-                       .when(_is("COMPOS", "0133479L"), F.lit("0131844J")))
-    moves = rules.expand_years(sheets["ETABLI"].filter(~is_blank("IN")).select("IN", "OUT", "RENTREE_START", "RENTREE_END"))
+    df = parent_unit(df)
+    moves = rules.expand_years(sheets["ETABLI"].filter(~is_blank("IN")).select("IN", "OUT", "RENTREE_START", "RENTREE_END"), *years)
     df = rules.replace_by_key(df, moves, {"RENTREE": "RENTREE", "ETABLI": "IN"}, "ETABLI")
     df = tiered_lookup(df, sheets["A_UAI"], ["RENTREE", "SOURCE", "ETABLI"], "ID_PAYSAGE", "TYPE", ["result", "inscri"])
     successor = sheets["D_EPE"].withColumn("ID_PAYSAGE_EPE_ETAB_COMPOS", F.col("ID_PAYSAGE"))
@@ -332,31 +271,46 @@ def publication_names(df: DataFrame, ids: DataFrame, keep_unmatched: bool = True
     return rules.replace_by_name(df, ids, name, "ID_PAYSAGE_FORMENS", keep_unmatched)
 
 
+def commune_of_establishment(df: DataFrame) -> DataFrame:
+    """The commune found for an establishment, unless it merely repeats the head of its code; overseas it always counts."""
+    own = _is("ETABLI", *OVERSEAS_ESTABLISHMENTS) | pd_ne("COMCODE", F.substring("ETABLI", 1, 5))
+    return df.withColumn("COMETAB", F.when(own, F.col("COMCODE")))
+
+
+def commune_of_unit(df: DataFrame) -> DataFrame:
+    """The commune of registration becomes that of the unit, unless it merely repeats the head of the unit's code."""
+    local = _all(F.col("COMINS") == F.substring("COMPOS", 1, 5), ~F.coalesce(_is("UI", *OVERSEAS_UNITS), F.lit(False)))
+    unit = F.when(local, F.lit("")).when(pd_ne("COMINS", ""), F.col("COMINS")).otherwise(F.col("COMUI"))
+    return df.withColumn("COMUI", unit)
+
+
 def communes(df: DataFrame, sheets: Mapping[str, DataFrame], unit_communes: DataFrame) -> DataFrame:
     """Communes of registration, of the establishment and of the unit."""
     df = left_lookup(df, unit_communes, {"RENTREE": "RENTREE", "COMPOS": "UAI"}, {"COMCODE": "COMINS"})
     df = rules.fold_rules(df, rules.commune_registration_rules(rules.sheet_records(sheets["COMINS"])), "COMINS")
     seat = unit_communes.withColumn("__UAI", F.col("UAI"))
     df = left_lookup(df, seat, {"RENTREE": "RENTREE", "ETABLI": "UAI"}, {"COMCODE": "COMCODE", "__UAI": "UAI"})
-    own = _is("ETABLI", *OVERSEAS_ESTABLISHMENTS) | pd_ne("COMCODE", F.substring("ETABLI", 1, 5))
-    df = df.withColumn("COMETAB", F.when(own, F.col("COMCODE")))
+    df = commune_of_establishment(df)
     df = rules.fold_rules(df, rules.commune_establishment_rules(rules.sheet_records(sheets["COMETAB"])), "COMETAB")
-    local = _all(F.col("COMINS") == F.substring("COMPOS", 1, 5), ~F.coalesce(_is("UI", *OVERSEAS_UNITS), F.lit(False)))
-    unit = F.when(local, F.lit("")).when(pd_ne("COMINS", ""), F.col("COMINS")).otherwise(F.col("COMUI"))
-    df = df.withColumn("COMUI", unit)
+    df = commune_of_unit(df)
     by_unit = rules.wildcard_rules(rules.sheet_records(sheets["COMUI"]), "COMUI", ("COMPOS", "RENTREE"), any_word=None)
     return rules.fold_rules(df, by_unit, "COMUI")
 
 
-def origins(df: DataFrame, sheets: Mapping[str, DataFrame]) -> DataFrame:
-    """Previous situation, baccalaureate group, nationality, departments and academies of origin."""
+def origin_codes(df: DataFrame) -> DataFrame:
+    """Previous situation, baccalaureate group, nationality and second parent's occupation."""
     year = F.col("RENTREE").cast("int")
-    df = df.withColumns({
+    return df.withColumns({
         "SITUPRE": F.when(is_blank("SITUPRE"), F.lit("9")).otherwise(F.col("SITUPRE")),
         "BAC_RGRP": F.when(_is("BAC", "0037", "0031"), F.lit("7")).when(_is("BAC", "ES"), F.lit("2")).otherwise(F.col("BAC_RGRP")),
         "NATION": recode("NATION", VAGUE_NATIONS),
         "PCSPAR2": F.when((year > 2003) & (year < 2009), F.lit("99")).otherwise(F.col("PCSPAR2")),
     })
+
+
+def origins(df: DataFrame, sheets: Mapping[str, DataFrame]) -> DataFrame:
+    """Departments and academies of origin, after the codes of origin."""
+    df = origin_codes(df)
     first = rules.year_rules(rules.sheet_records(sheets["DEP_ACA_RESPA_CORRECTIF"]))
     first += rules.generic_rules(rules.sheet_records(sheets["RESTE_DEPRESPA_CORRECTIF"]))
     departments = rules.sheet_records(sheets["DEP_CORRECTIF"])
@@ -457,32 +411,40 @@ def indicators(df: DataFrame, sheets: Mapping[str, DataFrame]) -> DataFrame:
     return derive.mobility(df, has_intermediate())
 
 
+def blank_intermediate(df: DataFrame) -> DataFrame:
+    """A final degree without an intermediate one has no intermediate columns."""
+    return rules.assign_where(df, _is("RESDIP", "O") & _is("RESINT", "N", "X"),
+                              {"EFFECTIF_INT": 0, **{c: "" for c in INTERMEDIATE_COLUMNS}})
+
+
+def engineers(df: DataFrame) -> DataFrame:
+    """Codes of one engineering degree that arrives without a type."""
+    cond = _all(_source("inge"), _is("RESDIP", "O"), _is("DIPLOM", "6000361"), _is("TYP_DIPL", "99"))
+    return rules.assign_where(df, cond, {"CURSUS_LMDR": "M", "SECTDIS": "16", "DISCIPLI": "15", "TYP_DIPL": "FI"})
+
+
+def doctoral_schools(df: DataFrame) -> DataFrame:
+    """Doctoral schools go with the third cycle only; one type is of the second."""
+    return df.withColumns({
+        "ID_PAYSAGE_ED": F.when(pd_ne("CURSUS_LMDR", "D"), F.lit("")).otherwise(F.col("ID_PAYSAGE_ED")),
+        "CURSUS_LMDR": F.when(_is("TYP_DIPL", "JD") & _is("CURSUS_LMDR", "L"), F.lit("M")).otherwise(F.col("CURSUS_LMDR")),
+    })
+
+
 def last_fixes(df: DataFrame) -> DataFrame:
     """Final types, then source-specific fixes; rows without any degree go."""
     df = finalise_types(df, text=("COMETAB", "DEPRESPA", "ACARESPA", "COMINS", "ANNAIS", "ANBAC", "AGE_BAC"),
                         zero_ints=("NBACH", "NET"), ints=COUNTRY_FLAGS)
-    df = rules.assign_where(df, _is("RESDIP", "O") & _is("RESINT", "N", "X"),
-                            {"EFFECTIF_INT": 0, **{c: "" for c in INTERMEDIATE_COLUMNS}})
-    engineer = _all(_source("inge"), _is("RESDIP", "O"), _is("DIPLOM", "6000361"), _is("TYP_DIPL", "99"))
-    df = rules.assign_where(df, engineer, {"CURSUS_LMDR": "M", "SECTDIS": "16", "DISCIPLI": "15", "TYP_DIPL": "FI"})
+    df = engineers(blank_intermediate(df))
     df = remove_where(df, double_counted_codes())
     df = rules.assign_where(df, _all(_source("result"), _is("RESDIP", "O"), _is("RESINT", "X"), _is("DIPINT", "8")),
                             {"TYP_DIPINT": "", "DISCIPLINT": "", "SECTINT": ""})
-    df = df.withColumns({
-        "ID_PAYSAGE_ED": F.when(pd_ne("CURSUS_LMDR", "D"), F.lit("")).otherwise(F.col("ID_PAYSAGE_ED")),
-        "CURSUS_LMDR": F.when(_is("TYP_DIPL", "JD") & _is("CURSUS_LMDR", "L"), F.lit("M")).otherwise(F.col("CURSUS_LMDR")),
-    })
-    return keep_positive(derive.total_headcount(df), "EFFECTIF_TOT")
-
-
-def double_counted_engineers() -> Column:
-    """Engineering schools, 2020: two degrees of two schools counted elsewhere."""
-    return _all(double_counted_codes(), is_missing("DIPINT"), is_missing("TYP_DIPINT"), ~is_missing("LMDDONT_INT"))
+    return keep_positive(derive.total_headcount(doctoral_schools(df)), "EFFECTIF_TOT")
 
 
 def double_counted_codes() -> Column:
-    """The same rows once the intermediate columns of final degrees are blanked and groups are
-    filled: the three tests on them then hold for every such row and are left out."""
+    """Engineering schools, 2020: two degrees of two schools counted elsewhere. Blank intermediate columns and a filled
+    group, which mark them too, hold for every such row once ``blank_intermediate`` has run."""
     return _all(
         _source("inge"), _is("RENTREE", "2020"), _is("RESDIP", "O"), _is("RESINT", "N"),
         _is("DIPLOM", "2500203", "2500164"), _is("ETABLI_ORI_UAI", "0597131F", "0632033T"))
@@ -493,11 +455,12 @@ def correct(df: DataFrame, sheets: Mapping[str, DataFrame], parents: DataFrame,
 
     ``parents``: (RENTREE, COMPOS, RATTACH). ``unit_communes``: (RENTREE, UAI, COMCODE).
     """
+    years = rules.year_bounds(df)
     df = headcounts(result_side(drop_empty_results(df)))
-    df = establishments(df, sheets, parents)
+    df = establishments(df, sheets, parents, years)
     df = communes(df, sheets, unit_communes)
     df = degrees(origins(df, sheets), sheets)
-    return last_fixes(indicators(enrich(df, sheets), sheets))
+    return last_fixes(indicators(enrich(df, sheets), sheets)).drop(FILE_COLUMNS)
 
 
 def correct_table(

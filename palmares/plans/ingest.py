@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.quality import union_named
 from ..sources.catalogue import YEARS, catalogue, landing_name, missing_partitions
 from ..sources.contracts import RAW_COLUMNS, raw_contract
-from ..sources.facts import PARTITIONS, land, write_fact
+from ..sources.facts import PARTITIONS, land, read_fact, write_fact
 
 
 def wanted_partitions(spark: SparkSession, present: DataFrame | None, years=YEARS) -> list[tuple[str, int]]:
@@ -19,6 +19,14 @@ def wanted_partitions(spark: SparkSession, present: DataFrame | None, years=YEAR
     return [(r.SOURCE, int(r.RENTREE)) for r in todo.collect()]
 
 
+def landed(spark: SparkSession, root: str) -> DataFrame | None:
+    """The (source, year) pairs that a fact holds; None before anything was written. Only partition values are read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return None
+    return read_fact(spark, root).select(*PARTITIONS).distinct()
+
+
 def land_missing(
     spark: SparkSession,
     landing: str,
@@ -28,8 +36,11 @@ def land_missing(
     columns=RAW_COLUMNS,
     locate: Callable[[str, int], str] = landing_name,
 ) -> int:
-    """Land the missing files in one write; a file that is not there fails the job."""
-    todo = wanted_partitions(spark, present, years)
+    """Land the missing files in one write; a file that is not there fails the job.
+
+    What ``root`` holds is present, unless ``present`` states something else (an empty table: land everything again).
+    """
+    todo = wanted_partitions(spark, landed(spark, root) if present is None else present, years)
     if not todo:
         return 0
     contract = raw_contract(columns)

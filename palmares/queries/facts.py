@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import json_map
 from ..operators.lookups import bounded
+from ..plans import correct
 from ..sources import catalogue as cat
-from ..sources.contracts import contract
-from ..sources.facts import normalise_landing, read_fact, write_fact
+from ..sources.contracts import RAW_COLUMNS, contract, raw_contract
+from ..sources.facts import land, normalise_landing, read_fact, write_fact
 from ..sources.maps import parent_units, unit_communes
 from ..sources.opendata import read_open_csv, write_open_csv
 from ..sources.sheets import normalise_cells, read_sheet_folder, read_sheets, write_sheets
@@ -141,13 +142,27 @@ def s12(spark, sf):
     return unit_communes(maps)
 
 
+@query("p9_outcomes_by_file", """
+SELECT k AS "IDETU", '2014' AS "RENTREE", nullif("RESDIP", 'None') AS "RESDIP", nullif("RESINT", 'None') AS "RESINT" FROM deg WHERE "RESDIP" = 'O' OR "RESINT" = 'O'
+UNION ALL SELECT k, '2022', 'O', 'N' FROM deg""", ["deg"])
+def p9_by_file(spark, sf):
+    """Two landed files, with and without outcome columns, in years that no list names: what a file holds stays, the rest is awarded."""
+    root = work_dir(spark, "landing")
+    both = view(spark, sf, "deg").select(F.col("k").cast("string").alias("idetu"), F.lit("ZZ").alias("typ_dipint"), "RESDIP", "RESINT")
+    both.write.parquet(f"{root}/with")
+    both.drop("RESDIP", "RESINT").write.parquet(f"{root}/without")
+    raw = land(spark, f"{root}/with", "result", 2014, raw_contract(RAW_COLUMNS)).unionByName(land(spark, f"{root}/without", "result", 2022, raw_contract(RAW_COLUMNS)))
+    out = correct.normalise(raw)
+    return out.select(F.col("IDETU").cast("bigint").alias("IDETU"), "RENTREE", "RESDIP", "RESINT")
+
+
 @query("s13_missing_partitions", f"""
-WITH have AS (SELECT DISTINCT "SOURCE", "RENTREE" FROM deg WHERE h1 % 7 + h2 % 13 > 9),
+WITH have AS (SELECT DISTINCT "SOURCE", CAST(CAST("RENTREE" AS INT) - 2 AS VARCHAR) AS "RENTREE" FROM deg),
 want AS (SELECT DISTINCT "SOURCE", "RENTREE" FROM deg WHERE {IN_CATALOGUE})
 SELECT * FROM want EXCEPT SELECT * FROM have""", ["deg"])
 def s13(spark, sf):
     df = view(spark, sf, "deg")
-    have = df.filter((F.col("h1") % 7 + F.col("h2") % 13) > 9).select("SOURCE", "RENTREE")
+    have = df.select("SOURCE", (F.col("RENTREE").cast("int") - 2).cast("string").alias("RENTREE"))
     return cat.missing_partitions(cat.catalogue(spark), have)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators.derive import headcount, total_headcount
 from ..operators.schema import add_nulls
 from ..plans import correct, publish
-from ..sources.contracts import RAW_COLUMNS, RAW_INTS
+from ..sources.contracts import FILE_COLUMNS, RAW_COLUMNS, RAW_INTS
 from ..sources.opendata import read_open_csv, write_open_csv
 from ..sources.sheets import SHEETS, as_sheet
 from ..session import work_dir
@@ -180,6 +180,10 @@ def raw_facts(spark, sf):
         "ANBAC": F.col("ANBAC").cast("bigint"), "ANNAIS": F.col("ANNAIS").cast("bigint"),
     }).drop("h1", "h2", "h3", "h4", "cents", "PAR_TYPE", "DNDU", "DNDU_INT", "LMDDONT", "LMDDONTBIS", "LMDDONT_INT", "LMDDONTBIS_INT",
             "PROXBAC", "PROXREGBAC", "OUTREMER", "CURSUS_LMD", "CURSUS_LMD_INT", "COMINS", "ID_PAYSAGE_ED")
+    # files of some years lack columns, as real ones do
+    lacking = F.array_compact(F.array(
+        F.when(F.col("RENTREE") < "2012", "RESDIP"), F.when(F.col("RENTREE") > "2019", "DEPBAC"), F.when(F.col("SOURCE") == "culture", "NIVEAUR")))
+    df = df.withColumn(FILE_COLUMNS, F.array_except(F.array(*[F.lit(c) for c in RAW_COLUMNS]), lacking))
     return add_nulls(df, {c: "bigint" if c in RAW_INTS else "string" for c in RAW_COLUMNS})
 
 
@@ -197,14 +201,14 @@ def correction_sheets(spark, sf):
     c = F.col("c")
     etabs = deg.select("RENTREE", "SOURCE", "ETABLI").filter("ETABLI IS NOT NULL").distinct()
     units = deg.select("RENTREE", F.col("COMPOS").alias("UR"), F.col("COMPOS").alias("UI")).filter("UI IS NOT NULL").distinct()
-    rules = nation.filter("n_regionkey = 1").select(
+    rules = nation.select(
         F.lit("DEPBAC").alias("VAR1_IN"), n.alias("VALUE1_IN"), empty.alias("VAR2_IN"), empty.alias("VALUE2_IN"),
         F.lit("ACABAC").alias("VAR_OUT"), n.alias("VALUE_OUT"))
     flags = {f: (F.length("c") % 2).cast("string") for f in correct.COUNTRY_FLAGS}
     sheets = {
-        "deleter": supplier.filter("s_suppkey % 7 = 0").select(
-            F.lit("2016").alias("RENTREE"), F.lit("mana").alias("SOURCE"), empty.alias("DIPLOM"), F.lit("0755555A").alias("ETABLI"),
-            empty.alias("ETABLI_ORI_UAI"), empty.alias("ETABLI_DIFFUSION")),
+        "deleter": supplier.select(
+            (2009 + F.col("s_suppkey") % 13).cast("string").alias("RENTREE"), F.lit("mana").alias("SOURCE"), empty.alias("DIPLOM"),
+            F.when(F.col("s_suppkey") % 2 == 0, "0755555A").otherwise(F.col("s_name")).alias("ETABLI"), empty.alias("ETABLI_ORI_UAI"), empty.alias("ETABLI_DIFFUSION")).distinct(),
         "ETABLI": nation.select(F.concat(F.lit("X"), n).alias("IN"), F.lit("0755555A").alias("OUT"), F.lit("2015").alias("RENTREE_START"), F.lit("2016").alias("RENTREE_END")),
         "A_UAI": etabs.select("RENTREE", "SOURCE", "ETABLI", F.lit("result").alias("TYPE"), F.concat(F.lit("P"), "ETABLI").alias("ID_PAYSAGE")),
         "D_EPE": etabs.select("RENTREE", F.concat(F.lit("P"), "ETABLI").alias("ID_PAYSAGE"), F.when(F.col("ETABLI") == "0912423P", "EPE1").otherwise("").alias("ID_PAYSAGE_EPE")),
@@ -221,8 +225,8 @@ def correction_sheets(spark, sf):
         "CURSUS_LMD_CORRECTIF": nation.select(F.lit("DU").alias("TYP_DIPL"), n.alias("DIPLOM"), empty.alias("NIVEAU"), F.lit("D").alias("CURSUS_LMD_OUT")),
         "LES_COMMUNES": places(spark, sf),
         "H_PROXIMITE": nation.select(n.alias("DEPARTEMENT_UI"), n.alias("DEPARTEMENT_PARENTS"), F.lit("1 - same").alias("PROXIMIT_"), F.lit("1 - same").alias("PROX_R_GIONS"), F.lit("metropole").alias("OUTREMER")),
-        "G_PAYS": codes("NATION", PAYS=c, CONTINENT=F.concat(F.lit("K"), c), **flags).filter("PAYS IN ('100', '350', '999')").drop("NATION"),
-        "L_ED": codes("PAR_TYPE", NUMED=F.regexp_replace("c", "^0", ""), ID_PAYSAGE_ED=F.concat(F.lit("ED"), c)).filter("NUMED <> ''").drop("PAR_TYPE"),
+        "G_PAYS": codes("NATION", PAYS=c, CONTINENT=F.concat(F.lit("K"), c), **flags).drop("NATION"),
+        "L_ED": codes("PAR_TYPE", NUMED=F.regexp_replace("c", "^0", ""), ID_PAYSAGE_ED=F.concat(F.lit("ED"), c)).drop("PAR_TYPE"),
         "M_IUT": units.withColumns({o: F.concat(F.lit(o), "UI") for o in ("ID_PAYSAGE_IUT", "ID_PAYSAGE_IUT_CAMPUS", "ID_PAYSAGE_IUT_POLE")}),
         "N_ING": units.withColumns({o: F.concat(F.lit(o), "UI") for o in ("ID_PAYSAGE_ING", "ID_PAYSAGE_ING_CAMPUS")}),
         "J_LMDDONT": codes("TYP_DIPL", LMDDONT=F.concat(F.lit("G"), c), LMDDONTBIS=F.concat(F.lit("B"), c)),

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from ..functions.nulls import is_missing
 from ..operators import rules as R
+from ..operators.lookups import small_table
 from ..plans import correct
+from ..sources.contracts import FILE_COLUMNS
 from .base import SOURCES, blank, miss, query, table, view
 
 WITH_INT = "\"SOURCE\" IN ('result', 'ens', 'inge', 'priv')"
@@ -26,12 +28,12 @@ def r1(spark, sf):
 # Year-range rules made from the data: one per pair of customers, open or bounded.
 RANGE_SHEET = """(SELECT CAST(c_custkey AS VARCHAR) AS "IN", CASE WHEN c_custkey % 3 = 0 THEN 'abc' ELSE c_name END AS "OUT",
   CASE WHEN c_custkey % 4 = 0 THEN '' ELSE CAST(1992 + c_custkey % 5 AS VARCHAR) END AS lo,
-  CAST(1996 + c_custkey % 4 AS VARCHAR) AS hi FROM customer WHERE c_nationkey < 12)"""
+  CAST(1996 + c_custkey % 4 AS VARCHAR) AS hi FROM customer)"""
 
 
 def range_sheet(spark, sf):
     c = F.col("c_custkey")
-    return table(spark, sf, "customer").filter("c_nationkey < 12").select(
+    return table(spark, sf, "customer").select(
         c.cast("string").alias("IN"), F.when(c % 3 == 0, "abc").otherwise(F.col("c_name")).alias("OUT"),
         F.when(c % 4 == 0, "").otherwise((1992 + c % 5).cast("string")).alias("RENTREE_START"),
         (1996 + c % 4).cast("string").alias("RENTREE_END"))
@@ -39,12 +41,14 @@ def range_sheet(spark, sf):
 
 @query("r2_replace_by_year_and_code", f"""
 WITH s AS {RANGE_SHEET}
-SELECT o.k, CASE WHEN length(s."OUT") > 3 THEN s."OUT" ELSE CAST(o.cust AS VARCHAR) END AS etabli
-FROM ord o LEFT JOIN s ON s."IN" = CAST(o.cust AS VARCHAR) AND CASE WHEN s.lo = '' THEN o.y BETWEEN 1992 AND 1998
+SELECT o.k, CASE WHEN length(s."OUT") > 3 THEN s."OUT" ELSE CAST(o.cust + o.h1 % 3 * 1000000 AS VARCHAR) END AS etabli
+FROM ord o LEFT JOIN s ON s."IN" = CAST(o.cust + o.h1 % 3 * 1000000 AS VARCHAR) AND CASE WHEN s.lo = '' THEN TRUE
   ELSE o.y BETWEEN CAST(s.lo AS INT) AND CAST(s.hi AS INT) END""", ["ord"])
 def r2(spark, sf):
-    rules = R.expand_years(range_sheet(spark, sf), 1992, 1998)
-    df = view(spark, sf, "ord").select("k", F.col("y").cast("string").alias("RENTREE"), F.col("cust").cast("string").alias("etabli"))
+    """Two of three orders carry a code that no rule has."""
+    code = (F.col("cust") + F.col("h1") % 3 * 1000000).cast("string")
+    df = view(spark, sf, "ord").select("k", F.col("y").cast("string").alias("RENTREE"), code.alias("etabli"))
+    rules = R.expand_years(range_sheet(spark, sf), *R.year_bounds(df))
     return R.replace_by_key(df, rules, {"RENTREE": "RENTREE", "etabli": "IN"}, "etabli").select("k", "etabli")
 
 
@@ -58,11 +62,11 @@ WITH s AS {SOURCE_SHEET},
 f AS (SELECT k, "SOURCE" AS source, CAST("RENTREE" AS INT) AS y, 'E' || h1 % 500 AS etabli, 'C' || h2 % 500 AS compos,
   'C' || h3 % 500 AS rattach FROM deg),
 a AS (SELECT f.*, coalesce(s."OUT", f.etabli) AS e1 FROM f LEFT JOIN s ON s."IN" = f.etabli AND s."IN" <> ''
-  AND (s.source = '' OR s.source = f.source) AND CASE WHEN s.lo = '' THEN f.y BETWEEN 2015 AND 2021 ELSE f.y BETWEEN 2014 AND 2018 END),
+  AND (s.source = '' OR s.source = f.source) AND (s.lo = '' OR f.y BETWEEN 2014 AND 2018)),
 b AS (SELECT a.*, coalesce(s."OUT", a.e1) AS e2 FROM a LEFT JOIN s ON s.compos = a.compos AND s."IN" = ''
-  AND (s.source = '' OR s.source = a.source) AND CASE WHEN s.lo = '' THEN a.y BETWEEN 2015 AND 2021 ELSE a.y BETWEEN 2014 AND 2018 END)
+  AND (s.source = '' OR s.source = a.source) AND (s.lo = '' OR a.y BETWEEN 2014 AND 2018))
 SELECT b.k, b.compos AS "COMPOS", coalesce(s."OUT", b.e2) AS "ETABLI" FROM b LEFT JOIN s ON s.compos = b.rattach AND s."IN" = ''
-  AND (s.source = '' OR s.source = b.source) AND CASE WHEN s.lo = '' THEN b.y BETWEEN 2015 AND 2021 ELSE b.y BETWEEN 2014 AND 2018 END""",
+  AND (s.source = '' OR s.source = b.source) AND (s.lo = '' OR b.y BETWEEN 2014 AND 2018)""",
        ["deg"])
 def r3(spark, sf):
     p = F.col("p_partkey")
@@ -75,7 +79,7 @@ def r3(spark, sf):
     code = lambda letter, h: F.concat(F.lit(letter), (F.col(h) % 500).cast("string"))
     df = deg(spark, sf).select("k", "SOURCE", "RENTREE", code("E", "h1").alias("ETABLI"), code("C", "h2").alias("COMPOS"),
                                code("C", "h3").alias("RATTACH"))
-    return R.replace_by_sources(df, sheet, SOURCES).select("k", "COMPOS", "ETABLI")
+    return R.replace_by_sources(df, sheet, SOURCES, *R.year_bounds(df)).select("k", "COMPOS", "ETABLI")
 
 
 COMINS_SHEET = [
@@ -183,18 +187,28 @@ def r9c(spark, sf):
     return R.apply_rules(deg(spark, sf), R.compile_rules(R.year_rules(sheet))).select("k", "ACABAC", "DEPBAC")
 
 
-@query("r10_name_to_id", """
-WITH s AS (SELECT n_name AS name, CASE WHEN n_nationkey % 5 = 0 THEN '' ELSE 'ID' || n_nationkey END AS id FROM nation WHERE n_regionkey <> 1)
-SELECT c.k, CASE WHEN s.id IS NULL OR s.id = '' THEN c.segment ELSE s.id END AS formens
-FROM (SELECT k, segment, CASE WHEN nation = 3 THEN 'NATION_4' ELSE 'NATION_' || nation END AS name FROM cus) c LEFT JOIN s ON s.name = c.name""",
-       ["cus"])
+@query("r10_name_to_id", f"""
+WITH s AS (SELECT n_name AS name, CASE WHEN n_nationkey % 5 = 0 THEN '' ELSE 'ID' || n_nationkey END AS id FROM nation
+  UNION ALL SELECT 'UNIVERSITE LA REUNION', 'REU' UNION ALL SELECT 'ESPE ACADEMIE DE NOUVELLE CALE', 'ESP' UNION ALL SELECT 'UNIVERSITE NELLE CALEDONIE', ''),
+a AS (SELECT k, "RENTREE" AS y, "FLAG_MEEF" AS m, CASE WHEN h4 % 3 = 0 THEN 'VF' ELSE "TYP_DIPL" END AS t, "PAR_TYPE" AS old,
+  CASE h1 % 4 WHEN 0 THEN 'UNIVERSITE NELLE CALEDONIE' WHEN 1 THEN 'ESPE ACADEMIE DE NOUVELLE CALE' WHEN 2 THEN 'ESPE ACADEMIE DE REUNION'
+    ELSE 'NATION_' || h2 % 40 END AS name FROM deg),
+b AS (SELECT *, CASE WHEN y = '2014' AND name = 'UNIVERSITE NELLE CALEDONIE' AND m = '1' THEN 'ESPE ACADEMIE DE NOUVELLE CALE'
+  WHEN y = '2014' AND name = 'ESPE ACADEMIE DE NOUVELLE CALE' AND m = '0' THEN 'UNIVERSITE NELLE CALEDONIE'
+  WHEN name = 'ESPE ACADEMIE DE REUNION' AND t = 'VF' THEN 'UNIVERSITE LA REUNION' ELSE name END AS fixed FROM a)
+SELECT k, fixed AS name, CASE WHEN s.id IS NULL OR s.id = '' THEN b.old ELSE s.id END AS formens FROM b LEFT JOIN s ON s.name = b.fixed""", ["deg"])
 def r10(spark, sf):
-    n = F.col("n_nationkey")
-    ids = table(spark, sf, "nation").filter("n_regionkey <> 1").select(
+    """Names of the full list, names outside it, and the job's own three fixes of names."""
+    n, h = F.col("n_nationkey"), F.col("h1") % 4
+    ids = table(spark, sf, "nation").select(
         F.col("n_name").alias("IN"), F.when(n % 5 == 0, "").otherwise(F.concat(F.lit("ID"), n.cast("string"))).alias("OUT"))
-    df = view(spark, sf, "cus").select("k", F.col("segment").alias("formens"), F.concat(F.lit("NATION_"), F.col("nation").cast("string")).alias("name"))
-    df = R.assign_where(df, F.col("name") == "NATION_3", {"name": "NATION_4"})
-    return R.replace_by_name(df, ids, "name", "formens").select("k", "formens")
+    own = small_table(spark, [("UNIVERSITE LA REUNION", "REU"), ("ESPE ACADEMIE DE NOUVELLE CALE", "ESP"), ("UNIVERSITE NELLE CALEDONIE", "")], "IN string, OUT string")
+    name = (F.when(h == 0, "UNIVERSITE NELLE CALEDONIE").when(h == 1, "ESPE ACADEMIE DE NOUVELLE CALE").when(h == 2, "ESPE ACADEMIE DE REUNION")
+            .otherwise(F.concat(F.lit("NATION_"), (F.col("h2") % 40).cast("string"))))
+    df = deg(spark, sf).withColumns({
+        "ETABLI_DIFFUSION": name, "ID_PAYSAGE_FORMENS": F.col("PAR_TYPE"), "TYP_DIPL": F.when(F.col("h4") % 3 == 0, "VF").otherwise(F.col("TYP_DIPL"))})
+    out = correct.publication_names(df, ids.union(own))
+    return out.select("k", F.col("ETABLI_DIFFUSION").alias("name"), F.col("ID_PAYSAGE_FORMENS").alias("formens"))
 
 
 FORMATIONS = [
@@ -287,24 +301,44 @@ def r13(spark, sf):
     return df.select("k", "CURSUS_LMD", "CURSUS_LMD_INT")
 
 
-@query("r14_read_time_recodes", f"""
-WITH a AS (SELECT k, "SOURCE", "RESINT" AS r, CASE WHEN "SOURCE" = 'priv' AND "RESINT" = 'O' AND "RESDIP" = 'N' AND "NIVEAUR" = '02'
-    AND {miss('"TYP_DIPINT"')} AND "TYP_DIPR" IN ('XA', 'XB') THEN CASE "TYP_DIPR" WHEN 'XA' THEN 'CP' ELSE 'EP' END ELSE "TYP_DIPINT" END AS t,
-  CASE WHEN "SOURCE" = 'result' AND "DIPINT" = '5000770' AND "SECTINT" = '07' THEN '11' ELSE "DISCIPLINT" END AS "DISCIPLINT" FROM deg)
-SELECT k, t AS "TYP_DIPINT", "DISCIPLINT", CASE WHEN {WITH_INT} AND {miss('r')} AND {miss('t')} THEN 'N' ELSE r END AS "RESINT" FROM a""", ["deg"])
+OLD_LICENCE = "r = 'O' AND tr = 'XA' AND t IN ('01', '10', 'CC', 'XA') AND n = '02'"
+MISS = {c: miss(c) for c in ("r", "t", "i")}
+
+# The rules on outcomes one step after the other. Files of years before 2012 have no outcome columns.
+OUTCOMES = f"""o0 AS (SELECT k, "SOURCE" AS s, {WITH_INT} AS w, CASE WHEN "RENTREE" < '2012' THEN 'O' ELSE "RESDIP" END AS d,
+  CASE WHEN "RENTREE" < '2012' THEN 'N' ELSE "RESINT" END AS r, "TYP_DIPL" AS tl, "TYP_DIPR" AS tr, "TYP_DIPINT" AS t, "NIVEAUR" AS n,
+  "DIPINT" AS i, "SECTINT" AS si, "DISCIPLINT" AS di, "FLAG_MEEF" AS f FROM deg),
+o1 AS (SELECT * REPLACE (CASE WHEN s = 'priv' AND r = 'O' AND d = 'N' AND n = '02' AND {MISS['t']} AND tr IN ('XA', 'XB')
+    THEN CASE tr WHEN 'XA' THEN 'CP' ELSE 'EP' END ELSE t END AS t,
+  CASE WHEN s = 'result' AND i = '5000770' AND si = '07' THEN '11' ELSE di END AS di,
+  CASE WHEN w AND {MISS['r']} AND {MISS['t']} THEN 'N' ELSE r END AS r) FROM o0),
+o2 AS (SELECT * REPLACE (CASE WHEN s = 'inge' AND (d IS NULL OR d <> 'N') THEN 'O' WHEN s = 'ens' THEN CASE WHEN {MISS['i']} THEN 'O' ELSE 'N' END
+    WHEN s IN ('mana', 'enq', 'culture') THEN 'O' ELSE d END AS d,
+  CASE WHEN s = 'ens' THEN CASE WHEN {MISS['i']} THEN 'N' ELSE 'O' END WHEN s IN ('mana', 'enq', 'culture') THEN '' ELSE r END AS r,
+  CASE WHEN s IN ('result', 'priv') THEN f ELSE '0' END AS f) FROM o1),
+o3 AS (SELECT * REPLACE (CASE WHEN NOT w THEN t WHEN d = 'O' AND t = '10' THEN 'CP' WHEN d = 'O' AND t = '20' THEN 'EP'
+    WHEN d = 'O' AND {MISS['t']} AND tl = 'PE' THEN 'CZ' ELSE t END AS t) FROM o2),
+o4 AS (SELECT * REPLACE (CASE WHEN w AND {OLD_LICENCE} THEN 'CP' ELSE t END AS t) FROM o3),
+o5 AS (SELECT * REPLACE (CASE WHEN w AND (r IS NULL OR r <> 'N') AND {MISS['t']} THEN 'N' ELSE r END AS r) FROM o4),
+o6 AS (SELECT * REPLACE (CASE WHEN w AND {OLD_LICENCE} THEN 'CP' WHEN w AND d = 'N' AND r = 'O' AND (i IS NULL OR i <> '') AND t IN ('10', '20')
+  THEN CASE t WHEN '10' THEN 'CP' ELSE 'EP' END WHEN w AND t = 'CC' AND tr = 'XA' AND r = 'O' THEN 'CP' ELSE t END AS t) FROM o5),
+o7 AS (SELECT * REPLACE (CASE WHEN w AND d = 'O' AND r = 'O' AND NOT {MISS['t']} AND NOT {MISS['i']} THEN 'N' ELSE d END AS d) FROM o6)"""
+
+
+def outcomes(spark, sf):
+    """The job's outcome step; files of years before 2012 lack the outcome columns."""
+    both = F.array(F.lit("RESDIP"), F.lit("RESINT"))
+    return correct.outcomes(deg(spark, sf).withColumn(FILE_COLUMNS, F.when(F.col("RENTREE") >= "2012", both).otherwise(F.array().cast("array<string>"))))
+
+
+@query("r14_read_time_recodes", f'WITH {OUTCOMES} SELECT k, t AS "TYP_DIPINT", di AS "DISCIPLINT", r AS "RESINT" FROM o7', ["deg"])
 def r14(spark, sf):
-    return correct.read_time_recodes(deg(spark, sf)).select("k", "TYP_DIPINT", "DISCIPLINT", "RESINT")
+    return outcomes(spark, sf).select("k", "TYP_DIPINT", "DISCIPLINT", "RESINT")
 
 
-@query("r15_outcome_by_source", f"""
-SELECT k, CASE WHEN "SOURCE" = 'inge' AND ("RESDIP" IS NULL OR "RESDIP" <> 'N') THEN 'O'
-    WHEN "SOURCE" = 'ens' THEN CASE WHEN {miss('"DIPINT"')} THEN 'O' ELSE 'N' END
-    WHEN "SOURCE" IN ('mana', 'enq', 'culture') THEN 'O' ELSE "RESDIP" END AS "RESDIP",
-  CASE WHEN "SOURCE" = 'ens' THEN CASE WHEN {miss('"DIPINT"')} THEN 'N' ELSE 'O' END
-    WHEN "SOURCE" IN ('mana', 'enq', 'culture') THEN '' ELSE "RESINT" END AS "RESINT",
-  CASE WHEN "SOURCE" IN ('result', 'priv') THEN "FLAG_MEEF" ELSE '0' END AS "FLAG_MEEF" FROM deg""", ["deg"])
+@query("r15_outcome_by_source", f'WITH {OUTCOMES} SELECT k, d AS "RESDIP", r AS "RESINT", f AS "FLAG_MEEF" FROM o7', ["deg"])
 def r15(spark, sf):
-    return correct.code_outcomes(deg(spark, sf)).select("k", "RESDIP", "RESINT", "FLAG_MEEF")
+    return outcomes(spark, sf).select("k", "RESDIP", "RESINT", "FLAG_MEEF")
 
 
 @query("r16_sector_recode", """
@@ -314,28 +348,14 @@ def r16(spark, sf):
     return correct.recode_sectors(deg(spark, sf), "SECTDIS", "DISCIPLI").select("k", "SECTDIS", "DISCIPLI")
 
 
-OLD_LICENCE = "r = 'O' AND \"TYP_DIPR\" = 'XA' AND t IN ('01', '10', 'CC', 'XA') AND \"NIVEAUR\" = '02'"
-
-
-@query("r17_intermediate_type_recodes", f"""
-WITH a AS (SELECT k, "RESDIP" AS d, "RESINT" AS r, "TYP_DIPR", "NIVEAUR", "TYP_DIPINT" AS t, CASE WHEN NOT ({WITH_INT}) THEN "TYP_DIPINT"
-  WHEN "RESDIP" = 'O' AND "TYP_DIPINT" = '10' THEN 'CP' WHEN "RESDIP" = 'O' AND "TYP_DIPINT" = '20' THEN 'EP'
-  WHEN "RESDIP" = 'O' AND {miss('"TYP_DIPINT"')} AND "TYP_DIPL" = 'PE' THEN 'CZ' ELSE "TYP_DIPINT" END AS u, {WITH_INT} AS w FROM deg),
-b AS (SELECT k, d, r, "TYP_DIPR", "NIVEAUR", u AS t, w FROM a)
-SELECT k, CASE WHEN w AND {OLD_LICENCE} THEN 'CP' ELSE t END AS "TYP_DIPINT" FROM b""", ["deg"])
+@query("r17_intermediate_type_recodes", f'WITH {OUTCOMES} SELECT k, s AS "SOURCE", t AS "TYP_DIPINT" FROM o7', ["deg"])
 def r17(spark, sf):
-    return correct.intermediate_types(deg(spark, sf)).select("k", "TYP_DIPINT")
+    return outcomes(spark, sf).select("k", "SOURCE", "TYP_DIPINT")
 
 
-@query("r17_outcome_consistency", f"""
-WITH a AS (SELECT k, {WITH_INT} AS w, "RESDIP" AS d, "TYP_DIPINT" AS t, "TYP_DIPR", "NIVEAUR", "DIPINT" AS i, CASE WHEN {WITH_INT}
-  AND ("RESINT" IS NULL OR "RESINT" <> 'N') AND {miss('"TYP_DIPINT"')} THEN 'N' ELSE "RESINT" END AS r FROM deg),
-b AS (SELECT * REPLACE (CASE WHEN w AND {OLD_LICENCE} THEN 'CP' WHEN w AND d = 'N' AND r = 'O' AND (i IS NULL OR i <> '') AND t IN ('10', '20')
-  THEN CASE t WHEN '10' THEN 'CP' ELSE 'EP' END WHEN w AND t = 'CC' AND "TYP_DIPR" = 'XA' AND r = 'O' THEN 'CP' ELSE t END AS t) FROM a)
-SELECT k, t AS "TYP_DIPINT", r AS "RESINT", CASE WHEN w AND d = 'O' AND r = 'O' AND NOT {miss('t')} AND NOT {miss('i')} THEN 'N' ELSE d END
-  AS "RESDIP" FROM b""", ["deg"])
+@query("r17_outcome_consistency", f'WITH {OUTCOMES} SELECT k, t AS "TYP_DIPINT", r AS "RESINT", d AS "RESDIP" FROM o7', ["deg"])
 def r17_consistency(spark, sf):
-    return correct.outcome_consistency(deg(spark, sf)).select("k", "TYP_DIPINT", "RESINT", "RESDIP")
+    return outcomes(spark, sf).select("k", "TYP_DIPINT", "RESINT", "RESDIP")
 
 
 @query("r18_units_as_establishments", """
@@ -343,33 +363,29 @@ SELECT k, CASE WHEN "COMPOS" = '0753364Z' THEN "COMPOS" ELSE "ETABLI" END AS "ET
   CASE WHEN "COMPOS" = '0753364Z' THEN "COMPOS" ELSE "ETABLI" END AS "ETABLI_ORI_UAI" FROM deg""", ["deg"])
 def r18(spark, sf):
     df = deg(spark, sf).withColumn("ETABLI_ORI_UAI", F.col("ETABLI"))
-    unit = F.col("COMPOS")
-    out = R.assign_where(df, unit.isin(*correct.UNITS_AS_ESTABLISHMENTS), {"ETABLI": unit, "ETABLI_ORI_UAI": unit})
-    return out.select("k", "ETABLI", "ETABLI_ORI_UAI")
+    return correct.units_as_establishments(df).select("k", "ETABLI", "ETABLI_ORI_UAI")
+
 
 
 @query("r19_private_flags", f"""
 SELECT k, CASE WHEN "SOURCE" = 'priv' AND {blank('"PAR_TYPE"')} THEN '1' ELSE "FLAG_MEEF" END AS "FLAG_MEEF",
-  CASE WHEN "SOURCE" = 'priv' AND {blank('"PAR_TYPE"')} THEN '0' END AS "EFF_SS_ESPE" FROM deg""", ["deg"])
+  CASE WHEN "SOURCE" = 'priv' AND {blank('"PAR_TYPE"')} THEN 0 END AS "EFF_SS_ESPE" FROM deg""", ["deg"])
 def r19(spark, sf):
-    from ..functions.nulls import is_blank
+    df = deg(spark, sf).withColumn("ID_PAYSAGE_FORMENS", F.col("PAR_TYPE"))
+    return correct.private_flags(df).select("k", "FLAG_MEEF", "EFF_SS_ESPE")
 
-    cond = (F.col("SOURCE") == "priv") & is_blank("PAR_TYPE")
-    return R.assign_where(deg(spark, sf), cond, {"FLAG_MEEF": "1", "EFF_SS_ESPE": "0"}).select("k", "FLAG_MEEF", "EFF_SS_ESPE")
 
 
-@query("r20_literal_overrides", """
+@query("r20_literal_overrides", f"""
 SELECT k, CASE "COMPOS" WHEN '0011312W' THEN '0694121E' WHEN '0133479L' THEN '0131844J' END AS "UR",
   CASE WHEN "BAC" IN ('0037', '0031') THEN '7' WHEN "BAC" = 'ES' THEN '2' ELSE "BAC_RGRP" END AS "BAC_RGRP",
-  CASE WHEN CAST("RENTREE" AS INT) < 2012 THEN '99' ELSE "ACABAC" END AS "PCSPAR2" FROM deg""", ["deg"])
+  CASE WHEN {blank('"FR_ETR"')} THEN '9' ELSE "FR_ETR" END AS "SITUPRE", CASE WHEN "NATION" IN ('600', '900', '993', '996', '998', '$') THEN '999' ELSE "NATION" END AS "NATION",
+  CASE WHEN CAST("RENTREE" AS INT) - 5 BETWEEN 2004 AND 2008 THEN '99' ELSE "ACABAC" END AS "PCSPAR2" FROM deg""", ["deg"])
 def r20(spark, sf):
-    bac, compos = F.col("BAC"), F.col("COMPOS")
-    df = deg(spark, sf).withColumn("PCSPAR2", F.col("ACABAC"))
-    df = R.assign_steps(df, [
-        (compos == "0011312W", {"UR": "0694121E"}), (compos == "0133479L", {"UR": "0131844J"}),
-        (bac.isin("0037", "0031"), {"BAC_RGRP": "7"}), (bac == "ES", {"BAC_RGRP": "2"}),
-        (F.col("RENTREE").cast("int") < 2012, {"PCSPAR2": "99"})])
-    return df.select("k", "UR", "BAC_RGRP", "PCSPAR2")
+    """Years are moved back by five, so some are the years of the second occupation's rule."""
+    df = deg(spark, sf).withColumns({
+        "PCSPAR2": F.col("ACABAC"), "SITUPRE": F.col("FR_ETR"), "RENTREE": (F.col("RENTREE").cast("int") - 5).cast("string")})
+    return correct.origin_codes(correct.parent_unit(df)).select("k", "UR", "BAC_RGRP", "SITUPRE", "NATION", "PCSPAR2")
 
 
 @query("r21_private_cycles", """
@@ -383,27 +399,25 @@ def r21(spark, sf):
 @query("r22_blank_intermediate_columns", """
 SELECT k, CASE WHEN c THEN '' ELSE "TYP_DIPINT" END AS "TYP_DIPINT", CASE WHEN c THEN '' ELSE "DIPINT" END AS "DIPINT",
   CASE WHEN c THEN '' ELSE "CURSUS_LMD_INT" END AS "CURSUS_LMD_INT", CASE WHEN c THEN '' ELSE "SECTINT" END AS "SECTINT",
-  CASE WHEN c THEN 0 ELSE n END AS n FROM (SELECT *, coalesce("RESDIP" = 'O' AND "RESINT" IN ('N', 'X'), FALSE) AS c, h1 AS n FROM deg)""", ["deg"])
+  CASE WHEN c THEN '' ELSE "DISCIPLINT" END AS "DISCIPLINT", CASE WHEN c THEN '' ELSE "BAC" END AS "GROUPINT",
+  CASE WHEN c THEN '' ELSE "LMDDONTBIS_INT" END AS "LMDDONTBIS_INT",
+  CASE WHEN c THEN 0 ELSE h1 END AS "EFFECTIF_INT" FROM (SELECT *, coalesce("RESDIP" = 'O' AND "RESINT" IN ('N', 'X'), FALSE) AS c FROM deg)""", ["deg"])
 def r22(spark, sf):
-    df = deg(spark, sf).withColumn("n", F.col("h1"))
-    cond = (F.col("RESDIP") == "O") & F.col("RESINT").isin("N", "X")
-    cols = ["TYP_DIPINT", "DIPINT", "CURSUS_LMD_INT", "SECTINT"]
-    return R.assign_where(df, cond, {"n": 0, **{c: "" for c in cols}}).select("k", *cols, "n")
+    df = deg(spark, sf).withColumns({"EFFECTIF_INT": F.col("h1"), "GROUPINT": F.col("BAC")})
+    return correct.blank_intermediate(df).select("k", *correct.INTERMEDIATE_COLUMNS, "EFFECTIF_INT")
 
 
 @query("r23_engineers_and_doctoral_schools", """
-WITH a AS (SELECT *, coalesce("SOURCE" = 'inge' AND "RESDIP" = 'O' AND "DIPLOM" = '6000361' AND "TYP_DIPL" = '99', FALSE) AS e FROM deg),
+WITH a AS (SELECT * REPLACE (CASE WHEN "TYP_DIPL" = 'UT' THEN 'JD' ELSE "TYP_DIPL" END AS "TYP_DIPL"),
+  coalesce("SOURCE" = 'inge' AND "RESDIP" = 'O' AND "DIPLOM" = '6000361' AND "TYP_DIPL" = '99', FALSE) AS e FROM deg),
 b AS (SELECT k, CASE WHEN e THEN 'M' ELSE "CURSUS_LMDR" END AS c, CASE WHEN e THEN '16' ELSE "SECTDIS" END AS s,
-  CASE WHEN e THEN 'FI' ELSE "TYP_DIPL" END AS t, "ID_PAYSAGE_ED" AS ed FROM a)
-SELECT k, s AS "SECTDIS", t AS "TYP_DIPL", CASE WHEN c <> 'D' THEN '' ELSE ed END AS "ID_PAYSAGE_ED",
-  CASE WHEN t = 'UT' AND c = 'L' THEN 'M' ELSE c END AS "CURSUS_LMDR" FROM b""", ["deg"])
+  CASE WHEN e THEN '15' ELSE "DISCIPLI" END AS di, CASE WHEN e THEN 'FI' ELSE "TYP_DIPL" END AS t, "ID_PAYSAGE_ED" AS ed FROM a)
+SELECT k, s AS "SECTDIS", di AS "DISCIPLI", t AS "TYP_DIPL", CASE WHEN c IS NULL OR c <> 'D' THEN '' ELSE ed END AS "ID_PAYSAGE_ED",
+  CASE WHEN t = 'JD' AND c = 'L' THEN 'M' ELSE c END AS "CURSUS_LMDR" FROM b""", ["deg"])
 def r23(spark, sf):
-    s, is_ = F.col("SOURCE"), lambda c, v: F.col(c) == v
-    engineer = (s == "inge") & is_("RESDIP", "O") & is_("DIPLOM", "6000361") & is_("TYP_DIPL", "99")
-    df = R.assign_where(deg(spark, sf), engineer, {"CURSUS_LMDR": "M", "SECTDIS": "16", "TYP_DIPL": "FI"})
-    df = R.assign_where(df, F.col("CURSUS_LMDR") != "D", {"ID_PAYSAGE_ED": ""})
-    df = R.assign_where(df, is_("TYP_DIPL", "UT") & is_("CURSUS_LMDR", "L"), {"CURSUS_LMDR": "M"})
-    return df.select("k", "SECTDIS", "TYP_DIPL", "ID_PAYSAGE_ED", "CURSUS_LMDR")
+    kind = F.when(F.col("TYP_DIPL") == "UT", "JD").otherwise(F.col("TYP_DIPL"))
+    df = correct.doctoral_schools(correct.engineers(deg(spark, sf).withColumn("TYP_DIPL", kind)))
+    return df.select("k", "SECTDIS", "DISCIPLI", "TYP_DIPL", "ID_PAYSAGE_ED", "CURSUS_LMDR")
 
 
 @query("r24_swap_double_award", """
@@ -417,14 +431,12 @@ def r24(spark, sf):
 
 
 @query("r25_commune_of_unit", """
-SELECT k, CASE WHEN "COMINS" = substr("COMPOS", 1, 5) AND NOT coalesce("COMPOS" IN ('0011312W'), FALSE) THEN ''
+SELECT k, CASE WHEN "COMINS" = substr("COMPOS", 1, 5) AND NOT coalesce(ui IN ('9730224F'), FALSE) THEN ''
   WHEN "COMINS" IS NULL OR "COMINS" <> '' THEN "COMINS" ELSE "DEPBAC" END AS "COMUI"
-FROM (SELECT k, "COMPOS", "DEPBAC", CASE WHEN h3 % 5 = 0 THEN substr("COMPOS", 1, 5) ELSE "COMINS" END AS "COMINS" FROM deg)""", ["deg"])
+FROM (SELECT k, "COMPOS", "DEPBAC", CASE WHEN h1 % 4 = 0 THEN '9730224F' ELSE "COMPOS" END AS ui,
+  CASE WHEN h3 % 5 = 0 THEN substr("COMPOS", 1, 5) ELSE "COMINS" END AS "COMINS" FROM deg)""", ["deg"])
 def r25(spark, sf):
-    head = F.substring("COMPOS", 1, 5)
-    df = deg(spark, sf).withColumns({"COMINS": F.when(F.col("h3") % 5 == 0, head).otherwise(F.col("COMINS")), "COMUI": F.col("DEPBAC")})
-    not_listed = ~F.coalesce(F.col("COMPOS").isin("0011312W"), F.lit(False))
-    out = R.assign_steps(df, [
-        (F.col("COMINS").isNull() | (F.col("COMINS") != ""), {"COMUI": F.col("COMINS")}),
-        ((F.col("COMINS") == head) & not_listed, {"COMUI": ""})])
-    return out.select("k", "COMUI")
+    df = deg(spark, sf).withColumns({
+        "COMINS": F.when(F.col("h3") % 5 == 0, F.substring("COMPOS", 1, 5)).otherwise(F.col("COMINS")), "COMUI": F.col("DEPBAC"),
+        "UI": F.when(F.col("h1") % 4 == 0, "9730224F").otherwise(F.col("COMPOS"))})
+    return correct.commune_of_unit(df).select("k", "COMUI")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..functions.nulls import cut_at, norm_text
+from ..operators.rules import year_bounds
 from ..sources.maps import map_to_rows
 from .base import miss, query, table, view
 
@@ -146,13 +147,14 @@ def c16(spark, sf):
 @query("c17_year_range", """
 WITH r AS (SELECT cust, CASE WHEN cust % 4 = 0 THEN '' ELSE CAST(min(y) AS VARCHAR) END AS lo,
   CAST(max(y) AS VARCHAR) AS hi FROM ord GROUP BY cust),
-s AS (SELECT cust, CASE WHEN lo = '' THEN 2015 ELSE CAST(lo AS BIGINT) END AS a,
-  CASE WHEN lo = '' THEN 2021 ELSE CAST(hi AS BIGINT) END AS b FROM r)
+s AS (SELECT cust, CASE WHEN lo = '' THEN (SELECT min(y) FROM ord) ELSE CAST(lo AS BIGINT) END AS a,
+  CASE WHEN lo = '' THEN (SELECT max(y) FROM ord) ELSE CAST(hi AS BIGINT) END AS b FROM r)
 SELECT cust, CAST(unnest(generate_series(a, b)) AS VARCHAR) AS year FROM s""", ["ord"])
 def c17(spark, sf):
-    ranges = view(spark, sf, "ord").groupBy("cust").agg(F.min("y").alias("lo"), F.max("y").alias("hi"))
+    orders = view(spark, sf, "ord")
+    ranges = orders.groupBy("cust").agg(F.min("y").alias("lo"), F.max("y").alias("hi"))
     start = F.when(F.col("cust") % 4 == 0, F.lit("")).otherwise(F.col("lo").cast("string"))
-    return ranges.select("cust", F.explode(S.year_range(start, F.col("hi").cast("string"))).alias("year"))
+    return ranges.select("cust", F.explode(S.year_range(start, F.col("hi").cast("string"), *year_bounds(orders, "y"))).alias("year"))
 
 
 @query("c18_flatten_lists", """

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -34,14 +34,10 @@ def build_session(app: str = "palmares", master: str | None = None, **conf) -> S
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for written intermediates, on storage every executor can reach.
 
-    The parent is the cluster's ``spark.checkpoint.dir`` when set. Only a local
-    session (tests) falls back to a temporary folder of this machine.
+    The parent is the cluster's ``spark.checkpoint.dir``, else its warehouse folder. The
+    folder is removed when the session's JVM ends: results may be read until then.
     """
-    import uuid
-
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-    return tempfile.mkdtemp(prefix=f"{name}-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return path.toString()

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # Numeric columns of the raw and of the corrected facts.
 RAW_INTS = ("ANBAC", "ANETAB", "ANINSC", "ANNAIS", "DUREE", "DUREER", "DUREER2", "EFFECTIF", "FLAG_EPE", "NBACH", "NET")
@@ -29,19 +29,9 @@ RAW_COLUMNS = (
 # Sources whose files carry an intermediate degree.
 INTERMEDIATE_SOURCES = ("result", "ens", "inge", "priv")
 
-# Entry years for which a source's file has the column. In one table over all
-# sources an absent column is a NULL, so rules that mean "column absent" need this.
-PRESENT = {
-    "ACABAC": {"result": (2015, 2021), "ens": (2016, 2021), "inge": (2015, 2021), "priv": (2015, 2021)},
-    "CONV": {"result": (2017, 2019), "ens": (2017, 2019), "inge": (2018, 2019)},
-    "DEPBAC": {"result": (2015, 2019), "ens": (2015, 2019), "inge": (2017, 2019), "priv": (2015, 2019)},
-    "DEPRESPA": {"result": (2015, 2021), "ens": (2015, 2021), "inge": (2015, 2021), "priv": (2015, 2021)},
-    "NIVEAUR": {
-        "result": (2015, 2021), "ens": (2015, 2021), "inge": (2015, 2021), "priv": (2015, 2021),
-        "mana": (2021, 2021), "enq": (2021, 2021), "culture": (2021, 2021),
-    },
-    "RESDIP": {"result": (2015, 2021), "ens": (2016, 2021), "inge": (2018, 2021), "priv": (2015, 2021)},
-}
+# Column of the facts that lists the columns of the file a row came from. In one table over all
+# sources an absent column is a NULL like any other, so rules that mean "column absent" read it.
+FILE_COLUMNS = "FILE_COLUMNS"
 
 
 def contract(columns: Iterable[str], ints: Iterable[str] = RAW_INTS) -> T.StructType:
@@ -53,16 +43,18 @@ def raw_contract(columns: Iterable[str] = RAW_COLUMNS) -> T.StructType:
     return contract(columns, RAW_INTS)
 
 
-def corrected_contract(columns: Iterable[str]) -> T.StructType:
-    return contract(columns, CORRECTED_INTS)
-
-
 def has_intermediate(source: str = "SOURCE") -> Column:
     """Does the row come from a source with intermediate degrees?"""
     return F.coalesce(F.col(source).isin(*INTERMEDIATE_SOURCES), F.lit(False))
 
 
-def file_has(col: str, source: str = "SOURCE", year: str = "RENTREE") -> Column:
-    """Did the file of the row's (source, year) have this column?"""
-    files = [f"{name}{y}" for name, (first, last) in PRESENT[col].items() for y in range(first, last + 1)]
-    return F.coalesce(F.concat(F.col(source), F.col(year)).isin(*files), F.lit(False))
+def with_file_columns(df: DataFrame) -> DataFrame:
+    """Note the columns of a file on its rows; facts that have the note keep it."""
+    if FILE_COLUMNS in df.columns:
+        return df
+    return df.withColumn(FILE_COLUMNS, F.array(*[F.lit(c) for c in sorted(df.columns)]))
+
+
+def file_has(col: str) -> Column:
+    """Did the file of the row have this column?"""
+    return F.coalesce(F.array_contains(FILE_COLUMNS, col), F.lit(False))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.nulls import norm_text
 from ..operators.schema import conform, sort_columns, upper_names
+from .contracts import with_file_columns
 
 PARTITIONS = ("SOURCE", "RENTREE")
 
@@ -27,8 +28,8 @@ def normalise_landing(df: DataFrame) -> DataFrame:
 
 
 def land(spark: SparkSession, path: str, source: str, year: int, contract: T.StructType) -> DataFrame:
-    """One landed file, normalised, brought to the common contract and tagged."""
-    df = conform(normalise_landing(spark.read.parquet(path)), contract)
+    """One landed file, normalised, brought to the common contract and tagged, with the names of its own columns."""
+    df = conform(with_file_columns(normalise_landing(spark.read.parquet(path))), contract)
     return df.withColumns({"SOURCE": F.lit(source), "RENTREE": F.lit(str(year))})
 
 

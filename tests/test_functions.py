@@ -64,6 +64,6 @@ def test_breadcrumb(frame):
 
 def test_year_range(frame):
     df = frame([("2016", "2018"), ("", ""), (None, None), ("2019", "2018")], "a string, b string")
-    got = [r.v for r in df.select(S.year_range("a", "b").alias("v")).collect()]
+    got = [r.v for r in df.select(S.year_range("a", "b", 2015, 2021).alias("v")).collect()]
     every = [str(y) for y in range(2015, 2022)]
     assert got == [["2016", "2017", "2018"], every, every, []]

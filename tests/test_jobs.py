@@ -3,14 +3,17 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from conftest import values
+from palmares.functions.nulls import is_missing, pd_ne
+from palmares.operators import derive, rules
 from palmares.operators.lookups import small_table
 from palmares.plans import correct, ingest, publish, verify
+from palmares.plans.correct import _all, _is, _source
 from palmares.queries import published as P
 from palmares.sources.catalogue import catalogue, fact_path, landing_name, missing_partitions, sources_of
-from palmares.sources.contracts import RAW_COLUMNS, RAW_INTS, contract
+from palmares.sources.contracts import FILE_COLUMNS, RAW_COLUMNS, RAW_INTS, contract, file_has, has_intermediate
 from palmares.sources.facts import normalise_landing, read_fact, write_fact
 from palmares.sources.opendata import read_open_csv, write_open_csv
 from palmares.sources.sheets import read_sheet_folder, read_sheets, write_sheets
@@ -20,11 +23,93 @@ SF = "/root/testdata/sf0.001"
 
 def raw(spark, rows):
     cols = ["SOURCE", "RENTREE", *RAW_COLUMNS]
-    schema = contract(cols, RAW_INTS)
-    return small_table(spark, [tuple(r.get(c) for c in cols) for r in rows], schema)
+    schema = contract(cols, RAW_INTS).add(FILE_COLUMNS, T.ArrayType(T.StringType()))
+    return small_table(spark, [(*(r.get(c) for c in cols), [c for c in RAW_COLUMNS if c not in r.get("ABSENT", ())]) for r in rows], schema)
 
 
 # Outcomes --------------------------------------------------------------------
+# The five steps one by one, as the rules state them: what ``correct.outcomes`` must equal.
+
+
+def outcome_defaults(df: DataFrame) -> DataFrame:
+    """Files without outcome columns hold awarded final degrees only."""
+    return rules.assign_where(df, ~file_has("RESDIP"), {"RESDIP": "O", "RESINT": "N"})
+
+
+def read_time_recodes(df: DataFrame) -> DataFrame:
+    """Private-sector intermediate types, one discipline, blank intermediate outcome.
+
+    The steps cannot feed each other (a row that gets a type has an outcome already), so
+    all of them read the incoming row.
+    """
+    private = _all(_source("priv"), _is("RESINT", "O"), _is("RESDIP", "N"), _is("NIVEAUR", "02"), is_missing("TYP_DIPINT"))
+    discipline = _all(_source("result"), _is("DIPINT", "5000770"), _is("SECTINT", "07"))
+    return df.withColumns({
+        "TYP_DIPINT": F.when(private & _is("TYP_DIPR", "XA"), F.lit("CP")).when(private & _is("TYP_DIPR", "XB"), F.lit("EP"))
+        .otherwise(F.col("TYP_DIPINT")),
+        "DISCIPLINT": F.when(discipline, F.lit("11")).otherwise(F.col("DISCIPLINT")),
+        "RESINT": F.when(has_intermediate() & is_missing("RESINT") & is_missing("TYP_DIPINT"), F.lit("N"))
+        .otherwise(F.col("RESINT")),
+    })
+
+
+def code_outcomes(df: DataFrame) -> DataFrame:
+    """How each source states the final and the intermediate outcome."""
+    inter = is_missing("DIPINT")
+    schools, outside = _source("inge"), _source("mana", "enq", "culture")
+    final = (F.when(schools & pd_ne("RESDIP", "N"), F.lit("O"))
+             .when(_source("ens"), F.when(inter, F.lit("O")).otherwise(F.lit("N")))
+             .when(outside, F.lit("O")).otherwise(F.col("RESDIP")))
+    middle = (F.when(_source("ens"), F.when(inter, F.lit("N")).otherwise(F.lit("O")))
+              .when(outside, F.lit("")).otherwise(F.col("RESINT")))
+    flag = F.when(_source("inge", "ens", "mana", "enq", "culture"), F.lit("0")).otherwise(F.col("FLAG_MEEF"))
+    return df.withColumns({"RESDIP": final, "RESINT": middle, "FLAG_MEEF": flag})
+
+
+def _old_licence() -> Column:
+    return _all(_is("RESINT", "O"), _is("TYP_DIPR", "XA"), _is("TYP_DIPINT", "01", "10", "CC", "XA"), _is("NIVEAUR", "02"))
+
+
+def intermediate_types(df: DataFrame) -> DataFrame:
+    """Intermediate type recodes that precede the text clean-up.
+
+    No recode writes a type that another one tests, so one CASE over the incoming row holds
+    them all.
+    """
+    final = has_intermediate() & _is("RESDIP", "O")
+    kind = derive.last_wins(F.col("TYP_DIPINT"), [
+        (final & _is("TYP_DIPINT", "10"), "CP"),
+        (final & _is("TYP_DIPINT", "20"), "EP"),
+        (final & is_missing("TYP_DIPINT") & _is("TYP_DIPL", "PE"), "CZ"),
+        (has_intermediate() & _old_licence(), "CP"),
+    ])
+    return df.withColumn("TYP_DIPINT", kind)
+
+
+def outcome_consistency(df: DataFrame) -> DataFrame:
+    """Agreement of outcomes and intermediate type, after the text clean-up.
+
+    The outcome changes only where the type is missing, the type only where it is not, and
+    the last step asks for a type: all three read the incoming row.
+    """
+    both = has_intermediate()
+    middle_only = both & _is("RESDIP", "N") & _is("RESINT", "O") & pd_ne("DIPINT", "")
+    awarded_twice = _all(both, _is("RESDIP", "O"), _is("RESINT", "O"), ~is_missing("TYP_DIPINT"), ~is_missing("DIPINT"))
+    return df.withColumns({
+        "TYP_DIPINT": derive.last_wins(F.col("TYP_DIPINT"), [
+            (both & _old_licence(), "CP"),
+            (middle_only & _is("TYP_DIPINT", "10"), "CP"),
+            (middle_only & _is("TYP_DIPINT", "20"), "EP"),
+            (both & _is("TYP_DIPINT", "CC") & _is("TYP_DIPR", "XA") & _is("RESINT", "O"), "CP"),
+        ]),
+        "RESINT": F.when(both & pd_ne("RESINT", "N") & is_missing("TYP_DIPINT"), F.lit("N")).otherwise(F.col("RESINT")),
+        "RESDIP": F.when(awarded_twice, F.lit("N")).otherwise(F.col("RESDIP")),
+    })
+
+
+def double_counted_engineers() -> Column:
+    """Engineering schools, 2020: two degrees of two schools counted elsewhere."""
+    return _all(correct.double_counted_codes(), is_missing("DIPINT"), is_missing("TYP_DIPINT"), ~is_missing("LMDDONT_INT"))
 
 
 def test_one_projection_equals_the_chain_of_steps(spark):
@@ -35,12 +120,12 @@ def test_one_projection_equals_the_chain_of_steps(spark):
         "RESDIP": [None, "", "O", "N", "X"], "RESINT": [None, "", "O", "N", "X", "O"], "TYP_DIPL": ["PE", "XA", ""],
         "TYP_DIPR": ["XA", "XB", "PE", "1"], "TYP_DIPINT": [None, "", "nan", "10", "20", "1", "01", "CC", "XA", "EP"],
         "NIVEAUR": ["02", "01", None], "DIPINT": [None, "", "5000770", "8"], "SECTINT": ["07", None], "DISCIPLINT": ["12", None],
-        "FLAG_MEEF": ["1", None],
+        "FLAG_MEEF": ["1", None], "ABSENT": [(), (), ("RESDIP",)],
     }
     rows = [{"IDETU": str(i), **{c: rng.choice(v) for c, v in pools.items()}} for i in range(6000)]
     df = correct.clean_text(raw(spark, rows))
-    chain = correct.code_outcomes(correct.read_time_recodes(correct.outcome_defaults(df)))
-    chain = correct.outcome_consistency(correct.intermediate_types(chain))
+    chain = code_outcomes(read_time_recodes(outcome_defaults(df)))
+    chain = outcome_consistency(intermediate_types(chain))
     cols = ["IDETU", "RESDIP", "RESINT", "TYP_DIPINT", "DISCIPLINT", "FLAG_MEEF"]
     step = {r.IDETU: tuple(r) for r in chain.select(*cols).collect()}
     once = {r.IDETU: tuple(r) for r in correct.outcomes(df).select(*cols).collect()}
@@ -57,7 +142,7 @@ def test_suppression_in_short_form_equals_the_full_one(spark):
     df = df.withColumns({"RENTREE": F.lit("2020"), "DIPINT": F.col("TYP_DIPINT")})
     blank = (F.col("RESDIP") == "O") & F.col("RESINT").isin("N", "X")
     df = df.withColumns({c: F.when(blank, "").otherwise(F.col(c)) for c in ("TYP_DIPINT", "DIPINT")})
-    assert df.filter(correct.double_counted_codes() != correct.double_counted_engineers()).count() == 0
+    assert df.filter(correct.double_counted_codes() != double_counted_engineers()).count() == 0
 
 
 # Correction ------------------------------------------------------------------
@@ -68,9 +153,9 @@ BASE = {"DIPLOMR": "2217000", "COMPOSR": "0755555A", "ETABLI": "0750001A", "SECT
 RAW = [
     {**BASE, "IDETU": "A", "SOURCE": "result", "RENTREE": "2019", "SECTDISR": "2A"},
     {**BASE, "IDETU": "A2", "SOURCE": "result", "RENTREE": "2019", "SECTDISR": "2A"},
-    {**BASE, "IDETU": "B", "SOURCE": "priv", "RENTREE": "2020", "RESDIP": "N", "RESINT": "O", "TYP_DIPR": "XB", "NIVEAUR": "02", "TYP_DIPINT": ""},
+    {**BASE, "IDETU": "B", "SOURCE": "priv", "RENTREE": "2020", "RESDIP": "N", "RESINT": "O", "TYP_DIPR": "XB", "NIVEAUR": "02", "TYP_DIPINT": "", "ABSENT": ("DEPBAC", "CONV")},
     {**BASE, "IDETU": "C", "SOURCE": "culture", "RENTREE": "2019", "RESDIP": None, "RESINT": None, "NIVEAUR": None, "BAC": None, "BAC_RGRP": None,
-     "ANBAC": None, "NATION": "", "DEPBAC": None, "ACABAC": None},
+     "ANBAC": None, "NATION": "", "DEPBAC": None, "ACABAC": None, "ABSENT": ("RESDIP", "NIVEAUR", "DEPBAC", "ACABAC", "DEPRESPA", "CONV")},
     {**BASE, "IDETU": "D", "SOURCE": "result", "RENTREE": "2019", "FLAG_DIP": "1"},
     {**BASE, "IDETU": "E", "SOURCE": "result", "RENTREE": "2019", "RESDIP": "N"},
     {**BASE, "IDETU": "F", "SOURCE": "result", "RENTREE": "2019", "DIPLOMR": "None", "TYP_DIPR": "99", "DIPINT": "nan"},
@@ -143,7 +228,7 @@ def test_rows_that_leave(corrected):
            "TYP_DIPINT": "", "LMDDONTBIS_INT": "", "EFFECTIF_R": 1, "EFFECTIF_INT": 0, "EFFECTIF_TOT": 1, "MOBINTERN": "X", "NATION_VRAI": "F",
            "UE_27": 1, "UE_EURO": 0, "ID_PAYSAGE_ED": "", "SESSION": "2020", "ANNEE_UNIVERSITAIRE": "2019-20", "SPECIUT": "AUTRES", "REGIME": "99"}),
     ("B", {"RESDIP": "N", "RESINT": "O", "TYP_DIPINT": "EP", "CURSUS_LMD_INT": "M", "EFFECTIF_R": 0, "EFFECTIF_INT": 1, "FLAG_MEEF": "1",
-           "EFF_SS_ESPE": "0", "ID_PAYSAGE": "", "RATTACH": "0755555A", "COMINS": "", "COMUI": "", "DEPBAC": "", "PROXBAC": "5 - NR"}),
+           "EFF_SS_ESPE": 0, "ID_PAYSAGE": "", "RATTACH": "0755555A", "COMINS": "", "COMUI": "", "DEPBAC": "", "PROXBAC": "5 - NR"}),
     ("C", {"RESDIP": "O", "RESINT": "", "NIVEAU": "07", "BAC": "9999", "BAC_RGRP": "7", "NATION": "999", "RETARD": "X", "AVANCE": "X",
            "PROXBAC": "9 - non-bachelier", "OUTREMER": "non-bachelier", "DNDU_INT": "", "TYP_DIPINT": "", "FLAG_MEEF": "0", "AGE_BAC": ""}),
     ("H", {"CURSUS_LMDR": "M", "SECTDIS": "16", "DISCIPLI": "15", "TYP_DIPL": "FI"}),
@@ -226,7 +311,7 @@ def test_landing_writes_only_what_is_missing(spark, tmp_path):
     assert ingest.land_missing(spark, landing, root, years=[2015], columns=("ANBAC", "BAC", "SEXE", "NBACH")) == 4
     got = read_fact(spark, root, ["ens"], [2015])
     assert values(got, "ANBAC", "BAC", "SEXE", "NBACH", "RENTREE") == [(2015, "x", "", None, "2015")]
-    assert ingest.land_missing(spark, landing, root, present=read_fact(spark, root), years=[2015]) == 0
+    assert ingest.land_missing(spark, landing, root, years=[2015]) == 0
     with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
         ingest.land_missing(spark, landing, root, years=[2016])
 

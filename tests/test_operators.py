@@ -3,7 +3,8 @@ from pyspark.sql import functions as F
 
 from conftest import values
 from palmares.operators import aggregate as A, filters as flt, lookups as L, quality as Q, schema as P
-from palmares.sources.contracts import contract, file_has, raw_contract
+from palmares.operators.rules import expand_years
+from palmares.sources.contracts import contract, file_has, raw_contract, with_file_columns
 
 
 # Schema ---------------------------------------------------------------------
@@ -44,8 +45,11 @@ def test_swap_columns_is_one_projection(frame):
 
 
 def test_presence_of_columns_by_file(frame):
-    df = frame([("inge", "2017"), ("inge", "2018"), ("mana", "2020"), ("ens", "2015"), (None, "2018")], "SOURCE string, RENTREE string")
-    assert [r.v for r in df.select(file_has("RESDIP").alias("v")).collect()] == [False, True, False, False, False]
+    one = with_file_columns(frame([("x",)], "RESDIP string")).withColumn("SOURCE", F.lit("a"))
+    two = with_file_columns(frame([("y",)], "CONV string")).withColumn("SOURCE", F.lit("b"))
+    df = one.unionByName(two, allowMissingColumns=True).unionByName(frame([(None,)], "SOURCE string"), allowMissingColumns=True)
+    assert [r.v for r in df.select(file_has("RESDIP").alias("v")).collect()] == [True, False, False]
+    assert with_file_columns(df).columns == df.columns
     assert {f.dataType.simpleString() for f in raw_contract()} == {"string", "bigint"}
 
 
@@ -107,27 +111,39 @@ def test_null_safe_lookup(frame):
     assert (3, "N") in values(out, "i", "v")
 
 
-def test_salted_form_equals_broadcast_form(spark, frame):
-    """A key with a third of all rows goes over several tasks; the result is the same."""
+def test_shuffled_form_equals_broadcast_form(spark, frame):
+    """A key with a third of all rows, in both forms; a lookup costs the facts one shuffle and reads them once."""
     fact = spark.range(0, 3000, 1, 6).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 7 = 0 THEN NULL ELSE concat('k', id % 50) END AS k")
     dim = frame([("hot", "H")] + [(f"k{i}", f"v{i}") for i in range(0, 50, 2)], "k string, v string")
     small = L.left_lookup(fact, dim, "k", ["v"])
-    salted = L.left_lookup(fact, dim, "k", ["v"], limit=0, hot_rows=500, salts=4)
-    assert values(small, "id", "k", "v") == values(salted, "id", "k", "v")
-    assert salted.count() == 3000
-    plan = salted._jdf.queryExecution().optimizedPlan().toString()
-    assert "__salt" in plan and "pmod(SPARK_PARTITION_ID(), 4)" in plan
-    spread = L._salted_join(fact, dim.toDF("__k0", "v"), ["k"], ["__k0"], False, 500, 4)
-    assert spread.filter("k = 'hot'").count() == 1000
+    large = L.left_lookup(fact, dim, "k", ["v"], limit=0)
+    assert values(small, "id", "k", "v") == values(large, "id", "k", "v") and large.count() == 3000
+    chained = L.left_lookup(large.withColumnRenamed("v", "w"), dim, {"w": "k"}, ["v"], limit=0)
+    plan = chained._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 2 and plan.count("Range (") == 1
 
 
 def test_size_check_decides_the_broadcast(spark, frame):
     big = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").select("o_orderkey")
-    assert L.estimated_bytes(frame([(1,)], "a int")) < 1000 < L.estimated_bytes(big)
+    assert L.checked_bytes(frame([(1,)], "a int")) < 1000 < L.checked_bytes(big)
     hinted = L.bounded(big, limit=10)._jdf.queryExecution().logical().toString()
     assert "UnresolvedHint" not in hinted and "ResolvedHint" not in hinted
 
 
+def test_size_check_counts_what_an_estimate_cannot_know(spark, frame):
+    """A small sheet that expands past the limit is not broadcast; a short list made from a large table is."""
+    fact = frame([("E1", "2015")], "e string, y string")
+    sheet = frame([(f"E{i}", "LONG", "", "") for i in range(50)], "IN string, OUT string, RENTREE_START string, RENTREE_END string")
+    wide = expand_years(sheet, 1000, 1999)
+    assert L.estimated_bytes(wide) < 100_000 < L.checked_bytes(wide)
+    def plan(dim, on):
+        return L.left_lookup(fact, dim, on, {"OUT": "o"}, limit=100_000)._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" not in plan(wide, {"e": "IN", "y": "RENTREE"})
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    few = lines.groupBy(F.col("l_returnflag").alias("IN")).agg(F.max("l_linestatus").alias("OUT"))
+    assert L.checked_bytes(few) < 1000 and "strategy=broadcast" in plan(few, {"e": "IN"})
+
+
 def test_tiered_lookup_order(frame):
     dim = frame([("a", "inscri", "2"), ("a", "result", "1"), ("b", "inscri", "3"), ("c", "other", "4")], "k string, t string, v string")
     out = L.tiered_lookup(frame([("a",), ("b",), ("c",)], "k string"), dim, ["k"], "v", "t", ["result", "inscri"])

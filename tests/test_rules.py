@@ -118,7 +118,7 @@ def test_sheet_bound(frame):
 def test_replace_by_key_needs_length(frame):
     df = frame([("2016", "E1"), ("2016", "E2"), ("2016", "E3")], "RENTREE string, e string")
     sheet = frame([("E1", "LONG", "2015", "2017"), ("E2", "abc", "", "")], "IN string, OUT string, RENTREE_START string, RENTREE_END string")
-    out = R.replace_by_key(df, R.expand_years(sheet), {"RENTREE": "RENTREE", "e": "IN"}, "e")
+    out = R.replace_by_key(df, R.expand_years(sheet, *R.year_bounds(df)), {"RENTREE": "RENTREE", "e": "IN"}, "e")
     assert values(out, "e") == [("E2",), ("E3",), ("LONG",)]
 
 
