@@ -60,12 +60,12 @@ def cuts(data: np.ndarray, reach: int = REACH, longest: int = LONGEST) -> np.nda
 
 
 def chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows (doc_id, d1, d2, again, at, bytes, words): the chunks of every whole text, in UTF-8 bytes; 128-bit digests as two longs.
+    """Rows (doc_id, row_hash, d1, d2, again, at, bytes, words): the chunks of every whole text, in UTF-8 bytes; 128-bit digests as two longs.
 
-    ``again`` marks a chunk that stands further up in its text as well.
+    ``row_hash`` is Spark's xxhash64 of the text and tells rows of one id apart. ``again`` marks a chunk that stands further up in its text as well.
     """
     kind = docs.schema[doc_id].dataType.simpleString()
-    names = ["doc_id", "d1", "d2", "again", "at", "bytes", "words"]
+    names = ["doc_id", "row_hash", "d1", "d2", "again", "at", "bytes", "words"]
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_128_digest
@@ -87,7 +87,7 @@ def chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
                 count = np.concatenate([[0], np.cumsum(begins)])
                 n = len(ends)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([b.column(0)[row].as_py()] * n, b.column(0).type), pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(again, pa.bool_()),
+                    pa.array([b.column(0)[row].as_py()] * n, b.column(0).type), pa.array([b.column(2)[row].as_py()] * n, pa.int64()), pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(again, pa.bool_()),
                     pa.array(starts.astype(np.int64)), pa.array((ends - starts).astype(np.int32)), pa.array((count[ends] - count[starts]).astype(np.int32))], names=names)
 
     def merged(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,8 +101,8 @@ def chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
         if held:
             yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
-    narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("binary").alias("text"))
-    return narrow.mapInArrow(merged, f"doc_id {kind}, d1 long, d2 long, again boolean, at long, bytes int, words int")
+    narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("binary").alias("text"), F.xxhash64(text).alias("row_hash"))
+    return narrow.mapInArrow(merged, f"doc_id {kind}, row_hash long, d1 long, d2 long, again boolean, at long, bytes int, words int")
 
 
 def _runs(parts: Column, min_words: int) -> Column:
@@ -120,30 +120,31 @@ def _runs(parts: Column, min_words: int) -> Column:
 
 
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows (doc_id, spans, repeated_words, removed_words): documents with stretches that stand elsewhere too.
+    """Rows (doc_id, row_hash, spans, repeated_words, removed_words): documents with stretches that stand elsewhere too.
 
     A stretch is a row of neighbouring chunks of which each occurs twice or more in the table, with at least ``min_words``
     words. ``spans`` has (at, bytes, words, first); ``first`` marks a stretch all of whose chunks have their first
     occurrence (least doc_id, then place) there: it stays, the others are the copies. Null or empty texts have none;
-    documents without stretches give no row; rows that repeat an id are one document, copies of each other.
+    documents without stretches give no row. Rows that repeat an id and a text give one row, of stretches that repeat each other;
+    with the same id, other texts are other documents.
     """
     cut = written(chunks(docs, doc_id, text), "chunks")
     counted = cut.groupBy("d1", "d2").agg(F.count("*").alias("n"), F.min("doc_id").alias("least")).where("n > 1")
     found = cut.join(counted, ["d1", "d2"])
     first = F.col("doc_id").eqNullSafe(F.col("least")) & ~F.col("again")
-    parts = found.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("at", "bytes", "words", first.alias("first")))).alias("parts"))
-    spans = parts.select("doc_id", _runs(F.col("parts"), min_words).alias("spans")).where(F.size("spans") > 0)
+    parts = found.groupBy("doc_id", "row_hash").agg(F.array_sort(F.collect_set(F.struct("at", "bytes", "words", first.alias("first")))).alias("parts"))
+    spans = parts.select("doc_id", "row_hash", _runs(F.col("parts"), min_words).alias("spans")).where(F.size("spans") > 0)
     words = lambda kept: F.aggregate(F.filter("spans", kept), F.lit(0).cast("long"), lambda a, s: a + s["words"])
-    return spans.select("doc_id", "spans", words(lambda s: F.lit(True)).alias("repeated_words"), words(lambda s: ~s["first"]).alias("removed_words"))
+    return spans.select("doc_id", "row_hash", "spans", words(lambda s: F.lit(True)).alias("repeated_words"), words(lambda s: ~s["first"]).alias("removed_words"))
 
 
 def without_copies(docs: DataFrame, passages: DataFrame) -> DataFrame:
     """``docs`` with the copies (spans that are not first) cut out of ``text``; other columns and rows as they are."""
-    spans = passages.select(F.col("doc_id").alias("__id"), F.filter("spans", lambda s: ~s["first"]).alias("__spans")).where(F.size("__spans") > 0)
+    spans = passages.select(F.col("doc_id").alias("__id"), F.col("row_hash").alias("__hash"), F.filter("spans", lambda s: ~s["first"]).alias("__spans")).where(F.size("__spans") > 0)
     data = F.col("text").cast("binary")
     ends = F.concat(F.array(F.lit(0).cast("long")), F.transform("__spans", lambda s: s["at"] + s["bytes"]))
     starts = F.concat(F.transform("__spans", lambda s: s["at"]), F.array(F.octet_length("text").cast("long")))
     pieces = F.transform(F.arrays_zip(ends.alias("a"), starts.alias("b")), lambda p: F.substring(data, (p["a"] + 1).cast("int"), (p["b"] - p["a"]).cast("int")))
     cut = F.decode(F.aggregate(pieces, F.lit(b""), lambda a, p: F.concat(a, p)), "utf-8")
-    joined = docs.join(spans, docs["doc_id"] == spans["__id"], "left")
+    joined = docs.join(spans, docs["doc_id"].eqNullSafe(spans["__id"]) & (F.xxhash64(docs["text"]) == spans["__hash"]), "left")
     return joined.select(*[F.when(F.col("__spans").isNull(), docs["text"]).otherwise(cut).alias("text") if c == "text" else docs[c] for c in docs.columns])

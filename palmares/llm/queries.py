@@ -24,7 +24,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chunk_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+    return chunk_dedup.repeated_passages(table(spark, sf_dir, "documents")).drop("row_hash")
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

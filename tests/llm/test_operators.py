@@ -1,0 +1,523 @@
+"""The corpus operators against brute force, round trips and held-out labels."""
+
+import hashlib
+import itertools
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from palmares.llm import chat, chunk_dedup, components, decontam, language, licenses, packing, pii, queries, quality, simhash, toxicity
+
+SF = "/root/testdata/sf0.001"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def docs_of(spark, texts, ids=None):
+    rows = [(i if ids is None else ids[i], t, "en", "s", None if t is None else len(t)) for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, DOCS)
+
+
+def documents(spark, sf=SF):
+    return spark.read.parquet(f"{sf}/documents.parquet")
+
+
+def sentence(rng, n):
+    return " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 7))) for _ in range(n))
+
+
+def find(parent, x):
+    while parent[x] != x:
+        x = parent[x]
+    return x
+
+
+def least_reachable(nodes, pairs):
+    parent = {n: n for n in nodes}
+    for a, b in pairs:
+        a, b = find(parent, a), find(parent, b)
+        if a != b:
+            parent[max(a, b)] = min(a, b)
+    return {n: find(parent, n) for n in nodes}
+
+
+# Components and SimHash --------------------------------------------------------
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_components_equal_union_find(spark, seed):
+    rng = random.Random(seed)
+    edges = [(rng.randrange(80), rng.randrange(80)) for _ in range(50)] + [(100 + i, 101 + i) for i in range(25)] + [(7, 7)]
+    df = spark.createDataFrame([*edges, (None, 3)], "a long, b long")
+    linked = [e for e in edges if e[0] != e[1]]
+    want = least_reachable({n for e in linked for n in e}, linked)
+    got = {r.node: r.root for r in components.components(df, "a", "b").collect()}
+    assert got == want
+
+
+def test_components_of_nothing(spark):
+    assert components.components(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
+
+
+def slow_fingerprint(text, k=4):
+    words = re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    if not words:
+        return 0
+    parts = [" ".join(words[i : i + k]) for i in range(len(words) - k + 1)] or [" ".join(words)]
+    hashes = [xxhash.xxh64_intdigest(p.encode(), 42) for p in parts]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_simhash_query_equals_brute_force(spark):
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in queries.op8_simhash_near_dedup(spark, SF).collect()}
+    prints = {r.doc_id: slow_fingerprint(r.text) for r in documents(spark).collect()}
+    pairs = [(a, b) for a, b in itertools.combinations(prints, 2) if (prints[a] ^ prints[b]).bit_count() <= 4]
+    roots = least_reachable(prints, pairs)
+    assert got == {d: (f"{p:016x}", roots[d]) for d, p in prints.items()}
+
+
+def test_shards_lose_no_pair(spark):
+    """Links through many small shards against all pairs, with a dense ball of near fingerprints among random ones."""
+    rng = random.Random(5)
+    prints = [rng.getrandbits(64) for _ in range(1500)]
+    for _ in range(300):
+        p = rng.choice(prints)
+        for b in rng.sample(range(64), rng.randint(1, 5)):
+            p ^= 1 << b
+        prints.append(p)
+    prints += [prints[0] ^ sum(1 << b for b in rng.sample(range(64), 3)) for _ in range(300)]
+    prints = sorted({p - (1 << 64) if p >> 63 else p for p in prints})
+    df = spark.createDataFrame([(p,) for p in prints], "fp long")
+    edges = [(r.u, r.v) for r in simhash.hamming_links(df, 4, shard=100, sample=400).collect()]
+    own = np.array(prints, dtype=np.int64).view(np.uint64)
+    true = [(prints[i], prints[j]) for i in range(len(own)) for j in np.flatnonzero(np.bitwise_count(own[i + 1 :] ^ own[i]) <= 4) + i + 1]
+    assert least_reachable(prints, edges) == least_reachable(prints, true)
+
+
+def test_simhash_edges(spark):
+    long = " ".join(f"w{i}" for i in range(40_000))
+    df = docs_of(spark, [None, "", " \n", "One", "one", long, long], [5, 4, 9, 3, 2, 8, 7])
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(df).collect()}
+    assert got == {5: 4, 4: 4, 9: 4, 3: 2, 2: 2, 8: 7, 7: 7}
+    kept = simhash.one_of_each(df).collect()
+    assert sorted(r.doc_id for r in kept) == [2, 4, 7]
+    twice = df.union(df).withColumn("kept_id", F.lit(1)).withColumn("Kept_Rows", F.lit(2))
+    assert sorted(r.doc_id for r in simhash.one_of_each(twice).collect()) == [2, 4, 7]
+    nameless = df.union(docs_of(spark, ["a b c", "a b c"], [None, None]))
+    assert simhash.one_of_each(nameless).count() == 5
+
+
+# Toxicity ------------------------------------------------------------------------
+
+
+def test_automaton_equals_edit_distance():
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            new = [i]
+            for j, y in enumerate(b, 1):
+                new.append(min(new[-1] + 1, row[j] + 1, row[j - 1] + (x != y)))
+            row = new
+        return row[-1]
+
+    rng = random.Random(2)
+    terms = [("abcab", 3.0, False), ("bbcca", 2.0, False), ("abc", 1.0, False), ("cabcab", 2.5, False), ("ccab", 1.5, True)]
+    for edits in (0, 1, 2):
+        trie = toxicity.Trie(terms, edits)
+        for _ in range(600):
+            w = "".join(rng.choice("abc") for _ in range(rng.randint(0, 8)))
+            fits = [(distance(w, t), -s, t) for t, s, stem in terms if not stem and distance(w, t) <= (edits if len(t) > 4 else 0)]
+            if w.startswith("ccab"):
+                fits.append((0, -1.5, "ccab"))
+            best = min(fits, default=None)
+            got = trie.search(w)
+            assert (got and (got[2], -got[1])) == (best and best[:2]), (w, edits)
+
+
+def test_quotation_lowers_and_misspelling_is_met():
+    model = toxicity.Model([("idiot", 5.0, False)], {}, slope=(0.0, 1.0))
+    s = toxicity.Scorer(model)
+    plain, quoted, missp, clean = (s.evidence(t)[0] for t in ("you idiot there", 'they wrote "idiot" there', "you idi0t!! there", "the idea is fine"))
+    assert plain == 5 and quoted == 5 * model.quoted and missp == 5 * model.misspelt and clean == 0
+
+
+def test_toxicity_on_held_out_rows(spark):
+    sf = "/root/testdata/sf0.01"
+    got = queries.op1_toxicity(spark, sf)
+    assert got.columns == ["doc_id", "held_out", "score", "predicted"] and got.count() == 1000
+    rows = got.join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out").collect()
+    hit = sum(r.predicted == 1 == r.toxic for r in rows)
+    assert hit >= 0.6 * sum(r.toxic for r in rows) and hit >= 0.9 * sum(r.predicted for r in rows)
+
+
+def test_toxicity_edges(spark):
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(6)] + [(3, None, None), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    df = docs_of(spark, [None, "", "x " * 50_000, "good day", "bad day", "bad day"]).union(docs_of(spark, ["x"], [None]))
+    rows = toxicity.toxicity(df.withColumn("score", F.lit("a")).withColumn("LABEL", F.lit(1)), labels).collect()
+    assert len(rows) == 7 and all(0 <= r.score <= 1 and r.held_out is not None for r in rows)
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert toxicity.toxicity(df, none).count() == 7 and toxicity.toxicity(df.limit(0), none).count() == 0
+
+
+# Substring dedup -----------------------------------------------------------------
+
+
+def test_gear_in_steps_equals_the_rolling_form():
+    data = np.frombuffer(random.Random(1).randbytes(500), dtype=np.uint8)
+    h, want = 0, []
+    for b in data:
+        h = (2 * h + int(chunk_dedup._GEAR[b])) & 0xFFFF
+        want.append(h)
+    assert chunk_dedup.gear(data).tolist() == want
+
+
+def test_cuts_do_not_depend_on_what_stands_before():
+    rng = random.Random(3)
+    text = sentence(rng, 300).encode()
+    a, b = (chunk_dedup.cuts(np.frombuffer(p + text, dtype=np.uint8)) - len(p) for p in (b"", b"x" * 37 + "é".encode()))
+    shared = set(a.tolist()) & set(b.tolist())
+    assert len(shared) >= 0.95 * len(a) and len(a) > 20
+    whole = sentence(rng, 40_000).encode() * 40
+    ends = chunk_dedup.cuts(np.frombuffer(whole, dtype=np.uint8))
+    assert ends[-1] == len(whole) and (np.diff(ends) > 0).all() and np.diff(ends).max() <= chunk_dedup.LONGEST
+
+
+def test_repeated_passages(spark):
+    rng = random.Random(4)
+    passage = sentence(rng, 60)
+    texts = [sentence(rng, 80) + " " + passage + " " + sentence(rng, 5 + i) for i in range(3)] + [sentence(rng, 200), None, "", "a" * 20_000, passage + "\nüö " + passage]
+    rows = {r.doc_id: r for r in chunk_dedup.repeated_passages(docs_of(spark, texts)).collect()}
+    assert set(rows) == {0, 1, 2, 7}
+    for i, r in rows.items():
+        for s in r.spans:
+            piece = texts[i].encode()[s["at"] : s["at"] + s["bytes"]].decode()
+            assert sum(t.count(piece) for t in texts if t) > 1 and s["words"] >= chunk_dedup.MIN_WORDS
+    assert rows[0].removed_words == 0 and all(rows[i].removed_words > 30 for i in (1, 2, 7))
+    df = docs_of(spark, texts)
+    cut = {r.doc_id: r.text for r in chunk_dedup.without_copies(df, chunk_dedup.repeated_passages(df)).collect()}
+    assert cut[0] == texts[0] and cut[3] == texts[3] and cut[4] is None and len(cut[1]) < len(texts[1]) - 150
+
+
+def test_passages_of_the_corpus_are_found(spark):
+    got = {r.doc_id for r in queries.op2_substring_dedup(spark, SF).collect()}
+    where, texts = defaultdict(set), {r.doc_id: r.text for r in documents(spark).collect()}
+    for i, t in texts.items():
+        w = t.split(" ")
+        for k in range(len(w) - 50):
+            where[" ".join(w[k : k + 51])].add(i)
+    want = {i for ids in where.values() if len(ids) > 1 for i in ids}
+    assert want <= got
+
+
+def test_dedup_edges(spark):
+    empty = docs_of(spark, []).limit(0)
+    assert chunk_dedup.repeated_passages(empty).count() == 0
+    text = sentence(random.Random(1), 90)
+    same = docs_of(spark, [text, text], [None, None]).withColumn("D1", F.lit(1)).withColumn("again", F.lit(1))
+    assert chunk_dedup.repeated_passages(same).count() == 1
+
+
+# Quality -------------------------------------------------------------------------
+
+
+def slow_repeats(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", text)
+    seen = Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
+    return len({j for i in range(len(w) - 4) if seen[tuple(w[i : i + 5])] > 1 for j in range(i, i + 5)})
+
+
+def test_measures(spark):
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice("abc") for _ in range(rng.randint(0, 40))) for _ in range(200)] + ["a b c d e\n\na b c d e\n \nx#$ é", None, "", "w " * 30_000, "a\tb\x0bc\x0c\r"]
+    got = [r.m for r in docs_of(spark, texts).select("doc_id", quality.measures(F.col("text")).alias("m")).orderBy("doc_id").collect()]
+    for t, m in zip(texts, got):
+        t = t or ""
+        words = re.findall(r"[^\x20\x09-\x0D]+", t)
+        lines = [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        want = (len(words), sum(map(len, words)), sum(t.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), slow_repeats(t))
+        assert (m.n_words, m.word_chars, m.n_symbols, m.n_dup_lines, m.n_repeat_words) == want
+
+
+def test_binomial_tail(spark):
+    from math import comb
+
+    cases = [(10, 0, 0.1), (10, 3, 0.1), (50, 2, 0.05), (1000, 30, 0.05), (0, 0, 0.05)]
+    for n, k, p in cases:
+        got = spark.range(1).select(quality.tail(F.lit(n).cast("long"), F.lit(k).cast("long"), p).alias("p")).first().p
+        assert got == pytest.approx(sum(comb(n, j) * p**j * (1 - p) ** (n - j) for j in range(k + 1)), rel=1e-9)
+
+
+def test_quality_edges(spark):
+    labels = spark.createDataFrame([(0, 1, 0), (0, 0, 0), (1, None, 0)], "doc_id long, quality int, toxic int")
+    df = docs_of(spark, ["a b c d e f g h i j k", None, "", "z " * 20]).withColumn("M", F.lit(1)).withColumn("n_words", F.lit("x"))
+    df = df.union(df.where("doc_id = 0").withColumn("lang", F.lit(None).cast("string")))
+    rows = quality.quality_rules(df, labels).collect()
+    assert sorted((r.doc_id, r.base_failed, r.kept) for r in rows) == [(0, False, True), (0, False, True), (1, True, False), (2, True, False), (3, True, False)]
+    assert quality.quality_rules(df.limit(0), labels.limit(0)).count() == 0
+
+
+def test_cutoffs_hold_on_new_good_rows(spark):
+    """Rates of false rejection of each stratum on half of the good rows that the cutoffs have not seen."""
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    seen = labels.where(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0)
+    new = labels.join(seen, "doc_id", "left_anti").where("quality = 1")
+    got = quality.quality_rules(documents(spark, sf), seen).join(new, "doc_id").where("not base_failed").groupBy("stratum").agg(F.avg((~F.col("kept")).cast("int")).alias("p"), F.count("*").alias("n")).collect()
+    assert got and all(r.p <= quality.RISK + 2 * (quality.RISK / r.n) ** 0.5 for r in got)
+
+
+# Language ------------------------------------------------------------------------
+
+
+def test_language_follows_the_text(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = documents(spark, sf)
+    wrong = docs.withColumn("lang", F.when(F.col("doc_id") % 10 == 3, "de").otherwise(F.col("lang")))
+    got = language.identify(wrong, declared=wrong["lang"], host=wrong["source"]).join(docs, "doc_id").where("length(text) > 200")
+    rate = got.agg(F.avg((F.col("language") == F.col("lang")).cast("int")).alias("r"), F.avg(F.col("kept").cast("int")).alias("k")).first()
+    assert rate.r > 0.97 and rate.k > 0.97
+
+
+def test_language_sources_of_evidence(spark):
+    pages = spark.createDataFrame([("https://a.example.de/x", '<html class="x" lang="de-AT">'), ("http://b.fr:80", "<html>"), ("nohost", None)], "url string, html string")
+    got = pages.select(language.suffix_of(F.col("url")).alias("s"), language.markup_language(F.col("html")).alias("m")).collect()
+    assert [tuple(r) for r in got] == [("de", "de"), ("fr", None), (None, None)]
+
+
+def test_language_edges(spark):
+    base = documents(spark).select("doc_id", "text", "lang", "source", "n_chars")
+    odd = base.union(docs_of(spark, [None, "", "123 456", "x " * 100_000], [9001, 9002, 9003, 9004])).union(spark.createDataFrame([(None, "Haan the of and", None, None, 1)], DOCS))
+    odd = odd.withColumn("LL", F.lit(1)).withColumn("letters", F.lit(2))
+    rows = {r.doc_id: r for r in language.identify(odd, declared=odd["lang"], host=odd["source"]).collect()}
+    assert len(rows) == base.count() + 5 and [rows[i].reason for i in (9001, 9002, 9003)] == ["empty"] * 3
+    kept = language.accepted(odd, declared=odd["lang"], host=odd["source"])
+    assert kept.columns == odd.columns and not {9001, 9002, 9003} & {r.doc_id for r in kept.collect()}
+    none = odd.limit(0)
+    assert language.identify(none, declared=none["lang"]).count() == 0 and language.accepted(none).count() == 0
+
+
+# Chat ------------------------------------------------------------------------------
+
+
+def test_layouts_become_the_same_turns(spark):
+    turns = [("system", "be [kind]"), ("user", "a & <b>"), ("assistant", "</s>[INST] ok [/INST] &lt; <|end|>\n")]
+    texts = [t for _, t in turns]
+    import json
+
+    records = [
+        {"messages": [{"role": r, "content": t} for r, t in turns]},
+        {"system": texts[0], "instruction": texts[1], "output": texts[2]},
+        {"conversations": [{"from": {"user": "human", "assistant": "gpt"}.get(r, r), "value": t} for r, t in turns]},
+    ]
+    df = spark.createDataFrame([(json.dumps(r),) for r in records] + [('{"other": 1}',), ("no json",), (None,), ('{"messages": []}',)], "record string")
+    out = chat.format_chats(df).select("formatted", chat.parse_turns(F.col("formatted")).alias("turns"), chat.learned_text(F.col("segments")).alias("learned")).collect()
+    assert len({r.formatted for r in out[:3]}) == 1 and [(t.role, t.text) for t in out[0].turns] == turns
+    assert out[0].learned == texts[2] and "[INST]" not in out[0].formatted
+    assert [r.formatted for r in out[3:]] == [None, None, None, ""]
+
+
+def test_fingerprint_ignores_value_types(spark):
+    df = spark.createDataFrame([('{"a":{"b":1},"c":[{"d":"x"}]}',), ('{"c":[{"d":null}],"a":{"b":"STRING: ARRAY"}}',), ('{"a":1,"c":[]}',)], "j string")
+    marks = [r.m for r in df.select(chat.schema_fingerprint(F.parse_json("j")).alias("m")).collect()]
+    assert marks[0] == marks[1] == hashlib.sha256(chat.skeleton({"a": {"b": None}, "c": [{"d": None}]}).encode()).hexdigest() != marks[2]
+
+
+def test_chat_edges(spark):
+    rows = spark.createDataFrame([(1, 0, "user", None), (1, 0, "user", None), (1, None, None, "x"), (None, 1, "assistant", "é" * 50_000), (2, 1, "tool", "t")], "conv_id long, turn long, role string, text string")
+    got = {r.conv_id: r for r in chat.format_chats(chat.records_of(rows)).select("conv_id", chat.parse_turns(F.col("formatted")).alias("t"), chat.learned_text(F.col("segments")).alias("l")).collect()}
+    assert [tuple(t) for t in got[1].t] == [("", "x"), ("user", ""), ("user", "")] and len(got[None].l) == 50_000 and [tuple(t) for t in got[2].t] == [("tool", "t")]
+    assert chat.format_chats(chat.records_of(rows.limit(0))).count() == 0
+
+
+# Packing ----------------------------------------------------------------------------
+
+
+def slow_best_fit(lengths, caps):
+    bins, left = [], sum(lengths)
+    for n in lengths:
+        open_ = [(b["cap"] - b["used"], k) for k, b in enumerate(bins) if b["cap"] - b["used"] >= n]
+        if open_:
+            room = min(open_)[0]
+            k = min((b["since"], k) for (r, k) in open_ for b in [bins[k]] if r == room)[1]
+        else:
+            cap = min((c for c in caps if c >= n), key=lambda c: (packing.cost(c) / min(c, left), c))
+            bins.append({"cap": cap, "used": 0, "since": 0, "has": []})
+            k = len(bins) - 1
+        bins[k]["used"] += n
+        bins[k]["since"] = sum(len(b["has"]) for b in bins)
+        bins[k]["has"].append(n)
+        left -= n
+    return sorted((min(c for c in caps if c >= b["used"]), tuple(b["has"])) for b in bins)
+
+
+def test_best_fit_equals_the_slow_form():
+    rng = random.Random(8)
+    for _ in range(60):
+        lengths = sorted((rng.randint(1, 64) for _ in range(rng.randint(0, 50))), reverse=True)
+        caps = [16, 32, 64]
+        bins, offsets, sizes = packing.best_fit(lengths, caps)
+        has = defaultdict(list)
+        for n, b, o in zip(lengths, bins, offsets):
+            assert o == sum(has[b])
+            has[b].append(n)
+        assert sorted((sizes[b], tuple(v)) for b, v in has.items()) == slow_best_fit(lengths, caps)
+
+
+def test_packing_loses_nothing(spark):
+    df = docs_of(spark, ["a " * 10_000, "b", None, "", "c d", "c d", "c d"], [1, 2, 3, 4, 5, 5, None]).withColumn("piece", F.lit(1)).withColumn("T", F.lit(1))
+    rows = packing.pack(df, shard=3).collect()
+    size = Counter()
+    for r in rows:
+        size[(r.doc_id, r.copy)] += r.n_tokens
+        assert r.offset + r.n_tokens <= r.capacity and r.capacity in packing.CAPACITIES
+    assert size == {(1, 0): 10_001, (2, 0): 2, (3, 0): 1, (4, 0): 1, (5, 0): 3, (5, 1): 3, (None, 0): 3}
+    spans = defaultdict(list)
+    for r in rows:
+        spans[(r.shard, r.bin)].append((r.offset, r.offset + r.n_tokens, r.capacity))
+    for s in spans.values():
+        s.sort()
+        assert s[0][0] == 0 and all(a[1] == b[0] for a, b in zip(s, s[1:])) and len({x[2] for x in s}) == 1
+        assert s[0][2] == min(c for c in packing.CAPACITIES if c >= s[-1][1])
+    assert packing.pack(df.limit(0)).count() == 0
+
+
+# Licences ----------------------------------------------------------------------------
+
+
+def slow_scan(text, templates, least):
+    w, out = licenses.normalise(text or ""), {}
+    for name, t in templates.items():
+        v = licenses.normalise(t)
+        grams = Counter(zip(v, v[1:]))
+        m, best = grams.total(), 0
+        size = min(m, len(w) - 1)
+        for a in range(0, len(w) - size):
+            best = max(best, (Counter(zip(w[a : a + size + 1], w[a + 1 : a + size + 1])) & grams).total())
+        if size > 0 and 2 * best / (size + m) >= least:
+            out[name] = 2 * best / (size + m)
+    return out
+
+
+def test_licence_scan_equals_all_windows(spark):
+    rng = random.Random(9)
+    texts = [r.text for r in documents(spark).orderBy("doc_id").limit(60).collect()]
+    for t in licenses.TEMPLATES.values():
+        w = t.split()
+        for _ in range(2):
+            for _ in range(rng.randint(0, 4)):
+                w[rng.randrange(len(w))] = "xx"
+            texts.append(sentence(rng, 30) + "\n# " + " ".join(w).upper() + "\n" + sentence(rng, 20))
+    texts += [None, "", "one", "Released under the MIT", "all rights " * 30]
+    got = defaultdict(dict)
+    for r in licenses.license_scan(docs_of(spark, texts)).collect():
+        got[r.doc_id][r.license] = r.dice
+    for i, t in enumerate(texts):
+        assert got[i] == pytest.approx(slow_scan(t, licenses.TEMPLATES, licenses.LEAST_DICE))
+    assert licenses.license_scan(docs_of(spark, ["x"]).limit(0)).count() == 0
+
+
+# Decontamination -----------------------------------------------------------------------
+
+
+def slow_leaks(texts, items, least=decontam.LEAST):
+    words = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
+    grams = lambda w: Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
+    out = {}
+    for j, item in items.items():
+        v = words(item)
+        b = grams(v)
+        for i, t in texts.items():
+            w, best = words(t), 0.0
+            if not b or not set(b) & set(grams(w)):
+                continue
+            for a in range(max(1, len(w) - len(v) + 1)):
+                g = grams(w[a : a + len(v)])
+                both = (g & b).total()
+                best = max(best, both / (g.total() + b.total() - both) if both else 0.0)
+            if best >= least:
+                out[(i, j)] = pytest.approx(best)
+    return out
+
+
+def test_decontamination_equals_brute_force(spark):
+    rng = random.Random(10)
+    texts = {r.doc_id: r.text for r in documents(spark).collect()}
+    items = {r.item_id: r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
+    items |= {900: sentence(rng, 60), 901: "too short an item", 902: None, 903: "so so so so so so so so", 904: sentence(rng, 12)}
+    changed = items[900].split()
+    changed[30] = "changed"
+    texts |= {10_000: "Before. " + " ".join(changed).title() + "!", 10_001: items[900][: len(items[900]) // 2], 10_002: None, 10_003: "", 10_004: "so " * 2000,
+              10_005: " ** ".join(items[904].split()), 10_006: " ".join(items[904].split()[:-1]), 10_007: sentence(rng, 30_000) + " " + items[904]}
+    df = spark.createDataFrame([(i, t, 1) for i, t in texts.items()], "doc_id long, text string, row int")
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    found = decontam.contaminated(df, bench)
+    assert {(r.doc_id, r.item_id): r.similarity for r in found.collect()} == slow_leaks(texts, items)
+    left = decontam.decontaminated(df, bench)
+    assert left.columns == df.columns and {r.doc_id for r in left.collect()} == set(texts) - {i for i, _ in slow_leaks(texts, items)}
+
+
+def test_decontamination_edges(spark):
+    item = "one two three four five six seven"
+    bench = spark.createDataFrame([(1, item), (2, item)], "item_id long, text string")
+    df = docs_of(spark, [item, item, "other"], [None, 4, 4]).withColumn("leak_id", F.lit(0)).withColumn("Hash", F.lit(0))
+    assert sorted((r.doc_id or 0, r.item_id) for r in decontam.contaminated(df, bench).collect()) == [(0, 1), (0, 2), (4, 1), (4, 2)]
+    assert [r.text for r in decontam.decontaminated(df, bench).collect()] == ["other"]
+    assert decontam.decontaminated(df, bench.limit(0)).count() == 3 and decontam.decontaminated(df.limit(0), bench).count() == 0
+
+
+# PII ---------------------------------------------------------------------------------------
+
+PRIVATE = {
+    "email": "jean.d-9@mail3.example.com", "ip": "83.229.25.121", "phone": "+1 (017) 555-7713", "card": "4952935900253052", "id": "123-45-6789",
+    "iban": "DE44 5001 0517 5407 3249 31", "secret": "04dbebab91ab85687d33eeaaf9ac699e1188f962",
+}
+
+
+def test_entities_are_replaced_in_their_format(spark):
+    texts = [f"see {v}, and {v.upper()}!!" for v in PRIVATE.values()] + ["Frau Anna Berg met Mr Jon, then Frau Anna Berg and Господин Иванов."]
+    out = [r.text for r in pii.pseudonymised(docs_of(spark, texts), "k", count="n").orderBy("doc_id").collect()]
+    for (kind, v), t, new in zip(PRIVATE.items(), texts, out):
+        a, b = re.fullmatch(r"see (.*), and (.*)!!", new).groups()
+        assert v.lower() not in new.lower() and b == a.upper(), (kind, new)
+        if kind != "ip":
+            assert re.sub(r"[a-z]", "a", re.sub(r"[A-Z]", "A", re.sub(r"\d", "9", a))).replace("9", "a" if kind == "secret" else "9") == \
+                re.sub(r"[a-z]", "a", re.sub(r"[A-Z]", "A", re.sub(r"\d", "9", v))).replace("9", "a" if kind == "secret" else "9")
+    names = re.fullmatch(r"Frau (\w+ \w+) met Mr (\w+), then Frau (\w+ \w+) and Господин (\w+)\.", out[-1]).groups()
+    assert names[0] == names[2] != "Anna Berg" and names[0].split()[0].endswith("a") and re.fullmatch("[А-Я][а-яё]+", names[3])
+    other = [r.text for r in pii.pseudonymised(docs_of(spark, texts), "other").orderBy("doc_id").collect()]
+    assert all(a != b for a, b in zip(out, other))
+
+
+def test_stand_ins_are_distinct(spark, monkeypatch):
+    """Entities of a kind with few possible stand-ins clash often and are drawn anew; more entities than stand-ins fail."""
+    found = spark.createDataFrame([("card", f"{i:03d}") for i in range(0, 500, 7)], "kind string, form string")
+    rows = pii.stand_ins(found, "k").collect()
+    made = {r.stand_in for r in rows}
+    assert len(made) == len(rows) == 72 and not made & {r.form for r in rows} and max(r.attempt for r in rows) > 0
+    monkeypatch.setattr(pii, "ROUNDS", 2)
+    with pytest.raises(ValueError, match="too few"):
+        pii.stand_ins(spark.createDataFrame([("id", str(i)) for i in range(10)], "kind string, form string"), "k")
+
+
+def test_redrawn_entities_are_the_same_everywhere(spark, monkeypatch):
+    real = pii.surrogate
+    monkeypatch.setattr(pii, "surrogate", lambda key, kind, form, attempt: F.when((kind == "ip") & (attempt == 0), F.lit("9.9.9.9")).otherwise(real(key, kind, form, attempt)))
+    df = docs_of(spark, ["a 10.1.1.1 b 10.2.2.2 c", "d 10.2.2.2 e", "f 10.3.3.3", "none", None])
+    out = [r.text for r in pii.pseudonymised(df.withColumn("redrawn_hash", F.lit(1)), "k").orderBy("doc_id").collect()]
+    one, two = re.fullmatch(r"a (\S+) b (\S+) c", out[0]).groups()
+    three = out[2].split()[1]
+    assert out[1] == f"d {two} e" and len({one, two, three}) == 3 and "10.2.2.2" not in out[1] and out[3:] == ["none", None]
+
+
+def test_pii_edges(spark):
+    texts = [None, "", "no entity 12 34", "mail a@b.co " * 3000, "v 1.2.3.4.5", "x" * 100_000]
+    df = docs_of(spark, texts).union(docs_of(spark, ["x@y.org", "x@y.org"], [None, None])).withColumn("N", F.lit(1)).withColumn("replaced", F.lit(2))
+    rows = pii.pseudonymised(df, "k", count="n_found").collect()
+    assert len(rows) == 8 and {r.doc_id: r.text for r in rows if r.doc_id in (0, 1, 2, 4, 5)} == {i: texts[i] for i in (0, 1, 2, 4, 5)}
+    big = next(r for r in rows if r.doc_id == 3)
+    assert big.n_found == 3000 and len(set(big.text.split(" "))) == 3 and len({r.text for r in rows if r.doc_id is None}) == 1
+    assert pii.pseudonymised(df.limit(0), "k").count() == 0
