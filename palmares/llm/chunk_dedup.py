@@ -130,9 +130,15 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, doc_id: str =
     """
     cut = written(chunks(docs, doc_id, text), "chunks")
     counted = cut.groupBy("d1", "d2").agg(F.count("*").alias("n"), F.min("doc_id").alias("least")).where("n > 1")
-    found = cut.join(counted, ["d1", "d2"])
-    first = F.col("doc_id").eqNullSafe(F.col("least")) & ~F.col("again")
-    parts = found.groupBy("doc_id", "row_hash").agg(F.array_sort(F.collect_set(F.struct("at", "bytes", "words", first.alias("first")))).alias("parts"))
+    # all chunks are shuffled here: two longs hold what is known of each besides its digest
+    place = F.shiftleft("at", 1).bitwiseOR(F.col("again").cast("long")).alias("place")
+    size = F.shiftleft(F.col("bytes").cast("long"), 32).bitwiseOR(F.col("words").cast("long")).alias("size")
+    found = cut.select("doc_id", "row_hash", "d1", "d2", place, size).join(counted, ["d1", "d2"])
+    first = F.col("doc_id").eqNullSafe(F.col("least")) & (F.col("place") % 2 == 0)
+    part = F.struct(
+        F.shiftright("place", 1).alias("at"), F.shiftright("size", 32).cast("int").alias("bytes"), F.col("size").bitwiseAND((1 << 32) - 1).cast("int").alias("words"),
+        first.alias("first"))
+    parts = found.groupBy("doc_id", "row_hash").agg(F.array_sort(F.collect_set(part)).alias("parts"))
     spans = parts.select("doc_id", "row_hash", _runs(F.col("parts"), min_words).alias("spans")).where(F.size("spans") > 0)
     words = lambda kept: F.aggregate(F.filter("spans", kept), F.lit(0).cast("long"), lambda a, s: a + s["words"])
     return spans.select("doc_id", "row_hash", "spans", words(lambda s: F.lit(True)).alias("repeated_words"), words(lambda s: ~s["first"]).alias("removed_words"))
