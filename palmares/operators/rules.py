@@ -15,6 +15,7 @@ itself. Three forms cover all sheets:
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -70,6 +71,19 @@ def sheet_records(sheet: DataFrame | Iterable[Mapping[str, str]], limit: int = S
     return [r.asDict() for r in rows]
 
 
+def all_records(sheets: Mapping[str, DataFrame], names: Iterable[str], limit: int = SHEET_ROWS) -> dict[str, list[dict[str, str]]]:
+    """``sheet_records`` of several sheets of texts, collected by one job."""
+    parts = [
+        sheets[n].limit(limit + 1).select(F.lit(n).alias("sheet"), F.to_json(F.struct(*sheets[n].columns), {"ignoreNullFields": "false"}).alias("row")) for n in names]
+    out: dict[str, list[dict[str, str]]] = {n: [] for n in names}
+    for r in reduce(DataFrame.union, parts).collect():
+        out[r.sheet].append(json.loads(r.row))
+    for name, rows in out.items():
+        if len(rows) > limit:
+            raise ValueError(f"rule sheet {name} holds over {limit} rows: use replace_by_key, which joins it")
+    return out
+
+
 # ---------------------------------------------------------------- compile and apply
 
 

@@ -43,6 +43,12 @@ RESULT_COLUMNS = {
     "SECTDISR": "SECTDIS", "COMPOSR": "COMPOS", "DISCIPLR": "DISCIPLI", "DIPLOMR": "DIPLOM", "CYCLER": "CYCLE",
     "GROUPER": "GROUPE", "NIVEAUR": "NIVEAU", "TYP_DIPR": "TYP_DIPL", "VOIER": "VOIE",
 }
+# Sheets whose rows become conditions of the plan; all are collected by one job.
+RULE_SHEETS = (
+    "COMINS", "COMETAB", "COMUI", "DEP_ACA_RESPA_CORRECTIF", "RESTE_DEPRESPA_CORRECTIF", "DEP_CORRECTIF", "ACA_CORRECTIF",
+    "FORMATIONS_CORRECTIF", "GROUPE_CORRECTIF",
+)
+Records = Mapping[str, list[dict[str, str]]]
 DELETE_SHAPES = (
     ("ETABLI_DIFFUSION", ("RENTREE", "ETABLI_DIFFUSION", "SOURCE")),
     ("ETABLI_ORI_UAI", ("RENTREE", "DIPLOM", "SOURCE", "ETABLI_ORI_UAI")),
@@ -284,16 +290,16 @@ def commune_of_unit(df: DataFrame) -> DataFrame:
     return df.withColumn("COMUI", unit)
 
 
-def communes(df: DataFrame, sheets: Mapping[str, DataFrame], unit_communes: DataFrame) -> DataFrame:
+def communes(df: DataFrame, records: Records, unit_communes: DataFrame) -> DataFrame:
     """Communes of registration, of the establishment and of the unit."""
     df = left_lookup(df, unit_communes, {"RENTREE": "RENTREE", "COMPOS": "UAI"}, {"COMCODE": "COMINS"})
-    df = rules.fold_rules(df, rules.commune_registration_rules(rules.sheet_records(sheets["COMINS"])), "COMINS")
+    df = rules.fold_rules(df, rules.commune_registration_rules(records["COMINS"]), "COMINS")
     seat = unit_communes.withColumn("__UAI", F.col("UAI"))
     df = left_lookup(df, seat, {"RENTREE": "RENTREE", "ETABLI": "UAI"}, {"COMCODE": "COMCODE", "__UAI": "UAI"})
     df = commune_of_establishment(df)
-    df = rules.fold_rules(df, rules.commune_establishment_rules(rules.sheet_records(sheets["COMETAB"])), "COMETAB")
+    df = rules.fold_rules(df, rules.commune_establishment_rules(records["COMETAB"]), "COMETAB")
     df = commune_of_unit(df)
-    by_unit = rules.wildcard_rules(rules.sheet_records(sheets["COMUI"]), "COMUI", ("COMPOS", "RENTREE"), any_word=None)
+    by_unit = rules.wildcard_rules(records["COMUI"], "COMUI", ("COMPOS", "RENTREE"), any_word=None)
     return rules.fold_rules(df, by_unit, "COMUI")
 
 
@@ -308,13 +314,13 @@ def origin_codes(df: DataFrame) -> DataFrame:
     })
 
 
-def origins(df: DataFrame, sheets: Mapping[str, DataFrame]) -> DataFrame:
+def origins(df: DataFrame, records: Records) -> DataFrame:
     """Departments and academies of origin, after the codes of origin."""
     df = origin_codes(df)
-    first = rules.year_rules(rules.sheet_records(sheets["DEP_ACA_RESPA_CORRECTIF"]))
-    first += rules.generic_rules(rules.sheet_records(sheets["RESTE_DEPRESPA_CORRECTIF"]))
-    departments = rules.sheet_records(sheets["DEP_CORRECTIF"])
-    academies = rules.sheet_records(sheets["ACA_CORRECTIF"])
+    first = rules.year_rules(records["DEP_ACA_RESPA_CORRECTIF"])
+    first += rules.generic_rules(records["RESTE_DEPRESPA_CORRECTIF"])
+    departments = records["DEP_CORRECTIF"]
+    academies = records["ACA_CORRECTIF"]
     df = rules.apply_rules(df, rules.compile_rules(first))
     for dep, aca in (("DEPBAC", "ACABAC"), ("DEPRESPA", "ACARESPA")):
         df = rules.apply_rules(df, rules.compile_rules(rules.generic_rules(departments, dep)))
@@ -336,12 +342,12 @@ def gate_matters(layers, dep: str) -> bool:
     return any(r.reads.get(dep, "000") == "000" for layer in layers for r in layer)
 
 
-def degrees(df: DataFrame, sheets: Mapping[str, DataFrame]) -> DataFrame:
+def degrees(df: DataFrame, sheets: Mapping[str, DataFrame], records: Records) -> DataFrame:
     """Degree codes: multi-column rules, padded codes, cycle by type and by degree, groups."""
     def pad(d: DataFrame) -> DataFrame:
         return d.withColumns({c: zero_pad(c) for c in PADDED_CODES})
 
-    df = rules.apply_rules(pad(df), rules.compile_rules(rules.formation_rules(rules.sheet_records(sheets["FORMATIONS_CORRECTIF"]))))
+    df = rules.apply_rules(pad(df), rules.compile_rules(rules.formation_rules(records["FORMATIONS_CORRECTIF"])))
     df = pad(df)
     df = add_nulls(df.withColumn("SECTDIS", recode("SECTDIS", MERGED_SECTORS)),
                    {"CURSUS_LMD": "string", "CURSUS_LMD_INT": "string"})
@@ -357,7 +363,7 @@ def degrees(df: DataFrame, sheets: Mapping[str, DataFrame]) -> DataFrame:
             (by_degree, {kind: "TYP_DIPL", "DIPLOM": "DIPLOM"}, None),
         ], cycle, "CURSUS_LMD_OUT")
     df = private_cycles(df)
-    groups = rules.generic_rules(rules.sheet_records(sheets["GROUPE_CORRECTIF"]))
+    groups = rules.generic_rules(records["GROUPE_CORRECTIF"])
     df = rules.apply_rules(df, rules.compile_rules(groups))
     return df.withColumn("REGIME", F.when(is_blank("REGIME"), F.lit("99")).otherwise(F.col("REGIME")))
 
@@ -458,8 +464,9 @@ def correct(df: DataFrame, sheets: Mapping[str, DataFrame], parents: DataFrame,
     years = rules.year_bounds(df)
     df = headcounts(result_side(drop_empty_results(df)))
     df = establishments(df, sheets, parents, years)
-    df = communes(df, sheets, unit_communes)
-    df = degrees(origins(df, sheets), sheets)
+    records = rules.all_records(sheets, RULE_SHEETS)
+    df = communes(df, records, unit_communes)
+    df = degrees(origins(df, records), sheets, records)
     return last_fixes(indicators(enrich(df, sheets), sheets)).drop(FILE_COLUMNS)
 
 

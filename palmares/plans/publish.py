@@ -101,6 +101,8 @@ LABELS = (
 )
 # Label lists of codes that are not published: offered by ``label`` on request.
 OTHER_LABELS = ("PROXBAC", "PROXREGBAC", "MOBILITE_INTERN", "NIVEAU")
+# Further roles of published lists, offered in the same way.
+OTHER_ROLES = {"DNDU_INT": ("DNDU", {"DN_DE": "DN_DE_INT", "DN_DE_LIB": "DN_DE_LIB_INT"})}
 PUBLISHED_KEYS = (
     "ANNEE_UNIVERSITAIRE", "ATTRAC_INTERN", "ATTRAC_INTERN_LIB", "BAC", "BAC_AGE_LIB", "BAC_LIB", "BAC_RGP",
     "CURSUS_LMD", "CURSUS_LMD_LIB", "CURSUS_LMD_INT", "CURSUS_LMD_LIB_INT", "DIPLOME", "DIPLOME_INT", "DIPLOME_LIB",
@@ -263,10 +265,14 @@ def star(df: DataFrame, sheets: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def label(df: DataFrame, sheets: Mapping[str, DataFrame], others: tuple[str, ...] = ()) -> DataFrame:
-    """Labels of the published codes; ``others`` adds every attribute of further lists."""
+    """Labels of the published codes; ``others`` adds every attribute of further lists, or a further role of a list."""
     for sheet, key, sheet_key, cols in LABELS:
         df = left_lookup(df, sheets[sheet], {key: sheet_key}, cols)
     for name in others:
+        if name in OTHER_ROLES:
+            sheet, cols = OTHER_ROLES[name]
+            df = left_lookup(df, sheets[sheet], {name: sheet}, cols)
+            continue
         extra = [c for c in sheets[name].columns if c != name]
         df = left_lookup(df, sheets[name], name, extra)
     return df.withColumn("SEXE_LIB", F.coalesce("SEXE_LIB", F.lit("Inconnu")))

@@ -160,6 +160,24 @@ def published_csv(spark, sf):
     return read_open_csv(spark, root)
 
 
+@query("l18_all_label_lists", f"""
+WITH f AS ({CORRECTED.replace('SELECT "SOURCE"', 'SELECT k, "SOURCE"', 1)}),
+c AS (SELECT f.* REPLACE (CASE "SEXE" WHEN '1' THEN 'M' WHEN '2' THEN 'F' ELSE "SEXE" END AS "SEXE"), "AVANCE" || "RETARD" AS "AVANCE_RETARD",
+  "NATION_VRAI" AS "ATTRAC_INTERN", "MOBINTERN" AS "MOBILITE_INTERN" FROM f)
+SELECT k, {label_sql()}, {', '.join(f"'lib ' || c.{chr(34)}{n}{chr(34)} AS {chr(34)}{n}_LIB{chr(34)}" for n in publish.OTHER_LABELS)},
+  CASE WHEN c."DNDU_INT" IN (SELECT "DNDU" FROM c) THEN 'DN_DE ' || c."DNDU_INT" END AS "DN_DE_INT",
+  CASE WHEN c."DNDU_INT" IN (SELECT "DNDU" FROM c) THEN 'DN_DE_LIB ' || c."DNDU_INT" END AS "DN_DE_LIB_INT" FROM c""", ["deg"])
+def all_label_lists(spark, sf):
+    """Every list in every role that ``label`` knows, those of unpublished codes included."""
+    names = [n for _, _, _, cols in publish.LABELS for n in cols.values()]
+    df = publish.publication_codes(corrected(spark, sf).withColumn("MOBILITE_INTERN", F.col("MOBINTERN"))).drop(*names)
+    sheets = reference_tables(spark, sf)
+    for name in publish.OTHER_LABELS:
+        sheets[name] = code_list(df, name, ["lib"]).withColumnRenamed("lib", f"{name}_LIB")
+    out = publish.label(df, sheets, (*publish.OTHER_LABELS, *publish.OTHER_ROLES))
+    return out.select("k", *names, *[f"{n}_LIB" for n in publish.OTHER_LABELS], "DN_DE_INT", "DN_DE_LIB_INT")
+
+
 @query("a1_full_code_cube", f"""
 WITH f AS ({CORRECTED}), g AS (SELECT f.*, "EFFECTIF_R" + "EFFECTIF_INT" AS "EFFECTIF_TOT", {', '.join(f"'' AS {chr(34)}{c}{chr(34)}" for c in CONSTANTS)} FROM f)
 SELECT {', '.join(f'"{k}"' for k in publish.CUBE_KEYS)}, CAST(sum("EFFECTIF_INT") AS BIGINT) AS "EFFECTIF_INT", CAST(sum("EFFECTIF_R") AS BIGINT) AS "EFFECTIF_R",
