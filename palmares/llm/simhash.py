@@ -213,7 +213,8 @@ def one_of_each(docs: DataFrame, shingle: int = 4, radius: int = 4, doc_id: str
     found = near_duplicates(docs, shingle, radius, doc_id, text)
     key, rows = free_name(docs, "kept_id"), free_name(docs, "kept_rows")
     keep = found.where("doc_id = component_id").groupBy(F.col("doc_id").alias(key)).agg(F.count("*").alias(rows))
-    keep = written(keep, "kept")
+    # most rows are kept, so their ids outgrow any broadcast: join by merge at every size, as large tables do
+    keep = written(keep, "kept").hint("merge")
     nameless = docs.where(F.col(doc_id).isNull())
     if keep.where(F.col(rows) > 1).isEmpty():
         return docs.join(keep, docs[doc_id] == keep[key], "left_semi").union(nameless)
