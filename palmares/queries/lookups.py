@@ -129,20 +129,21 @@ def l1(spark, sf):
     return L.coalesced_lookup(df, dim, {"nation": "code"}, "n_name", "parent", "name").select("k", "parent")
 
 
-TIERS = """(SELECT CAST(n_nationkey AS BIGINT) AS code, 'result' AS tier, 'R' || n_name AS id FROM nation WHERE n_nationkey % 3 = 0
-  UNION ALL SELECT CAST(n_nationkey AS BIGINT), 'inscri', 'I' || n_name FROM nation WHERE n_nationkey % 2 = 0)"""
+TIERS = """(SELECT CAST(n_nationkey AS BIGINT) AS code, 'result' AS tier, 'R' || n_name AS id FROM nation
+  UNION ALL SELECT CAST(n_nationkey + 10 AS BIGINT), 'inscri', 'I' || n_name FROM nation)"""
 
 
 @query("l2_tiered_lookup", f"""
 WITH t AS {TIERS}
-SELECT c.k, coalesce(a.id, b.id) AS id FROM cus c LEFT JOIN t a ON a.code = c.nation AND a.tier = 'result'
-LEFT JOIN t b ON b.code = c.nation AND b.tier = 'inscri'""", ["cus"])
+SELECT c.k, coalesce(a.id, b.id) AS id FROM cus c LEFT JOIN t a ON a.code = c.nation + c.k % 3 * 20 AND a.tier = 'result'
+LEFT JOIN t b ON b.code = c.nation + c.k % 3 * 20 AND b.tier = 'inscri'""", ["cus"])
 def l2(spark, sf):
     n = nations(spark, sf)
-    tiers = n.filter("code % 3 = 0").select(F.col("code").alias("nation"), F.lit("result").alias("tier"), F.concat(F.lit("R"), "n_name").alias("id"))
-    tiers = tiers.unionByName(n.filter("code % 2 = 0").select(
-        F.col("code").alias("nation"), F.lit("inscri").alias("tier"), F.concat(F.lit("I"), "n_name").alias("id")))
-    return L.tiered_lookup(view(spark, sf, "cus").select("k", "nation"), tiers, ["nation"], "id", "tier", ["result", "inscri"]).select("k", "id")
+    tiers = n.select(F.col("code").alias("nation"), F.lit("result").alias("tier"), F.concat(F.lit("R"), "n_name").alias("id"))
+    tiers = tiers.unionByName(n.select(
+        (F.col("code") + 10).alias("nation"), F.lit("inscri").alias("tier"), F.concat(F.lit("I"), "n_name").alias("id")))
+    df = view(spark, sf, "cus").select("k", (F.col("nation") + F.col("k") % 3 * 20).alias("nation"))
+    return L.tiered_lookup(df, tiers, ["nation"], "id", "tier", ["result", "inscri"]).select("k", "id")
 
 
 @query("l3_successor_entity", """
@@ -215,16 +216,16 @@ def l7(spark, sf):
 
 @query("l8_country_attributes", """
 WITH p AS (SELECT CAST(n_nationkey AS VARCHAR) AS pays, 'R' || n_regionkey AS continent, n_regionkey % 2 AS ue FROM nation
-  WHERE n_nationkey <> 7 UNION ALL SELECT '999', 'other', 0),
-c AS (SELECT k, CASE WHEN k % 6 <> 0 THEN CAST(nation AS VARCHAR) END AS nation FROM cus),
+  UNION ALL SELECT '999', 'other', 0),
+c AS (SELECT k, CASE WHEN k % 6 <> 0 THEN CAST(nation + k % 3 * 20 AS VARCHAR) END AS nation FROM cus),
 f AS (SELECT k, CASE WHEN nation IN (SELECT pays FROM p) THEN nation ELSE '999' END AS nation FROM c)
 SELECT f.k, f.nation, p.continent, CAST(p.ue AS BIGINT) AS ue FROM f LEFT JOIN p ON p.pays = f.nation""", ["cus"])
 def l8(spark, sf):
-    dim = nations(spark, sf).filter("code <> 7").select(
+    dim = nations(spark, sf).select(
         F.col("code").cast("string").alias("PAYS"), F.concat(F.lit("R"), F.col("region").cast("string")).alias("continent"),
         (F.col("region") % 2).cast("string").alias("ue"))
     dim = dim.unionByName(L.small_table(spark, [("999", "other", "0")], dim.schema))
-    df = view(spark, sf, "cus").select("k", F.when(F.col("k") % 6 != 0, F.col("nation").cast("string")).alias("nation"))
+    df = view(spark, sf, "cus").select("k", F.when(F.col("k") % 6 != 0, (F.col("nation") + F.col("k") % 3 * 20).cast("string")).alias("nation"))
     return L.country_lookup(df, dim, "nation", "PAYS", ["continent"], ["ue"])
 
 
@@ -255,13 +256,14 @@ def composite_lookup(name, outs):
     made = ", ".join(f"'{o}-' || min(prio) AS {o}" for o in outs)
 
     @query(name, f"""
-WITH d AS (SELECT y, cust, {made} FROM ord WHERE h1 % 3 = 0 GROUP BY y, cust)
-SELECT f.k, {picked} FROM ord f LEFT JOIN d ON d.y = f.y AND d.cust = f.cust""", ["ord"])
+WITH d AS (SELECT y, cust, {made} FROM ord GROUP BY y, cust)
+SELECT f.k, {picked} FROM ord f LEFT JOIN d ON d.y = f.y AND d.cust = f.cust + f.h1 % 2""", ["ord"])
     def run(spark, sf):
         df = view(spark, sf, "ord")
-        dim = df.filter("h1 % 3 = 0").groupBy("y", "cust").agg(F.min("prio").alias("m"))
+        dim = df.groupBy("y", "cust").agg(F.min("prio").alias("m"))
         dim = dim.select("y", "cust", *[F.concat(F.lit(f"{o}-"), "m").alias(o) for o in outs])
-        return L.left_lookup(df.select("k", "y", "cust"), dim, ["y", "cust"], outs).drop("y", "cust")
+        keyed = df.select("k", "y", (F.col("cust") + F.col("h1") % 2).alias("cust"))
+        return L.left_lookup(keyed, dim, ["y", "cust"], outs).drop("y", "cust")
 
     return run
 
@@ -270,43 +272,50 @@ l10 = composite_lookup("l10_technology_institute", ["iut", "campus", "pole"])
 l11 = composite_lookup("l11_engineering_school", ["ing", "ing_campus"])
 
 TYPES = """(SELECT typ, 'G' || typ AS lmd, CASE WHEN typ = 'DU' THEN 'DU' ELSE 'DN' END AS dndu
-  FROM (SELECT DISTINCT "TYP_DIPL" AS typ FROM deg WHERE "TYP_DIPL" <> 'XB'))"""
+  FROM (SELECT DISTINCT "TYP_DIPL" AS typ FROM deg WHERE "TYP_DIPL" IS NOT NULL))"""
+# every fifth final type is one that the list lacks
+SHIFTED = """(SELECT k, CASE WHEN k % 5 = 0 THEN "TYP_DIPL" || 'Q' ELSE "TYP_DIPL" END AS "TYP_DIPL", "TYP_DIPINT" FROM deg)"""
 
 
 def types(spark, sf):
-    d = view(spark, sf, "deg").filter(F.col("TYP_DIPL") != "XB").select(F.col("TYP_DIPL").alias("typ"))
+    d = view(spark, sf, "deg").filter(F.col("TYP_DIPL").isNotNull()).select(F.col("TYP_DIPL").alias("typ"))
     return d.select("typ", F.concat(F.lit("G"), "typ").alias("lmd"), F.when(F.col("typ") == "DU", "DU").otherwise("DN").alias("dndu"))
 
 
+def shifted(spark, sf):
+    typ = F.when(F.col("k") % 5 == 0, F.concat("TYP_DIPL", F.lit("Q"))).otherwise(F.col("TYP_DIPL"))
+    return view(spark, sf, "deg").select("k", typ.alias("TYP_DIPL"), "TYP_DIPINT")
+
+
 @query("l12_degree_group_two_roles", f"""
 WITH t AS {TYPES}
-SELECT d.k, a.lmd AS lmd, b.lmd AS lmd_int FROM deg d LEFT JOIN t a ON a.typ = d."TYP_DIPL" LEFT JOIN t b ON b.typ = d."TYP_DIPINT" """,
+SELECT d.k, a.lmd AS lmd, b.lmd AS lmd_int FROM {SHIFTED} d LEFT JOIN t a ON a.typ = d."TYP_DIPL" LEFT JOIN t b ON b.typ = d."TYP_DIPINT" """,
        ["deg"])
 def l12(spark, sf):
     roles = [({"TYP_DIPL": "typ"}, ["lmd"]), ({"TYP_DIPINT": "typ"}, {"lmd": "lmd_int"})]
-    return L.role_lookup(view(spark, sf, "deg"), types(spark, sf), roles).select("k", "lmd", "lmd_int")
+    return L.role_lookup(shifted(spark, sf), types(spark, sf), roles).select("k", "lmd", "lmd_int")
 
 
 @query("l13_certificate_flag_two_roles", f"""
 WITH t AS {TYPES}
 SELECT d.k, a.dndu AS dndu, CASE WHEN d."TYP_DIPINT" = '' THEN '' WHEN d."TYP_DIPINT" = 'DU' THEN b.dndu ELSE 'DN' END AS "DNDU_INT"
-FROM deg d LEFT JOIN t a ON a.typ = d."TYP_DIPL" LEFT JOIN t b ON b.typ = d."TYP_DIPINT" """, ["deg"])
+FROM {SHIFTED} d LEFT JOIN t a ON a.typ = d."TYP_DIPL" LEFT JOIN t b ON b.typ = d."TYP_DIPINT" """, ["deg"])
 def l13(spark, sf):
     from ..operators.derive import certificate_flag
 
     roles = [({"TYP_DIPL": "typ"}, ["dndu"]), ({"TYP_DIPINT": "typ"}, {"dndu": "DNDU_INT"})]
-    df = view(spark, sf, "deg").select("k", "TYP_DIPL", "TYP_DIPINT")
+    df = shifted(spark, sf)
     return certificate_flag(L.role_lookup(df, types(spark, sf), roles)).select("k", "dndu", "DNDU_INT")
 
 
 @query("l16_department_to_region", f"""
 SELECT c.k, a.region AS regrespa, CASE WHEN b.region = 1 THEN 9 ELSE b.region END AS regrespa16
-FROM cus c LEFT JOIN {NATIONS} a ON a.code = c.nation AND a.region > 0 LEFT JOIN {NATIONS} b ON b.code = c.nation""", ["cus"])
+FROM cus c LEFT JOIN {NATIONS} a ON a.code = c.nation + c.k % 3 * 20 LEFT JOIN {NATIONS} b ON b.code = c.nation + c.k % 3 * 20""", ["cus"])
 def l16(spark, sf):
     n = nations(spark, sf)
     new = n.withColumn("region", F.when(F.col("region") == 1, F.lit(9)).otherwise(F.col("region")).cast("bigint"))
-    df = view(spark, sf, "cus").select("k", "nation")
-    df = L.left_lookup(df, n.filter("region > 0"), {"nation": "code"}, {"region": "regrespa"})
+    df = view(spark, sf, "cus").select("k", (F.col("nation") + F.col("k") % 3 * 20).alias("nation"))
+    df = L.left_lookup(df, n, {"nation": "code"}, {"region": "regrespa"})
     return L.left_lookup(df, new, {"nation": "code"}, {"region": "regrespa16"}).drop("nation")
 
 
