@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import aggregate as A, derive as D, quality as Q
 from .base import TABLES, blank, query, table, view
 from .lookups import STAR_SQL, star
+from .scalars import BLANKS
 
 # Derivations ---------------------------------------------------------------
 
@@ -180,6 +181,26 @@ def u4(spark, sf):
     return Q.distinct_rows(view(spark, sf, "ord").select("status", "prio", "year_text", "flag"))
 
 
+def reread_sql(c: str) -> str:
+    """A text as the verification job reads it again."""
+    cut = f"trim(split_part({c}, '.0', 1), {BLANKS})"
+    return f"CASE WHEN {cut} = 'nan' THEN '' ELSE trim(replace({cut}, chr(160), ' '), {BLANKS}) END"
+
+
+def reread_type_sql(c: str) -> str:
+    text = f"coalesce({reread_sql(c)}, '')"
+    return f"CASE WHEN {text} = 'None' THEN '' WHEN regexp_full_match({text}, '[0-9]') THEN '0' || {text} ELSE {text} END"
+
+
+@query("u4_reread_facts", f"""
+SELECT DISTINCT "SOURCE", {reread_sql('"SEXE"')} AS "SEXE", {reread_type_sql('"TYP_DIPL"')} AS "TYP_DIPL", {reread_type_sql('"TYP_DIPINT"')} AS "TYP_DIPINT" FROM deg""",
+       ["deg"])
+def u4_reread(spark, sf):
+    from ..plans.verify import reread
+
+    return reread(view(spark, sf, "deg").select("SOURCE", "SEXE", "TYP_DIPL", "TYP_DIPINT"))
+
+
 @query("u5_distinct_combinations", """
 SELECT DISTINCT "SOURCE", "RESDIP", "RESINT", "TYP_DIPL", CASE WHEN "SOURCE" IN ('result', 'ens', 'inge', 'priv') THEN "TYP_DIPINT" END AS "TYP_DIPINT",
   CASE WHEN "SOURCE" IN ('result', 'ens', 'inge', 'priv') THEN "CURSUS_LMD_INT" END AS "CURSUS_LMD_INT", "CURSUS_LMDR", "ID_PAYSAGE_ED" FROM deg""", ["deg"])

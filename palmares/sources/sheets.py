@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.nulls import cut_at
 from ..operators.schema import upper_names
+from ..session import work_dir
 
 # Names of the sheets.
 SHEETS = (
@@ -36,8 +37,11 @@ def read_sheets(spark: SparkSession, path: str, whole: bool = True) -> dict[str,
 
     ``whole``: each file is one document (a workbook export). Otherwise each line is one,
     so files can be split and the records of a sheet may come from many documents.
+    The text is parsed once, into a columnar table of which each sheet reads its own column.
     """
-    doc = spark.read.option("multiLine", whole).option("primitivesAsString", True).json(path)
+    folder = work_dir(spark, "sheets")
+    spark.read.option("multiLine", whole).option("primitivesAsString", True).json(path).write.parquet(folder)
+    doc = spark.read.parquet(folder)
     return {name: as_sheet(doc.select(F.explode(name).alias("r")).select("r.*")) for name in doc.columns}
 
 

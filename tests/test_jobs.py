@@ -9,7 +9,7 @@ from conftest import values
 from palmares.functions.nulls import is_missing, pd_ne
 from palmares.operators import derive, rules
 from palmares.operators.lookups import small_table
-from palmares.plans import correct, ingest, publish, verify
+from palmares.plans import chain, correct, ingest, publish, verify
 from palmares.plans.correct import _all, _is, _source
 from palmares.queries import published as P
 from palmares.sources.catalogue import catalogue, fact_path, landing_name, missing_partitions, sources_of
@@ -290,6 +290,23 @@ def test_labels_do_not_change_the_number_of_rows(spark):
     assert publish.label(publish.star(sums, tables), tables).count() == sums.count()
 
 
+def test_one_call_from_landed_files_to_csv(spark, sheets, tmp_path):
+    """The steps chained over landed files give the published row of the steps called one by one; a repeat lands nothing."""
+    landing, root = str(tmp_path / "in"), str(tmp_path / "out")
+    for source in sources_of(2019):
+        rows = raw(spark, [r for r in RAW if (r["SOURCE"], r["RENTREE"]) == (source, "2019")])
+        rows.select(*[F.col(c).alias(c.lower()) for c in RAW_COLUMNS]).write.parquet(f"{landing}/{landing_name(source, 2019)}")
+    parents = small_table(spark, [("2019", "0755555A", "0759999Z")], "RENTREE string, COMPOS string, RATTACH string")
+    seats = small_table(spark, [("2019", "0755555A", "75056")], "RENTREE string, UAI string, COMCODE string")
+    steps = publish.publish(correct.correct_table(spark, raw(spark, [r for r in RAW if r["RENTREE"] == "2019"]), sheets, parents, seats), sheets)
+    want = sorted(tuple(None if c in (None, "") else str(c) for c in r) for r in steps.collect())
+    for _ in range(2):
+        csv = chain.run(spark, landing, root, sheets, parents, seats, years=[2019])
+        got = read_open_csv(spark, csv)
+        assert got.columns == steps.columns and sorted(tuple(r) for r in got.collect()) == want and len(want) == 1
+    assert ingest.wanted_partitions(spark, ingest.landed(spark, f"{root}/raw"), [2019]) == [(s, 2019) for s in sources_of(2019) if s not in {r["SOURCE"] for r in RAW if r["RENTREE"] == "2019"}]
+
+
 # Sources and verification ------------------------------------------------------
 
 
