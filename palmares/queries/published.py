@@ -11,7 +11,8 @@ from ..sources.contracts import FILE_COLUMNS, RAW_COLUMNS, RAW_INTS
 from ..sources.opendata import read_open_csv, write_open_csv
 from ..sources.sheets import SHEETS, as_sheet
 from ..session import work_dir
-from .base import query, table, view
+from .base import miss, query, table, view
+from .rules import OUTCOMES, WITH_INT
 
 # Corrected facts and reference tables made from the supplied ones ------------
 
@@ -273,7 +274,54 @@ def correct_facts(spark, sf):
     return sums.agg(F.sum("EFFECTIF_TOT").alias("n_degrees"), F.count(F.lit(1)).alias("n_rows"))
 
 
-@query("normalise_facts")
+# Raw columns of ``raw_facts`` by the expression they come from; the other raw columns are absent.
+RAW_SQL = {c: f'"{c}"' for c in (
+    "RESDIP", "RESINT", "TYP_DIPL", "TYP_DIPINT", "NIVEAUR", "DIPINT", "SECTINT", "DISCIPLINT", "SECTDIS", "DISCIPLI", "DIPLOM", "BAC", "BAC_RGRP", "ANBAC",
+    "ANNAIS", "DEPBAC", "ACABAC", "NATION", "FR_ETR", "SEXE", "CURSUS_LMDR", "FLAG_MEEF", "ETABLI", "COMPOS")} | {
+    "TYP_DIPR": '"TYP_DIPL"', "DIPLOMR": '"DIPLOM"', "COMPOSR": '"COMPOS"', "SECTDISR": '"SECTDIS"', "DISCIPLR": '"DISCIPLI"', "NUMED": '"PAR_TYPE"',
+    "ETABLI_DIFFUSION": '"LMDDONT"'}
+
+
+def cleaned_sql(column: str) -> str:
+    """A raw column after the text clean-up."""
+    if column in RAW_INTS:
+        return RAW_SQL[column]
+    text = f"CASE WHEN {RAW_SQL[column]} NOT IN ('nan', 'None', '<NA>') THEN {RAW_SQL[column]} END"
+    if column not in ("TYP_DIPL", "TYP_DIPR", "TYP_DIPINT"):
+        return text
+    padded = f"CASE WHEN regexp_full_match({RAW_SQL[column]}, '[0-9]') THEN '0' || {RAW_SQL[column]} ELSE coalesce({text}, '') END"
+    return padded if column != "TYP_DIPINT" else f"CASE WHEN {WITH_INT} THEN {padded} END"
+
+
+def with_default(column: str, value: str) -> str:
+    return f"CASE WHEN {miss(f'c.{chr(34)}{column}{chr(34)}')} THEN '{value}' ELSE c.\"{column}\" END"
+
+
+BAC_SQL = with_default("BAC", "9999")
+NORMALISED_SQL = {
+    "RESDIP": "o.d", "RESINT": "o.r", "TYP_DIPINT": "o.t", "DISCIPLINT": "o.di", "FLAG_MEEF": "o.f", "DIPDER": "CASE WHEN o.w THEN '$' END", "VOIER": "'9'",
+    "PCSPAR": "'99'", "BAC_RGRP": with_default("BAC_RGRP", "9"), "FR_ETR": with_default("FR_ETR", "9"), "SEXE": with_default("SEXE", "9"),
+    "NUMED": f"CASE {with_default('NUMED', '')} WHEN '050' THEN '50' ELSE {with_default('NUMED', '')} END",
+    "NATION": f"CASE WHEN {with_default('NATION', '$')} IN ('20', '22', '86') THEN '999' ELSE {with_default('NATION', '$')} END",
+    "BAC": f"CASE {BAC_SQL} WHEN 'A2-8' THEN 'A2-85' WHEN 'A6' THEN 'A6-85' WHEN 'A6-8' THEN 'A6-85' WHEN 'A7' THEN 'A7-85' WHEN 'A7-8' THEN 'A7-85' ELSE {BAC_SQL} END",
+    "SECTDISR": "CASE WHEN c.\"SECTDISR\" IN ('2A', '2B', '2C', '2E') THEN '21' WHEN c.\"SECTDISR\" = '2D' THEN '27' ELSE c.\"SECTDISR\" END",
+    "DISCIPLR": "CASE WHEN c.\"SECTDISR\" IN ('2A', '2B', '2C', '2D', '2E') THEN '04' ELSE c.\"DISCIPLR\" END",
+}
+
+
+def normalised_sql(column: str) -> str:
+    absent = f"CAST(NULL AS {'BIGINT' if column in RAW_INTS else 'VARCHAR'})"
+    return NORMALISED_SQL.get(column, f'c."{column}"' if column in RAW_SQL else absent)
+
+
+@query("normalise_facts", f"""
+WITH cleaned AS (SELECT k, "SOURCE", "RENTREE", {', '.join(f'{cleaned_sql(c)} AS "{c}"' for c in RAW_SQL)} FROM deg),
+{OUTCOMES.replace("FROM deg)", "FROM cleaned)")}
+SELECT c.k, "SOURCE", "RENTREE", CAST(CAST("RENTREE" AS INT) + 1 AS VARCHAR) AS "SESSION",
+  "RENTREE" || '-' || substr(CAST(CAST("RENTREE" AS INT) + 1 AS VARCHAR), 3, 2) AS "ANNEE_UNIVERSITAIRE",
+  {', '.join(f'{normalised_sql(c)} AS "{c}"' for c in RAW_COLUMNS)}
+FROM cleaned c JOIN o7 o ON o.k = c.k WHERE "SOURCE" NOT IN ('result', 'priv') OR o.d = 'O' OR o.r = 'O'""", ["deg"])
 def normalise_facts(spark, sf):
+    """The first half of the job, every column."""
     df = correct.normalise(raw_facts(spark, sf))
-    return df.select("k", "SOURCE", "RENTREE", "SESSION", "RESDIP", "RESINT", "TYP_DIPINT", "TYP_DIPL", "BAC", "NATION", "SEXE")
+    return df.select("k", "SOURCE", "RENTREE", "SESSION", "ANNEE_UNIVERSITAIRE", *RAW_COLUMNS)

@@ -7,8 +7,8 @@ from palmares.queries import load
 
 FOLDER = "/root/testdata/sf0.001"
 QUERIES = load()
-# Operators whose twin is too long for SQL; the job tests hold them against brute force.
-NO_TWIN = {"correct_facts_by_source", "normalise_facts"}
+# The job whose twin is too long for SQL; the job tests hold it against brute force.
+NO_TWIN = {"correct_facts_by_source"}
 
 
 @pytest.fixture(scope="module")
