@@ -223,4 +223,6 @@ def one_of_each(docs: DataFrame, shingle: int = 4, radius: int = 4, doc_id: str
     many = docs.join(repeated, docs[doc_id] == repeated[key], "left_semi")
     whole = F.struct(*[F.col(c) for c in docs.columns])
     least = many.groupBy(F.col(doc_id).alias(key)).agg(F.min_by(whole, F.struct(F.col(text), F.xxhash64(*docs.columns))).alias(rows))
-    return docs.join(single, docs[doc_id] == single[key], "left_semi").union(least.select(f"{rows}.*")).union(nameless)
+    # written apart: in one plan with literal columns the union gave repeated rows twice
+    once = written(docs.join(single, docs[doc_id] == single[key], "left_semi"), "once")
+    return once.union(written(least.select(f"{rows}.*"), "least")).union(nameless)
