@@ -78,3 +78,18 @@ def free_name(df: DataFrame, name: str) -> str:
 def small(df: DataFrame) -> DataFrame:
     """``df`` (a written table, so that counting reads no data) with a broadcast hint if its counted rows allow it."""
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
+#: Keys with at least a share of 1 / HOT_KEYS of all rows, of which there are HOT_KEYS at the most.
+HOT_KEYS = 256
+
+
+def join_hot(rows: DataFrame, per_key: DataFrame, key: str, weight: str) -> DataFrame:
+    """Inner join of ``rows`` with ``per_key`` (written; unique, non-null keys; ``weight``: rows of each) in which no task meets a hot key.
+
+    The at most ``HOT_KEYS`` keys that weigh most are broadcast; no key that is left for the shuffle has a larger share.
+    """
+    total = per_key.agg(F.sum(weight)).first()[0] or 0
+    hot = per_key.where(F.col(weight) * HOT_KEYS >= total)
+    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti")
+    return rows.join(F.broadcast(hot), key).unionByName(rest.join(per_key, key))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, chunk_dedup, decontam, language, licenses, packing, pii, quality, simhash, toxicity
+from . import chat, chunk_dedup, decontam, language, licenses, packing, pii, prefix_trie, quality, simhash, toxicity, vector_dedup, whitening
 
 #: Key of the surrogates; a cluster sets its own secret under this name.
 KEY_SETTING, SAMPLE_KEY = "spark.palmares.pii.key", "sample-key"
@@ -87,6 +87,72 @@ def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymised(docs, pii_key(spark), count="n_entities")
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    fit = whitening.fit_whitening(rows, k=4)
+    explained = F.array(*[F.lit(float(x)) for x in (fit.explained if fit else ())]).cast("array<double>")
+    by_component = whitening.whitened(rows, fit).select("vec_id", "deviation", F.posexplode("whitened").alias("place", "whitened"))
+    return by_component.select(
+        "vec_id", (F.col("place") + 1).alias("component"), F.lit(fit.n if fit else 0).cast("long").alias("n"), F.expr("try_cast(deviation AS BIGINT)").alias("deviation"), "whitened",
+        F.element_at(explained, F.col("place") + 1).alias("explained"), F.lit(fit.identity_error if fit else 0.0).alias("identity_error"))
+
+
+def op12_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = vector_dedup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"), threshold=0.95)
+    return found.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
+
+
+OP12_SQL = """
+WITH vectors AS (
+  SELECT row_number() OVER () AS row, vec_id, CAST(embedding AS DOUBLE[]) AS v,
+    coalesce(len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND list_max(list_transform(embedding, lambda x: abs(x))) > 0, FALSE) AS takes_part
+  FROM embeddings),
+links AS (
+  SELECT a.row AS a, b.row AS b FROM vectors a JOIN vectors b ON a.row <> b.row AND a.takes_part AND b.takes_part AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.95),
+reach AS (
+  WITH RECURSIVE r(row, other) AS (SELECT row, row FROM vectors UNION SELECT r.row, l.b FROM r JOIN links l ON r.other = l.a) SELECT * FROM r),
+named AS (SELECT r.row, min(v.vec_id) AS component_id FROM reach r JOIN vectors v ON v.row = r.other GROUP BY r.row),
+counted AS (SELECT a AS row, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, coalesce(vec_id = component_id, FALSE) AS kept
+FROM vectors JOIN named USING (row) LEFT JOIN counted USING (row)
+"""
+
+
+def op13_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations")).drop("digest")
+
+
+OP13_SQL = """
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS k
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT conv_id, conv_id - ((conv_id % 5) + 5) % 5 AS base, xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda ch: ord(ch))),
+    lambda crc, byte: list_reduce(list_concat([xor(CAST(crc AS BIGINT), CAST(byte AS BIGINT))], [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, bit: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns)),
+rebuilt AS (
+  SELECT c.conv_id, t.role, t.text, t.k AS place, 0 AS part FROM convs c JOIN turns t ON t.conv_id = c.base AND t.k <= c.h
+  UNION ALL SELECT c.conv_id, t.role, t.text, t.k, 1 FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.k > c.h),
+steps AS (
+  SELECT conv_id, row_number() OVER w AS depth, list([role, text]) OVER w AS path, strlen(text) AS n_bytes FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY part, place)
+  UNION ALL SELECT conv_id, 0, [], 0 FROM convs),
+lasts AS (SELECT conv_id, max(depth) AS depth FROM steps GROUP BY conv_id),
+nodes AS (
+  SELECT path, s.depth, min(s.conv_id) AS conv_id, count(*) AS n_convs, any_value(n_bytes) AS n_bytes,
+    sha256(coalesce(string_agg(CAST(s.conv_id AS VARCHAR), ',' ORDER BY s.conv_id) FILTER (WHERE l.depth = s.depth), '')) AS ends_sha256
+  FROM steps s JOIN lasts l USING (conv_id) GROUP BY path, s.depth),
+family AS (SELECT n.path, p.conv_id AS parent_conv_id FROM nodes n JOIN nodes p ON p.depth = n.depth - 1 AND p.path = n.path[:n.depth - 1]),
+below AS (SELECT path[:depth - 1] AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+whole AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN below USING (path)),
+trees AS (
+  SELECT t.path, count(*) FILTER (WHERE u.n_children = 0) AS n_leaves, sum((u.n_convs - 1) * u.n_bytes) AS saved_tokens
+  FROM whole t JOIN whole u ON u.depth >= t.depth AND u.path[:t.depth] = t.path GROUP BY t.path)
+SELECT conv_id, depth, parent_conv_id, n_convs, CAST(n_children AS BIGINT) AS n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
+FROM whole JOIN trees USING (path) LEFT JOIN family USING (path)
+"""
+
+
 def _op3_sql() -> str:
     """The twin of op3: the same rules in SQL, with binomial tails by the logarithm of the gamma function."""
     values = {
@@ -134,9 +200,11 @@ def queries() -> dict:
 
     found = (
         op1_toxicity, op2_substring_dedup, op3_quality_rules, op4_language_id, op5_chat_formatting, op6_best_fit_packing,
-        op7_license_scan, op8_simhash_near_dedup, op9_benchmark_decontamination, op10_pii_surrogates)
+        op7_license_scan, op8_simhash_near_dedup, op9_benchmark_decontamination, op10_pii_surrogates,
+        op11_embedding_whitening, op12_embedding_near_dedup, op13_conversation_prefix_trie)
     return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_quality_rules": _op3_sql(), "op5_chat_formatting": OP5_SQL}
+    return {
+        "op3_quality_rules": _op3_sql(), "op5_chat_formatting": OP5_SQL, "op12_embedding_near_dedup": OP12_SQL, "op13_conversation_prefix_trie": OP13_SQL}
