@@ -3,7 +3,9 @@
 A lookup never changes the row count. Its physical form depends on the checked size of
 the dimension: small ones are broadcast; larger ones are joined by a shuffle, whose heavy
 fact keys adaptive execution spreads over several tasks. The uniqueness of the dimension
-key is enforced inside the plan, so a duplicate fails with its key.
+key is enforced inside the plan by a filter that no pruning of columns removes, so a
+duplicate fails with its key even if only fact columns are read. ``stored`` writes a
+dimension once: lookups into it neither count it nor work it out again.
 """
 
 from __future__ import annotations
@@ -12,9 +14,10 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ..functions.nulls import is_blank
+from ..session import work_dir
 
 # A dimension is broadcast only when it has at most this many bytes.
 BROADCAST_BYTES = 16 * 1024 * 1024
@@ -25,19 +28,64 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+# Bytes of the rows of the tables that ``stored`` wrote, by folder.
+_STORED: dict[str, int] = {}
+
+
+def stored(df: DataFrame, name: str, keys: Sequence[str] = ()) -> DataFrame:
+    """``df`` written once to a work folder and read back; the bytes of its rows are measured on the way.
+
+    With ``keys`` nothing is written that holds two rows under one key: the write fails.
+    """
+    spark = df.sparkSession
+    if keys:
+        df = assert_unique(df, keys)
+    folder = work_dir(spark, name)
+    size = Observation(name)
+    df.observe(size, F.coalesce(F.sum(_row_bytes(df.schema)), F.lit(0)).alias("bytes")).write.parquet(folder)
+    _STORED[folder.rstrip("/").rsplit("/", 1)[-1]] = size.get["bytes"]
+    return spark.read.schema(df.schema).parquet(folder)
+
+
+def size_is_known(df: DataFrame) -> bool:
+    """Is the table local rows or files that are only filtered and projected?"""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return not any(node in plan for node in ("Generate", "Join", "Aggregate", "Union", "Expand", "Window"))
+
+
 def checked_bytes(df: DataFrame) -> int:
-    """Size of a table that may be broadcast: the estimate where it holds, else its counted rows.
+    """Size of a table that may be broadcast: measured for a stored one, the estimate where it holds, else its counted rows.
 
     An estimate holds for local rows and for files that are only filtered and projected; files count
     fourfold, for they are compressed. Past an explode, join, union or aggregate it says little, so
     the rows are counted.
     """
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    if not any(node in plan for node in ("Generate", "Join", "Aggregate", "Union", "Expand", "Window")):
-        return estimated_bytes(df) * (1 if "LocalRelation" in plan else 4)
+    if size_is_known(df):
+        folders = {f.rsplit("/", 2)[-2] for f in df.inputFiles()}
+        if folders and folders <= _STORED.keys():
+            return sum(_STORED[f] for f in folders)
+        return estimated_bytes(df) * (4 if folders else 1)
     return df.count() * sum(_width(f.dataType) for f in df.schema.fields)
 
 
+def _row_bytes(schema: T.StructType) -> Column:
+    """Bytes a row takes in a broadcast table: texts and arrays by their length, everything else by its type."""
+    parts = [F.lit(0).cast("bigint")]
+    for f in schema.fields:
+        c = F.col(_quoted(f.name))
+        if isinstance(f.dataType, T.StringType):
+            parts.append(F.coalesce(F.octet_length(c), F.lit(0)) + 24)
+        elif isinstance(f.dataType, T.ArrayType):
+            parts.append(F.greatest(F.size(c), F.lit(0)) * 128 + 24)
+        else:
+            parts.append(F.lit(_width(f.dataType)))
+    return reduce(lambda a, b: a + b, parts)
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _width(kind: T.DataType) -> int:
     """Bytes a value takes in a broadcast table, on the generous side."""
     return 48 if isinstance(kind, T.StringType) else 16 if isinstance(kind, T.AtomicType) else 256
@@ -64,15 +112,25 @@ def bounded(df: DataFrame, limit: int | None = None) -> DataFrame:
 
 
 def assert_unique(dim: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Exact duplicates collapse; two different rows under one key fail when read."""
+    """Exact duplicates collapse; two different rows under one key fail, whatever columns of the join are read.
+
+    The test is a filter over the grouped rows: a projected value would vanish with its column. The values pass an
+    ``inline`` of one row, past which the optimiser cannot tell that keys are unique: it would drop a left join whose
+    values nobody reads, and the test with it. (It still does so below a ``distinct`` of fact columns alone.)
+    """
     values = [c for c in dim.columns if c not in keys]
     if not values:
         return dim.distinct()
     row = F.struct(*values)
     grouped = dim.groupBy(*keys).agg(F.min(row).alias("__lo"), F.max(row).alias("__hi"))
+    return enforced(grouped, keys, F.col("__lo").eqNullSafe(F.col("__hi")), F.col("__lo"))
+
+
+def enforced(grouped: DataFrame, keys: Sequence[str], sound: Column, row: Column) -> DataFrame:
+    """The keys and the fields of ``row``; a key for which ``sound`` does not hold fails with its name."""
     message = F.concat(F.lit("lookup key with several values: "), F.to_json(F.struct(*keys)))
-    checked = F.when(F.col("__lo").eqNullSafe(F.col("__hi")), F.col("__lo")).otherwise(F.raise_error(message))
-    return grouped.select(*keys, checked.alias("__row")).select(*keys, "__row.*")
+    single = F.when(sound, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+    return grouped.filter(single).select(*keys, F.inline(F.array(row)))
 
 
 def left_lookup(

@@ -10,7 +10,7 @@ itself. Three forms cover all sheets:
   condition shape.
 * ``fold_rules``: sheets in which a rule tests the column it writes. The rules that fit
   the other keys of a row are attached as an ordered array and folded over the value.
-* ``replace_by_key`` / ``override_tiers``: pure key-to-value sheets, as joins.
+* ``replace_in_spans`` / ``replace_by_key`` / ``override_tiers``: pure key-to-value sheets, as joins.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.nulls import MISSING_TOKENS, eq_true, holds, is_blank, is_missing
 from ..functions.scalars import len_at_least, year_range
-from .lookups import left_lookup, small_table
+from .lookups import enforced, left_lookup, small_table, stored
 
 
 class _Missing:
@@ -35,8 +35,10 @@ class _Missing:
 # Condition value that is met by a missing cell.
 MISSING = _Missing()
 
-# Sheets are edited by hand; one that exceeds this many rules is not a correction sheet.
-SHEET_ROWS = 200_000
+# Column that keeps the place of a row in its sheet.
+ROW = "SHEET_ROW"
+# A sheet of up to so many rows is compiled on the driver; larger ones stay tables (``rule_tables``).
+SHEET_ROWS = 2_000
 # A layer with more rules than this becomes joins instead of one CASE.
 INLINE_RULES = 200
 
@@ -62,26 +64,29 @@ def rule(conds: Mapping[str, object], outs: Mapping[str, str]) -> Rule:
 
 
 def sheet_records(sheet: DataFrame | Iterable[Mapping[str, str]], limit: int = SHEET_ROWS) -> list[dict[str, str]]:
-    """The rows of a rule sheet on the driver, after a check of their number."""
+    """The rows of a small rule sheet on the driver, in order, after a check of their number."""
     if not isinstance(sheet, DataFrame):
         return [dict(r) for r in sheet]
     rows = sheet.limit(limit + 1).collect()
     if len(rows) > limit:
-        raise ValueError(f"rule sheet holds over {limit} rows: use replace_by_key, which joins it")
-    return [r.asDict() for r in rows]
+        raise ValueError(f"rule sheet holds over {limit} rows: apply it as a table")
+    return _in_order([r.asDict() for r in rows])
 
 
-def all_records(sheets: Mapping[str, DataFrame], names: Iterable[str], limit: int = SHEET_ROWS) -> dict[str, list[dict[str, str]]]:
-    """``sheet_records`` of several sheets of texts, collected by one job."""
+def _in_order(records: list[dict[str, str]]) -> list[dict[str, str]]:
+    """By the place in the sheet; rows without one by their cells, so that the result never depends on the cluster."""
+    ordered = sorted(records, key=lambda r: (r.get(ROW) or "", json.dumps(r, sort_keys=True, ensure_ascii=False)))
+    return [{c: v for c, v in r.items() if c != ROW} for r in ordered]
+
+
+def all_records(sheets: Mapping[str, DataFrame], names: Iterable[str], limit: int = SHEET_ROWS) -> dict[str, list[dict[str, str]] | DataFrame]:
+    """The rows of several sheets of texts, collected by one job; a sheet over ``limit`` rows stays the table that it is."""
     parts = [
         sheets[n].limit(limit + 1).select(F.lit(n).alias("sheet"), F.to_json(F.struct(*sheets[n].columns), {"ignoreNullFields": "false"}).alias("row")) for n in names]
-    out: dict[str, list[dict[str, str]]] = {n: [] for n in names}
+    found: dict[str, list[dict[str, str]]] = {n: [] for n in names}
     for r in reduce(DataFrame.union, parts).collect():
-        out[r.sheet].append(json.loads(r.row))
-    for name, rows in out.items():
-        if len(rows) > limit:
-            raise ValueError(f"rule sheet {name} holds over {limit} rows: use replace_by_key, which joins it")
-    return out
+        found[r.sheet].append(json.loads(r.row))
+    return {n: _in_order(rows) if len(rows) <= limit else sheets[n] for n, rows in found.items()}
 
 
 # ---------------------------------------------------------------- compile and apply
@@ -184,7 +189,7 @@ def _inline_layer(df: DataFrame, layer: Sequence[Rule], where: Column | None) ->
 
 def _joined_layer(df: DataFrame, layer: Sequence[Rule], where: Column | None) -> DataFrame:
     """One join per condition shape; the highest-ranked hit per output column wins."""
-    spark, types = df.sparkSession, dict(df.dtypes)
+    spark = df.sparkSession
     shapes: dict[tuple, dict[tuple, dict[str, tuple[int, str]]]] = {}
     for rank, r in enumerate(layer):
         eq = tuple(sorted(c for c, v in r.conds if v is not MISSING))
@@ -219,14 +224,20 @@ def _joined_layer(df: DataFrame, layer: Sequence[Rule], where: Column | None) ->
         added += names.values()
         for c in cols:
             hits[c].append(F.when(guard, F.col(names[c])) if empty else F.col(names[c]))
+    return take_hits(df, hits, where).drop(*added)
+
+
+def take_hits(df: DataFrame, hits: Mapping[str, Sequence[Column]], where: Column | None) -> DataFrame:
+    """Each column takes the value of its hit of the highest rank: structs (rank, value), NULL where nothing was hit."""
+    types = dict(df.dtypes)
     out = {}
-    for c in targets:
+    for c, found in hits.items():
         dtype = types.get(c, "string")
         old = F.col(c) if c in types else F.lit(None).cast(dtype)
-        best = hits[c][0] if len(hits[c]) == 1 else F.greatest(*hits[c])
+        best = found[0] if len(found) == 1 else F.greatest(*found)
         new = F.when(best.isNotNull(), best["value"].cast(dtype)).otherwise(old)
         out[c] = new if where is None else F.when(where, new).otherwise(old)
-    return df.withColumns(out).drop(*added)
+    return df.withColumns(out)
 
 
 def apply_rules(
@@ -420,10 +431,47 @@ def year_bounds(df: DataFrame, year: str = "RENTREE") -> tuple[int, int]:
     return (first, last) if first is not None else (0, 0)
 
 
-def expand_sources(sheet: DataFrame, sources: Sequence[str], col: str = "SOURCE") -> DataFrame:
-    """One row per source where the sheet leaves the source blank."""
-    every = F.array(*[F.lit(s) for s in sources])
-    return sheet.withColumn(col, F.explode(F.when(is_blank(col), every).otherwise(F.array(F.col(col)))))
+#: Years that bound an open span.
+FIRST_OF_ALL, LAST_OF_ALL = -(1 << 31), (1 << 31) - 1
+
+
+def span_map(sheet: DataFrame, key: str, out: str = "OUT", source: str | None = None) -> DataFrame:
+    """One row a code with its spans of years, in order: what the sheet says, without a row for each year or source.
+
+    No start means every year. ``source``: a column of the sheet that is blank for rules of all sources.
+    Two values that a code has for one year (and source) fail. Blank codes are no rules.
+    """
+    start, end = F.col("RENTREE_START"), F.col("RENTREE_END")
+    open_ = is_missing(start)
+    span = F.struct(
+        F.when(open_, F.lit(FIRST_OF_ALL)).otherwise(start.try_cast("int")).alias("first"),
+        F.when(open_, F.lit(LAST_OF_ALL)).otherwise(end.try_cast("int")).alias("last"),
+        (F.lit("") if source is None else F.coalesce(F.col(source), F.lit(""))).alias("source"), F.col(out).alias("out"))
+    rows = sheet.filter(~is_blank(key)).select(F.col(key).alias("code"), span.alias("span")).filter("span.first <= span.last")
+    spans = rows.groupBy("code").agg(F.array_sort(F.collect_set("span")).alias("spans"))
+
+    def clash(a: Column, b: Column) -> Column:
+        both = (a["first"] <= b["last"]) & (b["first"] <= a["last"]) & ((a["source"] == b["source"]) | (a["source"] == "") | (b["source"] == ""))
+        return both & ~a["out"].eqNullSafe(b["out"])
+
+    sound = ~F.exists("spans", lambda a: F.exists("spans", lambda b: clash(a, b)))
+    return stored(enforced(spans, ["code"], sound, F.struct("spans")), "spans")
+
+
+def replace_in_spans(
+    df: DataFrame, spans: DataFrame, col: str, target: str, year: str = "RENTREE", source: str | None = None, min_len: int = 4, **how
+) -> DataFrame:
+    """Replace ``target`` by the value that the code in ``col`` has in the year of the row, when that is long enough. One lookup."""
+    found = left_lookup(df, spans, {col: "code"}, {"spans": "__spans"}, unique="trust", **how)
+    y = F.col(year).try_cast("int")
+
+    def fits(s: Column) -> Column:
+        at = (s["first"] <= y) & (y <= s["last"])
+        return at if source is None else at & ((s["source"] == "") | (s["source"] == F.col(source)))
+
+    new = F.try_element_at(F.filter("__spans", fits), F.lit(1))["out"]
+    found = found.withColumn("__new", new).drop("__spans")
+    return found.withColumn(target, F.when(len_at_least("__new", min_len), F.col("__new")).otherwise(F.col(target))).drop("__new")
 
 
 def replace_by_key(
@@ -441,18 +489,14 @@ def replace_by_key(
     return found.withColumn(target, new).drop("__new")
 
 
-def replace_by_sources(df: DataFrame, sheet: DataFrame, sources: Sequence[str],
-                       first: int, last: int, **how) -> DataFrame:
+def replace_by_sources(df: DataFrame, sheet: DataFrame, **how) -> DataFrame:
     """Three passes over one sheet with blank sources and years as wildcards: by establishment,
     by component, by parent unit. Rules without an establishment are keyed by component."""
-    rules = expand_sources(expand_years(sheet, first, last), sources)
-    by_etab = rules.filter(~is_blank("IN")).select("RENTREE", "SOURCE", F.col("IN").alias("__key"), "OUT")
-    by_comp = rules.filter(is_blank("IN") & ~is_blank("COMPOS")).select(
-        "RENTREE", "SOURCE", F.col("COMPOS").alias("__key"), "OUT")
-    for col, side in (("ETABLI", by_etab), ("COMPOS", by_comp), ("RATTACH", by_comp)):
+    by_etab = span_map(sheet, "IN", source="SOURCE")
+    by_comp = span_map(sheet.filter(is_blank("IN")), "COMPOS", source="SOURCE")
+    for col, spans in (("ETABLI", by_etab), ("COMPOS", by_comp), ("RATTACH", by_comp)):
         if col in df.columns:
-            on = {"RENTREE": "RENTREE", "SOURCE": "SOURCE", col: "__key"}
-            df = replace_by_key(df, side, on, "ETABLI", **how)
+            df = replace_in_spans(df, spans, col, "ETABLI", source="SOURCE", **how)
     return df.drop("RATTACH")
 
 

@@ -15,13 +15,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from ..functions.nulls import cut_at, holds, is_blank, is_missing, pd_ne, untoken
 from ..functions.scalars import default_missing, diff_int, recode, strip_zero, suffix_code, zero_pad
-from ..operators import derive, rules
+from ..operators import derive, rule_tables, rules
 from ..operators.filters import delete_by_rules, exclude, if_any, keep_positive, remove_where
 from ..operators.lookups import coalesced_lookup, country_lookup, left_lookup, role_lookup, tiered_lookup
 from ..operators.schema import add_defaults, add_nulls, finalise_types, flag_text, rename_present, swap_columns, with_provenance
 from ..session import work_dir
 from ..sources.contracts import COUNTRY_FLAGS, FILE_COLUMNS, RAW_COLUMNS, RAW_INTS, file_has, has_intermediate, with_file_columns
 from ..sources.facts import PARTITIONS, read_fact, write_fact
+from ..sources.sheets import StoredSheets
 
 # Codes named by the cleaning steps.
 SHORT_BAC_CODES = ("A2-8", "A6", "A6-8", "A7", "A7-8")
@@ -43,12 +44,14 @@ RESULT_COLUMNS = {
     "SECTDISR": "SECTDIS", "COMPOSR": "COMPOS", "DISCIPLR": "DISCIPLI", "DIPLOMR": "DIPLOM", "CYCLER": "CYCLE",
     "GROUPER": "GROUPE", "NIVEAUR": "NIVEAU", "TYP_DIPR": "TYP_DIPL", "VOIER": "VOIE",
 }
-# Sheets whose rows become conditions of the plan; all are collected by one job.
+# Sheets whose rows become conditions of the plan: one job collects the small ones, larger ones stay tables.
 RULE_SHEETS = (
     "COMINS", "COMETAB", "COMUI", "DEP_ACA_RESPA_CORRECTIF", "RESTE_DEPRESPA_CORRECTIF", "DEP_CORRECTIF", "ACA_CORRECTIF",
     "FORMATIONS_CORRECTIF", "GROUPE_CORRECTIF",
 )
-Records = Mapping[str, list[dict[str, str]]]
+# Names under which the two unit maps are stored with the sheets.
+PARENTS, SEATS = "__parents", "__seats"
+Records = Mapping[str, rule_tables.Sheet]
 DELETE_SHAPES = (
     ("ETABLI_DIFFUSION", ("RENTREE", "ETABLI_DIFFUSION", "SOURCE")),
     ("ETABLI_ORI_UAI", ("RENTREE", "DIPLOM", "SOURCE", "ETABLI_ORI_UAI")),
@@ -244,8 +247,8 @@ def parent_unit(df: DataFrame) -> DataFrame:
                          .when(_is("COMPOS", "0133479L"), F.lit("0131844J")))
 
 
-def establishments(df: DataFrame, sheets: Mapping[str, DataFrame], parents: DataFrame, years: tuple[int, int]) -> DataFrame:
-    """Component, establishment, unit, parent unit and entity of every row. ``years``: first and last of the facts."""
+def establishments(df: DataFrame, sheets: Mapping[str, DataFrame], parents: DataFrame) -> DataFrame:
+    """Component, establishment, unit, parent unit and entity of every row."""
     df = rules.fill_component(df)
     df = df.withColumns({"NUMED": strip_zero("NUMED"), "ETABLI": recode("ETABLI", {"0352771X": "0352692L"})})
     df = df.withColumn("ETABLI_ORI_UAI", F.col("ETABLI"))
@@ -257,8 +260,7 @@ def establishments(df: DataFrame, sheets: Mapping[str, DataFrame], parents: Data
     df = df.withColumn("UI", F.when(_is("COMPOS", "0684045X"), F.lit("0694045X")).otherwise(F.col("UI")))
     df = coalesced_lookup(df, parents, ["RENTREE", "COMPOS"], "RATTACH", "RATTACH", "COMPOS")
     df = parent_unit(df)
-    moves = rules.expand_years(sheets["ETABLI"].filter(~is_blank("IN")).select("IN", "OUT", "RENTREE_START", "RENTREE_END"), *years)
-    df = rules.replace_by_key(df, moves, {"RENTREE": "RENTREE", "ETABLI": "IN"}, "ETABLI")
+    df = rules.replace_in_spans(df, rules.span_map(sheets["ETABLI"], "IN"), "ETABLI", "ETABLI")
     df = tiered_lookup(df, sheets["A_UAI"], ["RENTREE", "SOURCE", "ETABLI"], "ID_PAYSAGE", "TYPE", ["result", "inscri"])
     successor = sheets["D_EPE"].withColumn("ID_PAYSAGE_EPE_ETAB_COMPOS", F.col("ID_PAYSAGE"))
     df = left_lookup(df, successor, ["RENTREE", "ID_PAYSAGE"], ["ID_PAYSAGE_EPE_ETAB_COMPOS", "ID_PAYSAGE_EPE"])
@@ -293,14 +295,13 @@ def commune_of_unit(df: DataFrame) -> DataFrame:
 def communes(df: DataFrame, records: Records, unit_communes: DataFrame) -> DataFrame:
     """Communes of registration, of the establishment and of the unit."""
     df = left_lookup(df, unit_communes, {"RENTREE": "RENTREE", "COMPOS": "UAI"}, {"COMCODE": "COMINS"})
-    df = rules.fold_rules(df, rules.commune_registration_rules(records["COMINS"]), "COMINS")
+    df = rule_tables.fold_sheet(df, "registration", records["COMINS"], "COMINS")
     seat = unit_communes.withColumn("__UAI", F.col("UAI"))
     df = left_lookup(df, seat, {"RENTREE": "RENTREE", "ETABLI": "UAI"}, {"COMCODE": "COMCODE", "__UAI": "UAI"})
     df = commune_of_establishment(df)
-    df = rules.fold_rules(df, rules.commune_establishment_rules(records["COMETAB"]), "COMETAB")
+    df = rule_tables.fold_sheet(df, "establishment", records["COMETAB"], "COMETAB")
     df = commune_of_unit(df)
-    by_unit = rules.wildcard_rules(records["COMUI"], "COMUI", ("COMPOS", "RENTREE"), any_word=None)
-    return rules.fold_rules(df, by_unit, "COMUI")
+    return rule_tables.fold_sheet(df, "wildcard", records["COMUI"], "COMUI", keys=("COMPOS", "RENTREE"), any_word=None)
 
 
 def origin_codes(df: DataFrame) -> DataFrame:
@@ -317,29 +318,28 @@ def origin_codes(df: DataFrame) -> DataFrame:
 def origins(df: DataFrame, records: Records) -> DataFrame:
     """Departments and academies of origin, after the codes of origin."""
     df = origin_codes(df)
-    first = rules.year_rules(records["DEP_ACA_RESPA_CORRECTIF"])
-    first += rules.generic_rules(records["RESTE_DEPRESPA_CORRECTIF"])
-    departments = records["DEP_CORRECTIF"]
-    academies = records["ACA_CORRECTIF"]
-    df = rules.apply_rules(df, rules.compile_rules(first))
+    departments, academies = records["DEP_CORRECTIF"], records["ACA_CORRECTIF"]
+    df = rule_tables.apply_sheets(df, [("year", records["DEP_ACA_RESPA_CORRECTIF"]), ("generic", records["RESTE_DEPRESPA_CORRECTIF"])])
     for dep, aca in (("DEPBAC", "ACABAC"), ("DEPRESPA", "ACARESPA")):
-        df = rules.apply_rules(df, rules.compile_rules(rules.generic_rules(departments, dep)))
-        fixes = rules.compile_rules(rules.generic_rules(academies, aca))
-        if gate_matters(fixes, dep):
-            df = if_any(df, pd_ne(dep, "000"), lambda d, gate: rules.apply_rules(d, fixes, gate), ["SOURCE", "RENTREE"])
+        df = rule_tables.apply_sheets(df, [("generic", departments, {"output": dep})])
+        fixes = [("generic", academies, {"output": aca})]
+        if gate_matters(academies, aca, dep):
+            df = if_any(df, pd_ne(dep, "000"), lambda d, gate: rule_tables.apply_sheets(d, fixes, gate), ["SOURCE", "RENTREE"])
         else:
-            df = rules.apply_rules(df, fixes)
+            df = rule_tables.apply_sheets(df, fixes)
     return df
 
 
-def gate_matters(layers, dep: str) -> bool:
+def gate_matters(academies: rule_tables.Sheet, aca: str, dep: str) -> bool:
     """Can a rule fire in a file whose ``dep`` is 000 everywhere?
 
     The academies' rules apply only to files with some department other than 000. When
     every rule asks for another department the gate changes nothing, and the extra pass
-    over the facts that it costs is spared.
+    over the facts that it costs is spared. Of a sheet that stays a table this is not asked.
     """
-    return any(r.reads.get(dep, "000") == "000" for layer in layers for r in layer)
+    if isinstance(academies, DataFrame):
+        return True
+    return any(r.reads.get(dep, "000") == "000" for r in rules.generic_rules(academies, aca))
 
 
 def degrees(df: DataFrame, sheets: Mapping[str, DataFrame], records: Records) -> DataFrame:
@@ -347,8 +347,7 @@ def degrees(df: DataFrame, sheets: Mapping[str, DataFrame], records: Records) ->
     def pad(d: DataFrame) -> DataFrame:
         return d.withColumns({c: zero_pad(c) for c in PADDED_CODES})
 
-    df = rules.apply_rules(pad(df), rules.compile_rules(rules.formation_rules(records["FORMATIONS_CORRECTIF"])))
-    df = pad(df)
+    df = pad(rule_tables.apply_sheets(pad(df), [("formation", records["FORMATIONS_CORRECTIF"])]))
     df = add_nulls(df.withColumn("SECTDIS", recode("SECTDIS", MERGED_SECTORS)),
                    {"CURSUS_LMD": "string", "CURSUS_LMD_INT": "string"})
     by_type = sheets["CORRLMD"].select("TYP_DIPL", "CURSUS_LMD_OUT")
@@ -363,8 +362,7 @@ def degrees(df: DataFrame, sheets: Mapping[str, DataFrame], records: Records) ->
             (by_degree, {kind: "TYP_DIPL", "DIPLOM": "DIPLOM"}, None),
         ], cycle, "CURSUS_LMD_OUT")
     df = private_cycles(df)
-    groups = rules.generic_rules(records["GROUPE_CORRECTIF"])
-    df = rules.apply_rules(df, rules.compile_rules(groups))
+    df = rule_tables.apply_sheets(df, [("generic", records["GROUPE_CORRECTIF"])])
     return df.withColumn("REGIME", F.when(is_blank("REGIME"), F.lit("99")).otherwise(F.col("REGIME")))
 
 
@@ -461,9 +459,10 @@ def correct(df: DataFrame, sheets: Mapping[str, DataFrame], parents: DataFrame,
 
     ``parents``: (RENTREE, COMPOS, RATTACH). ``unit_communes``: (RENTREE, UAI, COMCODE).
     """
-    years = rules.year_bounds(df)
+    sheets = StoredSheets({**sheets, PARENTS: parents, SEATS: unit_communes}).ahead()
+    parents, unit_communes = sheets[PARENTS], sheets[SEATS]
     df = headcounts(result_side(drop_empty_results(df)))
-    df = establishments(df, sheets, parents, years)
+    df = establishments(df, sheets, parents)
     records = rules.all_records(sheets, RULE_SHEETS)
     df = communes(df, records, unit_communes)
     df = degrees(origins(df, records), sheets, records)

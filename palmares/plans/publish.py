@@ -15,7 +15,9 @@ from ..functions.scalars import breadcrumb, join_codes, recode, yes_no
 from ..operators.aggregate import resum, sum_cube
 from ..operators.filters import exclude, keep_positive, semi_by_attribute
 from ..operators.lookups import left_lookup, star_join
+from ..operators.rules import ROW
 from ..operators.schema import alias_columns, pick, relabel
+from ..sources.sheets import StoredSheets
 
 # Keys, measures and names of the published table.
 CUBE_KEYS = (
@@ -273,13 +275,14 @@ def label(df: DataFrame, sheets: Mapping[str, DataFrame], others: tuple[str, ...
             sheet, cols = OTHER_ROLES[name]
             df = left_lookup(df, sheets[sheet], {name: sheet}, cols)
             continue
-        extra = [c for c in sheets[name].columns if c != name]
+        extra = [c for c in sheets[name].columns if c not in (name, ROW)]
         df = left_lookup(df, sheets[name], name, extra)
     return df.withColumn("SEXE_LIB", F.coalesce("SEXE_LIB", F.lit("Inconnu")))
 
 
 def publish(df: DataFrame, sheets: Mapping[str, DataFrame], names: bool = True) -> DataFrame:
     """Corrected facts to the published table (French names unless ``names`` is off)."""
+    sheets = StoredSheets(sheets).ahead()
     wide = label(star(code_sums(in_scope(df, sheets)), sheets), sheets)
     table = resum(pick(wide, [*PUBLISHED_KEYS, *MEASURES]), PUBLISHED_KEYS, MEASURES)
     return relabel(table, PUBLISHED_NAMES) if names else table

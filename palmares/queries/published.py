@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators.derive import headcount, total_headcount
 from ..operators.schema import add_nulls
 from ..plans import correct, publish
-from ..sources.contracts import FILE_COLUMNS, RAW_COLUMNS, RAW_INTS
+from ..sources.contracts import FILE_COLUMNS, RAW_COLUMNS, RAW_INTS, column_bit, columns_mask
 from ..sources.opendata import read_open_csv, write_open_csv
 from ..sources.sheets import SHEETS, as_sheet
 from ..session import work_dir
@@ -200,9 +200,9 @@ def raw_facts(spark, sf):
     }).drop("h1", "h2", "h3", "h4", "cents", "PAR_TYPE", "DNDU", "DNDU_INT", "LMDDONT", "LMDDONTBIS", "LMDDONT_INT", "LMDDONTBIS_INT",
             "PROXBAC", "PROXREGBAC", "OUTREMER", "CURSUS_LMD", "CURSUS_LMD_INT", "COMINS", "ID_PAYSAGE_ED")
     # files of some years lack columns, as real ones do
-    lacking = F.array_compact(F.array(
-        F.when(F.col("RENTREE") < "2012", "RESDIP"), F.when(F.col("RENTREE") > "2019", "DEPBAC"), F.when(F.col("SOURCE") == "culture", "NIVEAUR")))
-    df = df.withColumn(FILE_COLUMNS, F.array_except(F.array(*[F.lit(c) for c in RAW_COLUMNS]), lacking))
+    lacking = [(F.col("RENTREE") < "2012", "RESDIP"), (F.col("RENTREE") > "2019", "DEPBAC"), (F.col("SOURCE") == "culture", "NIVEAUR")]
+    absent = sum((F.when(where, F.lit(column_bit(c))).otherwise(F.lit(0)) for where, c in lacking), F.lit(0))
+    df = df.withColumn(FILE_COLUMNS, (F.lit(columns_mask(RAW_COLUMNS)) - absent).cast("bigint"))
     return add_nulls(df, {c: "bigint" if c in RAW_INTS else "string" for c in RAW_COLUMNS})
 
 

@@ -8,8 +8,8 @@ from ..functions.nulls import is_missing
 from ..operators import rules as R
 from ..operators.lookups import small_table
 from ..plans import correct
-from ..sources.contracts import FILE_COLUMNS
-from .base import SOURCES, blank, miss, query, table, view
+from ..sources.contracts import FILE_COLUMNS, columns_mask
+from .base import blank, miss, query, table, view
 
 WITH_INT = "\"SOURCE\" IN ('result', 'ens', 'inge', 'priv')"
 
@@ -48,8 +48,7 @@ def r2(spark, sf):
     """Two of three orders carry a code that no rule has."""
     code = (F.col("cust") + F.col("h1") % 3 * 1000000).cast("string")
     df = view(spark, sf, "ord").select("k", F.col("y").cast("string").alias("RENTREE"), code.alias("etabli"))
-    rules = R.expand_years(range_sheet(spark, sf), *R.year_bounds(df))
-    return R.replace_by_key(df, rules, {"RENTREE": "RENTREE", "etabli": "IN"}, "etabli").select("k", "etabli")
+    return R.replace_in_spans(df, R.span_map(range_sheet(spark, sf), "IN"), "etabli", "etabli").select("k", "etabli")
 
 
 SOURCE_SHEET = """(SELECT CASE p_partkey % 3 WHEN 0 THEN '' WHEN 1 THEN 'result' ELSE 'priv' END AS source,
@@ -79,7 +78,7 @@ def r3(spark, sf):
     code = lambda letter, h: F.concat(F.lit(letter), (F.col(h) % 500).cast("string"))
     df = deg(spark, sf).select("k", "SOURCE", "RENTREE", code("E", "h1").alias("ETABLI"), code("C", "h2").alias("COMPOS"),
                                code("C", "h3").alias("RATTACH"))
-    return R.replace_by_sources(df, sheet, SOURCES, *R.year_bounds(df)).select("k", "COMPOS", "ETABLI")
+    return R.replace_by_sources(df, sheet).select("k", "COMPOS", "ETABLI")
 
 
 COMINS_SHEET = [
@@ -327,8 +326,8 @@ o7 AS (SELECT * REPLACE (CASE WHEN w AND d = 'O' AND r = 'O' AND NOT {MISS['t']}
 
 def outcomes(spark, sf):
     """The job's outcome step; files of years before 2012 lack the outcome columns."""
-    both = F.array(F.lit("RESDIP"), F.lit("RESINT"))
-    return correct.outcomes(deg(spark, sf).withColumn(FILE_COLUMNS, F.when(F.col("RENTREE") >= "2012", both).otherwise(F.array().cast("array<string>"))))
+    both = F.lit(columns_mask(("RESDIP", "RESINT")))
+    return correct.outcomes(deg(spark, sf).withColumn(FILE_COLUMNS, F.when(F.col("RENTREE") >= "2012", both).otherwise(F.lit(0)).cast("bigint")))
 
 
 @query("r14_read_time_recodes", f'WITH {OUTCOMES} SELECT k, t AS "TYP_DIPINT", di AS "DISCIPLINT", r AS "RESINT" FROM o7', ["deg"])

@@ -29,8 +29,9 @@ RAW_COLUMNS = (
 # Sources whose files carry an intermediate degree.
 INTERMEDIATE_SOURCES = ("result", "ens", "inge", "priv")
 
-# Column of the facts that lists the columns of the file a row came from. In one table over all
-# sources an absent column is a NULL like any other, so rules that mean "column absent" read it.
+# Column of the facts that tells which columns the file of a row had, one bit for each of RAW_COLUMNS by its place
+# there. In one table over all sources an absent column is a NULL like any other, so rules that mean "column absent"
+# read it. It is one number a file: stored it takes next to nothing, and a test is one operation on a long.
 FILE_COLUMNS = "FILE_COLUMNS"
 
 
@@ -48,13 +49,25 @@ def has_intermediate(source: str = "SOURCE") -> Column:
     return F.coalesce(F.col(source).isin(*INTERMEDIATE_SOURCES), F.lit(False))
 
 
+def column_bit(col: str) -> int:
+    """The bit of a raw column in FILE_COLUMNS."""
+    if col not in RAW_COLUMNS:
+        raise ValueError(f"{col} is no raw column: its presence is not noted")
+    return 1 << RAW_COLUMNS.index(col)
+
+
+def columns_mask(columns: Iterable[str]) -> int:
+    """The bits of all raw columns among ``columns``."""
+    return sum(column_bit(c) for c in set(columns) & set(RAW_COLUMNS))
+
+
 def with_file_columns(df: DataFrame) -> DataFrame:
     """Note the columns of a file on its rows; facts that have the note keep it."""
     if FILE_COLUMNS in df.columns:
         return df
-    return df.withColumn(FILE_COLUMNS, F.array(*[F.lit(c) for c in sorted(df.columns)]))
+    return df.withColumn(FILE_COLUMNS, F.lit(columns_mask(df.columns)).cast("bigint"))
 
 
 def file_has(col: str) -> Column:
     """Did the file of the row have this column?"""
-    return F.coalesce(F.array_contains(FILE_COLUMNS, col), F.lit(False))
+    return F.coalesce(F.col(FILE_COLUMNS).bitwiseAND(F.lit(column_bit(col)).cast("bigint")) != 0, F.lit(False))

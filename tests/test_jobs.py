@@ -1,5 +1,6 @@
 """The jobs on hand-made facts, with results worked out by hand, and their invariants."""
 
+import json
 import random
 
 import pytest
@@ -13,18 +14,18 @@ from palmares.plans import chain, correct, ingest, publish, verify
 from palmares.plans.correct import _all, _is, _source
 from palmares.queries import published as P
 from palmares.sources.catalogue import catalogue, fact_path, landing_name, missing_partitions, sources_of
-from palmares.sources.contracts import FILE_COLUMNS, RAW_COLUMNS, RAW_INTS, contract, file_has, has_intermediate
+from palmares.sources.contracts import FILE_COLUMNS, RAW_COLUMNS, RAW_INTS, columns_mask, contract, file_has, has_intermediate
 from palmares.sources.facts import normalise_landing, read_fact, write_fact
 from palmares.sources.opendata import read_open_csv, write_open_csv
-from palmares.sources.sheets import read_sheet_folder, read_sheets, write_sheets
+from palmares.sources.sheets import StoredSheets, read_sheet_folder, read_sheets, write_sheets
 
 SF = "/root/testdata/sf0.001"
 
 
 def raw(spark, rows):
     cols = ["SOURCE", "RENTREE", *RAW_COLUMNS]
-    schema = contract(cols, RAW_INTS).add(FILE_COLUMNS, T.ArrayType(T.StringType()))
-    return small_table(spark, [(*(r.get(c) for c in cols), [c for c in RAW_COLUMNS if c not in r.get("ABSENT", ())]) for r in rows], schema)
+    schema = contract(cols, RAW_INTS).add(FILE_COLUMNS, T.LongType())
+    return small_table(spark, [(*(r.get(c) for c in cols), columns_mask(c for c in RAW_COLUMNS if c not in r.get("ABSENT", ()))) for r in rows], schema)
 
 
 # Outcomes --------------------------------------------------------------------
@@ -369,3 +370,27 @@ def test_verification(corrected, sheets):
     combos = verify.combinations(again)
     assert combos.columns == sorted(combos.columns) and combos.count() == 4
     assert verify.entities(sheets).columns == sorted(verify.ENTITY_COLUMNS)
+
+
+def test_sheets_keep_the_order_of_the_document(spark, tmp_path):
+    """Rules apply in the order of the sheet: of equal rows the first place counts, in every way of reading."""
+    records = [{"VAR1_IN": "t", "VALUE1_IN": str(i % 40), "VAR2_IN": "", "VALUE2_IN": "", "VAR_OUT": "t", "VALUE_OUT": str((i * 7 + 1) % 40)} for i in range(120)]
+    (tmp_path / "whole.json").write_text(json.dumps({"DEP_CORRECTIF": records}))
+    (tmp_path / "lines.json").write_text("\n".join(json.dumps({"DEP_CORRECTIF": [r]}) for r in records))
+    first = list({tuple(r.values()): r for r in reversed(records)}.values())[::-1]
+    want = list({tuple(r.values()): r for r in records}.values())
+    assert len(first) == len(want) == 40
+    for name, whole in (("whole", True), ("lines", False)):
+        sheets = read_sheets(spark, str(tmp_path / f"{name}.json"), whole=whole)
+        assert rules.all_records(sheets, ["DEP_CORRECTIF"])["DEP_CORRECTIF"] == want
+        write_sheets(sheets, str(tmp_path / f"sheets-{name}"))
+        again = read_sheet_folder(spark, str(tmp_path / f"sheets-{name}"), ["DEP_CORRECTIF"])
+        assert rules.all_records(again, ["DEP_CORRECTIF"])["DEP_CORRECTIF"] == want
+
+
+def test_stored_sheets_are_written_once(spark):
+    made = spark.range(20).groupBy((F.col("id") % 5).cast("string").alias("K")).agg(F.max(F.col("id").cast("string")).alias("V"))
+    local = small_table(spark, [("a",)], "K string")
+    sheets = StoredSheets({"A": made, "B": local}).ahead()
+    assert sheets["A"] is sheets["A"] and sheets["A"] is not made and sheets["B"] is local
+    assert values(sheets["A"]) == values(made) and set(sheets) == {"A", "B"} and StoredSheets(sheets)["A"] is sheets["A"]

@@ -175,3 +175,24 @@ def test_distinct_combos_and_diff(frame):
     df = frame([("1", "p", "x"), ("1", "p", "y")], "R string, ID_PAYSAGE string, other string")
     assert values(Q.distinct_combos(df, "PAYSAGE", ["R", "absent"])) == [("p", "1")]
     assert Q.column_diff(df, ["R", "Z"]) == (["Z"], ["ID_PAYSAGE", "other"])
+
+
+@pytest.mark.parametrize("limit", [None, 0], ids=["broadcast", "shuffle"])
+def test_two_values_under_a_key_fail_whatever_is_read(frame, limit):
+    """The check survives the pruning of the looked-up columns."""
+    fact = frame([("a", 1), ("b", 2), ("b", 2)], "k string, v int")
+    found = L.left_lookup(fact, frame([("a", "x"), ("a", "y"), ("b", "z")], "k string, w string"), "k", ["w"], limit=limit)
+    for read in (lambda: found.select("v").collect(), found.count, lambda: found.groupBy("v").count().collect(), lambda: found.filter("w = 'z'").collect()):
+        with pytest.raises(Exception, match="several values"):
+            read()
+    sound = L.left_lookup(fact, frame([("a", "x"), ("a", "x"), ("b", "z")], "k string, w string"), "k", ["w"], limit=limit)
+    assert sound.count() == 3 and values(sound, "k", "w") == [("a", "x"), ("b", "z"), ("b", "z")]
+
+
+def test_stored_table_knows_its_bytes_and_keys(frame):
+    dim = frame([("a", "x" * 1000, 1), ("b", "", 2)], "k string, w string, n int")
+    kept = L.stored(dim, "dim")
+    assert values(kept) == values(dim)
+    assert L.checked_bytes(kept.filter("n = 1").select("k")) == L.checked_bytes(kept) == 1002 + 4 * 24 + 2 * 16
+    with pytest.raises(Exception, match="several values"):
+        L.stored(frame([("a", "x"), ("a", "y")], "k string, w string"), "dim", ["k"])
