@@ -45,14 +45,27 @@ class Mapping:
     def fingerprints(self) -> list[str]:
         return [hashlib.sha256(skeleton(s).encode()).hexdigest() for s in self.shapes]
 
+    def extract_text(self, record: Column) -> Column:
+        """``extract`` from a JSON text; null if it has not the mapping's fields."""
+        if self.fields:
+            names = list(dict.fromkeys(name for _, name in self.fields))
+            got = F.from_json(record, ", ".join(f"`{n}` string" for n in names))
+            each = [F.struct(F.lit(role).alias("role"), got[name].alias("text")) for role, name in self.fields]
+            some = F.filter(F.array(*each), lambda t: t["text"].isNotNull())
+            return F.when(F.size(some) > 0, some)
+        got = F.from_json(record, f"`{self.turns}` array<struct<`{self.role}`:string,`{self.text}`:string>>")[self.turns]
+        return self._turns(got)
+
+    def _turns(self, got: Column) -> Column:
+        renamed = lambda r: F.coalesce(*[F.when(r == a, F.lit(b)) for a, b in self.roles.items()], r, F.lit(""))
+        return F.transform(got, lambda m: F.struct(renamed(m[self.role]).alias("role"), F.coalesce(m[self.text], F.lit("")).alias("text")))
+
     def extract(self, record: Column) -> Column:
         if self.fields:
             each = [F.struct(F.lit(role).alias("role"), F.try_variant_get(record, f"$.{name}", "string").alias("text")) for role, name in self.fields]
             return F.filter(F.array(*each), lambda t: t["text"].isNotNull())
         kind = f"array<struct<`{self.role}`:string,`{self.text}`:string>>"
-        got = F.try_variant_get(record, f"$.{self.turns}", kind)
-        renamed = lambda r: F.coalesce(*[F.when(r == a, F.lit(b)) for a, b in self.roles.items()], r, F.lit(""))
-        return F.transform(got, lambda m: F.struct(renamed(m[self.role]).alias("role"), F.coalesce(m[self.text], F.lit("")).alias("text")))
+        return self._turns(F.try_variant_get(record, f"$.{self.turns}", kind))
 
 
 MAPPINGS = (
@@ -92,19 +105,26 @@ def unescape(text: Column) -> Column:
     return text
 
 
-def format_chats(records: DataFrame, record: str = "record", mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
+#: Longer records do not fit a variant; they are read with the first mapping that finds its fields.
+VARIANT_BYTES = 16 << 20
+
+
+def format_chats(records: DataFrame, record: str = "record", mappings: tuple[Mapping, ...] = MAPPINGS, variant_bytes: int = VARIANT_BYTES) -> DataFrame:
     """``records`` with ``formatted`` and ``segments`` in place of the JSON text column ``record``.
 
     ``segments`` are (text, loss) pieces whose texts joined are ``formatted``; loss marks what a model learns: the assistant's
     texts, without the marks around them. No control string of a text survives in it (see ``escape``). Malformed JSON
-    and unknown layouts give null; a record without turns the empty text.
+    and unknown layouts give null; a record without turns the empty text. Records over ``variant_bytes`` are not told by their
+    fingerprint but by the fields that are found in them.
     """
     turns = F.col("turns_")
     pieces = F.flatten(F.transform(turns, lambda t: F.array(
         F.struct(F.concat(F.lit(START), escape(t["role"]), F.lit(SEP)).alias("text"), F.lit(False).alias("loss")),
         F.struct(escape(t["text"]).alias("text"), (t["role"] == "assistant").alias("loss")),
         F.struct(F.lit(END).alias("text"), F.lit(False).alias("loss")))))
-    parsed = records.withColumn("record_", F.try_parse_json(record)).withColumn("turns_", canonical_turns(F.col("record_"), mappings))
+    large = F.octet_length(record) > variant_bytes
+    parsed = records.withColumn("record_", F.when(~large, F.try_parse_json(record)))
+    parsed = parsed.withColumn("turns_", F.when(large, F.coalesce(*[m.extract_text(F.col(record)) for m in mappings])).otherwise(canonical_turns(F.col("record_"), mappings)))
     out = parsed.withColumn("segments", pieces).withColumn("formatted", F.array_join(F.transform("segments", lambda s: s["text"]), ""))
     return out.drop(record, "record_", "turns_")
 

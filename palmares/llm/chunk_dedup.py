@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import let, total, written
 
 #: Bytes to either side of a cut in which no other cut can fall: chunks have over REACH bytes, mostly about twice that.
 REACH = 16
@@ -106,17 +106,23 @@ def chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
 
 
 def _runs(parts: Column, min_words: int) -> Column:
-    """Neighbouring chunks joined to stretches; those of at least ``min_words`` words. ``parts`` are sorted by place."""
-    kind = "array<struct<at:bigint,bytes:bigint,words:bigint,first:boolean>>"
+    """Neighbouring chunks joined to stretches; those of at least ``min_words`` words. ``parts`` are sorted by place; each is read once or twice."""
+    def begins(i: Column) -> Column:
+        before, here = F.get(parts, i - 1), F.get(parts, i)
+        return (i == 0) | (before["at"] + before["bytes"] != here["at"])
 
-    def add(acc: Column, p: Column) -> Column:
-        one = F.struct(p["at"].alias("at"), p["bytes"].cast("long").alias("bytes"), p["words"].cast("long").alias("words"), p["first"].alias("first"))
-        prev = F.try_element_at(acc, F.lit(-1))
-        touches = (F.size(acc) > 0) & (prev["at"] + prev["bytes"] == p["at"])
-        grown = F.struct(prev["at"].alias("at"), (prev["bytes"] + p["bytes"]).alias("bytes"), (prev["words"] + p["words"]).alias("words"), (prev["first"] & p["first"]).alias("first"))
-        return F.when(touches, F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(grown))).otherwise(F.concat(acc, F.array(one)))
+    starts = F.when(F.size(parts) > 0, F.filter(F.sequence(F.lit(0), F.size(parts) - 1), begins)).otherwise(F.array().cast("array<int>"))
 
-    return F.filter(F.aggregate(parts, F.array().cast(kind), add), lambda r: r["words"] >= min_words)
+    def stretch(starts: Column) -> Column:
+        def one(i: Column, k: Column) -> Column:
+            run = F.slice(parts, i + 1, F.coalesce(F.get(starts, k + 1), F.size(parts)) - i)
+            return let(run, lambda r: F.struct(
+                F.get(r, F.lit(0))["at"].alias("at"), total(F.transform(r, lambda p: p["bytes"].cast("long"))).alias("bytes"),
+                total(F.transform(r, lambda p: p["words"].cast("long"))).alias("words"), F.forall(r, lambda p: p["first"]).alias("first")))
+
+        return F.transform(starts, one)
+
+    return F.filter(let(starts, stretch), lambda r: r["words"] >= min_words)
 
 
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -124,17 +130,24 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, doc_id: str =
 
     A stretch is a row of neighbouring chunks of which each occurs twice or more in the table, with at least ``min_words``
     words. ``spans`` has (at, bytes, words, first); ``first`` marks a stretch all of whose chunks have their first
-    occurrence (least doc_id, then place) there: it stays, the others are the copies. Null or empty texts have none;
-    documents without stretches give no row. Rows that repeat an id and a text give one row, of stretches that repeat each other;
-    with the same id, other texts are other documents.
+    occurrence (least doc_id, null last, then least row_hash, then place) there: it stays, the others are the copies. Null or empty
+    texts have none; documents without stretches give no row. Rows that repeat an id and a text give one row, of stretches that
+    repeat each other; with the same id, other texts are other documents.
     """
     cut = written(chunks(docs, doc_id, text), "chunks")
-    counted = cut.groupBy("d1", "d2").agg(F.count("*").alias("n"), F.min("doc_id").alias("least")).where("n > 1")
+    texts = cut.groupBy("doc_id").agg(F.min("row_hash").alias("a"), F.max("row_hash").alias("b"))
+    if texts.where("a <> b").isEmpty():
+        # one text an id: the id alone tells documents apart, and its minimum is kept in place while chunks are counted
+        own, least = F.col("doc_id"), F.min("doc_id")
+    else:
+        own = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row_hash")
+        least = F.min(own)
+    counted = cut.groupBy("d1", "d2").agg(F.count("*").alias("n"), least.alias("least")).where("n > 1")
     # all chunks are shuffled here: two longs hold what is known of each besides its digest
     place = F.shiftleft("at", 1).bitwiseOR(F.col("again").cast("long")).alias("place")
     size = F.shiftleft(F.col("bytes").cast("long"), 32).bitwiseOR(F.col("words").cast("long")).alias("size")
     found = cut.select("doc_id", "row_hash", "d1", "d2", place, size).join(counted, ["d1", "d2"])
-    first = F.col("doc_id").eqNullSafe(F.col("least")) & (F.col("place") % 2 == 0)
+    first = own.eqNullSafe(F.col("least")) & (F.col("place") % 2 == 0)
     part = F.struct(
         F.shiftright("place", 1).alias("at"), F.shiftright("size", 32).cast("int").alias("bytes"), F.col("size").bitwiseAND((1 << 32) - 1).cast("int").alias("words"),
         first.alias("first"))

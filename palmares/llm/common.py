@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,6 +76,19 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def join_labels(labels: np.ndarray, x: np.ndarray, y: np.ndarray) -> None:
+    """Link the pairs of positions (x, y) in ``labels``, in place: each position has the least position of its tree."""
+    while True:
+        u, v = labels[x], labels[y]
+        apart = u != v
+        if not apart.any():
+            return
+        x, y, u, v = x[apart], y[apart], u[apart], v[apart]
+        np.minimum.at(labels, np.maximum(u, v), np.minimum(u, v))
+        while not np.array_equal(deeper := labels[labels], labels):
+            labels[:] = deeper
+
+
 def small(df: DataFrame) -> DataFrame:
     """``df`` (a written table, so that counting reads no data) with a broadcast hint if its counted rows allow it."""
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df

@@ -16,8 +16,9 @@ from .common import free_name, let, small, written
 
 SHINGLE = 5
 LEAST = 0.8
-#: Equal-sized windows of similarity 0.8 share 8/9 of their shingles: a bit differs with probability 0.15, more than 20 of 64 in one case of 2000.
-RADIUS = 20
+#: Equal-sized windows of similarity 0.8 share 8/9 of their shingles: a bit differs with probability 0.15, more than 23 of 64 in about one
+#: case of 100 000. It is the largest radius for which a block may differ in 2 bits at the most (23 // 8), so the index is that of 16.
+RADIUS = 23
 BLOCKS = 8
 #: Bits of the table that tells most shingles of texts from those of items: 64 a shingle, within these bounds.
 FEWEST_BITS, MOST_BITS = 1 << 16, 1 << 22
@@ -107,9 +108,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST, ra
 
     # one pass over the texts; the row number keeps the filter behind the projection, so shingles are made once
     met = let(shingle_hashes(word_hashes(docs[text])), lambda h: F.struct(
-        h.alias("hs"), F.filter(F.sequence(F.lit(0), F.size(h) - 1, F.lit(1)), lambda i: _maybe(table, F.get(h, i), bits)).alias("met")))
-    enough = F.regexp_like(F.coalesce(docs[text], F.lit("")), F.lit(r"(?:[\p{L}\p{N}]+[^\p{L}\p{N}]+){4}[\p{L}\p{N}]"))
-    rows = docs.select(docs[doc_id].alias("doc_id"), F.xxhash64(docs[text]).alias("row_hash"), F.when(enough, met).alias("m"), F.monotonically_increasing_id().alias("row"))
+        h.alias("hs"), F.when(F.size(h) > 0, F.filter(F.sequence(F.lit(0), F.size(h) - 1), lambda i: _maybe(table, F.get(h, i), bits))).alias("met")))
+    rows = docs.select(docs[doc_id].alias("doc_id"), F.xxhash64(docs[text]).alias("row_hash"), met.alias("m"), F.monotonically_increasing_id().alias("row"))
     held = written(rows.where(F.size("m.met") > 0).select("row", "doc_id", "row_hash", "m.hs", "m.met"), "met")
 
     hits = held.select("row", F.explode("met").alias("at"), F.size("hs").alias("len"), "hs").select("row", "at", "len", F.get("hs", F.col("at")).alias("hash"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from . import chat, chunk_dedup, decontam, language, licenses, packing, pii, prefix_trie, quality, simhash, toxicity, vector_dedup, whitening
 
-#: Key of the surrogates; a cluster sets its own secret under this name.
+#: Key of the surrogates; a cluster must set its own secret under this name, only local sessions may do without.
 KEY_SETTING, SAMPLE_KEY = "spark.palmares.pii.key", "sample-key"
 
 
@@ -16,7 +16,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def pii_key(spark: SparkSession) -> str:
-    return spark.conf.get(KEY_SETTING, SAMPLE_KEY)
+    key = spark.conf.get(KEY_SETTING, None)
+    if not key and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"set {KEY_SETTING} to a secret: with a known key surrogates can be worked out again")
+    return key or SAMPLE_KEY
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,7 +36,16 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return language.identify(docs, declared=docs["lang"], address=docs["source"], host=docs["source"]).drop("row_hash")
+    return language.identify(docs, declared=docs["lang"], address=docs["source"], host=docs["source"]).drop("row_hash", "declared", "suffix")
+
+
+def pages_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The operator of ``op4`` over pages, which have all its evidence: markup, address suffix and host."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    shown = pages.withColumn("text", language.page_text(F.col("html")))
+    found = language.identify(
+        shown, doc_id="page_id", declared=language.markup_language(F.col("html")), address=F.col("url"), host=language.host_of(F.col("url")))
+    return found.select(F.col("doc_id").alias("page_id"), F.col("declared").alias("markup"), "suffix", "language", "probability", "kept", "reason")
 
 
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,7 +213,7 @@ def queries() -> dict:
     found = (
         op1_toxicity, op2_substring_dedup, op3_quality_rules, op4_language_id, op5_chat_formatting, op6_best_fit_packing,
         op7_license_scan, op8_simhash_near_dedup, op9_benchmark_decontamination, op10_pii_surrogates,
-        op11_embedding_whitening, op12_embedding_near_dedup, op13_conversation_prefix_trie)
+        op11_embedding_whitening, op12_embedding_near_dedup, op13_conversation_prefix_trie, pages_language_id)
     return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
 
 

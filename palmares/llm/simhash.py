@@ -11,15 +11,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, written
+from .common import free_name, join_labels, written
 from .components import components
 
 SEED = 42
-#: Fingerprints that the tree is built from, and how many of all fingerprints a shard should hold. Each level of the tree halves a shard but
-#: sends about 1.7 times the copies over its borders (64-bit distances crowd around 32), so comparisons fall by a sixth only while rows
-#: grow: few large shards are best.
+#: Fingerprints that the tree of shards is built from, how many of all fingerprints a shard should hold, and the least number of shards. Each
+#: level of the tree halves a shard but sends about 1.7 times the copies over its borders (64-bit distances crowd around 32), so comparisons
+#: fall by a sixth only while rows grow: few large shards are best.
 SAMPLE = 4096
 SHARD = 1 << 15
+LEAST_SHARDS = 8
+#: Points in a leaf of the tree inside a shard.
+LEAF = 1 << 10
 _BLOCK = 1 << 14
 
 
@@ -45,7 +48,10 @@ def fingerprint(tokens: list[bytes], shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows (doc_id, fp): the fingerprint of every whole text as a signed long. Null texts count as empty."""
+    """Rows (doc_id, row_hash, fp): the fingerprint of every whole text as a signed long. Null texts count as empty.
+
+    ``row_hash`` is Spark's xxhash64 of the text and tells rows of one id apart.
+    """
     id_type = docs.schema[doc_id].dataType
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -53,10 +59,10 @@ def fingerprints(docs: DataFrame, shingle: int, doc_id: str = "doc_id", text: st
             # on bytes lower() changes A-Z alone, and split() splits at [\x20\x09-\x0D]+ alone
             fps = [fingerprint(t.lower().split() if t else [], shingle) for t in b.column(1).to_pylist()]
             signed = np.array(fps, dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(signed)], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(signed)], names=["doc_id", "row_hash", "fp"])
 
-    narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("binary").alias("text"))
-    return narrow.mapInArrow(batches, f"doc_id {id_type.simpleString()}, fp long")
+    narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("binary").alias("text"), F.xxhash64(text).alias("row_hash"))
+    return narrow.mapInArrow(batches, f"doc_id {id_type.simpleString()}, row_hash long, fp long")
 
 
 class _Node:
@@ -116,32 +122,39 @@ def route(tree: _Node, fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.nda
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
-def links(own: np.ndarray, guests: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+def links(own: np.ndarray, guests: np.ndarray, radius: int, leaf: int = LEAF) -> tuple[np.ndarray, np.ndarray]:
     """Edges that connect all pairs within ``radius`` of own-own and own-guest fingerprints, as a forest.
 
-    Search goes outwards from each own point, over the points that its group does not hold yet:
-    memory and edges stay linear, also where thousands lie within ``radius`` of each other.
+    A vantage-point tree over the own points: whoever is more than ``radius`` outside a ball meets nothing in it, and
+    the other way round, so a branch sees only the points whose distance to its vantage point allows a pair. A leaf is compared with
+    all that reach it, and every hit only joins two trees of the forest: memory stays linear, also where thousands are close.
     """
-    left, us, vs = own.copy(), [], []
-    while len(left):
-        seed, left = left[0], left[1:]
-        frontier, other = [np.array([seed])], guests
-        while frontier:
-            for p in frontier.pop():
-                near = np.bitwise_count(left ^ p) <= radius
-                if near.any():
-                    found, left = left[near], left[~near]
-                    frontier.append(found)
-                    us.append(np.full(len(found), seed))
-                    vs.append(found)
-                if len(other):
-                    near = np.bitwise_count(other ^ p) <= radius
-                    if near.any():
-                        us.append(np.full(near.sum(), seed))
-                        vs.append(other[near])
-                        other = other[~near]
-    empty = np.zeros(0, dtype=np.uint64)
-    return (np.concatenate(us), np.concatenate(vs)) if us else (empty, empty)
+    points = np.concatenate([own, guests])
+    labels = np.arange(len(points))
+    stack = [(np.arange(len(own)), np.arange(len(points)))]
+    while stack:
+        held, met = stack.pop()
+        if not len(held) or not len(met):
+            continue
+        if len(held) > leaf:
+            tried = points[held[:: max(1, len(held) // 8)][:8]]
+            spread = [np.bitwise_count(points[held[:: max(1, len(held) // 256)]] ^ p).std() for p in tried]
+            vantage = tried[int(np.argmax(spread))]
+            far = np.bitwise_count(points[held] ^ vantage).astype(np.int16)
+            ball = min(int(np.median(far)), int(far.max()) - 1)
+            reach = np.bitwise_count(points[met] ^ vantage).astype(np.int16)
+            inside = far <= ball
+            if inside.any() and not inside.all():
+                stack.append((held[inside], met[reach <= ball + radius]))
+                stack.append((held[~inside], met[reach > ball - radius]))
+                continue
+        step = max(1, (1 << 22) // len(held))
+        for k in range(0, len(met), step):
+            part = met[k : k + step]
+            x, y = np.nonzero(np.bitwise_count(points[part][:, None] ^ points[held][None, :]) <= radius)
+            join_labels(labels, part[x], held[y])
+    tied = np.flatnonzero(labels != np.arange(len(points)))
+    return points[tied], points[labels[tied]]
 
 
 def hamming_links(fps: DataFrame, radius: int, shard: int = SHARD, sample: int = SAMPLE) -> DataFrame:
@@ -153,9 +166,9 @@ def hamming_links(fps: DataFrame, radius: int, shard: int = SHARD, sample: int =
     """
     spark = fps.sparkSession
     n = fps.count()
-    leaves = max(1, min(-(-n // shard), sample // 4))
+    leaves = max(LEAST_SHARDS, min(-(-n // shard), sample // 4))
     by = F.xxhash64("fp", F.lit(7))
-    drawn = [r[0] for r in fps.orderBy(by, "fp").limit(sample).collect()] if leaves > 1 else []
+    drawn = [r[0] for r in fps.orderBy(by, "fp").limit(sample).collect()]
     tree, made = build_tree(np.array(drawn, dtype=np.int64).view(np.uint64), leaves)
     sent = spark.sparkContext.broadcast(tree)
 
@@ -182,12 +195,18 @@ def hamming_links(fps: DataFrame, radius: int, shard: int = SHARD, sample: int =
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows (doc_id, fp, component_id): one per row of ``docs``; component_id is the least doc_id reachable over links.
+    """Rows (doc_id, row_hash, fp, component_id): one per row of ``docs``; component_id is the least doc_id reachable over links.
 
     Two texts are linked if their fingerprints differ in at most ``radius`` bits; equal fingerprints always are,
     those of texts without words (0) too. Null texts count as empty. Repeated ids give repeated rows; each text of
     an id links for itself. Rows with a null id take part but never name a component, unless it has no other id (then null).
     """
+    by_doc, of_class = _classes(docs, shingle, radius, doc_id, text)
+    return by_doc.join(of_class, "fp").select("doc_id", "row_hash", "fp", "component_id")
+
+
+def _classes(docs: DataFrame, shingle: int, radius: int, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """The written fingerprints of all rows, and (fp, root, component_id) of each distinct one."""
     by_doc = written(fingerprints(docs, shingle, doc_id, text), "fingerprints")
     classes = written(by_doc.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
     edges = hamming_links(classes, radius)
@@ -195,8 +214,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, doc_id:
     rooted = classes.join(root, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     rooted = written(rooted, "rooted")
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_class = rooted.join(named, "root").select("fp", "component_id")
-    return by_doc.join(of_class, "fp").select("doc_id", "fp", "component_id")
+    return by_doc, rooted.join(named, "root").select("fp", "root", "component_id")
 
 
 def as_hex(fp) -> "F.Column":
@@ -205,24 +223,25 @@ def as_hex(fp) -> "F.Column":
 
 
 def one_of_each(docs: DataFrame, shingle: int = 4, radius: int = 4, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id names its component: one document of each group, with all columns.
+    """One document of each group of linked fingerprints, with all columns: the row of the least id, of one id that of the least text hash.
 
-    Of rows that repeat a kept id, the one with the least text stays. Rows with a null id cannot be told apart
-    and all stay. An empty table gives an empty one.
+    Rows are told by id and text. Null ids come last; rows that agree in both are one document, of which the row with the least
+    hash over all columns stays. An empty table gives an empty one.
     """
-    found = near_duplicates(docs, shingle, radius, doc_id, text)
-    key, rows = free_name(docs, "kept_id"), free_name(docs, "kept_rows")
-    keep = found.where("doc_id = component_id").groupBy(F.col("doc_id").alias(key)).agg(F.count("*").alias(rows))
+    by_doc, of_class = _classes(docs, shingle, radius, doc_id, text)
+    rows = by_doc.join(of_class, "fp").groupBy("root", "doc_id", "row_hash").agg(F.count("*").alias("n"))
+    first = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row_hash", "n")).alias("keeper"))
+    key, mark, many = free_name(docs, "kept_id"), free_name(docs, "kept_hash"), free_name(docs, "kept_rows")
     # most rows are kept, so their ids outgrow any broadcast: join by merge at every size, as large tables do
-    keep = written(keep, "kept").hint("merge")
-    nameless = docs.where(F.col(doc_id).isNull())
-    if keep.where(F.col(rows) > 1).isEmpty():
-        return docs.join(keep, docs[doc_id] == keep[key], "left_semi").union(nameless)
-    single = keep.where(F.col(rows) == 1)
-    repeated = keep.where(F.col(rows) > 1)
-    many = docs.join(repeated, docs[doc_id] == repeated[key], "left_semi")
-    whole = F.struct(*[F.col(c) for c in docs.columns])
-    least = many.groupBy(F.col(doc_id).alias(key)).agg(F.min_by(whole, F.struct(F.col(text), F.xxhash64(*docs.columns))).alias(rows))
-    # written apart: in one plan with literal columns the union gave repeated rows twice
-    once = written(docs.join(single, docs[doc_id] == single[key], "left_semi"), "once")
-    return once.union(written(least.select(f"{rows}.*"), "least")).union(nameless)
+    keep = written(first.select(F.col("keeper.doc_id").alias(key), F.col("keeper.row_hash").alias(mark), F.col("keeper.n").alias(many)), "kept")
+
+    def rows_of(kept: DataFrame) -> DataFrame:
+        same = (F.xxhash64(docs[text]) == kept[mark]) & docs[doc_id].eqNullSafe(kept[key])
+        return docs.join(kept.hint("merge"), same, "left_semi")
+
+    single, repeated = keep.where(F.col(many) == 1), keep.where(F.col(many) > 1)
+    if repeated.isEmpty():
+        return rows_of(single)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    least = rows_of(repeated).groupBy(F.col(doc_id).alias(key), F.xxhash64(text).alias(mark)).agg(F.min_by(whole, F.xxhash64(*docs.columns)).alias(many))
+    return rows_of(single).unionByName(written(least.select(f"`{many}`.*"), "least"))

@@ -318,11 +318,12 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
 def training_rows(docs: DataFrame, labels: DataFrame, label: str = "toxic", fit_rows: int = FIT_ROWS) -> DataFrame:
     """Rows (doc_id, text, label) to learn from: labelled 0 or 1, outside the held-out third (crc32 mod 3 = 1).
 
-    At most ``fit_rows`` ids take part, those with the least hashes. Of several labels of an id the highest counts.
+    At most ``fit_rows`` ids and as many rows take part, those with the least hashes. Of several labels of an id the highest counts.
     """
     known = labels.select("doc_id", F.col(label).cast("int").alias("label")).where("label in (0, 1)").groupBy("doc_id").agg(F.max("label").alias("label"))
     known = known.where(crc_fold(F.col("doc_id")) != 1).orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
-    return docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+    rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+    return rows.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(fit_rows)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:

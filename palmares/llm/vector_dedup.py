@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_hot, written
+from .common import join_hot, join_labels, written
 from .components import components
 from .vectors import entry_type, packed
 
@@ -92,19 +92,6 @@ def linked_pairs(a: Tile, b: Tile, same: bool, threshold: float):
                 yield a.at[x[hit]], b.at[y[hit]]
 
 
-def _join(labels: np.ndarray, x: np.ndarray, y: np.ndarray) -> None:
-    """Link the pairs (x, y) in ``labels``, in place: each position has the least position of its tree."""
-    while True:
-        u, v = labels[x], labels[y]
-        apart = u != v
-        if not apart.any():
-            return
-        x, y, u, v = x[apart], y[apart], u[apart], v[apart]
-        np.minimum.at(labels, np.maximum(u, v), np.minimum(u, v))
-        while not np.array_equal(deeper := labels[labels], labels):
-            labels[:] = deeper
-
-
 def tile_links(cls: np.ndarray, sizes: np.ndarray, home: np.ndarray, vectors: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(class, vectors linked in this tile, least class of its tree) of the classes with a link.
 
@@ -120,7 +107,7 @@ def tile_links(cls: np.ndarray, sizes: np.ndarray, home: np.ndarray, vectors: np
         y = y + shift
         np.add.at(weights, x, sizes[y])
         np.add.at(weights, y, sizes[x])
-        _join(labels, x, y)
+        join_labels(labels, x, y)
     hit = weights > 0
     return cls[hit], weights[hit], cls[labels[hit]]
 

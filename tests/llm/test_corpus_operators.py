@@ -4,14 +4,18 @@ import hashlib
 import itertools
 import random
 import re
+import time
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import regex
 import xxhash
 from pyspark.sql import functions as F
 
-from palmares.llm import chat, chunk_dedup, components, decontam, language, licenses, packing, pii, queries, quality, simhash, toxicity
+from palmares.llm import (
+    chat, chunk_dedup, components, decontam, language, licenses, packing, pii, prefix_trie, queries, quality, simhash, toxicity, vector_dedup, whitening)
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -98,6 +102,22 @@ def test_shards_lose_no_pair(spark):
     assert least_reachable(prints, edges) == least_reachable(prints, true)
 
 
+def test_search_inside_a_shard_equals_brute_force():
+    """The tree of small leaves against all pairs: near copies, chains, a large group of copies and strangers."""
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 63, 400, dtype=np.uint64)
+    near = base[rng.integers(0, 400, 900)] ^ (np.uint64(1) << rng.integers(0, 64, 900).astype(np.uint64)) ^ (np.uint64(1) << rng.integers(0, 64, 900).astype(np.uint64))
+    group = base[0] ^ (np.uint64(1) << rng.integers(0, 64, 200).astype(np.uint64))
+    points = np.unique(np.concatenate([base, near, group]))
+    home = rng.random(len(points)) < 0.7
+    own, guests = points[home], points[~home]
+    u, v = simhash.links(own, guests, 4, leaf=16)
+    pairs = [(int(a), int(b)) for i, a in enumerate(own) for b in np.concatenate([own[i + 1 :], guests])[np.bitwise_count(np.concatenate([own[i + 1 :], guests]) ^ a) <= 4]]
+    nodes = [int(x) for x in points]
+    assert least_reachable(nodes, list(zip(u.tolist(), v.tolist()))) == least_reachable(nodes, pairs)
+    assert len(u) < len(points)
+
+
 def test_simhash_edges(spark):
     long = " ".join(f"w{i}" for i in range(40_000))
     df = docs_of(spark, [None, "", " \n", "One", "one", long, long], [5, 4, 9, 3, 2, 8, 7])
@@ -213,6 +233,33 @@ def test_passages_of_the_corpus_are_found(spark):
     assert want <= got
 
 
+def test_rows_of_one_id_are_documents_of_their_own(spark):
+    rng = random.Random(8)
+    passage = sentence(rng, 60)
+    for ids in ((1, 1), (None, None), (None, 1)):
+        rows = chunk_dedup.repeated_passages(docs_of(spark, [sentence(rng, 50) + " " + passage, sentence(rng, 50) + " " + passage + " " + sentence(rng, 9)], ids)).collect()
+        assert len(rows) == 2 and sorted(r.removed_words > 0 for r in rows) == [False, True] and all(r.repeated_words > 40 for r in rows)
+
+
+def test_many_stretches_of_a_text_are_joined(spark):
+    """A long text of alternating own and shared stretches against a plain scan of its chunks."""
+    rng = random.Random(12)
+    shared = [sentence(rng, 40) for _ in range(150)]
+    texts = ["\n".join(x for s in shared for x in (s, sentence(rng, 30))), "\n".join(shared)]
+    rows = {r.doc_id: r for r in chunk_dedup.repeated_passages(docs_of(spark, texts)).collect()}
+    cut = chunk_dedup.chunks(docs_of(spark, texts)).collect()
+    often = Counter((r.d1, r.d2) for r in cut)
+    for i, r in rows.items():
+        runs = []
+        for c in sorted((c for c in cut if c.doc_id == i and often[c.d1, c.d2] > 1), key=lambda c: c["at"]):
+            if runs and runs[-1][0] + runs[-1][1] == c["at"]:
+                runs[-1] = (runs[-1][0], runs[-1][1] + c["bytes"], runs[-1][2] + c["words"])
+            else:
+                runs.append((c["at"], c["bytes"], c["words"]))
+        assert [(s["at"], s["bytes"], s["words"]) for s in r.spans] == [x for x in runs if x[2] >= chunk_dedup.MIN_WORDS]
+    assert len(rows[0].spans) > 100
+
+
 def test_dedup_edges(spark):
     empty = docs_of(spark, []).limit(0)
     assert chunk_dedup.repeated_passages(empty).count() == 0
@@ -288,6 +335,45 @@ def test_language_sources_of_evidence(spark):
     assert [tuple(r) for r in got] == [("de", "de"), ("fr", None), (None, None)]
 
 
+def test_every_source_of_evidence_changes_a_result(spark):
+    """Fusion over pages: markup, suffix and host each turn some page that its text leaves open."""
+    rng = random.Random(5)
+    words = {"de": "der und das nicht auch werden schon aber noch", "fr": "les des est dans pour avec sont mais cette", "en": "the and that with from have been this they"}
+    rows = []
+    for i in range(600):
+        lang = rng.choice(list(words))
+        host = {"de": "a.de", "fr": "b.fr", "en": "c.com"}[lang]
+        rows.append((i, " ".join(rng.choice(words[lang].split()) for _ in range(40)), lang, f"http://{host}/x"))
+    short = [(1000, "a", "de", "http://new.de/x"), (1001, "a", None, "http://other.fr/y"), (1002, "a", None, "http://a.de/z"), (1003, "a", None, None)]
+    df = spark.createDataFrame([*rows, *short], "doc_id long, text string, lang string, url string")
+    full = {"declared": df["lang"], "address": df["url"], "host": language.host_of(df["url"])}
+    model = language.fit(df.select("doc_id", "text", "lang"))
+    told = lambda **how: {r.doc_id: r for r in language.identify(df, model=model, **how).collect()}
+    all_of = told(**full)
+    assert [all_of[i].language for i in (1000, 1001, 1002)] == ["de", "fr", "de"] and all(all_of[i].language == x for i, _, x, _ in rows)
+    assert {all_of[i].suffix for i in range(600)} == {"de", "fr", "com"} and all_of[1000].declared == "de"
+    for source, page in (("declared", 1000), ("address", 1001), ("host", 1002)):
+        without = told(**{k: v for k, v in full.items() if k != source})
+        assert without[page].probability < all_of[page].probability, source
+
+
+def test_a_label_has_no_part_in_its_own_text_model(spark):
+    """A text that stands alone in its half gets nothing from its own label."""
+    df = spark.createDataFrame([(i, t, "xx" if i == 7 else "en") for i, t in enumerate(["the and that with from"] * 7 + ["zq wq vq kq jq"])], "doc_id long, text string, lang string")
+    model = language.fit(df)
+    half = df.select("doc_id", language.half_of(F.col("doc_id")).alias("h")).where("doc_id = 7").first().h
+    n, own = model.means(b"zq wq vq kq jq", half)
+    _, other = model.means(b"zq wq vq kq jq", 1 - half)
+    k = model.languages.index("xx")
+    assert n > 5 and other[k] > own[k] and abs(own[k] - np.log(1 / language.BUCKETS)) < 1e-3
+
+
+def test_pages_query_tells_all_evidence(spark):
+    rows = queries.pages_language_id(spark, SF).collect()
+    pages = spark.read.parquet(f"{SF}/pages.parquet").count()
+    assert len(rows) == pages and all(r.markup and r.suffix for r in rows) and sum(r.language == r.markup for r in rows) > 0.9 * pages
+
+
 def test_language_edges(spark):
     base = documents(spark).select("doc_id", "text", "lang", "source", "n_chars")
     odd = base.union(docs_of(spark, [None, "", "123 456", "x " * 100_000], [9001, 9002, 9003, 9004])).union(spark.createDataFrame([(None, "Haan the of and", None, None, 1)], DOCS))
@@ -326,6 +412,13 @@ def test_fingerprint_ignores_value_types(spark):
     assert marks[0] == marks[1] == hashlib.sha256(chat.skeleton({"a": {"b": None}, "c": [{"d": None}]}).encode()).hexdigest() != marks[2]
 
 
+def test_records_that_no_variant_holds_give_the_same(spark):
+    rows = spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    records = chat.records_of(rows).union(spark.createDataFrame([(-1, '{"messages": []}'), (-2, "[1]"), (-3, "no json")], "conv_id long, record string"))
+    one, two = ({r.conv_id: r.formatted for r in chat.format_chats(records, variant_bytes=n).collect()} for n in (1 << 20, 4))
+    assert one == two and one[-3] is None and one[-1] == "" and None not in [v for k, v in one.items() if k >= 0]
+
+
 def test_chat_edges(spark):
     rows = spark.createDataFrame([(1, 0, "user", None), (1, 0, "user", None), (1, None, None, "x"), (None, 1, "assistant", "é" * 50_000), (2, 1, "tool", "t")], "conv_id long, turn long, role string, text string")
     got = {r.conv_id: r for r in chat.format_chats(chat.records_of(rows)).select("conv_id", chat.parse_turns(F.col("formatted")).alias("t"), chat.learned_text(F.col("segments")).alias("l")).collect()}
@@ -460,6 +553,14 @@ def test_decontamination_equals_brute_force(spark):
     assert left.columns == df.columns and {r.doc_id for r in left.collect()} == set(texts) - {i for i, _ in slow_leaks(texts, items)}
 
 
+def test_decontamination_bears_one_long_run_of_letters(spark):
+    item = "one two three four five six seven"
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    begin = time.time()
+    got = decontam.contaminated(docs_of(spark, ["x" * 1_000_000, "y" * 500_000 + " " + item, "ab"]), bench).collect()
+    assert [r.doc_id for r in got] == [1] and time.time() - begin < 60
+
+
 def test_decontamination_edges(spark):
     item = "one two three four five six seven"
     bench = spark.createDataFrame([(1, item), (2, item)], "item_id long, text string")
@@ -492,6 +593,69 @@ def test_entities_are_replaced_in_their_format(spark):
     assert all(a != b for a, b in zip(out, other))
 
 
+def test_a_person_stays_one_with_and_without_title(spark):
+    text = "Mr John Smith came. Mr Smith left. John Smith spoke. Smith paid. Dr Jane Roe. Smithson stays. Jane Roe too."
+    out = pii.pseudonymised(docs_of(spark, [text]), "k", count="n").first()
+    m = re.fullmatch(r"Mr (\w+) (\w+) came\. Mr (\w+) left\. (\w+) (\w+) spoke\. (\w+) paid\. Dr (\w+) (\w+)\. Smithson stays\. (\w+) (\w+) too\.", out.text)
+    john, smith, s2, j2, s3, s4, jane, roe, jane2, roe2 = m.groups()
+    assert smith == s2 == s3 == s4 and john == j2 and (jane, roe) == (jane2, roe2) and len({john, smith, jane, roe}) == 4
+    assert not {"John", "Smith", "Jane", "Roe"} & set(m.groups())
+
+
+def test_people_of_any_script_and_long_addresses(spark):
+    texts = ["Mr Արամ and Mr Գոռ", "x Mr Գոռ", "a@" + "b." * 5000 + "c"]
+    out = [r.text for r in pii.pseudonymised(docs_of(spark, texts), "k").orderBy("doc_id").collect()]
+    one, two = re.fullmatch(r"Mr (\w+) and Mr (\w+)", out[0]).groups()
+    assert one != two and out[1] == f"x Mr {two}" and "Գոռ" not in out[0]
+    assert len(out[2]) == len(texts[2]) and out[2] != texts[2] and out[2].count(".") == 5000
+
+
+def test_check_digits_and_countries_are_right(spark):
+    cards, ibans = ["4952935900253052", "4111 1111 1111 1111"], ["DE44 5001 0517 5407 3249 31", "GB29NWBK60161331926819"]
+    out = [r.text for r in pii.pseudonymised(docs_of(spark, [f"pay {x} now" for x in cards + ibans]), "k").orderBy("doc_id").collect()]
+    bare = [re.sub(r"\W", "", t.removeprefix("pay ").removesuffix(" now")) for t in out]
+    for old, new in zip(cards, bare[:2]):
+        doubled = [int(d) * (1 + k % 2) for k, d in enumerate(reversed(new))]
+        assert sum(d - 9 * (d > 9) for d in doubled) % 10 == 0 and new[0] == old[0] and new != re.sub(r"\W", "", old)
+    for old, new in zip(ibans, bare[2:]):
+        turned = new[4:] + new[:4]
+        assert new[:2] == old[:2] and int("".join(str(int(c, 36)) for c in turned)) % 97 == 1 and new[4:] != re.sub(r"\W", "", old)[4:]
+
+
+def slow_people(text):
+    """Names by the rules, word by word: the words of titled names, wherever they stand."""
+    titles = "|".join(sorted(t for ts in pii.TITLES.values() for t in ts))
+    found = re.findall(rf"(?<![\w@.+%-])(?:{titles})\.? ([A-ZÀ-Þ]\w+(?: [A-ZÀ-Þ]\w+)?)", text or "")
+    return {w for name in found for w in name.split(" ")}
+
+
+def test_no_entity_of_the_corpus_is_left(spark):
+    """Every entity that plain patterns find is gone, everything between entities is as it was, and equal entities are equal again."""
+    docs = documents(spark)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    out = {r.doc_id: r for r in pii.pseudonymised(docs.select("doc_id", "text"), "k", count="n").collect()}
+    entity = regex.compile(pii.ENTITY)
+    seen, changed = {}, 0
+    for i, t in texts.items():
+        people = slow_people(t)
+        whole = regex.compile(pii.ENTITY + (r"|(?<![\p{L}\p{N}_])(?:" + "|".join(people) + r")(?![\p{L}\p{N}_])" if people else ""))
+        rest, found = whole.split(t), whole.findall(t)
+        assert len(found) == out[i].n
+        at = 0
+        new = out[i].text
+        for k, piece in enumerate(rest):
+            assert new[at:].startswith(piece)
+            at += len(piece)
+            if k < len(found):
+                end = new.index(rest[k + 1], at) if rest[k + 1] else len(new)
+                if entity.fullmatch(found[k]) and "@" in found[k]:
+                    assert seen.setdefault(found[k].lower(), new[at:end].lower()) == new[at:end].lower()
+                assert new[at:end] != found[k]
+                at, changed = end, changed + 1
+        assert at == len(new)
+    assert changed > 50 and len(set(seen.values())) == len(seen)
+
+
 def test_stand_ins_are_distinct(spark, monkeypatch):
     """Entities of a kind with few possible stand-ins clash often and are drawn anew; more entities than stand-ins fail."""
     found = spark.createDataFrame([("card", f"{i:03d}") for i in range(0, 500, 7)], "kind string, form string")
@@ -521,3 +685,216 @@ def test_pii_edges(spark):
     big = next(r for r in rows if r.doc_id == 3)
     assert big.n_found == 3000 and len(set(big.text.split(" "))) == 3 and len({r.text for r in rows if r.doc_id is None}) == 1
     assert pii.pseudonymised(df.limit(0), "k").count() == 0
+
+
+# Embeddings --------------------------------------------------------------------------------
+
+VECTORS = "vec_id long, embedding array<float>, label int"
+
+
+def unit_groups(rng, n, d, groups):
+    """Random unit vectors, some of them close copies of others."""
+    v = rng.normal(size=(n, d))
+    for k in range(groups):
+        v[k * 5 : k * 5 + 4] = v[k * 5 + 4] + rng.normal(size=(4, d)) * rng.uniform(0.05, 0.5, (4, 1))
+    return (v / np.linalg.norm(v, axis=1, keepdims=True)).astype(np.float32)
+
+
+def slow_links(vectors, threshold):
+    """{row: (links, rows reachable)} by cosines in double precision over all pairs."""
+    fit = [k for k, v in enumerate(vectors) if v is not None and len(v) and None not in v and np.isfinite(v).all() and np.any(v)]
+    pairs = []
+    for a, b in itertools.combinations(fit, 2):
+        if len(vectors[a]) == len(vectors[b]):
+            x, y = (np.array(vectors[k], dtype=np.float64) for k in (a, b))
+            if x @ y / (np.linalg.norm(x) * np.linalg.norm(y)) >= threshold:
+                pairs.append((a, b))
+    links = Counter(k for p in pairs for k in p)
+    return links, least_reachable(range(len(vectors)), pairs)
+
+
+def test_error_bound_holds():
+    """No product of quantised vectors is further from the cosine than the bound says, also for spiky vectors and many dimensions."""
+    rng = np.random.default_rng(1)
+    for d, n in ((3, 200), (64, 300), (1500, 60)):
+        v = rng.normal(size=(n, d)) * rng.choice([1, 1, 50], size=(n, d)) * 10.0 ** rng.integers(-30, 30, (n, 1))
+        t = vector_dedup.Tile(v.astype(np.float32))
+        every = slice(0, n)
+        cosines = t.entries @ t.entries.T / np.outer(t.norms, t.norms)
+        guess = vector_dedup.quantised_products(t, every, t, every) * np.outer(t.scales, t.scales)
+        off = np.abs(guess - cosines)
+        assert (off <= vector_dedup.error_bound(t.errors[:, None], t.errors[None, :])).all() and off.max() > 1e-4
+        whole = t.quantised.astype(np.int64) @ t.quantised.astype(np.int64).T
+        assert (vector_dedup.quantised_products(t, every, t, every) == whole).all()
+
+
+@pytest.mark.parametrize("seed, tile", [(1, 40), (2, 8192)])
+def test_vector_links_equal_brute_force(spark, seed, tile):
+    rng = np.random.default_rng(seed)
+    v = [x.tolist() for x in unit_groups(rng, 260, 24, 30)]
+    v[100] = v[101] = v[102] = v[103]
+    v[104] = [x * 7 for x in v[103]]
+    v += [None, [], [0.0] * 24, [float("nan")] + [1.0] * 23, [None] + [1.0] * 23, [float("inf")] * 24, [1.0] * 23, [2.0] * 23, [-0.0] * 24, [1e-30] * 24, [1e30] * 24]
+    links, reach = slow_links(v, 0.95)
+    df = spark.createDataFrame([(k, x, 0) for k, x in enumerate(v)], VECTORS).repartition(5)
+    rows = {r.vec_id: r for r in vector_dedup.near_duplicate_vectors(df, tile=tile).collect()}
+    assert len(rows) == len(v) and sum(links.values()) > 50
+    assert {k: (r.n_links, r.component_id) for k, r in rows.items()} == {k: (links[k], reach[k]) for k in range(len(v))}
+
+
+def test_dense_blocks_and_large_groups(spark):
+    """A third of the rows are copies of one vector, another third lies close around one: most pairs of some blocks are linked."""
+    rng = np.random.default_rng(4)
+    around = rng.normal(size=16) + rng.normal(size=(300, 16)) * 0.1
+    v = [*around.tolist(), *[[1.0] * 16] * 300, *rng.normal(size=(300, 16)).tolist()]
+    df = spark.createDataFrame([(k, [float(np.float32(c)) for c in x], 0) for k, x in enumerate(v)], VECTORS)
+    single = [[float(np.float32(c)) for c in x] for x in v]
+    links, reach = slow_links(single, 0.95)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vector_dedup.near_duplicate_vectors(df).collect()}
+    assert got == {k: (links[k], reach[k]) for k in range(len(v))} and max(links.values()) >= 290
+
+
+def test_vector_dedup_edges(spark):
+    a, b = [1.0, 0.0], [0.0, 1.0]
+    df = spark.createDataFrame([(5, a, 1), (5, b, 1), (None, a, 1), (7, b, 1), (7, b, 1), (None, [3.0, 3.0], 1), (None, None, 1)], VECTORS)
+    df = df.withColumn("cls", F.lit(1)).withColumn("Size", F.lit(2)).withColumn("key", F.lit("k"))
+    got = sorted(((r.vec_id, r.n_links, r.component_id) for r in vector_dedup.near_duplicate_vectors(df).collect()), key=repr)
+    assert got == sorted([(5, 1, 5), (None, 1, 5), (5, 2, 5), (7, 2, 5), (7, 2, 5), (None, 0, None), (None, 0, None)], key=repr)
+    assert vector_dedup.near_duplicate_vectors(df.limit(0)).count() == 0
+    doubles = df.select(F.col("vec_id").cast("string").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
+    assert vector_dedup.near_duplicate_vectors(doubles).where("component_id = '5'").count() == 5
+    with pytest.raises(ValueError, match="above 0"):
+        vector_dedup.near_duplicate_vectors(df, threshold=0.0)
+
+
+def slow_whitening(vectors):
+    x = np.floor(256 * np.array(vectors, dtype=np.float64))
+    fit = np.unique(x, axis=0)
+    mean = fit.mean(axis=0)
+    e, c = np.linalg.eigh((fit - mean).T @ (fit - mean) / len(fit))
+    dev = [sum((len(fit) * int(a) - int(s)) ** 2 for a, s in zip(r, fit.sum(axis=0))) for r in x]
+    return len(fit), dev, (x - mean) @ c[:, ::-1], e[::-1]
+
+
+@pytest.mark.parametrize("kind", ["corpus", "steep", "offset"])
+def test_whitening_equals_eigenvectors(spark, kind):
+    rng = np.random.default_rng(6)
+    if kind == "corpus":
+        v = [r.embedding for r in spark.read.parquet(f"{SF}/embeddings.parquet").orderBy("vec_id").collect()]
+    elif kind == "steep":  # deviations over seven orders of magnitude: the first factor alone is far from orthogonal rows
+        v = (rng.normal(size=(400, 12)) * np.logspace(4, -3, 12)) @ np.linalg.qr(rng.normal(size=(12, 12)))[0]
+    else:  # a mean far larger than the deviations
+        v = 30000 + rng.normal(size=(300, 6)) * np.array([9, 5, 3, 2, 1, 0.5])
+    v = [[float(np.float32(c)) for c in x] for x in v]
+    v += v[:7]
+    n, dev, turned, e = slow_whitening(v)
+    df = spark.createDataFrame([(k, x, 0) for k, x in enumerate(v)], VECTORS).repartition(3)
+    fit = whitening.fit_whitening(df)
+    rows = {r.vec_id: r for r in whitening.whitened(df, fit).collect()}
+    assert fit.n == n and len(rows) == len(v) and [int(rows[k].deviation) for k in range(len(v))] == dev
+    assert fit.identity_error < 1e-9 and np.allclose(fit.eigenvalues, e[:4], rtol=1e-10) and np.allclose(fit.explained, e[:4] / e.sum(), rtol=1e-9)
+    got = np.array([rows[k].whitened for k in range(len(v))])
+    for c in range(4):
+        want = turned[:, c] / np.sqrt(e[c])
+        assert np.abs(got[:, c] - want * np.sign(want @ got[:, c])).max() < 1e-6
+
+
+def test_whitening_edges(spark):
+    """Constant and dependent dimensions have no component; rows that do not take part give none."""
+    rng = np.random.default_rng(2)
+    base = rng.normal(size=(50, 2))
+    v = [[a, b, a + b, 5.0] for a, b in (base * 4).round(1).tolist()]
+    v = [[float(np.float32(c)) for c in x] for x in v]
+    odd = [None, [], [1.0], [float("nan"), 1.0, 1.0, 1.0], [None, 1.0, 1.0, 1.0], [float("inf")] * 4, [1e20] * 4]
+    df = spark.createDataFrame([(k, x, 0) for k, x in enumerate([*v, *odd])], VECTORS).withColumn("x", F.lit(1)).withColumn("VEC", F.lit(2))
+    fit = whitening.fit_whitening(df)
+    assert fit.identity_error < 1e-6 and 2 <= len(fit.eigenvalues) <= 3 and whitening.whitened(df, fit).count() == len(v)
+    one = spark.createDataFrame([(1, [1.0, 2.0], 0), (1, [1.0, 2.0], 0), (None, None, 0)], VECTORS)
+    fit = whitening.fit_whitening(one)
+    assert fit.n == 1 and len(fit.eigenvalues) == 0 and [list(r.whitened) for r in whitening.whitened(one, fit).collect()] == [[], []]
+    none = one.where("vec_id > 5")
+    assert whitening.fit_whitening(none) is None and whitening.whitened(none, None).count() == 0
+
+
+# Prefix trie -------------------------------------------------------------------------------
+
+
+def slow_trie(rows):
+    own = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            own[conv].append((turn is not None, turn or 0, role or "", text or ""))
+    own = {c: [t[2:] for t in sorted(ts)] for c, ts in own.items()}
+    paths = {}
+    for c in own:
+        h = zlib.crc32(str(c).encode()) % 9
+        paths[c] = tuple(own.get(c - c % 5, [])[:h]) + tuple(own[c][h:])
+    members = defaultdict(list)
+    for c, p in paths.items():
+        for d in range(len(p) + 1):
+            members[p[:d]].append(c)
+    children = Counter(p[:-1] for p in members if p)
+    out = {}
+    for p, cs in members.items():
+        under = [q for q in members if q[: len(p)] == p]
+        ends = sorted(c for c in cs if paths[c] == p)
+        out[min(cs), len(p)] = (
+            min(members[p[:-1]]) if p else None, len(cs), children[p], sum(children[q] == 0 for q in under),
+            sum((len(members[q]) - 1) * len(q[-1][1].encode()) for q in under if q), hashlib.sha256(",".join(map(str, ends)).encode()).hexdigest())
+    return out
+
+
+def trie_rows(df, **how):
+    cols = ("parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+    return {(r.conv_id, r.depth): tuple(r[c] for c in cols) for r in prefix_trie.prefix_trie(df, **how).collect()}
+
+
+@pytest.mark.parametrize("crown, few", [(100_000, 64), (40, 3)], ids=["one crown", "many shards"])
+def test_trie_equals_brute_force(spark, monkeypatch, crown, few):
+    """Shared beginnings, a hot conversation, null and repeated rows; with a small crown most nodes lie below it."""
+    monkeypatch.setattr(prefix_trie, "FEW", few)
+    rng = random.Random(11)
+    rows = []
+    for c in range(120):
+        n = rng.randint(1, 9)
+        hot = c % 3 == 0
+        rows += [(c, t, "user" if t % 2 == 0 else "assistant", "same" * t if hot or rng.random() < 0.5 else rng.choice(["a", "bé", "", "ccc"])) for t in range(n)]
+    rows += [(7, None, None, None), (7, 3, "user", "x"), (7, 3, "user", "x"), (10**12, 0, "user", "far"), (-3, 0, "user", "neg"), (-5, 0, "user", "base"), (None, 0, "user", "lost")]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("low", F.lit(1)).withColumn("Depth", F.lit(2))
+    got = trie_rows(df.repartition(6), crown=crown, shard=20)
+    assert got == slow_trie(rows)
+    assert len({k for k in got}) == prefix_trie.prefix_trie(df).select("digest").distinct().count()
+
+
+def test_trie_edges(spark):
+    empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    assert prefix_trie.prefix_trie(empty).count() == 0
+    long = [(1, t, "user", "w" * (t % 3)) for t in range(3000)]
+    df = spark.createDataFrame(long, "conv_id long, turn long, role string, text string")
+    got = prefix_trie.prefix_trie(df)
+    assert got.count() == 3001 and got.where("n_leaves = 1 and n_convs = 1").count() == 3001
+    many = spark.range(20_000).select(F.col("id").alias("conv_id"), F.lit(0).cast("long").alias("turn"), F.lit("user").alias("role"), F.lit("hello").alias("text"))
+    root = {r.depth: r for r in prefix_trie.prefix_trie(many).collect()}
+    ends = {d: [c for c in range(20_000) if (zlib.crc32(str(c).encode()) % 9 == 0 or c % 5 == 0 or True) == (d == 1)] for d in (0, 1)}
+    assert root[0].n_convs == 20_000 and root[1].n_convs == 20_000 and root[0].n_leaves == 1
+    assert root[1].ends_sha256 == hashlib.sha256(",".join(map(str, ends[1])).encode()).hexdigest() and root[1].saved_tokens == 19_999 * 5
+
+
+def test_slots_are_minimal_perfect_and_verified():
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 1000, 40_000):
+        low, high = rng.integers(-(1 << 62), 1 << 62, (2, n))
+        table = prefix_trie.SlotTable(low, high)
+        assert sorted(table.slots(low, high).tolist()) == list(range(n))
+        assert (table.slots(low + 1, high) == -1).all()
+    with pytest.raises(ValueError, match="not distinct"):
+        prefix_trie.SlotTable(np.array([1, 1]), np.array([2, 2]))
+
+
+def test_one_digest_for_two_prefixes_is_noticed(spark, monkeypatch):
+    real = prefix_trie.chain
+    monkeypatch.setattr(prefix_trie, "chain", lambda parent, turn: (real(parent, turn)[0] % 2, 0))
+    df = spark.createDataFrame([(c, t, "user", str(c * 7 + t)) for c in range(6) for t in range(4)], "conv_id long, turn long, role string, text string")
+    with pytest.raises(ValueError, match="one digest"):
+        prefix_trie.prefix_trie(df)
