@@ -28,6 +28,8 @@ LIMIT = 1 << 40
 #: Doubles in a block of rows that a task holds at once.
 BLOCK = 1 << 20
 MAX_PASSES = 12
+#: Passes end when no eigenvalue of the Gram matrix is further from 1.
+CLOSE = 1e-8
 #: Directions whose deviation is below this share of the largest one count as constant.
 RANK_SHARE = 1e-9
 
@@ -136,11 +138,11 @@ def _factors(fit: DataFrame, n: int, sums: tuple[int, ...]) -> tuple[np.ndarray,
         if top <= 0:
             return np.zeros((d, d)), k + 1
         range_ = values > 1e-10
-        if k and np.abs(values[range_] - 1).max(initial=0) <= 16 * d * unit + 4 * np.sqrt(n) * unit:
-            # nothing but rounding is left in the other directions, which are constant
+        least = min(11 * (n * d + d * (d + 1)) * unit, 1e-3) * top
+        if k and np.abs(values[range_] - 1).max(initial=0) <= max(CLOSE, 0.0 if range_.all() else 2 * least):
+            # so near the identity the last factor is known to all digits; only rounding is left in other directions, which are constant
             last = (vectors * np.sqrt(np.where(range_, values, 0))) @ vectors.T
             break
-        least = min(11 * (n * d + d * (d + 1)) * unit, 1e-3) * top
         shift = 0.0 if k and range_.all() else least
         while True:
             try:
