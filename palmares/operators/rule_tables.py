@@ -173,7 +173,9 @@ def _earlier_writer(table: DataFrame, shapes: Sequence[tuple[frozenset, frozense
 
     ``shapes``: the sets of columns read and written. An earlier rule that writes a column which a rule reads is harmless
     if the two ask for different values of a column that no rule writes: they never meet on a row. So rules are
-    compared only where they agree on the unwritten columns that both test: one window per such set of values.
+    compared only where they agree on the unwritten columns that both test: one window per such set of values. Of these an earlier rule
+    is harmless too if it asks for another value of the column and does not write the one that is asked for: so the window is also by
+    that value, as asked and as written; one that does not test the column at all is met by every reader.
     """
     spark = table.sparkSession
     written = sorted(set().union(*[w for _, w in shapes]))
@@ -187,14 +189,19 @@ def _earlier_writer(table: DataFrame, shapes: Sequence[tuple[frozenset, frozense
     narrow = table.select(
         "rank", F.array_join(F.array_sort(F.transform(fixed, lambda c: c["col"])), ",").alias("tests"),
         F.map_from_entries(F.transform(fixed, lambda c: F.struct(c["col"], value(c)))).alias("asked"),
-        F.transform("outs", lambda o: o["col"]).alias("writes"), F.transform("conds", lambda c: c["col"]).alias("reads"))
-
-    def events(columns: str, side: str) -> DataFrame:
-        """A row for every column and every kind of partner; ``key`` is the same for rules that can meet."""
-        one = narrow.select("rank", "tests", "asked", F.explode(columns).alias("col"))
-        met = one.join(F.broadcast(meets), (one["col"] == meets["col"]) & (one["tests"] == meets[side])).select(
-            "rank", meets["col"], "a", "b", F.transform("shared", lambda c: F.element_at("asked", c)).alias("values"))
-        return met.select("rank", F.to_json(F.struct("col", "a", "b", "values")).alias("key"))
+        F.transform("outs", lambda o: F.struct(o["col"].alias("col"), F.lit(False).alias("missing"), o["value"].alias("value"))).alias("writes"), F.col("conds").alias("reads"))
+
+    def events(parts: str, side: str) -> DataFrame:
+        """A row for every column, kind of partner and way to meet; ``key`` is the same for rules that can meet."""
+        one = narrow.select("rank", "tests", "asked", "reads", F.explode(parts).alias("part")).withColumn("col", F.col("part.col"))
+        met = one.join(F.broadcast(meets), (one["col"] == meets["col"]) & (one["tests"] == meets[side]))
+        own = F.filter("reads", lambda c: c["col"] == F.col("part.col"))
+        asks = F.try_element_at(own, F.lit(-1))
+        way = lambda how, v: F.concat(F.lit(how), v)
+        asked = F.when(asks.isNull(), F.lit("any")).otherwise(way("in ", value(asks)))
+        ways = F.array(asked, way("out ", value(F.col("part")))) if side == "a" else F.array(F.lit("any"), way("in ", value(asks)), way("out ", value(asks)))
+        spread = met.select("rank", meets["col"], "a", "b", F.transform("shared", lambda c: F.element_at("asked", c)).alias("values"), F.explode(ways).alias("way"))
+        return spread.select("rank", F.to_json(F.struct("col", "a", "b", "values", "way")).alias("key"))
 
     both = events("writes", "a").withColumn("writer", F.col("rank")).unionByName(events("reads", "b").withColumn("writer", F.lit(None).cast("bigint")))
     before = Window.partitionBy("key").orderBy("rank").rangeBetween(Window.unboundedPreceding, -1)

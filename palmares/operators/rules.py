@@ -92,6 +92,24 @@ def all_records(sheets: Mapping[str, DataFrame], names: Iterable[str], limit: in
 # ---------------------------------------------------------------- compile and apply
 
 
+def agree(a: object, b: object) -> bool:
+    """Can one cell pass both tests?"""
+    if a is MISSING or b is MISSING:
+        other = b if a is MISSING else a
+        return other is MISSING or other in MISSING_TOKENS
+    return a == b
+
+
+def misses(earlier: Rule, r: Rule) -> bool:
+    """Does a row that ``earlier`` has just written fail a test of ``r``?"""
+    return any(c in earlier.writes and not agree(earlier.writes[c], v) for c, v in r.conds)
+
+
+def shadows(earlier: Rule, r: Rule) -> bool:
+    """Every row that fits ``r`` fits ``earlier``, which then makes it unfit."""
+    return set(earlier.conds) <= set(r.conds) and misses(earlier, r)
+
+
 class _Layer:
     """Rules that may all read one snapshot, with indexes that keep the test cheap."""
 
@@ -101,23 +119,30 @@ class _Layer:
         self.by_value: dict[tuple[str, object], set[int]] = {}
         self.readers: dict[str, set[int]] = {}
 
-    def accepts(self, r: Rule) -> bool:
-        """True when no earlier rule of the layer can change whether ``r`` matches.
+    def conflicts(self, r: Rule) -> list[Rule]:
+        """Earlier rules of the layer that may change whether ``r`` matches.
 
-        An earlier rule that writes a column ``r`` reads is harmless only if the two
-        differ on a column that no rule of the layer writes: they never meet on a row.
+        A rule that writes a column which ``r`` reads is harmless if the two differ on a column that no rule of the layer writes:
+        they never meet on a row. It is harmless too if they ask for different values of some column, so that only one of
+        them can match the snapshot, and what it writes does not fit ``r`` either.
         """
         writers: set[int] = set()
         for col in r.reads:
             writers |= self.writers.get(col, set())
         for col, value in r.conds:
             if not writers:
-                return True
+                return []
             if col in self.writers:
                 continue
             same = self._may_agree(col, value)
             writers = {i for i in writers if i in same or i not in self.readers.get(col, set())}
-        return not writers
+        found = []
+        for i in sorted(writers):
+            earlier = self.rules[i]
+            apart = any(c in earlier.reads and not agree(earlier.reads[c], v) for c, v in r.conds)
+            if not (apart and misses(earlier, r)):
+                found.append(earlier)
+        return found
 
     def _may_agree(self, col: str, value: object) -> set[int]:
         """Rules whose test on ``col`` can hold together with ``value``."""
@@ -140,12 +165,18 @@ class _Layer:
 
 
 def compile_rules(rules: Sequence[Rule]) -> list[list[Rule]]:
-    """Split an ordered rule list into layers; order inside a layer is kept."""
+    """Split an ordered rule list into layers; order inside a layer is kept.
+
+    A rule whose only conflicts in its layer are with rules that shadow it can never fire and is left out.
+    """
     layers: list[_Layer] = []
     for r in rules:
         if not r.outs:
             continue
-        if not layers or not layers[-1].accepts(r):
+        found = layers[-1].conflicts(r) if layers else []
+        if found and all(shadows(earlier, r) for earlier in found):
+            continue
+        if not layers or found:
             layers.append(_Layer())
         layers[-1].add(r)
     return [layer.rules for layer in layers]
