@@ -10,6 +10,7 @@ dimension once: lookups into it neither count it nor work it out again.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -175,6 +176,22 @@ def left_lookup(
     return df.join(F.broadcast(side) if small else side.hint("merge"), cond, "left").drop(*dim_keys)
 
 
+def co_located(df: DataFrame, key: str, name: str, buckets: int) -> DataFrame:
+    """``df`` saved in ``buckets`` buckets of ``key``, sorted, in a work folder, and read back as a table of the session.
+
+    Tables with the same number of buckets of one key lie together: several large lookups on that key then cost no
+    shuffle of the facts, and grouping a dimension by its key costs none either.
+    """
+    table = f"{name}_{uuid.uuid4().hex}"
+    df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).format("parquet").option("path", work_dir(df.sparkSession, table)).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
+def co_located_lookup(df: DataFrame, dim: DataFrame, on: Mapping[str, str], cols: Sequence[str] | Mapping[str, str], **how) -> DataFrame:
+    """``left_lookup`` between tables that ``co_located`` saved by their keys: never broadcast, so the buckets are met."""
+    return left_lookup(df, dim, on, cols, limit=-1, **how)
+
+
 def coalesced_lookup(df: DataFrame, dim: DataFrame, on, col: str, target: str, fallback: str, **how) -> DataFrame:
     """Lookup into ``target``; a blank result takes the value of ``fallback``."""
     found = left_lookup(df, dim, on, {col: "__found"}, **how)

@@ -20,14 +20,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.nulls import MISSING_TOKENS, eq_true, is_blank, is_missing
-from ..session import work_dir
 from . import rules
 from .lookups import left_lookup, small_table, stored
 from .rules import ANY_WORD, MISSING, MISSING_WORD, ROW, Rule
 
 SCHEMA = "rank bigint, conds array<struct<col:string,missing:boolean,value:string>>, outs array<struct<col:string,value:string>>"
-# So many layers are chained in one plan; then the facts are written and read again.
-LAYERS_A_PLAN = 8
 # Start of a row whose value is NULL, and of every row below an unconditional rule.
 NULL_START, ANY_START = "\x00null", "\x00any"
 
@@ -233,10 +230,8 @@ def apply_rule_table(df: DataFrame, table: DataFrame, where: Column | None = Non
     for r in table.select("layer", "shape", F.explode(F.transform("outs", lambda o: o["col"])).alias("col")).distinct().collect():
         found.setdefault(r["layer"], {}).setdefault(tuple((c.col, c.missing) for c in r["shape"]), set()).add(r["col"])
     for k, number in enumerate(sorted(found)):
-        if k and k % LAYERS_A_PLAN == 0:
-            folder = work_dir(df.sparkSession, "layers")
-            df.write.parquet(folder)
-            df = df.sparkSession.read.schema(df.schema).parquet(folder)
+        if k and k % rules.LAYERS_A_PLAN == 0:
+            df = rules.written(df)
         df = _apply_layer(df, table.filter(F.col("layer") == number), found[number], where)
     return df
 

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.nulls import MISSING_TOKENS, eq_true, holds, is_blank, is_missing
 from ..functions.scalars import len_at_least, year_range
+from ..session import work_dir
 from .lookups import enforced, left_lookup, small_table, stored
 
 
@@ -41,6 +42,9 @@ ROW = "SHEET_ROW"
 SHEET_ROWS = 2_000
 # A layer with more rules than this becomes joins instead of one CASE.
 INLINE_RULES = 200
+# So many layers are chained in one plan; then the facts are written and read again, for the optimiser takes the expressions of
+# projections that read each other apart again and again.
+LAYERS_A_PLAN = 8
 
 
 @dataclass(frozen=True)
@@ -275,7 +279,9 @@ def apply_rules(
     df: DataFrame, layers: Sequence[Sequence[Rule]], where: Column | None = None, inline: int = INLINE_RULES
 ) -> DataFrame:
     """Apply compiled rules. Rules that read an absent column are skipped; absent outputs are added."""
-    for layer in layers:
+    for k, layer in enumerate(layers):
+        if k and k % LAYERS_A_PLAN == 0:
+            df = written(df)
         have = set(df.columns)
         usable = [r for r in layer if all(c in have for c in r.reads)]
         if not usable:
@@ -285,6 +291,13 @@ def apply_rules(
     return df
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written to a work folder and read again: its plan ends there."""
+    folder = work_dir(df.sparkSession, "layers")
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 # ---------------------------------------------------------------- sheets to rules
 
 

@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import json_map
 from ..operators.lookups import bounded
-from ..plans import correct
+from ..plans import correct, ledger
 from ..sources import catalogue as cat
 from ..sources.contracts import RAW_COLUMNS, contract, raw_contract
+from ..sources.documents import read_document
 from ..sources.facts import land, normalise_landing, read_fact, write_fact
 from ..sources.maps import parent_units, unit_communes
-from ..sources.opendata import read_open_csv, write_open_csv
+from ..sources.opendata import FORMAT, join_files, read_open_csv, write_open_csv, write_year_files
 from ..sources.sheets import normalise_cells, read_sheet_folder, read_sheets, write_sheets
 from ..session import work_dir
 from .base import query, table, view
@@ -78,6 +79,17 @@ def s6(spark, sf):
     return spark.read.text(root).filter(F.col("value") != "k;status;prio").select(F.col("value").alias("line"))
 
 
+@query("s6_one_file_a_year", """
+SELECT CAST(k AS VARCHAR) AS k, nullif(status, '') AS "Éta;pe", nullif('"' || prio || '";x', '') AS prio, CAST(y AS VARCHAR) AS y, CAST(y AS VARCHAR) || '.csv' AS file FROM ord""", ["ord"])
+def s6_years(spark, sf):
+    """One file a year with one header, from parts of many tasks."""
+    df = view(spark, sf, "ord").select("k", F.col("status").alias("Éta;pe"), F.concat(F.lit('"'), "prio", F.lit('";x')).alias("prio"), "y").repartition(5)
+    root = work_dir(spark, "years")
+    files = write_year_files(df, root, "y")
+    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file")
+    return spark.read.options(header=True, **FORMAT).csv(files).select("*", name)
+
+
 @query("s7_csv_scan", """
 SELECT CAST(k AS VARCHAR) AS k, nullif(status, '') AS "Étape", CAST(y AS VARCHAR) AS y FROM ord""", ["ord"])
 def s7(spark, sf):
@@ -100,6 +112,27 @@ def s8(spark, sf):
     return named[0].unionByName(named[1])
 
 
+@query("s8_document_in_parts", """
+SELECT 'BRANDS' AS sheet, p_brand || '}"{\\,]' || p_type AS a, CASE WHEN p_size % 3 = 0 THEN '' ELSE CAST(p_size AS VARCHAR) END AS b FROM part GROUP BY ALL
+UNION ALL SELECT 'SIZES', CAST(p_size AS VARCHAR), '' FROM part GROUP BY p_size
+UNION ALL SELECT 'BRANDS', '-', '-' UNION ALL SELECT 'SIZES', '-', '-'""")
+def s8_parts(spark, sf):
+    """One JSON document, cut at bytes by the reader: braces, quotes and backslashes stand in its texts."""
+    part, root = table(spark, sf, "part"), work_dir(spark, "document")
+    first = part.select(F.concat("p_brand", F.lit('}"{\\,]'), "p_type").alias("a"), F.when(F.col("p_size") % 3 != 0, F.col("p_size")).alias("b"))
+    second = part.select(F.concat(F.col("p_size").cast("string"), F.lit(".0")).alias("a"), F.lit(None).cast("string").alias("b"))
+    halves = []
+    for name, rows, head in (("brands", first, '{"EMPTY": [], "BRANDS": [ {"a": "-", "b": "-"}\n'), ("sizes", second, '], "SIZES" : [\n{"a": "-", "b": "-"}\n')):
+        rows.select(F.concat(F.lit(", "), F.to_json(F.struct("a", "b"), {"ignoreNullFields": "false"}))).write.text(f"{root}/{name}")
+        parts = sorted(f for f in spark.read.text(f"{root}/{name}").inputFiles())
+        join_files(spark, parts, f"{root}/{name}.half", head, "]}\n" if name == "sizes" else "")
+        halves.append(f"{root}/{name}.half")
+    join_files(spark, halves, f"{root}/document.json")
+    sheets = read_document(spark, f"{root}/document.json")
+    named = [sheets[n].select(F.lit(n).alias("sheet"), F.col("A").alias("a"), F.col("B").alias("b")) for n in ("BRANDS", "SIZES")]
+    return named[0].unionByName(named[1])
+
+
 @query("s9_multi_table_json_sink", """
 SELECT 'CUS' AS sheet, CAST(c_custkey AS VARCHAR) AS key, c_name AS name FROM customer
 UNION ALL SELECT 'SUP', CAST(s_suppkey AS VARCHAR), s_name FROM supplier""")
@@ -166,6 +199,42 @@ def s13(spark, sf):
     return cat.missing_partitions(cat.catalogue(spark), have)
 
 
+def landed_twice(spark, sf):
+    """Three files in two landings: one stays, one changes, one is new. A landing that was never put in force lies beside them."""
+    root = work_dir(spark, "ledger")
+    landing, target = f"{root}/landing", f"{root}/raw"
+
+    def put(source, outcome, **how):
+        rows = view(spark, sf, "deg").filter((F.col("SOURCE") == source) & (F.col("RENTREE") == "2016"))
+        rows.select(F.col("k").cast("string").alias("idetu"), F.lit(outcome).alias("resdip"), "DIPLOM").write.mode("overwrite").parquet(f"{landing}/{cat.landing_name(source, 2016)}")
+
+    put("result", "O")
+    put("ens", "O")
+    ledger.land_changed(spark, landing, target, [("result", 2016), ("ens", 2016)])
+    put("ens", "N")
+    put("inge", "O")
+    view(spark, sf, "deg").withColumns({"SOURCE": F.lit("result"), "RENTREE": F.lit("2016")}).write.partitionBy("SOURCE", "RENTREE").parquet(f"{target}/land=torn")
+    return target, ledger.land_changed(spark, landing, target, [("result", 2016), ("ens", 2016), ("inge", 2016)])
+
+
+LANDED = """SELECT k, "SOURCE", "RENTREE", "DIPLOM" FROM deg WHERE "RENTREE" = '2016' AND "SOURCE" IN ('result', 'ens', 'inge')"""
+
+
+@query("s13_landing_states", f"""
+SELECT "SOURCE", "RENTREE", count(*) AS n_rows, CASE "SOURCE" WHEN 'result' THEN 'same' WHEN 'ens' THEN 'changed' ELSE 'new' END AS state, 3 AS n_columns FROM ({LANDED}) GROUP BY 1, 2""", ["deg"])
+def s13_states(spark, sf):
+    _, states = landed_twice(spark, sf)
+    return states.select("SOURCE", "RENTREE", "n_rows", "state", F.size("columns").alias("n_columns"))
+
+
+@query("s5_landed_by_ledger", f"""
+SELECT CAST(k AS VARCHAR) AS "IDETU", "SOURCE", "RENTREE", CASE "SOURCE" WHEN 'ens' THEN 'N' ELSE 'O' END AS "RESDIP", nullif("DIPLOM", 'nan') AS "DIPLOM" FROM ({LANDED})""", ["deg"])
+def s5_ledger(spark, sf):
+    """What the ledger names: the changed file once, in its last state, and nothing of the torn landing."""
+    target, _ = landed_twice(spark, sf)
+    return ledger.read_landed(spark, target).select("IDETU", "SOURCE", "RENTREE", "RESDIP", "DIPLOM")
+
+
 @query("s14_landing_text", f"""
 SELECT doc_id AS "DOC_ID", lang AS "LANG", n_chars AS "N_CHARS", source AS "SOURCE", md5(CASE WHEN t = 'nan' THEN '' ELSE
   trim(replace(t, chr(160), ' '), {BLANKS}) END) AS "TEXT"

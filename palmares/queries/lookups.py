@@ -174,15 +174,32 @@ def l4(spark, sf):
     return L.left_lookup(df, communes(spark, sf), {"unit": "uai"}, {"comcode": "comins"}).select("k", "comins")
 
 
-@query("l5_commune_of_establishment", f"""
-WITH c AS {COMMUNES}
-SELECT p.k, CASE WHEN p.kind = 'PROMO' OR c.comcode IS NULL OR p.kind IS NULL OR c.comcode <> p.kind THEN c.comcode END AS cometab
-FROM prt p LEFT JOIN c ON c.uai = p.brand || '-' || CAST(p.size % 9 AS VARCHAR)""", ["prt"])
+@query("l5_commune_of_establishment", """
+WITH s AS (SELECT DISTINCT "RENTREE" AS y, "ETABLI" AS e, CASE WHEN "ETABLI" LIKE '09%' THEN substr("ETABLI", 2, 5) ELSE substr("ETABLI", 1, 5) END AS code FROM deg
+  WHERE "ETABLI" IS NOT NULL AND CAST("RENTREE" AS INT) % 4 <> 0)
+SELECT k, CASE WHEN "ETABLI" = '9730224F' OR code IS NULL OR code <> substr("ETABLI", 1, 5) THEN code END AS "COMETAB"
+FROM deg LEFT JOIN s ON s.y = "RENTREE" AND s.e = "ETABLI" """, ["deg"])
 def l5(spark, sf):
-    df = view(spark, sf, "prt").withColumn("unit", F.concat_ws("-", "brand", (F.col("size") % 9).cast("string")))
-    found = L.left_lookup(df, communes(spark, sf), {"unit": "uai"}, ["comcode"])
-    own = (F.col("kind") == "PROMO") | pd_ne("comcode", F.col("kind"))
-    return found.select("k", F.when(own, F.col("comcode")).alias("cometab"))
+    """The job's own step after its lookup; most codes repeat the head of their establishment, overseas they count all the same."""
+    df = view(spark, sf, "deg").select("k", "RENTREE", "ETABLI")
+    code = F.when(F.col("ETABLI").startswith("09"), F.substring("ETABLI", 2, 5)).otherwise(F.substring("ETABLI", 1, 5))
+    seats = df.filter("ETABLI IS NOT NULL AND CAST(RENTREE AS INT) % 4 <> 0").select("RENTREE", F.col("ETABLI").alias("UAI"), code.alias("COMCODE")).distinct()
+    found = L.left_lookup(df, L.stored(seats, "seats", ["RENTREE", "UAI"]), {"RENTREE": "RENTREE", "ETABLI": "UAI"}, ["COMCODE"])
+    return correct.commune_of_establishment(found).select("k", "COMETAB")
+
+
+@query("l1_co_located_lookups", """
+SELECT l.k, l.line, p.p_brand AS brand, p.p_type AS kind, p.p_size AS size, q.p_name AS name FROM lin l LEFT JOIN part p ON p.p_partkey = l.part
+LEFT JOIN part q ON q.p_partkey = l.part AND q.p_partkey % 3 <> 0""", ["lin"])
+def l1_co_located(spark, sf):
+    """Three lookups on one key between tables in the same buckets: the facts are shuffled once, when they are saved."""
+    fact = L.co_located(view(spark, sf, "lin").select("k", "line", "part"), "part", "lines", 8)
+    part = table(spark, sf, "part")
+    sides = [part.select("p_partkey", F.col("p_brand").alias("brand"), F.col("p_type").alias("kind")), part.select("p_partkey", F.col("p_size").alias("size")),
+             part.filter("p_partkey % 3 <> 0").select("p_partkey", F.col("p_name").alias("name"))]
+    for n, side in enumerate(sides):
+        fact = L.co_located_lookup(fact, L.co_located(side, "p_partkey", f"side{n}", 8), {"part": "p_partkey"}, [c for c in side.columns if c != "p_partkey"])
+    return fact.drop("part")
 
 
 @query("l6_commune_attributes_two_roles", """

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.nulls import is_missing
 from ..operators import rules as R
-from ..operators.lookups import small_table
+from ..operators.lookups import small_table, stored
 from ..plans import correct
 from ..sources.contracts import FILE_COLUMNS, columns_mask
 from .base import blank, miss, query, table, view
@@ -273,8 +273,7 @@ def r12(spark, sf):
 
 
 FINER = """(SELECT DISTINCT "TYP_DIPL" AS typ, "DIPLOM" AS dip, coalesce("NIVEAUR", '') AS niv,
-  CASE WHEN coalesce("NIVEAUR", '') = '' THEN 'B' WHEN "NIVEAUR" = '1' THEN '' ELSE 'F' || "NIVEAUR" END AS cyc FROM deg
-  WHERE "TYP_DIPL" IN ('XA', 'XB', 'DU') AND "DIPLOM" IN ('6001000', '9610007', '6000361') AND (coalesce("NIVEAUR", '') <> '' OR "DIPLOM" = '6000361'))"""
+  CASE WHEN coalesce("NIVEAUR", '') = '' THEN 'B' WHEN "NIVEAUR" = '1' THEN '' ELSE 'F' || "NIVEAUR" END AS cyc FROM deg WHERE "DIPLOM" IS NOT NULL)"""
 
 
 @query("r13_cycle_override_tiers", f"""
@@ -288,10 +287,10 @@ LEFT JOIN f y ON y.typ = d."TYP_DIPINT" AND y.dip = d."DIPLOM" AND y.niv = '' ""
 def r13(spark, sf):
     df = deg(spark, sf)
     n = F.coalesce(F.col("NIVEAUR"), F.lit(""))
-    sheet = df.filter(F.col("TYP_DIPL").isin("XA", "XB", "DU") & F.col("DIPLOM").isin("6001000", "9610007", "6000361")
-                      & ((n != "") | (F.col("DIPLOM") == "6000361"))).select(
+    # a sheet over all types, degrees and levels of the facts, written once: four lookups read it
+    sheet = stored(df.filter("DIPLOM IS NOT NULL").select(
         "TYP_DIPL", "DIPLOM", n.alias("NIVEAU"),
-        F.when(n == "", "B").when(n == "1", "").otherwise(F.concat(F.lit("F"), n)).alias("CURSUS_LMD_OUT"))
+        F.when(n == "", "B").when(n == "1", "").otherwise(F.concat(F.lit("F"), n)).alias("CURSUS_LMD_OUT")).distinct(), "cycles")
     by_level, by_degree = sheet.filter("NIVEAU <> ''"), sheet.filter("NIVEAU = ''").drop("NIVEAU")
     for kind, cycle in (("TYP_DIPL", "CURSUS_LMD"), ("TYP_DIPINT", "CURSUS_LMD_INT")):
         df = R.override_tiers(df, [

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import schema as P
+from ..operators import quality, schema as P
+from ..session import work_dir
 from ..sources.contracts import contract
 from .base import query, table, view
 
@@ -43,6 +44,18 @@ def p6(spark, sf):
     return P.rename_present(df, {"name": "ident", "born": "flag", "absent": "x"})
 
 
+@query("p4_failed_casts", """
+SELECT k, 'born' AS "column", born AS value, 'int' AS type FROM cus WHERE born = 'abc' UNION ALL SELECT k, 'segment', segment, 'bigint' FROM cus""", ["cus"])
+def p4_failed_casts(spark, sf):
+    """Every cell that a cast would turn into NULL, as quarantine keeps it; the counts agree with it."""
+    folder = work_dir(spark, "quarantine")
+    df, counts = quality.quarantined(view(spark, sf, "cus"), {"born": "int", "segment": "bigint", "absent": "int"}, ["k"], folder)
+    found = spark.read.parquet(folder)
+    if found.count() != sum(counts.values()) or df.filter("segment IS NOT NULL").count():
+        raise ValueError("the counts of failed casts do not agree")
+    return found
+
+
 @query("p7_swap_columns", "SELECT k, name AS code, kind, size AS brand FROM prt", ["prt"])
 def p7(spark, sf):
     df = view(spark, sf, "prt").select("k", "name", "kind", "size", "code", "brand")

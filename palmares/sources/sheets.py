@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.nulls import cut_at
 from ..operators.lookups import size_is_known, stored
@@ -78,7 +78,8 @@ def read_sheets(spark: SparkSession, path: str, whole: bool = True) -> dict[str,
 
     ``whole``: each file is one document (a workbook export). Otherwise each line is one,
     so files can be split and the records of a sheet may come from many documents.
-    The text is parsed once, into a columnar table of which each sheet reads its own column.
+    The text is parsed once, into a columnar table of which each sheet reads its own column. A sheet without records is
+    not listed. One document is one record, parsed in one task: ``documents.read_document`` reads large ones in parts.
     """
     folder = work_dir(spark, "sheets")
     parsed = spark.read.option("multiLine", whole).option("primitivesAsString", True).json(path)
@@ -90,7 +91,8 @@ def read_sheets(spark: SparkSession, path: str, whole: bool = True) -> dict[str,
         rows = doc.select(ROW, F.posexplode(F.col(f"`{name}`")).alias("place", "r"))
         return as_sheet(rows.select(F.format_string("%s %010d", ROW, "place").alias(ROW), "r.*"))
 
-    return {name: sheet(name) for name in doc.columns if name != ROW}
+    kinds = {f.name: f.dataType for f in doc.schema.fields}
+    return {name: sheet(name) for name, kind in kinds.items() if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType)}
 
 
 def read_sheet_folder(spark: SparkSession, root: str, names: Iterable[str]) -> dict[str, DataFrame]:

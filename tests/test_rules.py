@@ -100,6 +100,14 @@ def test_recodes_of_one_column_share_a_layer():
     assert [len(layer) for layer in R.compile_rules(back)] == [1, 1, 1]
 
 
+def test_a_long_chain_of_layers_is_planned_in_parts(frame):
+    """Forty rules of which each reads what the one before wrote: without cuts the optimiser never ends."""
+    rules = [R.rule({"t": str(i), "u": "x"}, {"t": str(i + 1)}) for i in range(40)] + [R.rule({"t": "40"}, {"u": "end"})]
+    assert len(R.compile_rules(rules)) == 41
+    got = R.apply_rules(frame([("0", "x"), ("7", "x"), ("3", "y")], "t string, u string"), R.compile_rules(rules))
+    assert values(got, "t", "u") == [("3", "y"), ("40", "end"), ("40", "end")]
+
+
 def test_absent_columns(frame):
     df = frame([("x",)], "a string")
     rules = [R.rule({"zz": "x"}, {"a": "no"}), R.rule({"a": "x"}, {"new": "yes"})]
