@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from check import compare, connect
-from palmares.llm import decontam, queries, simhash
+from palmares.llm import decontam, packing, queries, simhash
 from palmares.llm.common import written
 from palmares.queries.base import Query
+from test_corpus_operators import least_reachable, replacements, slow_best_fit, slow_fingerprint, slow_leaks
 
 SF = "/root/testdata/sf0.001"
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -67,6 +68,47 @@ def test_near_dedup_loses_no_text_where_ids_repeat(spark):
         assert out.columns == docs.columns and sorted(((r.doc_id, r.text or "") for r in out.collect()), key=repr) == sorted(want, key=repr)
 
 
+def test_pipeline_equals_brute_force(spark):
+    """Every stage on what its predecessor kept, against the plain form of its operator; copies of one id and benchmark passages are planted."""
+    rng = random.Random(21)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    bench = {r.item_id: r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
+    some = [r for r in docs.orderBy("doc_id").limit(12).collect()]
+    planted = [(some[k].doc_id, some[k].text + " tail", "en", "s", 1) for k in range(3)] + [(9000 + k, some[k].text, "en", "s", 1) for k in range(3, 6)]
+    planted += [(9100 + k, some[k].text[:300] + " " + bench[sorted(bench)[k]] + " " + some[k].text[:200], "en", "s", 1) for k in range(6, 9)]
+    rng.shuffle(planted)
+    docs = docs.union(spark.createDataFrame(planted, COLUMNS))
+    kept = []
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = written(stage(spark, docs, SF), name)
+        kept.append([(r.doc_id, r.text) for r in docs.collect()])
+    told, single, clean, private = kept
+    # near-dedup: the least id, then the least text hash, of every group of fingerprints within 4 bits
+    prints = [slow_fingerprint(t) for _, t in told]
+    pairs = [(a, b) for a in range(len(told)) for b in range(a + 1, len(told)) if (prints[a] ^ prints[b]).bit_count() <= 4]
+    groups = {}
+    for k, root in least_reachable(range(len(told)), pairs).items():
+        groups.setdefault(root, []).append(told[k])
+    ids = sorted(min(i for i, _ in g) for g in groups.values())
+    assert sorted(i for i, _ in single) == ids and len(single) < len(told) and set(single) <= set(told)
+    # decontamination: what holds an item goes, everything else stays
+    leaks = {k for k, _ in slow_leaks(dict(enumerate(t for _, t in single)), bench)}
+    assert sorted(clean) == sorted(x for k, x in enumerate(single) if k not in leaks) and len(leaks) >= 3
+    # PII: entities alone change
+    assert len(private) == len(clean) and replacements({i: t for i, t in clean}, dict(private)) > 10
+    # packing: the slow form over the whole table, which is one shard
+    rows = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
+    lengths = sorted((n for _, t in private for n in pieces(len(t.split()) + 1)), reverse=True)
+    bins = {}
+    for r in rows:
+        bins.setdefault((r.capacity, r.bin), []).append(r.n_tokens)
+    assert sorted((c, tuple(sorted(v, reverse=True))) for (c, _), v in bins.items()) == slow_best_fit(lengths, packing.CAPACITIES)
+
+
+def pieces(n, largest=max(packing.CAPACITIES)):
+    return [largest] * (n // largest) + ([n % largest] if n % largest else [])
+
+
 @pytest.mark.parametrize("stage", range(len(corpus_pipeline.STAGES)))
 def test_stages_bear_odd_rows(spark, stage):
     rows = [(1, None, None, None, None), (None, "The of and " * 20, "en", "s", 220), (2, "", "en", "s", 0), (2, "", "en", "s", 0), (3, "The heart of and to " * 9, "en", None, 1), (3, "Other words of and to " * 9, "en", "s", 1)]
