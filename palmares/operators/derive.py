@@ -40,7 +40,7 @@ def default_group(df: DataFrame, cols: Sequence[str], value: str = "AUTRES") ->
 
 # Degrees outside the grouping, and degrees that form a group of their own.
 UNGROUPED_DEGREES = ("6001000", "6004000", "8000010")
-REBOND_DEGREES = ("9610006", "9610007", "9610062", "9610070", "9610171")
+REBOND_DEGREES = ("9610007", "9610070", "9610171", "9610062", "9610006")
 PAREO_DEGREES = (
     "9630001", "9630067", "9630123", "9630127", "9630133", "9630162", "9630163", "9630166", "9630167",
     "9630170", "9630190",

@@ -161,7 +161,10 @@ def _of(parts: str, col: str) -> Column:
 
 
 def _usable(df: DataFrame, table: DataFrame) -> DataFrame:
-    """Rules that read columns of the facts only; the others are skipped."""
+    """Rules that read columns of the facts only; the others are skipped, and the columns that they lack are logged."""
+    lacking = table.select(F.explode("conds.col").alias("col")).filter(~F.col("col").isin(*df.columns)).distinct().collect()
+    if lacking:
+        rules.log.warning("rules are skipped: the facts lack %s", sorted(r.col for r in lacking))
     return table.filter(F.forall("conds", lambda c: c["col"].isin(*df.columns)))
 
 

@@ -16,6 +16,7 @@ itself. Three forms cover all sheets:
 from __future__ import annotations
 
 import json
+import logging
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -28,6 +29,9 @@ from ..session import work_dir
 from .lookups import enforced, left_lookup, small_table, stored
 
 
+log = logging.getLogger(__name__)
+
+
 class _Missing:
     def __repr__(self) -> str:
         return "MISSING"
@@ -284,6 +288,8 @@ def apply_rules(
             df = written(df)
         have = set(df.columns)
         usable = [r for r in layer if all(c in have for c in r.reads)]
+        if len(usable) < len(layer):
+            log.warning("%d rules are skipped: the facts lack %s", len(layer) - len(usable), sorted({c for r in layer for c in r.reads} - have))
         if not usable:
             continue
         step = _inline_layer if len(usable) <= inline else _joined_layer

@@ -34,10 +34,15 @@ def build_session(app: str = "palmares", master: str | None = None, **conf) -> S
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for written intermediates, on storage every executor can reach.
 
-    The parent is the cluster's ``spark.checkpoint.dir``, else its warehouse folder. The
-    folder is removed when the session's JVM ends: results may be read until then.
+    The parent is the cluster's ``spark.checkpoint.dir``, else its warehouse folder, which on a cluster must
+    not be a folder of one machine. The folder is removed when the session's JVM ends: results may be read until then.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = spark.conf.get("spark.sql.warehouse.dir")
+        scheme = spark._jvm.org.apache.hadoop.fs.Path(base).getFileSystem(spark._jsc.hadoopConfiguration()).getScheme()
+        if scheme == "file" and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}")
     path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
     return path.toString()

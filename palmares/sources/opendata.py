@@ -18,11 +18,12 @@ def write_open_csv(df: DataFrame, path: str, year: str | None = None) -> None:
     """Write part files, each with a header; NULL is empty and quotes are doubled.
 
     With ``year``, each year gets its own sub-folder (the column stays in the files too),
-    so one job yields both the yearly tables and, read from the root, the whole table.
+    so one job yields both the yearly tables and, read from the root, the whole table. Rows are brought
+    together by year first, heavy years in several parts: not every task writes a file into every folder.
     """
     writer = df
     if year is not None:
-        writer = df.withColumn("year_folder", F.col(year))
+        writer = df.withColumn("year_folder", F.col(year)).hint("rebalance", "year_folder")
     out = writer.write.mode("overwrite").options(header=True, nullValue="", emptyValue="", **FORMAT)
     if year is not None:
         out = out.option("partitionOverwriteMode", "dynamic").partitionBy("year_folder")
