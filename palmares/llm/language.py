@@ -22,6 +22,7 @@ from .common import free_name, small, written
 #: Most labelled rows the text models are fitted on, drawn by a hash of the id, and most languages they tell apart (of more
 #: declared values the most frequent: declarations are noisy, and a model needs rows).
 FIT_ROWS = 16_000
+FIT_TASKS = 32
 LANGUAGES = 256
 #: Trigram buckets; bytes of text after which more of it adds no further weight (trigrams of a text depend on each other).
 BUCKETS = 1 << 15
@@ -82,7 +83,9 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> TextModel:
     drawn = labelled.where(F.col("lang").isin(names))
     if n > fit_rows:
         drawn = drawn.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1_000_000)) < int(1_000_000 * fit_rows / n))
-    drawn = written(drawn.select("lang", half_of(F.col("doc_id")).alias("half"), F.col("text").cast("binary").alias("text")), "language-rows")
+    drawn = drawn.select("lang", half_of(F.col("doc_id")).alias("half"), F.col("text").cast("binary").alias("text"))
+    # the sample is bounded: a few tasks count it, each of which gives a vector a language and half
+    drawn = written(drawn.repartition(FIT_TASKS), "language-rows")
 
     def rows(b: pa.RecordBatch):
         return zip(*(b.column(k).to_pylist() for k in range(3)))
