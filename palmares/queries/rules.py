@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.nulls import is_missing
-from ..operators import rules as R
-from ..operators.lookups import small_table, stored
+from ..operators import rule_tables as RT, rules as R
+from ..operators.lookups import left_lookup, small_table, stored
 from ..plans import correct
 from ..sources.contracts import FILE_COLUMNS, columns_mask
 from .base import blank, miss, query, table, view
@@ -235,21 +235,39 @@ WITH p AS (SELECT p_partkey, p_brand, p_type, p_size FROM part)
 SELECT l.k, l.line, coalesce(p.p_brand, '') || '/' || coalesce(p.p_type, '') AS code,
   CASE WHEN p.p_size % 2 = 0 THEN 'even' ELSE 'odd' END AS parity FROM lin l JOIN p ON p.p_partkey = l.part""", ["lin"])
 def r11_many(spark, sf):
-    """A sheet of hundreds of rules (one per brand, type and size) applied as joins, not as one CASE."""
+    """Sheets of thousands of rules (one per brand and type, one per size) that stay tables."""
     part = table(spark, sf, "part")
     sheet = part.select("p_brand", "p_type").distinct().select(
         F.col("p_brand").alias("BRAND_IN"), F.col("p_type").alias("TYPE_IN"), F.concat_ws("/", "p_brand", "p_type").alias("CODE_OUT"))
     sizes = part.select("p_size").distinct().select(
         F.col("p_size").cast("string").alias("SIZE_IN"), F.when(F.col("p_size") % 2 == 0, "even").otherwise("odd").alias("PARITY_OUT"))
-    rules = R.formation_rules(R.sheet_records(sheet)) + R.formation_rules(R.sheet_records(sizes))
-    from ..operators.lookups import left_lookup
-
     dim = part.select("p_partkey", F.col("p_brand").alias("BRAND"), F.col("p_type").alias("TYPE"), F.col("p_size").cast("string").alias("SIZE"))
     df = left_lookup(view(spark, sf, "lin").select("k", "line", "part"), dim, {"part": "p_partkey"}, ["BRAND", "TYPE", "SIZE"])
-    out = R.apply_rules(df, R.compile_rules(rules), inline=20)
+    out = RT.apply_sheets(df, [("formation", sheet), ("formation", sizes)])
     return out.select("k", "line", F.col("CODE").alias("code"), F.col("PARITY").alias("parity"))
 
 
+@query("r4_folded_rule_table", f"""
+SELECT k, CASE WHEN "COMPOS" = '0011312W' THEN 'end' WHEN "COMPOS" = '0753364Z' OR "COMINS" = '75056' THEN 'v25'
+  WHEN {miss('"COMINS"')} AND "COMPOS" = '0684045X' AND "RENTREE" = '2016' THEN 'v25' ELSE "COMINS" END AS "COMINS" FROM deg""", ["deg"])
+def r4_table(spark, sf):
+    """Rules that stay a table: a chain over all nations, entered from its beginning, from the middle by a unit and from a missing value; a last unit ends it."""
+    n = F.col("n_nationkey").cast("int")
+    rien = F.lit("rien")
+    nation = table(spark, sf, "nation")
+
+    def rows(place, unit, year, value, out, where="TRUE"):
+        return nation.filter(where).select(
+            F.format_string("%03d", place).alias(R.ROW), rien.alias("TYP_DIPL"), unit.alias("COMPOS"), year.alias("RENTREE"), value.alias("IN"), out.alias("OUT"))
+
+    step = lambda i: F.concat(F.lit("v"), i.cast("string"))
+    sheet = rows(n * 2, rien, rien, F.when(n == 0, "75056").otherwise(step(n)), step(n + 1)).union(
+        rows(n * 2 + 1, F.lit("0753364Z"), rien, rien, step(n + 1), "n_nationkey = 11")).union(
+        rows(n * 2 + 1, F.lit("0684045X"), F.lit("2016"), F.lit("crochet"), step(n + 23), "n_nationkey = 1")).union(
+        rows(n + 99, F.lit("0011312W"), rien, rien, F.lit("end"), "n_nationkey = 0"))
+    return RT.fold_sheet(deg(spark, sf), "registration", sheet, "COMINS").select("k", "COMINS")
+
+
 BY_TYPE = """(SELECT typ, CASE WHEN typ IN ('XA', 'TB') THEN 'L' WHEN typ = 'XB' THEN 'M' ELSE '' END AS cyc
   FROM (SELECT DISTINCT "TYP_DIPL" AS typ FROM deg))"""
 
