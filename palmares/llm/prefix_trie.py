@@ -1,115 +1,107 @@
 """The trie of conversation prefixes, folded in shards over minimal perfect hash tables.
 
-Each prefix has a chained digest. Grouped aggregation makes the distinct nodes, and checks that one digest stands for one prefix.
-Nodes that many conversations share form the crown, of bounded size; every subtree below it lies in one shard. A shard puts its
-digests into the slots of a minimal perfect hash, scatters counts into flat arrays by slot and adds them up along an array of
-parent slots, deepest nodes first. What the tops of subtrees hold goes to the crown, which is folded the same way.
+The digest of a prefix is made from sums of the digests of its turns, each bound to its place: sums run in parallel, so a
+conversation of any length is dealt to many tasks. Grouped aggregation makes the distinct nodes, and checks that one digest stands for one
+prefix. Nodes that many conversations share form the crown, of bounded size; every subtree below it lies in one shard, long chains
+in several bands of depth. A shard puts its digests into the slots of a minimal perfect hash, scatters counts into flat arrays by slot and adds
+them up along an array of parent slots, deepest nodes first. What the tops of a shard hold goes to the band above and to the crown, folded the same way.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import reduce
-from itertools import islice
 from operator import and_
-from zlib import crc32
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import join_hot, written
 
 #: Most nodes of the crown, and the most members that a node below it always may have.
 CROWN = 100_000
 FEW = 64
-#: About how many nodes a shard gets, and the least number of shards (for parallel work on small tables).
+#: About how many nodes a shard gets, the least number of shards (for parallel work on small tables), and the depths of a band.
 SHARD = 50_000
 LEAST_SHARDS = 64
+BAND = 100_000
+#: Turns of a conversation that one group sums up.
+CHUNK = 4096
 #: Ends of a node are joined to one text per range of ids that agree but for so many bits.
 RANGE_BITS = 12
-_ROWS = 8192
-ROOT = (0, 0)
+_SUMS = ["s0", "s1", "s2", "s3"]
 
 
-def digest(data: bytes) -> tuple[int, int]:
-    """128 bits of a digest as two signed longs."""
-    made = hashlib.blake2b(data, digest_size=16).digest()
-    return int.from_bytes(made[:8], "little", signed=True), int.from_bytes(made[8:], "little", signed=True)
+def digests(depth: Column, sums: list[Column]) -> list[Column]:
+    """The digest of a prefix of ``depth`` turns as two longs."""
+    return [F.xxhash64(depth, *sums[:2]).alias("low"), F.xxhash64(depth, *sums[2:]).alias("high")]
 
 
-def chain(parent: tuple[int, int], turn: tuple[int, int]) -> tuple[int, int]:
-    """The digest of a prefix from that of its parent and that of its last turn."""
-    return digest(b"".join(x.to_bytes(8, "little", signed=True) for x in (*parent, *turn)))
+def ranked(rows: DataFrame) -> DataFrame:
+    """Rows (conv_id, rank, n, a, b, n_bytes): the turns in order with their number, that of the conversation, a digest of role and text, and bytes.
 
-
-def turn_digest(role: str, text: str) -> tuple[int, int]:
-    named = role.encode()
-    return digest(len(named).to_bytes(8, "little") + named + text.encode())
-
-
-def rebuilt(rows: Iterator[tuple[int, str, str]], block: int, head: Callable[[int], int], most: int) -> Iterator[tuple[int, list | None]]:
-    """(conv_id, turn) for every turn of every rebuilt conversation, and (conv_id, None) at its start, from rows ordered by conversation.
-
-    Of the first conversation of a block only the ``most`` turns that ``head`` can ask for are held; everything else streams.
-    """
-    base, heads, current, rank, start, own_heads = None, [], None, 0, 0, False
-    for conv, role, text in rows:
-        if conv != current:
-            current, rank, start = conv, 0, head(conv)
-            if conv - conv % block != base:
-                base, heads = conv - conv % block, []
-            own_heads = conv == base
-            yield conv, None
-            if not own_heads:
-                for turn in heads[:start]:
-                    yield conv, turn
-        rank += 1
-        if own_heads and rank <= most:
-            heads.append((role, text))
-        if own_heads or rank > start:
-            yield conv, (role, text)
-
-
-def prefixes(rows: DataFrame, block: int, heads: int) -> DataFrame:
-    """A row for every prefix of every rebuilt conversation: conv_id, depth, digest, parent's digest, digest of the last turn, its bytes, whether it ends there.
-
-    One shuffle, by block of conversations; the turns of a conversation stream through one task in order.
+    A global sort deals a long conversation to many tasks; ranks are counted inside each part of it and moved on by the parts before.
     """
     narrow = rows.where("conv_id IS NOT NULL").select(
         F.col("conv_id").cast("long").alias("conv_id"), "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    ordered = narrow.orderBy("conv_id", F.asc_nulls_first("turn"), "role", "text")
+    mark = F.sha2(F.concat(F.octet_length("role").cast("string"), F.lit(" "), F.col("role"), F.col("text")), 256)
+    half = lambda k: F.conv(F.substring(mark, k, 15), 16, 10).cast("long")
+    placed = written(ordered.select(
+        F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at"), "conv_id", half(1).alias("a"), half(16).alias("b"), F.octet_length("text").cast("long").alias("n_bytes")), "turns")
+    parts = placed.groupBy("conv_id", "part").agg(F.count("*").alias("m"))
+    whole = Window.partitionBy("conv_id")
+    before = F.coalesce(F.sum("m").over(whole.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = parts.select("conv_id", "part", before.alias("before"), F.sum("m").over(whole).alias("n"))
+    here = Window.partitionBy("conv_id", "part").orderBy("at")
+    return placed.join(offsets, ["conv_id", "part"]).select("conv_id", (F.col("before") + F.row_number().over(here)).alias("rank"), "n", "a", "b", "n_bytes")
+
+
+def rebuilt(rows: DataFrame, block: int, heads: int) -> tuple[DataFrame, DataFrame]:
+    """(turns, conversations) after the rebuild: (conv_id, depth, a, b, n_bytes) and (conv_id, length), one a conversation."""
+    turns = written(ranked(rows), "ranked")
     base = F.col("conv_id") - F.pmod("conv_id", F.lit(block))
-    dealt = narrow.repartition(base).sortWithinPartitions(base, "conv_id", F.asc_nulls_first("turn"), "role", "text")
-    names = ["conv_id", "depth", "low", "high", "parent_low", "parent_high", "turn_low", "turn_high", "n_bytes", "ends"]
+    sizes = turns.where("rank = 1").select("conv_id", "n", base.alias("base"), F.pmod(F.crc32(F.col("conv_id").cast("string").cast("binary")), F.lit(heads)).alias("h"))
+    of_base = sizes.where("conv_id = base").select("base", F.col("n").alias("n_base"))
+    lent = F.when(F.col("conv_id") == F.col("base"), F.col("n")).otherwise(F.least("h", F.coalesce("n_base", F.lit(0))))
+    length = F.when(F.col("conv_id") == F.col("base"), F.col("n")).otherwise(lent + F.greatest(F.col("n") - F.col("h"), F.lit(0)))
+    convs = written(sizes.join(of_base, "base", "left").select("conv_id", "base", "n", "h", lent.alias("lent"), length.alias("length")), "conversations")
+    own = join_hot(turns.drop("n"), convs, "conv_id", "n")
+    first = F.col("conv_id") == F.col("base")
+    kept = own.where(first | (F.col("rank") > F.col("h"))).select(
+        "conv_id", F.when(first, F.col("rank")).otherwise(F.col("lent") + F.col("rank") - F.col("h")).alias("depth"), "a", "b", "n_bytes")
+    head = turns.where((F.col("rank") < heads) & (base == F.col("conv_id"))).select(F.col("conv_id").alias("base"), F.col("rank").alias("depth"), "a", "b", "n_bytes")
+    borrowed = convs.where((F.col("conv_id") != F.col("base")) & (F.col("lent") > 0)).join(head, "base").where("depth <= lent")
+    return kept.unionByName(borrowed.select("conv_id", "depth", "a", "b", "n_bytes")), convs.select("conv_id", "length")
 
-    def read(it: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, str, str]]:
-        for b in it:
-            yield from zip(*(b.column(k).to_pylist() for k in range(3)))
-
-    def nodes(it: Iterator[pa.RecordBatch]) -> Iterator[list]:
-        last = None
-        for conv, turn in rebuilt(read(it), block, lambda c: crc32(str(c).encode()) % heads, heads - 1):
-            if last is not None and turn is not None:
-                last[-1] = False
-            if last is not None:
-                yield last
-            if turn is None:
-                last = [conv, 0, *ROOT, *ROOT, *ROOT, 0, True]
-            else:
-                own = turn_digest(*turn)
-                last = [conv, last[1] + 1, *chain((last[2], last[3]), own), last[2], last[3], *own, len(turn[1].encode()), True]
-        if last is not None:
-            yield last
 
-    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = nodes(it)
-        while part := list(islice(made, _ROWS)):
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*part)], names=names)
+def prefixes(rows: DataFrame, block: int, heads: int) -> DataFrame:
+    """A row for every prefix of every rebuilt conversation: conv_id, depth, digest, parent's digest, the last turn's digest and bytes, whether it ends there.
 
-    return dealt.select("conv_id", "role", "text").mapInArrow(batches, ", ".join(f"{c} long" for c in names[:-1]) + ", ends boolean")
+    Sums run inside chunks of a conversation and are moved on by the chunks before. Texts are shuffled once, for the order.
+    """
+    turns, convs = rebuilt(rows, block, heads)
+    own = [F.xxhash64("depth", "a", "b", F.lit(seed)).bitwiseAND(F.lit(0xFFFFFFFF)) for seed in range(4)]
+    chunk = F.floor((F.col("depth") - 1) / CHUNK).alias("chunk")
+    bound = written(turns.select("conv_id", "depth", "a", "b", "n_bytes", chunk, *[v.alias(f"o{k}") for k, v in enumerate(own)]), "bound")
+    upto = Window.partitionBy("conv_id").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    sums = bound.groupBy("conv_id", "chunk").agg(*[F.sum(f"o{k}").alias(f"c{k}") for k in range(4)])
+    offsets = sums.select("conv_id", "chunk", *[F.coalesce(F.sum(f"c{k}").over(upto), F.lit(0)).alias(f"c{k}") for k in range(4)])
+    here = Window.partitionBy("conv_id", "chunk").orderBy("depth").rowsBetween(Window.unboundedPreceding, 0)
+    running = bound.join(offsets, ["conv_id", "chunk"]).select(
+        "conv_id", "depth", "a", "b", "n_bytes", *[f"o{k}" for k in range(4)], *[(F.sum(f"o{k}").over(here) + F.col(f"c{k}")).alias(s) for k, s in enumerate(_SUMS)])
+    low, high = digests(F.col("depth"), [F.col(s) for s in _SUMS])
+    up = digests(F.col("depth") - 1, [F.col(s) - F.col(f"o{k}") for k, s in enumerate(_SUMS)])
+    steps = running.select("conv_id", "depth", low, high, up[0].alias("parent_low"), up[1].alias("parent_high"), "a", "b", "n_bytes")
+    zero = F.lit(0).cast("long")
+    root = digests(zero, [zero] * 4)
+    roots = convs.select("conv_id", zero.alias("depth"), *root, root[0].alias("parent_low"), root[1].alias("parent_high"), zero.alias("a"), zero.alias("b"), zero.alias("n_bytes"))
+    ends = convs.select("conv_id", F.col("length").alias("depth"), F.lit(True).alias("ends"))
+    return steps.unionByName(roots).join(ends, ["conv_id", "depth"], "left").withColumn("ends", F.coalesce("ends", F.lit(False)))
 
 
 class SlotTable:
@@ -239,42 +231,61 @@ def same(*columns: str) -> Column:
     return reduce(and_, (F.min(c) == F.max(c) for c in columns))
 
 
-def prefix_trie(conversations: DataFrame, block: int = 5, heads: int = 9, crown: int = CROWN, shard: int = SHARD) -> DataFrame:
+def folded(nodes: DataFrame, below: DataFrame | None, name: str) -> DataFrame:
+    """``nodes`` (with ``shard``) folded shard by shard on top of what ``below`` holds for them; written."""
+    names = [c.split()[0] for c in NODE.split(", ")]
+    if below is None:
+        start = nodes.select("shard", *names, *[F.lit(0).cast("long").alias(c) for c in BELOW])
+    else:
+        start = nodes.join(below, ["low", "high"], "left").select("shard", *names, *[F.coalesce(c, F.lit(0)).alias(c) for c in BELOW])
+    return written(start.groupBy("shard").applyInPandas(fold, FOLDED), name)
+
+
+def held_by_tops(part: DataFrame) -> DataFrame:
+    """What the parents of a shard's tops get from it."""
+    return part.where("top").groupBy(F.col("parent_low").alias("low"), F.col("parent_high").alias("high")).agg(
+        F.count("*").alias("n_children"), F.sum("n_leaves").alias("n_leaves"), F.sum("saved_tokens").alias("saved_tokens"))
+
+
+def prefix_trie(conversations: DataFrame, block: int = 5, heads: int = 9, crown: int = CROWN, shard: int = SHARD, band: int = BAND) -> DataFrame:
     """Rows, one a node: conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256, digest.
 
     Conversations (conv_id, turn, role, text) are ordered by turn, null first, equal turns by role and text; null roles and texts are empty.
-    The first h turns of conversation c are those of the first of its block, h = crc32(c) % heads (at most 9); c - c % block rounds down also
+    The first h turns of conversation c are those of the first of its block, h = crc32(c) % heads; c - c % block rounds down also
     below 0. Rows with a null conv_id belong to no conversation; repeated rows are repeated turns. An empty table gives no node, not even a root.
     """
-    if not 1 <= heads <= 9:
-        raise ValueError("heads must lie between 1 and 9")
     steps = written(prefixes(conversations, block, heads), "prefixes")
     checked = steps.groupBy("low", "high").agg(
         F.count("*").alias("n_convs"), F.min("conv_id").alias("conv_id"), F.min("depth").alias("depth"), F.min("parent_low").alias("parent_low"),
-        F.min("parent_high").alias("parent_high"), F.min("n_bytes").alias("n_bytes"),
-        same("depth", "parent_low", "parent_high", "turn_low", "turn_high").alias("sound"))
+        F.min("parent_high").alias("parent_high"), F.min("n_bytes").alias("n_bytes"), same("depth", "parent_low", "parent_high", "a", "b", "n_bytes").alias("sound"))
     nodes = written(checked, "nodes")
-    n, rows, sound = nodes.agg(F.count("*"), F.coalesce(F.sum("n_convs"), F.lit(0)), F.coalesce(F.min("sound"), F.lit(True))).first()
+    n, rows, sound, deepest = nodes.agg(F.count("*"), F.coalesce(F.sum("n_convs"), F.lit(0)), F.coalesce(F.min("sound"), F.lit(True)), F.coalesce(F.max("depth"), F.lit(0))).first()
     if not sound:
         raise ValueError("two prefixes have one digest")
     # nodes with more members than this have more than rows / crown prefixes each, so there are fewer than ``crown``
     high = F.col("n_convs") > max(rows // crown, FEW)
     key = ["low", "high"]
-    # the first node below the crown on a conversation's path names the shard of all nodes that it is the least member of
-    tops = steps.join(F.broadcast(nodes.where(high).select(*key)), key, "left_anti").groupBy("conv_id").agg(F.min_by(F.struct(*key), "depth").alias("at"))
+    level = F.floor(F.col("depth") / band)
+    # the first node below the crown on a conversation's path, in each band, names the shard of all nodes that it is the least member of
+    tops = steps.join(F.broadcast(nodes.where(high).select(*key)), key, "left_anti").groupBy("conv_id", level.alias("level")).agg(F.min_by(F.struct(*key), "depth").alias("at"))
     parts = max(LEAST_SHARDS, -(-n // shard))
-    none = [F.lit(0).cast("long").alias(c) for c in BELOW]
-    light = nodes.where(~high).join(tops, "conv_id").withColumn("shard", F.pmod(F.xxhash64("at"), F.lit(parts)))
-    folded = written(light.select("shard", *[c.split()[0] for c in NODE.split(", ")], *none).groupBy("shard").applyInPandas(fold, FOLDED), "folded")
-    below = folded.where("top").groupBy(F.col("parent_low").alias("low"), F.col("parent_high").alias("high")).agg(
-        F.count("*").alias("n_children"), F.sum("n_leaves").alias("n_leaves"), F.sum("saved_tokens").alias("saved_tokens"))
-    upper = nodes.where(high).join(below, key, "left").select(
-        F.lit(0).alias("shard"), *[c.split()[0] for c in NODE.split(", ")], *[F.coalesce(c, F.lit(0)).alias(c) for c in BELOW])
-    upper = written(upper.groupBy("shard").applyInPandas(fold, FOLDED), "crown")
+    light = nodes.where(~high).withColumn("level", level).join(tops, ["conv_id", "level"]).withColumn("shard", F.pmod(F.xxhash64("at"), F.lit(parts)))
+    done, given = [], []
+    for k in range(deepest // band, -1, -1):
+        done.append(folded(light.where(F.col("level") == k), given[-1] if given else None, "folded"))
+        given.append(held_by_tops(done[-1]))
+    below = reduce(DataFrame.unionByName, given).groupBy(*key).agg(*[F.sum(c).alias(c) for c in BELOW])
+    upper = folded(nodes.where(high).withColumn("shard", F.lit(0)), below, "crown")
+    lower = reduce(DataFrame.unionByName, done)
+    # the parents of tops lie in the crown or in the band above
+    if len(done) > 1:
+        over = nodes.where(~high & ((F.col("depth") + 1) % band == 0)).select(F.col("low").alias("parent_low"), F.col("high").alias("parent_high"), F.col("conv_id").alias("over_conv_id"))
+        lower = lower.join(over, ["parent_low", "parent_high"], "left").withColumn("parent_conv_id", F.coalesce("parent_conv_id", "over_conv_id")).drop("over_conv_id")
     parents = F.broadcast(nodes.where(high).select(F.col("low").alias("parent_low"), F.col("high").alias("parent_high"), F.col("conv_id").alias("crown_conv_id")))
-    whole = folded.join(parents, ["parent_low", "parent_high"], "left").withColumn("parent_conv_id", F.coalesce("parent_conv_id", "crown_conv_id")).drop("crown_conv_id").unionByName(upper)
+    lower = lower.join(parents, ["parent_low", "parent_high"], "left")
+    lower = lower.withColumn("parent_conv_id", F.when(F.col("depth") > 0, F.coalesce("parent_conv_id", "crown_conv_id"))).drop("crown_conv_id")
     ends = ends_digests(steps.where("ends").select("conv_id", *key))
-    return whole.join(ends, key, "left").select(
+    return lower.unionByName(upper).join(ends, key, "left").select(
         "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
         F.coalesce("ends_sha256", F.lit(hashlib.sha256(b"").hexdigest())).alias("ends_sha256"),
         F.lower(F.concat(F.lpad(F.hex("high"), 16, "0"), F.lpad(F.hex("low"), 16, "0"))).alias("digest"))

@@ -895,8 +895,8 @@ def trie_rows(df, **how):
     return {(r.conv_id, r.depth): tuple(r[c] for c in cols) for r in prefix_trie.prefix_trie(df, **how).collect()}
 
 
-@pytest.mark.parametrize("crown, few", [(100_000, 64), (40, 3)], ids=["one crown", "many shards"])
-def test_trie_equals_brute_force(spark, monkeypatch, crown, few):
+@pytest.mark.parametrize("crown, few, band", [(100_000, 64, 100_000), (40, 3, 100_000), (40, 3, 2)], ids=["one crown", "many shards", "bands"])
+def test_trie_equals_brute_force(spark, monkeypatch, crown, few, band):
     """Shared beginnings, a hot conversation, null and repeated rows; with a small crown most nodes lie below it."""
     monkeypatch.setattr(prefix_trie, "FEW", few)
     rng = random.Random(11)
@@ -908,7 +908,7 @@ def test_trie_equals_brute_force(spark, monkeypatch, crown, few):
     rows += [(7, None, None, None), (7, 3, "user", "x"), (7, 3, "user", "x"), (10**12, 0, "user", "far"), (-3, 0, "user", "neg"), (-5, 0, "user", "base"), (None, 0, "user", "lost")]
     rng.shuffle(rows)
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("low", F.lit(1)).withColumn("Depth", F.lit(2))
-    got = trie_rows(df.repartition(6), crown=crown, shard=20)
+    got = trie_rows(df.repartition(6), crown=crown, shard=20, band=band)
     assert got == slow_trie(rows)
     assert len({k for k in got}) == prefix_trie.prefix_trie(df).select("digest").distinct().count()
 
@@ -938,8 +938,16 @@ def test_slots_are_minimal_perfect_and_verified():
 
 
 def test_one_digest_for_two_prefixes_is_noticed(spark, monkeypatch):
-    real = prefix_trie.chain
-    monkeypatch.setattr(prefix_trie, "chain", lambda parent, turn: (real(parent, turn)[0] % 2, 0))
+    monkeypatch.setattr(prefix_trie, "digests", lambda depth, sums: [(depth % 2).alias("low"), F.lit(0).cast("long").alias("high")])
     df = spark.createDataFrame([(c, t, "user", str(c * 7 + t)) for c in range(6) for t in range(4)], "conv_id long, turn long, role string, text string")
     with pytest.raises(ValueError, match="one digest"):
         prefix_trie.prefix_trie(df)
+
+
+def test_long_conversations_are_dealt_in_parts_and_bands(spark, monkeypatch):
+    """One conversation of a third of all rows over many chunks, partitions and bands of depth, beside one that leaves it half-way."""
+    monkeypatch.setattr(prefix_trie, "CHUNK", 7)
+    long = [(10, t, "user", "w" * (t % 3)) for t in range(90)]
+    rows = long + [(11, t, "user", "w" * (t % 3) if t < 40 else "other") for t in range(60)] + [(15 + c, t, "user", str((c + t) % 4)) for c in range(20) for t in range(5)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(9)
+    assert trie_rows(df, band=11) == trie_rows(df) == slow_trie(rows)
