@@ -5,17 +5,20 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: White space that separates words, as a regular expression and as characters.
 BLANKS = r"[\x20\x09-\x0D]+"
 BLANK_CHARS = " \t\n\x0b\x0c\r"
 
-#: A side of a join is broadcast by hint only when it was counted and has at most so many rows.
+#: A side of a join is broadcast by hint only when it was counted and has at most so many rows and bytes.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 16 << 20
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -89,9 +92,24 @@ def join_labels(labels: np.ndarray, x: np.ndarray, y: np.ndarray) -> None:
             labels[:] = deeper
 
 
+def _row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row in a broadcast table: texts, arrays and maps by their length."""
+    parts = [F.lit(0).cast("long")]
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            parts.append(F.coalesce(F.octet_length(c), F.lit(0)) + 24)
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType)):
+            parts.append(F.greatest(F.size(c), F.lit(0)) * (8 if f.dataType == T.ArrayType(T.DoubleType()) else 96) + 24)
+        else:
+            parts.append(F.lit(16))
+    return reduce(lambda a, b: a + b, parts)
+
+
 def small(df: DataFrame) -> DataFrame:
-    """``df`` (a written table, so that counting reads no data) with a broadcast hint if its counted rows allow it."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+    """``df`` (a written table) with a broadcast hint if its counted rows and their measured bytes allow it."""
+    rows, size = df.limit(BROADCAST_ROWS + 1).agg(F.count("*"), F.coalesce(F.sum(_row_bytes(df)), F.lit(0))).first()
+    return F.broadcast(df) if rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES else df
 
 
 #: Keys with at least a share of 1 / HOT_KEYS of all rows, of which there are HOT_KEYS at the most.
