@@ -108,7 +108,7 @@ def _row_bytes(df: DataFrame) -> Column:
 
 def small(df: DataFrame) -> DataFrame:
     """``df`` (a written table) with a broadcast hint if its counted rows and their measured bytes allow it."""
-    rows, size = df.limit(BROADCAST_ROWS + 1).agg(F.count("*"), F.coalesce(F.sum(_row_bytes(df)), F.lit(0))).first()
+    rows, size = df.agg(F.count("*"), F.coalesce(F.sum(_row_bytes(df)), F.lit(0))).first()
     return F.broadcast(df) if rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES else df
 
 
