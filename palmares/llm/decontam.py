@@ -7,7 +7,9 @@ it are compared by the weighted Jaccard similarity of their shingles. DataFrame
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,7 +62,7 @@ def benchmark_items(benchmark: DataFrame, item_id: str = "item_id", text: str =
 
 
 def _bit_table(shingles: DataFrame, bits: int) -> list[int]:
-    """Longs of a bit table of fixed size with two bits set for each hash."""
+    """Longs of a bit table of fixed size with four bits set for each hash."""
     both = shingles.select(F.explode(F.array(*_places(F.col("hash"), bits))).alias("at"))
     longs = both.groupBy(F.shiftright("at", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("v")).collect()
     table = [0] * (bits // 64)
@@ -70,14 +72,13 @@ def _bit_table(shingles: DataFrame, bits: int) -> list[int]:
 
 
 def _places(h: Column, bits: int) -> list[Column]:
-    return [F.shiftrightunsigned(h, s).bitwiseAND(F.lit(bits - 1)).cast("int") for s in (0, 24)]
+    return [F.shiftrightunsigned(h, s).bitwiseAND(F.lit(bits - 1)).cast("int") for s in (0, 14, 28, 42)]
 
 
 def _maybe(table: Column, h: Column, bits: int) -> Column:
-    """Are both bits of a hash set? False only for hashes that no item has."""
+    """Are all bits of a hash set? False only for hashes that no item has."""
     one = lambda at: F.call_function("getbit", F.get(table, F.shiftright(at, 6)), at.bitwiseAND(F.lit(63))) == 1
-    a, b = _places(h, bits)
-    return one(a) & one(b)
+    return reduce(and_, map(one, _places(h, bits)))
 
 
 def _variants(items: DataFrame, radius: int, blocks: int) -> DataFrame:
