@@ -50,9 +50,8 @@ def _cond(col: Column, value: Column, missing: Column | None = None) -> Column:
 
 def _table(sheet: DataFrame, conds: Sequence[Column], outs: Sequence[Column], first: Column | None = None) -> DataFrame:
     """``conds`` and ``outs``: structs, NULL where a rule has none. ``first`` goes before the place in the order."""
-    place = [_order(sheet)] if first is None else [first, _order(sheet)]
-    out = sheet.select(F.to_json(F.struct(*place)).alias("rank") if first is None else F.struct(*place).alias("rank"),
-                       F.array_compact(F.array(*conds)).alias("conds"), F.array_compact(F.array(*outs)).alias("outs"))
+    place = _order(sheet) if first is None else F.struct(first, _order(sheet).alias("place"))
+    out = sheet.select(place.alias("rank"), F.array_compact(F.array(*conds)).alias("conds"), F.array_compact(F.array(*outs)).alias("outs"))
     return out.filter(F.size("outs") > 0)
 
 

@@ -89,8 +89,11 @@ def commit(spark: SparkSession, root: str, ledger: DataFrame) -> None:
     draft = f"{root}/_ledger/_draft-{uuid.uuid4().hex}"
     ledger.coalesce(1).write.parquet(draft)
     fs, where = _fs(spark, draft)
-    if not fs.rename(where, spark._jvm.org.apache.hadoop.fs.Path(f"{root}/_ledger/{number}")):
-        raise OSError(f"ledger {number} of {root} exists already")
+    goal = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/_ledger/{number}")
+    moved = not fs.exists(goal) and fs.rename(where, goal)
+    # some file systems move a folder into one that another landing has put there meanwhile
+    if not moved or fs.exists(spark._jvm.org.apache.hadoop.fs.Path(goal, where.getName())):
+        raise OSError(f"ledger {number} of {root} exists already: land again")
 
 
 def read_landed(spark: SparkSession, root: str, sources: Sequence[str] | None = None, years: Sequence[int] | None = None) -> DataFrame:

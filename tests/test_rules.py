@@ -237,6 +237,10 @@ def test_sheets_of_either_size_give_the_same(frame, spark):
                                ("wildcard", commune, {"keys": ("COMPOS", "RENTREE")})):
         one, two = RT.fold_sheet(df, kind, records, "COMINS", **how), RT.fold_sheet(df, kind, table(records), "COMINS", **how)
         assert values(one, "k", "COMINS") == values(two, "k", "COMINS"), (kind, how)
+    # sheets without places are ordered by their cells, in both forms
+    plain = [{k: v for k, v in r.items() if k != R.ROW} | {"VALUE1_IN": v} for r, v in zip(generic, ["a", "aA", "a b", "x", "x", "xX"] * 2)]
+    one = R.all_records({"S": table(plain)}, ["S"])["S"]
+    assert values(RT.apply_sheets(df, [("generic", one)]), "k", "COMINS", "ETABLI") == values(RT.apply_sheets(df, [("generic", table(plain))]), "k", "COMINS", "ETABLI")
     mixed = [("year", year), ("generic", table(generic))]
     assert values(RT.apply_sheets(df, mixed), "k", "COMINS", "ETABLI") == values(RT.apply_sheets(df, [("year", year), ("generic", generic)]), "k", "COMINS", "ETABLI")
 
