@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -80,6 +80,26 @@ def swap_columns(df: DataFrame, mapping: Mapping[str, str], drop: Iterable[str])
     return df.select(*[F.col(c).alias(n) for c, n in zip(kept, names)])
 
 
+def beside(df: DataFrame, columns: Iterable[str], step: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``step`` over ``columns`` (those that exist); the others pass it as one value.
+
+    A lookup copies every column of its rows. In a chain of lookups over wide rows that copying is most of the work;
+    columns that the chain neither reads nor writes go into one struct, which is copied as a block.
+    """
+    wanted = set(columns)
+    rest = [c for c in df.columns if c not in wanted]
+    if len(rest) < 2:
+        return step(df)
+    out = step(df.select(*[c for c in df.columns if c in wanted], F.struct(*rest).alias("__rest")))
+    made = [c for c in out.columns if c != "__rest"]
+    clash = sorted(set(made) & set(rest))
+    if clash:
+        raise ValueError(f"the step would duplicate columns {clash}")
+    kept = [c for c in df.columns if c in rest or c in made]
+    names = [*kept, *[c for c in made if c not in kept]]
+    return out.select(*[F.col("__rest").getField(c).alias(c) if c in rest else F.col(c) for c in names])
+
+
 def add_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
     """Add absent columns with a constant; existing ones are left alone."""
     new = {c: F.lit(v) for c, v in defaults.items() if c not in df.columns}

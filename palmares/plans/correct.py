@@ -18,7 +18,7 @@ from ..functions.scalars import default_missing, diff_int, recode, strip_zero, s
 from ..operators import derive, rule_tables, rules
 from ..operators.filters import delete_by_rules, exclude, if_any, keep_positive, remove_where
 from ..operators.lookups import coalesced_lookup, country_lookup, left_lookup, role_lookup, tiered_lookup
-from ..operators.schema import add_defaults, add_nulls, finalise_types, flag_text, rename_present, swap_columns, with_provenance
+from ..operators.schema import add_defaults, add_nulls, beside, finalise_types, flag_text, rename_present, swap_columns, with_provenance
 from ..session import work_dir
 from ..sources.contracts import COUNTRY_FLAGS, FILE_COLUMNS, RAW_COLUMNS, RAW_INTS, file_has, has_intermediate, with_file_columns
 from ..sources.facts import PARTITIONS, read_fact, write_fact
@@ -49,6 +49,28 @@ RULE_SHEETS = (
     "COMINS", "COMETAB", "COMUI", "DEP_ACA_RESPA_CORRECTIF", "RESTE_DEPRESPA_CORRECTIF", "DEP_CORRECTIF", "ACA_CORRECTIF",
     "FORMATIONS_CORRECTIF", "GROUPE_CORRECTIF",
 )
+# Columns that the steps with lookups read or write, beside those that their rule sheets name; the others pass them in one value.
+ENTITY_COLUMNS = (
+    "RENTREE", "SOURCE", "DIPLOM", "ETABLI", "ETABLI_ORI_UAI", "ETABLI_DIFFUSION", "COMPOS", "UI", "UR", "RATTACH", "FLAG_MEEF", "EFF_SS_ESPE", "TYP_DIPL",
+    "ID_PAYSAGE", "ID_PAYSAGE_EPE", "ID_PAYSAGE_EPE_ETAB_COMPOS", "ID_PAYSAGE_FORMENS",
+)
+COMMUNE_COLUMNS = ("RENTREE", "COMPOS", "ETABLI", "TYP_DIPL", "ID_PAYSAGE", "UI", "UAI", "COMCODE", "COMINS", "COMETAB", "COMUI")
+ORIGIN_COLUMNS = (
+    "SOURCE", "RENTREE", "SITUPRE", "BAC", "BAC_RGRP", "NATION", "PCSPAR2", "DEPBAC", "ACABAC", "DEPRESPA", "ACARESPA",
+)
+ORIGIN_SHEETS = ("DEP_ACA_RESPA_CORRECTIF", "RESTE_DEPRESPA_CORRECTIF", "DEP_CORRECTIF", "ACA_CORRECTIF")
+DEGREE_COLUMNS = (*PADDED_CODES, "SOURCE", "DIPLOM", "CURSUS_LMD", "CURSUS_LMD_INT", "RESINT", "REGIME")
+DEGREE_SHEETS = ("FORMATIONS_CORRECTIF", "GROUPE_CORRECTIF")
+ATTRIBUTE_COLUMNS = (
+    "SOURCE", "RENTREE", "UR", "UI", "NUMED", "DIPLOM", "TYP_DIPL", "TYP_DIPINT", "NATION", "CONTINENT", *COUNTRY_FLAGS, "COMUI", "COMETAB", "DEPRESPA", "DEPBAC",
+    "DEPINS", "UUCRINS", "UUCRETAB", "PROXREG", "PROXIMITE", "PROXBAC", "PROXREGBAC", "OUTREMER", "ID_PAYSAGE_ED", "ID_PAYSAGE_IUT", "ID_PAYSAGE_IUT_CAMPUS",
+    "ID_PAYSAGE_IUT_POLE", "ID_PAYSAGE_ING", "ID_PAYSAGE_ING_CAMPUS", "LMDDONT", "LMDDONTBIS", "LMDDONT_INT", "LMDDONTBIS_INT", "DNDU", "DNDU_INT", *IUT_COLUMNS,
+)
+INDICATOR_COLUMNS = (
+    "SOURCE", "RENTREE", "DIPLOM", "TYP_DIPL", "TYP_DIPINT", "PAR_TYPE", "SECTDIS", "GDDISC", "LMDDONT", "LMDDONTBIS", "LMDDONT_INT", "LMDDONTBIS_INT", "DNDU",
+    "DNDU_INT", "BAC", "BAC_RGRP", "ANBAC", "ANNAIS", "AGE_BAC", "RETARD", "AVANCE", "DEPBAC", "ACABAC", "DEPRESPA", "PROXBAC", "PROXREGBAC", "OUTREMER",
+    "REGRESPA", "REGRESPA16", "NATION", "NATION_BAC", "NATION_VRAI", "MOBINTERN", "FR_ETR", "CURSUS_LMD", "CURSUS_LMD_INT",
+)
 # Names under which the two unit maps are stored with the sheets.
 PARENTS, SEATS = "__parents", "__seats"
 Records = Mapping[str, rule_tables.Sheet]
@@ -256,6 +278,11 @@ def establishments(df: DataFrame, sheets: Mapping[str, DataFrame], parents: Data
     df = df.withColumns({c: F.when(~file_has(c), F.lit("")).otherwise(F.col(c))
                          for c in ("DEPBAC", "ACABAC", "DEPRESPA", "CONV")})
     df = delete_by_rules(df, sheets["deleter"], DELETE_SHAPES)
+    return beside(df, ENTITY_COLUMNS, lambda d: entities(d, sheets, parents))
+
+
+def entities(df: DataFrame, sheets: Mapping[str, DataFrame], parents: DataFrame) -> DataFrame:
+    """Unit, parent unit, establishment and entity of the rows that stay."""
     df = private_flags(units_as_establishments(df.withColumn("UI", F.col("COMPOS"))))
     df = df.withColumn("UI", F.when(_is("COMPOS", "0684045X"), F.lit("0694045X")).otherwise(F.col("UI")))
     df = coalesced_lookup(df, parents, ["RENTREE", "COMPOS"], "RATTACH", "RATTACH", "COMPOS")
@@ -454,6 +481,14 @@ def double_counted_codes() -> Column:
         _is("DIPLOM", "2500203", "2500164"), _is("ETABLI_ORI_UAI", "0597131F", "0632033T"))
 
 
+def named_in(df: DataFrame, records: Records, names: tuple[str, ...]) -> list[str]:
+    """Columns that the rules of these sheets may read or write: those that their cells or headings name, all for a sheet that stays a table."""
+    if any(isinstance(records[n], DataFrame) for n in names):
+        return df.columns
+    words = {w for n in names for r in records[n] for k, v in r.items() for w in (v, k.removesuffix("_IN").strip(), k.removesuffix("_OUT").strip())}
+    return [c for c in df.columns if c in words]
+
+
 def correct(df: DataFrame, sheets: Mapping[str, DataFrame], parents: DataFrame, unit_communes: DataFrame) -> DataFrame:
     """Normalised facts to corrected facts.
 
@@ -464,9 +499,12 @@ def correct(df: DataFrame, sheets: Mapping[str, DataFrame], parents: DataFrame,
     df = headcounts(result_side(drop_empty_results(df)))
     df = establishments(df, sheets, parents)
     records = rules.all_records(sheets, RULE_SHEETS)
-    df = communes(df, records, unit_communes)
-    df = degrees(origins(df, records), sheets, records)
-    return last_fixes(indicators(enrich(df, sheets), sheets)).drop(FILE_COLUMNS)
+    df = beside(df, COMMUNE_COLUMNS, lambda d: communes(d, records, unit_communes))
+    df = beside(df, [*ORIGIN_COLUMNS, *named_in(df, records, ORIGIN_SHEETS)], lambda d: origins(d, records))
+    df = beside(df, [*DEGREE_COLUMNS, *named_in(df, records, DEGREE_SHEETS)], lambda d: degrees(d, sheets, records))
+    df = beside(df, ATTRIBUTE_COLUMNS, lambda d: enrich(d, sheets))
+    df = beside(df, INDICATOR_COLUMNS, lambda d: indicators(d, sheets))
+    return last_fixes(df).drop(FILE_COLUMNS)
 
 
 def correct_table(

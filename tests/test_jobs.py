@@ -10,6 +10,7 @@ from conftest import values
 from palmares.functions.nulls import is_missing, pd_ne
 from palmares.operators import derive, rules
 from palmares.operators.lookups import small_table
+from palmares.operators.schema import beside
 from palmares.plans import chain, correct, ingest, publish, verify
 from palmares.plans.correct import _all, _is, _source
 from palmares.queries import published as P
@@ -255,6 +256,32 @@ def test_correction_never_shuffles_the_facts(spark, sheets):
     assert "SortMergeJoin" not in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+def test_lookups_carry_only_the_columns_they_use(spark, sheets):
+    """Columns that no lookup reads pass all lookups of a step in one value; deletions, which copy no row, come before."""
+    root = P.work_dir(spark, "facts")
+    write_fact(correct.normalise(raw(spark, RAW)), root)
+    none = small_table(spark, [], "RENTREE string, COMPOS string, RATTACH string")
+    seats = small_table(spark, [], "RENTREE string, UAI string, COMCODE string")
+    plan = correct.correct(read_fact(spark, root), sheets, none, seats)._jdf.queryExecution().optimizedPlan()
+    widths, todo = [], [plan]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "Join":
+            widths.append(node.output().size())
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    assert sum(w > 60 for w in widths) <= len(correct.DELETE_SHAPES) and sorted(widths)[len(widths) // 2] < 40
+    assert "__rest" not in correct.correct(read_fact(spark, root), sheets, none, seats).columns
+
+
+def test_beside_keeps_rows_columns_and_order(frame):
+    df = frame([("1", "2", "3", "4"), (None, None, None, None)], "a string, b string, c string, d string")
+    out = beside(df, ["b", "absent"], lambda d: d.withColumns({"new": F.concat("b", F.lit("!")), "b": F.lit("x")}))
+    assert out.columns == ["a", "b", "c", "d", "new"]
+    assert values(out) == sorted([("1", "x", "3", "4", "2!"), (None, "x", None, None, None)], key=repr)
+    with pytest.raises(ValueError, match="duplicate"):
+        beside(df, ["b"], lambda d: d.withColumn("c", F.lit("x")))
+
+
 # Publication -----------------------------------------------------------------
 
 
