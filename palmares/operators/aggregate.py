@@ -26,6 +26,15 @@ def resum(df: DataFrame, keys: Sequence[str], measures: Sequence[str] | Mapping[
     return df.groupBy(*keys).agg(*[_sum(m).alias(n) for m, n in pairs.items()])
 
 
+def in_even_parts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows shuffled into parts of the advisory size, those of one group together unless they are many.
+
+    Where almost every row is a group of its own, a sum holds as many groups as its task has rows; files are split by
+    their compressed bytes, so that such a task grows with the table. The hash is no grouping key: sums stay in two steps.
+    """
+    return df.withColumn("__part", F.xxhash64(*keys)).hint("rebalance", "__part").drop("__part")
+
+
 def row_metrics(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Row count and number of columns, per group when asked."""
     width = len(df.columns)

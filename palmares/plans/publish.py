@@ -1,18 +1,20 @@
 """Publication job: corrected facts to the labelled open-data table.
 
-Two shuffles in all. The facts are first summed over the published *codes* (map-side
-combined, so a heavy group leaves each task as one row); the star and label lookups then
-run on the small result, and a last sum merges codes that share a label.
+Two shuffles, both of codes: one into parts of even size, one by group. Codes that are published by
+their labels alone are replaced by one code for each set of labels; the facts are then summed over
+codes (map-side combined, so a heavy group leaves each task as one row), and the star and label
+lookups run on the result. Rows of labels, many times as wide, are neither grouped nor shuffled.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.scalars import breadcrumb, join_codes, recode, yes_no
-from ..operators.aggregate import resum, sum_cube
+from ..operators.aggregate import in_even_parts, resum, sum_cube
 from ..operators.filters import exclude, keep_positive, semi_by_attribute
 from ..operators.lookups import left_lookup, star_join
 from ..operators.rules import ROW
@@ -280,9 +282,29 @@ def label(df: DataFrame, sheets: Mapping[str, DataFrame], others: tuple[str, ...
     return df.withColumn("SEXE_LIB", F.coalesce("SEXE_LIB", F.lit("Inconnu")))
 
 
+def one_code_per_label(df: DataFrame, sheets: Mapping[str, DataFrame]) -> DataFrame:
+    """Codes that are published by their labels alone: the smallest code with the same labels, NULL where there are none."""
+    for sheet, key, sheet_key, cols in LABELS:
+        if key in PUBLISHED_KEYS:
+            continue
+        codes = sheets[sheet].filter(F.col(sheet_key).isNotNull())
+        labelled = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in cols])
+        same = F.when(labelled, F.min(sheet_key).over(Window.partitionBy(*cols)))
+        df = left_lookup(df, codes.select(sheet_key, same.alias("__same")), {key: sheet_key}, ["__same"])
+        df = df.withColumn(key, F.col("__same")).drop("__same")
+    return df
+
+
+def labelled_sums(df: DataFrame, sheets: Mapping[str, DataFrame]) -> DataFrame:
+    """The published table from rows with publication codes and measures: one row a code is one row a label."""
+    keys = [k for k in ROLLUP_KEYS if k not in UNPUBLISHED]
+    codes = one_code_per_label(in_even_parts(df.select(*keys, *MEASURES), keys), sheets)
+    sums = resum(codes, keys, MEASURES)
+    return pick(label(star(sums, sheets), sheets), [*PUBLISHED_KEYS, *MEASURES])
+
+
 def publish(df: DataFrame, sheets: Mapping[str, DataFrame], names: bool = True) -> DataFrame:
     """Corrected facts to the published table (French names unless ``names`` is off)."""
     sheets = StoredSheets(sheets).ahead()
-    wide = label(star(code_sums(in_scope(df, sheets)), sheets), sheets)
-    table = resum(pick(wide, [*PUBLISHED_KEYS, *MEASURES]), PUBLISHED_KEYS, MEASURES)
+    table = labelled_sums(publication_codes(in_scope(df, sheets)), sheets)
     return relabel(table, PUBLISHED_NAMES) if names else table

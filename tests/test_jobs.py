@@ -296,6 +296,26 @@ def test_published_row(corrected, sheets):
     assert got["Localisation du siège de l'établissement"] is None and got["Age au baccalauréat"] == "À l'heure"
 
 
+def test_labels_are_not_grouped(spark):
+    """Rows of labels are ten times as wide as rows of codes: no sum holds or shuffles them."""
+    todo, widths = [publish.publish(P.corrected(spark, SF), P.reference_tables(spark, SF), names=False)._jdf.queryExecution().optimizedPlan()], {}
+    while todo:
+        node = todo.pop()
+        widths.setdefault(node.nodeName(), []).append(node.output().size())
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    assert max(widths["Aggregate"]) < 40 and widths["RebalancePartitions"] and max(widths["RebalancePartitions"]) < 40
+
+
+def test_codes_of_one_label_are_one_row(spark, frame, sheets):
+    """Codes that share every label of their list merge; unlisted codes, codes without labels and NULL are one."""
+    lists = {**sheets, "SPECIUT": frame([("a", "x", "y", "z"), ("b", "x", "y", "z"), ("c", "x", "y", "w"), ("d", None, None, None)], "SPECIUT string, SPEC_IUT string, SPEC_IUT_LIB string, SPEC_IUT_RGP_LIB string")}
+    keys = [k for k in publish.ROLLUP_KEYS if k not in publish.UNPUBLISHED]
+    schema = ", ".join([f"{k} string" for k in keys] + [f"{m} bigint" for m in publish.MEASURES])
+    rows = [tuple(code if k == "SPECIUT" else "1" for k in keys) + (n,) * len(publish.MEASURES) for code, n in [("a", 1), ("b", 2), ("b", 4), ("c", 8), ("d", 16), ("e", 32), (None, 64)]]
+    got = publish.labelled_sums(frame(rows, schema), lists)
+    assert values(got, "SPEC_IUT_RGP_LIB", "EFFECTIF_R") == [("w", 8), ("z", 7), (None, 112)]
+
+
 def test_published_names():
     assert len(publish.PUBLISHED_KEYS) == len(set(publish.PUBLISHED_KEYS)) == 76
     assert len(publish.PUBLISHED_NAMES) == 82 == len({v.lower() for v in publish.PUBLISHED_NAMES.values()})
