@@ -11,17 +11,18 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.aggregate import resum
-from ..operators.schema import pick, relabel
+from ..operators.aggregate import in_even_parts, resum
+from ..operators.schema import relabel
 from ..sources.facts import PARTITIONS, write_fact
 from ..sources.sheets import StoredSheets
-from .publish import MEASURES, PUBLISHED_KEYS, PUBLISHED_NAMES, ROLLUP_KEYS, UNPUBLISHED, in_scope, label, publication_codes, star
+from .publish import MEASURES, PUBLISHED_NAMES, ROLLUP_KEYS, UNPUBLISHED, in_scope, labelled_sums, publication_codes
 
 
 def partial_sums(facts: DataFrame, sheets: Mapping[str, DataFrame]) -> DataFrame:
     """Sums over the published codes, with the source of the facts as a further key."""
-    keys = [k for k in ROLLUP_KEYS if k not in UNPUBLISHED]
-    return resum(publication_codes(in_scope(facts, sheets)), list(dict.fromkeys([*PARTITIONS, *keys])), MEASURES)
+    keys = list(dict.fromkeys([*PARTITIONS, *[k for k in ROLLUP_KEYS if k not in UNPUBLISHED]]))
+    codes = publication_codes(in_scope(facts, sheets)).select(*keys, *MEASURES)
+    return resum(in_even_parts(codes, keys), keys, MEASURES)
 
 
 def refresh(facts: DataFrame, sheets: Mapping[str, DataFrame], root: str, changed: Iterable[tuple[str, str]] | None = None) -> None:
@@ -57,6 +58,5 @@ def read_sums(spark: SparkSession, root: str) -> DataFrame:
 def publish_sums(sums: DataFrame, sheets: Mapping[str, DataFrame], names: bool = True) -> DataFrame:
     """The published table from stored sums; the same as ``publish.publish`` of the facts."""
     sheets = StoredSheets(sheets).ahead()
-    wide = label(star(sums.drop("SOURCE"), sheets), sheets)
-    table = resum(pick(wide, [*PUBLISHED_KEYS, *MEASURES]), PUBLISHED_KEYS, MEASURES)
+    table = labelled_sums(sums.drop("SOURCE"), sheets)
     return relabel(table, PUBLISHED_NAMES) if names else table
