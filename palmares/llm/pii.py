@@ -17,6 +17,9 @@ from .common import free_name, let, small, total, written
 
 #: Most rounds of drawing anew; each leaves only the few entities that clashed again.
 ROUNDS = 40
+#: Draws anew that keep an entity's length. Each later one is a character longer (of names a syllable): short entities may be as many as
+#: there are texts of their length, and some have nothing that can be drawn.
+SAME_LENGTH = 8
 
 # Forms of address before a name, by the gender they tell.
 TITLES = {"f": ("Mrs", "Ms", "Miss", "Frau", "Señora", "Madame", "Mme", "Госпожа", "Κυρία"), "m": ("Mr", "Herr", "Señor", "Monsieur", "Господин", "Κύριος"), "n": ("Dr", "Prof", "Professor")}
@@ -93,18 +96,21 @@ def surrogate(key: str, kind: Column, form: Column, attempt: Column) -> Column:
 
     Cards keep their first digit and phones the leading two, IBANs their country, domains their last label; check digits of cards and
     IBANs are right; secrets stay hexadecimal, addresses stay addresses, names are made of syllables of their script with an ending of their
-    gender (of Latin ones in a script that is not listed).
+    gender (of Latin ones in a script that is not listed). Past ``SAME_LENGTH`` attempts they grow: e-mails in front, others but IP addresses at the end.
     """
+    extra = F.greatest(attempt - SAME_LENGTH, F.lit(0))
+    grown = F.when(kind == "email", F.concat(F.repeat(F.lit("a"), extra), form)).otherwise(F.concat(form, F.repeat(F.lit("0"), extra)))
+
     def chars(stream: Column) -> Column:
         keep = F.when(kind.isin("phone", "iban"), 2).when(kind == "card", 1).otherwise(0)
-        tail = F.when(kind == "email", F.length(form) - F.length(F.substring_index(form, ".", -1))).otherwise(F.length(form))
+        tail = F.when(kind == "email", F.length(grown) - F.length(F.substring_index(grown, ".", -1))).otherwise(F.length(grown))
         one = lambda c, i, tail: (
             F.when((i < keep) | (i >= tail), c)
             .when((c >= "0") & (c <= "9"), (_byte(stream, i) % 10).cast("string"))
             .when((kind == "secret") & (c >= "a") & (c <= "f"), _pick("abcdef", _byte(stream, i)))
             .when((c >= "a") & (c <= "z"), _pick("abcdefghijklmnopqrstuvwxyz", _byte(stream, i)))
             .otherwise(c))
-        plain = let(tail, lambda t: F.array_join(F.transform(F.split(form, ""), lambda c, i: one(c, i, t)), ""))
+        plain = let(tail, lambda t: F.array_join(F.transform(F.split(grown, ""), lambda c, i: one(c, i, t)), ""))
         card = (kind == "card") & (F.length(form) >= 12) & F.regexp_like(form, F.lit("^[0-9]+$"))
         checked = let(plain, lambda p: F.when(card, let(F.substr(p, F.lit(1), F.length(p) - 1), lambda d: F.concat(d, _luhn(d)))).when(
             (kind == "iban") & F.regexp_like(p, F.lit("^[a-z]{2}[0-9]{2}[a-z0-9]+$")), _iban(p)).otherwise(p))
@@ -120,25 +126,36 @@ def surrogate(key: str, kind: Column, form: Column, attempt: Column) -> Column:
             syllables = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(2)), lambda i: F.concat(_pick(hard, _byte(stream, i * 2)), _pick(soft, _byte(stream, i * 2 + 1)))), "")  # noqa: B023
             vowel = _pick(soft, _byte(stream, F.lit(7)))
             ending = F.when(F.startswith(form, F.lit("f ")), F.lit(her)).when(F.startswith(form, F.lit("m ")), F.concat(vowel, F.lit(his))).otherwise(vowel)
-            word = F.concat(syllables, _pick(hard, _byte(stream, F.lit(6))), ending)
+            more = F.transform(F.sequence(F.lit(0), extra), lambda i: F.when(i > 0, F.concat(_pick(hard, _byte(stream, i * 2 + 6)), _pick(soft, _byte(stream, i * 2 + 7)))).otherwise(""))  # noqa: B023
+            word = F.concat(syllables, F.array_join(more, ""), _pick(hard, _byte(stream, F.lit(6))), ending)
             latin = scripts[-1] == (letters, hard, soft, her, his)
             made = word if latin else F.when(F.regexp_like(form, F.lit(f"^[fmn] .*{letters}")), word).otherwise(made)
         return F.concat(F.substring(form, 1, 2), made)
 
-    return let(_stream(key, kind, form, attempt, F.length(form) + 32), lambda s: F.when(kind == "ip", address(s)).when(kind == "name", name(s)).otherwise(chars(s)))
+    return let(_stream(key, kind, form, attempt, F.length(form) + 32 + extra * 2), lambda s: F.when(kind == "ip", address(s)).when(kind == "name", name(s)).otherwise(chars(s)))
 
 
 def dress(kind: Column, entity: Column, stand_in: Column) -> Column:
-    """A stand-in (of a name: of one word) in the format of an occurrence: its separators, its upper and lower case."""
+    """A stand-in (of a name: of one word) in the format of an occurrence: its separators, its upper and lower case; what makes it longer as it is."""
     cased = lambda c, s: F.when(F.regexp_like(c, F.lit(r"\p{Lu}")), F.upper(s)).otherwise(s)
-    aligned = let(F.split(stand_in, ""), lambda cs: F.array_join(F.transform(F.split(entity, ""), lambda c, i: cased(c, F.get(cs, i))), ""))
-    counted = F.transform(F.sequence(F.lit(1), F.length(entity)), lambda i: F.length(F.regexp_replace(F.substr(entity, F.lit(1), i), r"[^\p{L}\p{N}]", "")))
-    spelled = let(F.regexp_replace(stand_in, r"[^\p{L}\p{N}]", ""), lambda bare: let(counted, lambda n: F.array_join(F.transform(
-        F.split(entity, ""), lambda c, i: F.when(~F.regexp_like(c, F.lit(r"[\p{L}\p{N}]")), c)
-        .otherwise(cased(c, F.substr(bare, F.get(n, i), F.lit(1))))), "")))
-    named = F.substring(stand_in, 3, 1 << 20)
-    named = F.when(F.regexp_like(entity, F.lit(r"\p{Ll}\P{L}*$")), F.initcap(named)).otherwise(F.upper(named))
-    return F.when(kind == "ip", stand_in).when(kind == "name", named).when(kind.isin("email", "secret"), aligned).otherwise(spelled)
+    signs = lambda c: F.regexp_replace(c, r"[^\p{L}\p{N}]", "")
+
+    def aligned(made: Column, front: Column) -> Column:
+        inside = let(F.split(made, ""), lambda cs: F.array_join(F.transform(F.split(entity, ""), lambda c, i: cased(c, F.get(cs, i + front))), ""))
+        return F.concat(F.substr(made, F.lit(1), front), inside, F.substr(made, F.length(entity) + front + 1))
+
+    def spelled(made: Column) -> Column:
+        counted = F.transform(F.sequence(F.lit(1), F.length(entity)), lambda i: F.length(signs(F.substr(entity, F.lit(1), i))))
+        return let(signs(made), lambda bare: F.concat(let(counted, lambda n: F.array_join(F.transform(
+            F.split(entity, ""), lambda c, i: F.when(~F.regexp_like(c, F.lit(r"[\p{L}\p{N}]")), c)
+            .otherwise(cased(c, F.substr(bare, F.get(n, i), F.lit(1))))), "")), F.substr(bare, F.length(signs(entity)) + 1)))
+
+    def named(made: Column) -> Column:
+        word = F.substring(made, 3, 1 << 20)
+        return F.when(F.regexp_like(entity, F.lit(r"\p{Ll}\P{L}*$")), F.initcap(word)).otherwise(F.upper(word))
+
+    return let(stand_in, lambda s: F.when(kind == "ip", s).when(kind == "name", named(s)).when(
+        kind == "email", let(F.length(s) - F.length(entity), lambda front: aligned(s, front))).when(kind == "secret", aligned(s, F.lit(0))).otherwise(spelled(s)))
 
 
 def titled(text: Column) -> Column:

@@ -723,6 +723,39 @@ def test_redrawn_entities_are_the_same_everywhere(spark, monkeypatch):
     assert out[1] == f"d {two} e" and len({one, two, three}) == 3 and "10.2.2.2" not in out[1] and out[3:] == ["none", None]
 
 
+@pytest.mark.parametrize("text", ["ask _@-.com or --@-.com", "ask %@-.com again, a@b.co", "call +1 23 45, +12 34.56 or +1 23-45."])
+def test_entities_without_a_free_stand_in_of_their_length_get_a_longer_one(spark, monkeypatch, text):
+    """Addresses that hold nothing to draw, and phones of which all thousand of their length are in the corpus."""
+    monkeypatch.setattr(pii, "SAME_LENGTH", 2)
+    texts = [text, text] + ([", ".join(f"+1 2{n // 100} {n % 100:02d}" for n in range(1000))] if "call" in text else [])
+    entity = regex.compile(pii.ENTITY)
+    out = [r.text for r in pii.pseudonymised(docs_of(spark, texts), "k").orderBy("doc_id").collect()]
+    assert out[0] == out[1] and len(out[0]) > len(text)
+    old, new = ([re.sub(r"[ .+-]", "", e) if "@" not in e else e for e in entity.findall(", ".join(x))] for x in (texts, out))
+    assert len(new) == len(old) and len(set(zip(old, new))) == len(set(old)) == len(set(new)) and not set(old) & set(new)
+
+
+def test_longer_stand_ins_by_kind(spark):
+    """Each attempt past the eighth adds one character: e-mails in front, numbers at the end (check digits right), names a syllable; earlier ones keep the length."""
+    kinds = {**PRIVATE, "name": "Berg"}
+    rows = [(k, re.sub(r"[\W_]", "", v.lower()) if k not in ("email", "ip", "secret", "name") else "f berg" if k == "name" else v, v, a) for k, v in kinds.items() for a in (0, 8, 9, 11)]
+    df = spark.createDataFrame(rows, "kind string, form string, entity string, attempt int")
+    made = df.select("*", pii.surrogate("k", F.col("kind"), F.col("form"), F.col("attempt")).alias("s")).select("*", pii.dress(F.col("kind"), F.col("entity"), F.col("s")).alias("out")).collect()
+    of = {(r.kind, r.attempt): r for r in made}
+    for (kind, attempt), r in of.items():
+        more = max(0, attempt - 8)
+        if kind != "ip":
+            assert len(r.out) == len(of[kind, 0].out) + more * (2 if kind == "name" else 1), r
+        whole = "^(?:" + (r"\p{Lu}\p{Ll}+" if kind == "name" else pii.PATTERNS[kind]) + ")$"
+        assert kind in ("id", "phone") and more or regex.match(whole, r.out), r
+        if kind == "card":
+            assert sum(d - 9 * (d > 9) for d in (int(c) * (1 + k % 2) for k, c in enumerate(reversed(r.s)))) % 10 == 0
+        if kind == "iban":
+            assert int("".join(str(int(c, 36)) for c in r.s[4:] + r.s[:4])) % 97 == 1
+        if kind == "email":
+            assert r.out.endswith(".com") and [c for c in r.out if not c.isalnum()] == [c for c in r.entity if not c.isalnum()]
+
+
 def test_pii_edges(spark):
     texts = [None, "", "no entity 12 34", "mail a@b.co " * 3000, "v 1.2.3.4.5", "x" * 100_000]
     df = docs_of(spark, texts).union(docs_of(spark, ["x@y.org", "x@y.org"], [None, None])).withColumn("N", F.lit(1)).withColumn("replaced", F.lit(2))
