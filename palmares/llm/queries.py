@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import logging
+import secrets
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat, chunk_dedup, decontam, language, licenses, packing, pii, prefix_trie, quality, simhash, toxicity, vector_dedup, whitening
 
-#: Key of the surrogates; a cluster must set its own secret under this name, only local sessions may do without.
+log = logging.getLogger(__name__)
+
+#: Key of the surrogates, set under this name. Without it local sessions use the sample key, and an application on a cluster draws a secret of its own.
 KEY_SETTING, SAMPLE_KEY = "spark.palmares.pii.key", "sample-key"
+#: The drawn secret of each application; kept in this process alone, so the next application has other surrogates.
+_DRAWN: dict[str, str] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,9 +24,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def pii_key(spark: SparkSession) -> str:
     key = spark.conf.get(KEY_SETTING, None)
-    if not key and not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {KEY_SETTING} to a secret: with a known key surrogates can be worked out again")
-    return key or SAMPLE_KEY
+    if key or spark.sparkContext.master.startswith("local"):
+        return key or SAMPLE_KEY
+    app = spark.sparkContext.applicationId
+    if app not in _DRAWN:
+        log.warning("%s is not set: surrogates hold for this application alone", KEY_SETTING)
+        _DRAWN[app] = secrets.token_hex(32)
+    return _DRAWN[app]
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ import re
 import time
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -756,6 +757,16 @@ def test_longer_stand_ins_by_kind(spark):
             assert r.out.endswith(".com") and [c for c in r.out if not c.isalnum()] == [c for c in r.entity if not c.isalnum()]
 
 
+def test_a_cluster_without_a_key_draws_a_secret_of_its_own(spark):
+    """One key an application, which nobody knows; a key that is set counts, and local sessions keep the sample key."""
+    def session(master, app, key=None):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: key or d), sparkContext=SimpleNamespace(master=master, applicationId=app))
+
+    one, again, other = (queries.pii_key(session("spark://host:7077", app)) for app in ("a", "a", "b"))
+    assert one == again != other and min(len(one), len(other)) >= 32 and queries.SAMPLE_KEY not in (one, other)
+    assert queries.pii_key(session("yarn", "a", "own")) == "own" and queries.pii_key(session("local[2]", "a")) == queries.SAMPLE_KEY == queries.pii_key(spark)
+
+
 def test_pii_edges(spark):
     texts = [None, "", "no entity 12 34", "mail a@b.co " * 3000, "v 1.2.3.4.5", "x" * 100_000]
     df = docs_of(spark, texts).union(docs_of(spark, ["x@y.org", "x@y.org"], [None, None])).withColumn("N", F.lit(1)).withColumn("replaced", F.lit(2))
